@@ -78,8 +78,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint (survives executor loss); never localCheckpoint."""
+def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and read it back: lineage is cut, a lost executor re-reads the table
+    instead of recomputing the chain, and the data is computed once (a
+    reliable ``checkpoint()`` of an uncached plan computes it twice).
+    Never ``localCheckpoint``."""
     spark = spark or df.sparkSession
-    checkpoint_base(spark)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
