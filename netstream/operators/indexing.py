@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.session import shuffle_partitions
+from netstream.session import cut_lineage, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
 
@@ -28,14 +28,24 @@ def _cols(x) -> list[str]:
 
 
 def _ranged(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    """Range-partition and sort by ``keys`` and stamp each row with its
+    partition and position in it, then materialise.
+
+    The stamp must be computed once: the range bounds are sampled with a
+    seed that depends on the RDD, so two evaluations (the counts branch and
+    the row branch, or a recomputation after a lost executor) could cut the
+    data differently.  Written to the shared checkpoint folder, both
+    branches - and any retry - read the same stamps.
+    """
     n = partitions or shuffle_partitions(df.sparkSession)
     mid = F.monotonically_increasing_id()
-    return (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_mid", mid)
-              .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-              .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-              .drop("_mid"))
+    stamped = (df.repartitionByRange(n, *keys)
+                 .sortWithinPartitions(*keys)
+                 .withColumn("_mid", mid)
+                 .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
+                 .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+                 .drop("_mid"))
+    return cut_lineage(stamped, name="ranged")
 
 
 def row_index(df: DataFrame, order: str | Sequence[str], group: str | Sequence[str] | None = None,

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from netstream.plans import graph_plans
+from netstream.plans import decay_plans, graph_plans
 
 
 def all_queries() -> dict:
     out = {}
     out.update(graph_plans.QUERIES)
+    out.update(decay_plans.QUERIES)
     return out
 
 
 def all_sql() -> dict:
     out = {}
     out.update(graph_plans.SQL)
+    out.update(decay_plans.SQL)
     return out
