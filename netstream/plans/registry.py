@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from netstream.plans import decay_plans, graph_plans
+from netstream.plans import bit_plans, decay_plans, graph_plans
 
 
 def all_queries() -> dict:
     out = {}
     out.update(graph_plans.QUERIES)
     out.update(decay_plans.QUERIES)
+    out.update(bit_plans.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def all_sql() -> dict:
     out = {}
     out.update(graph_plans.SQL)
     out.update(decay_plans.SQL)
+    out.update(bit_plans.SQL)
     return out
