@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netstream.plans import bit_plans, decay_plans, graph_plans
+from netstream.plans import bit_plans, decay_plans, graph_plans, stream_plans
 
 
 def all_queries() -> dict:
@@ -10,6 +10,7 @@ def all_queries() -> dict:
     out.update(graph_plans.QUERIES)
     out.update(decay_plans.QUERIES)
     out.update(bit_plans.QUERIES)
+    out.update(stream_plans.QUERIES)
     return out
 
 
@@ -18,4 +19,5 @@ def all_sql() -> dict:
     out.update(graph_plans.SQL)
     out.update(decay_plans.SQL)
     out.update(bit_plans.SQL)
+    out.update(stream_plans.SQL)
     return out
