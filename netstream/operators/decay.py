@@ -125,6 +125,9 @@ def carried_weights(mentions: DataFrame, c: float = DECAY_C, batch: str = "batch
     carried explicitly; anything older is decayed by more than
     ``e^-max_exponent`` and below double precision.
     """
+    if max_exponent < 40.0 or max_exponent > 700.0:
+        raise ValueError("max_exponent must lie in [40, 700]: below 40 the dropped terms "
+                         "are not negligible, above 700 exp() overflows")
     lam = -math.log1p(-c)
     epoch_len = max(1, int(max_exponent / lam))
     m = mentions.where(F.col("mention").isNotNull())
