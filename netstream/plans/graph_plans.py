@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from netstream.operators import cluster as C
 from netstream.operators import graph as G
 from netstream.operators import spectrum as S
+from netstream.session import scratch_dir
+from netstream.sources import graph_files as GF
 from netstream.sources.tables import purchase_edges, read_table
 
 K_CLUSTERS = 20      # clusters and eigenpairs, as in the reference's script
@@ -30,6 +32,21 @@ def q_edge_canonical(spark, sf_dir):
     return purchase_graph(spark, sf_dir)
 
 
+def q_edge_list_scan(spark, sf_dir):
+    """The raw purchase edges written as gzip ``src dst`` text to the
+    shared folder, scanned back and canonicalised."""
+    path = scratch_dir(spark, "edgelist")
+    GF.write_edge_list(purchase_edges(read_table(spark, sf_dir, "lineitem")), path)
+    return G.canonical_edges(GF.read_edge_list(spark, path))
+
+
+def q_edge_csv_scan(spark, sf_dir):
+    """S2 + S3: the same edges as headerless gzip CSV, columns by position."""
+    path = scratch_dir(spark, "edgecsv")
+    GF.write_edge_csv(purchase_edges(read_table(spark, sf_dir, "lineitem")), path)
+    return G.canonical_edges(GF.read_edge_csv(spark, path, src_pos=0, dst_pos=1))
+
+
 def q_node_index(spark, sf_dir):
     return G.node_index(purchase_graph(spark, sf_dir))
 
@@ -153,6 +170,8 @@ cnt AS (SELECT c_nationkey, count(*) AS n_values FROM r GROUP BY c_nationkey)"""
 
 SQL = {
     "edge_canonical": f"WITH {_EDGES.strip()} SELECT src, dst FROM edges",
+    "edge_list_scan": f"WITH {_EDGES.strip()} SELECT src, dst FROM edges",
+    "edge_csv_scan": f"WITH {_EDGES.strip()} SELECT src, dst FROM edges",
     "node_index": f"""WITH {_EDGES.strip()},
 nodes AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges)
 SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS idx FROM nodes""",
@@ -192,6 +211,8 @@ FROM cnt LEFT JOIN firstneg ON firstneg.c_nationkey = cnt.c_nationkey""",
 
 QUERIES = {
     "edge_canonical": q_edge_canonical,
+    "edge_list_scan": q_edge_list_scan,
+    "edge_csv_scan": q_edge_csv_scan,
     "node_index": q_node_index,
     "degree": q_degree,
     "adjacency": q_adjacency,
