@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from netstream.functions.dgim import QUERY_K, WINDOW_N, AsWritten, Published
 from netstream.operators.indexing import keyed_prefix_sum
-from netstream.session import shuffle_partitions
+from netstream.session import cut_lineage, shuffle_partitions
 
 P_ONE = 0.3  # fixed value: probability of a 1 in the reference's bit producer
 
@@ -60,6 +60,9 @@ def ones_counts(bits: DataFrame, key: str = "key", seq: str = "seq", bit: str =
     cum = keyed_prefix_sum(base, "key", "seq", ["bit", "one"])
     cum = cum.select("key", "seq", "bit", F.col("one_cum").alias("pos"),
                      F.col("bit_cum").alias("ones_running"))
+    if windows:
+        # read twice (rows and their N-back partners): write once
+        cum = cut_lineage(cum, name="prefix")
     out = cum
     for name, w in windows.items():
         back = cum.select("key", (F.col("pos") + w).alias("pos"),

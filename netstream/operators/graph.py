@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netstream.operators.indexing import row_index
+from netstream.session import cut_lineage
 
 
 def canonical_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -91,6 +92,7 @@ def normalized_laplacian(edges: DataFrame) -> DataFrame:
     edge (two joins against the degree table over m rows, not 2m) and then
     emitted in both directions; the diagonal is ``1 - A_ii/d_i`` per node.
     """
+    edges = cut_lineage(edges.select("src", "dst"), name="edges")   # used five times below
     deg = degrees(edges)
     r = deg.select(F.col("id"), (F.lit(1.0) / F.sqrt("degree")).alias("r"), "degree")
     rs = r.select(F.col("id").alias("src"), F.col("r").alias("r_src"))
@@ -114,6 +116,7 @@ def normalized_laplacian(edges: DataFrame) -> DataFrame:
 def normalized_adjacency(edges: DataFrame) -> DataFrame:
     """``N = D^-1/2 A D^-1/2`` as COO ``(i, j, w)`` including self-loop
     diagonals ``1/d_i``; ``L = I - N`` on nodes with an edge."""
+    edges = cut_lineage(edges.select("src", "dst"), name="edges")   # used three times below
     deg = degrees(edges)
     r = deg.select(F.col("id"), (F.lit(1.0) / F.sqrt("degree")).alias("r"))
     rs = r.select(F.col("id").alias("src"), F.col("r").alias("r_src"))

@@ -60,7 +60,10 @@ def checkpoint_base(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) "
                 "that every executor can reach")
         base = tempfile.mkdtemp(prefix="netstream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base
@@ -88,3 +91,19 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_partitioned(df, keys, partitions: int | None = None):
+    """Hash-partition ``df`` by ``keys`` and materialise it with a reliable
+    checkpoint (in ``spark.checkpoint.dir``), which keeps the partitioning:
+    an iterative job that joins the result on ``keys`` every pass then
+    shuffles only the other side.  Cached while checkpointing so the data is
+    computed once."""
+    spark = df.sparkSession
+    checkpoint_base(spark)
+    n = partitions or shuffle_partitions(spark)
+    staged = df.repartition(n, *keys).persist()
+    try:
+        return staged.checkpoint(eager=True)
+    finally:
+        staged.unpersist()
