@@ -113,9 +113,14 @@ def _fold_partition(mode: str, n: int):
 
 
 def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str = "key",
-         seq: str = "seq", bit: str = "bit", partitions: int | None = None) -> DataFrame:
+         seq: str = "seq", bit: str = "bit", partitions: int | None = None,
+         split: bool = True) -> DataFrame:
     """DGIM state after every bit of every stream.
 
+    ``published`` is a sequential fold per stream (its buckets depend on the
+    whole history).  ``as_written`` is split (see ``_dgim_as_written_split``)
+    unless ``split=False`` asks for the plain fold.
+
     ``as_written``: ``(key, seq, real_count, n_buckets, bucket_sum,
     discarded, estimate DOUBLE)`` - ``estimate = bucket_sum + 2^discarded - 1``
     (DOUBLE: it passes 2^63 after 63 drops).
@@ -123,6 +128,8 @@ def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str =
     """
     if mode not in ("as_written", "published"):
         raise ValueError("mode must be 'as_written' or 'published'")
+    if mode == "as_written" and split:
+        return _dgim_as_written_split(bits, n, key, seq, bit)
     parts = partitions or shuffle_partitions(bits.sparkSession)
     src = (bits.select(F.col(key).cast("long").alias("key"), F.col(seq).cast("long").alias("seq"),
                        F.col(bit).cast("int").alias("bit"))
@@ -132,5 +139,74 @@ def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str =
     return src.mapInPandas(_fold_partition(mode, n), schema)
 
 
+def as_written_head_length(n: int) -> int:
+    """Bits after which the as-written state is closed-form.
+
+    From bit N on, every bit drops the oldest bucket.  With ``rest`` the sum
+    of all but the newest bucket (its binary digits are the buckets), one
+    step maps ``rest`` to at most ``rest / 2``: at most one is added, then the
+    highest set bit is removed.  So ``rest`` is 0 from bit
+    ``N + bit_length(N) + 1`` on and stays 0; the state is then only
+    ``newest`` and ``discarded``.
+    """
+    return n + int(n).bit_length() + 1
+
+
+def _dgim_as_written_split(bits: DataFrame, n: int, key: str, seq: str, bit: str) -> DataFrame:
+    """As-written DGIM with bounded sequential work per stream.
+
+    * head: the first ``T0 = as_written_head_length(n)`` bits of each stream
+      are folded by ``applyInPandas`` (groups of at most T0 rows);
+    * tail: afterwards ``rest = 0`` and, from the state at T0,
+      ``discarded = d0 + ones_after + [newest0 = 1 and a 0 was seen]`` and
+      ``newest = [newest0 = 1 and no 0 was seen]`` - prefix sums only, split
+      over range partitions like the exact counts, so a stream holding a
+      third of all bits is not one task.
+    """
+    t0 = as_written_head_length(n)
+    base = bits.select(F.col(key).cast("long").alias("key"), F.col(seq).cast("long").alias("seq"),
+                       F.when(F.col(bit) == 1, 1).otherwise(0).cast("long").alias("bit"),
+                       F.lit(1).cast("long").alias("one"))
+    cum = keyed_prefix_sum(base, "key", "seq", ["bit", "one"])
+    cum = cut_lineage(cum.select("key", "seq", "bit", F.col("one_cum").alias("pos"),
+                                 F.col("bit_cum").alias("ones_running")), name="dgim-prefix")
+
+    def head_fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq", kind="stable")
+        st = AsWritten(n)
+        out = []
+        k = int(pdf["key"].iloc[0])
+        for q, b in zip(pdf["seq"].tolist(), pdf["bit"].tolist()):
+            st.step(int(b))
+            out.append((k, q, st.ones, bin(st.rest).count("1") + st.newest, st.rest + st.newest,
+                        st.discarded, st.estimate(), st.t, st.rest, st.newest))
+        return pd.DataFrame.from_records(out, columns=[
+            "key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate",
+            "pos", "rest", "newest"])
+
+    head = (cum.where(F.col("pos") <= t0).select("key", "seq", "bit")
+               .groupBy("key")
+               .applyInPandas(head_fold, _AS_WRITTEN_SCHEMA + ", pos LONG, rest LONG, newest LONG"))
+    head = cut_lineage(head, name="dgim-head")
+    start = head.where(F.col("pos") == t0).select(
+        "key",
+        F.when(F.col("rest") != 0, F.raise_error(F.lit("as-written DGIM: rest not drained")))
+         .otherwise(F.col("newest")).alias("newest0"),
+        F.col("discarded").alias("d0"), F.col("real_count").alias("ones0"))
+    tail = cum.where(F.col("pos") > t0).join(start, "key")
+    ones_after = F.col("ones_running") - F.col("ones0")
+    zeros_after = (F.col("pos") - t0) - ones_after
+    newest = F.when((F.col("newest0") == 1) & (zeros_after == 0), 1).otherwise(0).cast("long")
+    discarded = (F.col("d0") + ones_after
+                 + F.when((F.col("newest0") == 1) & (zeros_after > 0), 1).otherwise(0)).cast("long")
+    tail = tail.select("key", "seq", F.col("ones_running").alias("real_count"),
+                       newest.alias("n_buckets"), newest.alias("bucket_sum"),
+                       discarded.alias("discarded"),
+                       (newest.cast("double") + (F.pow(F.lit(2.0), discarded.cast("double")) - 1.0))
+                       .alias("estimate"))
+    return head.select("key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded",
+                       "estimate").unionByName(tail)
+
+
 __all__ = ["parse_bits", "random_bits", "ones_counts", "relative_error", "dgim",
            "WINDOW_N", "QUERY_K", "P_ONE"]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netstream.operators.indexing import row_index
+from netstream.session import cut_lineage
 
 DECAY_C = 1e-6   # fixed value: the reference's decay constant
 TOP_K = 5        # fixed value: rows shown per batch
@@ -143,6 +144,8 @@ def carried_weights(mentions: DataFrame, c: float = DECAY_C, batch: str = "batch
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     per = per.withColumn(
         "in_epoch", F.sum(F.col("local") * F.exp(lam * since_ref)).over(w) * F.exp(-lam * since_ref))
+    # read twice (rows, and each epoch's last value): write once
+    per = cut_lineage(per, name="decay-epochs")
     last = (per.groupBy("mention", "q")
                .agg(F.max(F.struct("gend", "in_epoch")).alias("last"))
                .select("mention", (F.col("q") + 1).alias("q"),

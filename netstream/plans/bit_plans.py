@@ -130,7 +130,7 @@ def _published_cte(n: int) -> str:
 
 _AW_OUT = """SELECT key AS user_id, seq AS event_id, ones AS real_count,
        CAST(bit_count(rest) + newest AS BIGINT) AS n_buckets, rest + newest AS bucket_sum,
-       discarded, rest + newest + pow(2, discarded) - 1 AS estimate
+       discarded, rest + newest + (pow(2, discarded) - 1) AS estimate
 FROM aw WHERE t > 0"""
 
 _PB_OUT = """SELECT key AS user_id, seq AS event_id, len(bk) AS n_buckets,

@@ -55,7 +55,7 @@ SQL = {
     "stream_bit_report": f"""WITH RECURSIVE {_B}, {_as_written_cte(WINDOW_N)}, {_PARAMS},
 x AS (SELECT aw.*, (aw.seq - params.lo) // params.width AS micro_batch FROM aw, params WHERE aw.t > 0),
 l AS (SELECT key, micro_batch, arg_max(ones, seq) AS real_count,
-             arg_max(rest + newest + pow(2, discarded) - 1, seq) AS estimate
+             arg_max(rest + newest + (pow(2, discarded) - 1), seq) AS estimate
       FROM x GROUP BY key, micro_batch)
 SELECT key AS user_id, micro_batch, real_count, estimate,
        round(CASE WHEN real_count > 0 THEN (real_count - estimate) / real_count ELSE 0.0 END, 6)
