@@ -112,14 +112,20 @@ def _fold_partition(mode: str, n: int):
     return fold
 
 
+MAX_FOLD_ROWS = 1_000_000  # longest stream folded in one task before as-written is split
+
+
 def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str = "key",
          seq: str = "seq", bit: str = "bit", partitions: int | None = None,
-         split: bool = True) -> DataFrame:
+         split: bool | str = "auto", max_fold_rows: int = MAX_FOLD_ROWS) -> DataFrame:
     """DGIM state after every bit of every stream.
 
     ``published`` is a sequential fold per stream (its buckets depend on the
-    whole history).  ``as_written`` is split (see ``_dgim_as_written_split``)
-    unless ``split=False`` asks for the plain fold.
+    whole history).  ``as_written`` can be split (``_dgim_as_written_split``:
+    bounded head fold + prefix sums); ``split='auto'`` measures the longest
+    stream with one grouped count and splits only when it exceeds
+    ``max_fold_rows`` - below that the plain fold is one bounded task per
+    stream and much cheaper.
 
     ``as_written``: ``(key, seq, real_count, n_buckets, bucket_sum,
     discarded, estimate DOUBLE)`` - ``estimate = bucket_sum + 2^discarded - 1``
@@ -128,6 +134,9 @@ def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str =
     """
     if mode not in ("as_written", "published"):
         raise ValueError("mode must be 'as_written' or 'published'")
+    if mode == "as_written" and split == "auto":
+        longest = bits.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        split = longest > max_fold_rows
     if mode == "as_written" and split:
         return _dgim_as_written_split(bits, n, key, seq, bit)
     parts = partitions or shuffle_partitions(bits.sparkSession)
@@ -156,7 +165,8 @@ def _dgim_as_written_split(bits: DataFrame, n: int, key: str, seq: str, bit: str
     """As-written DGIM with bounded sequential work per stream.
 
     * head: the first ``T0 = as_written_head_length(n)`` bits of each stream
-      are folded by ``applyInPandas`` (groups of at most T0 rows);
+      are folded by ``mapInPandas`` over partitions sorted by (key, seq) -
+      at most T0 rows per key;
     * tail: afterwards ``rest = 0`` and, from the state at T0,
       ``discarded = d0 + ones_after + [newest0 = 1 and a 0 was seen]`` and
       ``newest = [newest0 = 1 and no 0 was seen]`` - prefix sums only, split
@@ -171,22 +181,26 @@ def _dgim_as_written_split(bits: DataFrame, n: int, key: str, seq: str, bit: str
     cum = cut_lineage(cum.select("key", "seq", "bit", F.col("one_cum").alias("pos"),
                                  F.col("bit_cum").alias("ones_running")), name="dgim-prefix")
 
-    def head_fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", kind="stable")
-        st = AsWritten(n)
-        out = []
-        k = int(pdf["key"].iloc[0])
-        for q, b in zip(pdf["seq"].tolist(), pdf["bit"].tolist()):
-            st.step(int(b))
-            out.append((k, q, st.ones, bin(st.rest).count("1") + st.newest, st.rest + st.newest,
-                        st.discarded, st.estimate(), st.t, st.rest, st.newest))
-        return pd.DataFrame.from_records(out, columns=[
-            "key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate",
-            "pos", "rest", "newest"])
-
+    def head_fold(batches):
+        # rows arrive sorted by (key, seq); at most t0 rows per key
+        cur, st = None, None
+        for pdf in batches:
+            out = []
+            for k, q, b in zip(pdf["key"].tolist(), pdf["seq"].tolist(), pdf["bit"].tolist()):
+                if k != cur:
+                    cur, st = k, AsWritten(n)
+                st.step(int(b))
+                out.append((k, q, st.ones, bin(st.rest).count("1") + st.newest,
+                            st.rest + st.newest, st.discarded, st.estimate(), st.t, st.rest,
+                            st.newest))
+            yield pd.DataFrame.from_records(out, columns=[
+                "key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate",
+                "pos", "rest", "newest"])
+
+    parts = shuffle_partitions(bits.sparkSession)
     head = (cum.where(F.col("pos") <= t0).select("key", "seq", "bit")
-               .groupBy("key")
-               .applyInPandas(head_fold, _AS_WRITTEN_SCHEMA + ", pos LONG, rest LONG, newest LONG"))
+               .repartition(parts, "key").sortWithinPartitions("key", "seq")
+               .mapInPandas(head_fold, _AS_WRITTEN_SCHEMA + ", pos LONG, rest LONG, newest LONG"))
     head = cut_lineage(head, name="dgim-head")
     start = head.where(F.col("pos") == t0).select(
         "key",

@@ -114,9 +114,10 @@ def q_spectrum_largest(spark, sf_dir):
 
 
 def q_spectral_kmeans(spark, sf_dir):
-    """As written: k-means on the first k eigenvectors (smallest here)."""
+    """As written: the eigenpairs an unshifted solver returns (the largest),
+    sorted ascending, and k-means on their first k vectors."""
     edges = purchase_graph(spark, sf_dir)
-    _, vec, _ = S.eigenpairs(edges, K_CLUSTERS, which="smallest", max_iter=SOLVER_PASSES,
+    _, vec, _ = S.eigenpairs(edges, K_CLUSTERS, which="largest", max_iter=SOLVER_PASSES,
                              tol=SOLVER_TOL)
     return C.kmeans_clusters(vec, K_CLUSTERS, seed=7)
 

@@ -105,7 +105,11 @@ def test_as_written_split_equals_fold(spark):
     df = spark.createDataFrame(rows, "key LONG, seq LONG, bit INT")
     for n in (8, 24):
         cols = ["key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate"]
-        split = sorted(tuple(r[c] for c in cols) for r in B.dgim(df, "as_written", n=n).collect())
+        split = sorted(tuple(r[c] for c in cols)
+                       for r in B.dgim(df, "as_written", n=n, split=True).collect())
+        auto = sorted(tuple(r[c] for c in cols)
+                      for r in B.dgim(df, "as_written", n=n, max_fold_rows=100).collect())
+        assert auto == split
         plain = sorted(tuple(r[c] for c in cols)
                        for r in B.dgim(df, "as_written", n=n, split=False).collect())
         assert split == plain
