@@ -27,6 +27,18 @@ def _cols(x) -> list[str]:
     return list(x)
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` treating NULL = NULL (a NULL group is a group,
+    not a dropped row); right-hand key columns are dropped."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for c in keys:
+        term = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = term if cond is None else cond & term
+    return left.join(r, cond).drop(*[f"_r_{c}" for c in keys])
+
+
 def _ranged(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
     """Range-partition and sort by ``keys`` and stamp each row with its
     partition and position in it, then materialise.
@@ -67,7 +79,7 @@ def row_index(df: DataFrame, order: str | Sequence[str], group: str | Sequence[s
     if not group:
         # one row per range partition: the size bound is the partition count
         counts = F.broadcast(counts)
-    out = staged.join(counts, ["_pid", *group])
+    out = _join_on(staged, counts, ["_pid", *group])
     return (out.withColumn(index_col, (F.col("_off") + F.col("_local") - F.col("_first")).cast("long"))
                .drop("_pid", "_local", "_off", "_first"))
 
@@ -91,7 +103,7 @@ def keyed_prefix_sum(df: DataFrame, key: str | Sequence[str], order: str | Seque
     totals = totals.select(
         "_pid", *key,
         *[F.coalesce(F.sum(f"_tot_{v}").over(carry_w), F.lit(0)).alias(f"_carry_{v}") for v in values])
-    out = staged.join(totals, ["_pid", *key])
+    out = _join_on(staged, totals, ["_pid", *key])
     for v in values:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_carry_{v}") + F.col(f"_loc_{v}"))
     return out.drop("_pid", "_local", *[f"_loc_{v}" for v in values],

@@ -28,3 +28,12 @@ def test_keyed_prefix_sum_hot_key(spark):
     got = keyed_prefix_sum(df, "k", "o", ["v"], partitions=7).toPandas().sort_values(["k", "o"])
     exp = pdf.sort_values(["k", "o"]).groupby("k")["v"].cumsum()
     np.testing.assert_array_equal(got["v_cum"].to_numpy(), exp.to_numpy())
+
+
+def test_null_groups_are_kept(spark):
+    rows = [(None, 3, 1), (None, 1, 1), (1, 2, 5), (1, 0, 2), (None, 2, 1)]
+    df = spark.createDataFrame(rows, "k LONG, o LONG, v LONG")
+    r = {(x.k, x.o): x.i for x in row_index(df, order="o", group="k", index_col="i").collect()}
+    assert r == {(None, 1): 0, (None, 2): 1, (None, 3): 2, (1, 0): 0, (1, 2): 1}
+    c = {(x.k, x.o): x.v_cum for x in keyed_prefix_sum(df, "k", "o", ["v"]).collect()}
+    assert c == {(None, 1): 1, (None, 2): 2, (None, 3): 3, (1, 0): 2, (1, 2): 7}
