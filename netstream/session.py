@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +82,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def partitions_for(spark: SparkSession, rows: int, target_rows: int = 2_000_000) -> int:
+    """Partition count for a table of ``rows`` rows that an iterative job
+    re-joins every pass: about ``target_rows`` per partition, never fewer
+    than the cluster's default parallelism."""
+    return max(int(spark.sparkContext.defaultParallelism), -(-int(rows) // target_rows))
+
+
 def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and read it back: lineage is cut, a lost executor re-reads the table
@@ -107,3 +115,16 @@ def materialize_partitioned(df, keys, partitions: int | None = None):
         return staged.checkpoint(eager=True)
     finally:
         staged.unpersist()
+
+
+@contextmanager
+def shuffle_partitions_set(spark: SparkSession, n: int):
+    """Run an iterative job with ``n`` shuffle partitions (sized to its
+    data), restoring the session setting afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

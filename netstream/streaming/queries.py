@@ -23,9 +23,20 @@ from netstream.streaming.stateful import dgim_stream, decay_stream
 STREAM_BATCHES = 10  # micro-batches a table is replayed in
 
 
-def _run(writer, checkpoint: str) -> None:
-    q = (writer.option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
+def _run(writer, checkpoint: str, spark: SparkSession | None = None) -> None:
+    """Start with ``availableNow`` and wait.  The number of state-store
+    partitions is fixed when a query first starts; it is set to the
+    cluster's default parallelism (not the batch-oriented shuffle setting),
+    then the session setting is restored."""
+    spark = spark or SparkSession.getActiveSession()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        q = (writer.option("checkpointLocation", checkpoint)
+                   .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -66,7 +77,7 @@ def stream_dgim(spark: SparkSession, bits: DataFrame, mode: str = "published",
     sink = scratch_dir(spark, "sink-dgim")
     writer = dgim_stream(stream, mode=mode).writeStream.format("parquet") \
         .outputMode("append").option("path", sink)
-    _run(writer, scratch_dir(spark, "ckpt-dgim"))
+    _run(writer, scratch_dir(spark, "ckpt-dgim"), spark)
     return spark.read.parquet(sink)
 
 
@@ -87,7 +98,7 @@ def stream_bit_report(spark: SparkSession, bits: DataFrame,
 
     writer = dgim_stream(stream, mode="as_written").writeStream.foreachBatch(
         _batch_writer(sink, report))
-    _run(writer, scratch_dir(spark, "ckpt-bitreport"))
+    _run(writer, scratch_dir(spark, "ckpt-bitreport"), spark)
     return _read_batches(spark, sink, "key LONG, micro_batch LONG, real_count LONG, "
                                       "estimate DOUBLE, rel_error DOUBLE, batch_id INT").drop("batch_id")
 
@@ -114,7 +125,7 @@ def stream_decay_carry(spark: SparkSession, mentions: DataFrame, c: float = D.DE
     writer = decay_stream(stream.where(F.col("mention").isNotNull())
                                 .select("mention", F.col("seq").alias("g")), c) \
         .writeStream.foreachBatch(_batch_writer(sink, at_batch_end))
-    _run(writer, scratch_dir(spark, "ckpt-decay"))
+    _run(writer, scratch_dir(spark, "ckpt-decay"), spark)
     return _read_batches(spark, sink, "mention STRING, weight DOUBLE, batch_id INT") \
         .select(F.col("batch_id").cast("long").alias("batch_id"), "mention", "weight")
 
@@ -132,7 +143,7 @@ def stream_decay_topk(spark: SparkSession, mentions: DataFrame, c: float = D.DEC
         return D.top_k_per_batch(w, k=k, weight="weight_int").select("rank", "mention", "weight_int")
 
     writer = stream.writeStream.foreachBatch(_batch_writer(sink, top))
-    _run(writer, scratch_dir(spark, "ckpt-decaytopk"))
+    _run(writer, scratch_dir(spark, "ckpt-decaytopk"), spark)
     return _read_batches(spark, sink, "rank INT, mention STRING, weight_int LONG, batch_id INT") \
         .select(F.col("batch_id").cast("long").alias("batch_id"), "rank", "mention", "weight_int")
 
@@ -158,7 +169,7 @@ def stream_tumbling_topk(spark: SparkSession, mentions: DataFrame, window: str =
         return df.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "mention", "n")
 
     writer = counts.writeStream.outputMode("update").foreachBatch(_batch_writer(sink, keep))
-    _run(writer, scratch_dir(spark, "ckpt-tumbling"))
+    _run(writer, scratch_dir(spark, "ckpt-tumbling"), spark)
     upd = _read_batches(spark, sink, "window_start TIMESTAMP_NTZ, mention STRING, n LONG, batch_id INT")
     final = upd.groupBy("window_start", "mention").agg(F.max("n").alias("n"))
     rank = Window.partitionBy("window_start").orderBy(F.col("n").desc(), F.col("mention"))
