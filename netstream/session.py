@@ -8,6 +8,7 @@ local mode (tests, the bench) do we create one ourselves.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -39,9 +40,25 @@ def build_session(master: str | None = None, app: str = "netstream",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they
+    import it by name and do not see the driver's ``sys.path``."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="netstream-ship-"), "netstream")
+    sc.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(sc.applicationId)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -97,8 +114,22 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
     Never ``localCheckpoint``."""
     spark = spark or df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Drop the shuffle files of each query in the block when it ends: what it
+    wrote is in the shared folder, so nobody reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def materialize_partitioned(df, keys, partitions: int | None = None):
