@@ -8,9 +8,10 @@ with a mark where a word repeats the one before), each hashed to one of
 its kind, its square root taken, so length does not decide.
 
 Training reads a bounded sample of ``TRAIN_DOCS`` labelled rows (the first by
-hash; the bound is a parameter).  ``SHARDS`` of them are trained side by side,
-``EPOCHS`` passes each, and their weights are averaged per feature (parameter
-mixing); weights are at most ``FEATURES`` numbers.  Scoring is a map over all
+hash; the bound is a parameter).  Shards of about ``SHARD_DOCS`` of them are
+trained side by side, in as many passes as make ``UPDATES`` updates, and their
+weights are averaged per feature (parameter mixing); weights are at most
+``FEATURES`` numbers.  Scoring is a map over all
 rows without a shuffle.
 
 Defined cases: a null or empty text has the intercept's score; with one label
@@ -35,8 +36,8 @@ from netstream.llm.common import KEY, TEXT, Chunk, WordHasher, id_of, key_of, ke
 
 FEATURES = 1 << 18
 TRAIN_DOCS = 8_000
-SHARDS = 8
-EPOCHS = 3
+SHARD_DOCS = 1_000
+UPDATES = 6_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 THRESHOLD = 0.3
 CACHED_SHAPES = 300_000
@@ -110,8 +111,8 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, features
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", features: int = FEATURES, limit: int = TRAIN_DOCS, shards: int = SHARDS,
-          epochs: int = EPOCHS) -> np.ndarray:
+          label_col: str = "quality", features: int = FEATURES, limit: int = TRAIN_DOCS, shard_docs: int = SHARD_DOCS,
+          updates: int = UPDATES) -> np.ndarray:
     """Averaged weights from the documents of at most ``limit`` rows of
     ``labels``."""
     kept = (labels.select(key_of(id_col).alias(KEY), F.col(f"`{label_col}`").cast("int").alias("label"))
@@ -120,6 +121,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .select(F.xxhash64(TEXT).alias(KEY), "label", TEXT)
               .groupBy(KEY, "label").agg(F.max(TEXT).alias(TEXT)))  # copies count once
 
+    shards = max(1, sample.count() // shard_docs)
+
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([KEY, "label"], kind="stable")
         featurize, found, labels = Featurizer(features), [], []
@@ -130,13 +133,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             ends = np.searchsorted(doc, np.arange(len(chunk.keys) + 1))
             found += [(place[a:b], value[a:b]) for a, b in zip(ends, ends[1:])]
             labels += chunk.keys.tolist()
-        w = ftrl(found, np.array(labels, np.float64), features, epochs)
+        w = ftrl(found, np.array(labels, np.float64), features, max(1, -(-updates // len(labels))))
         at = np.flatnonzero(w)
         return pd.DataFrame({"place": at, "weight": w[at]})
 
     parts = (sample.withColumn("_nx_shard", F.pmod(F.col(KEY), F.lit(shards)))
              .groupBy("_nx_shard").applyInPandas(shard, "place long, weight double"))
-    used = sample.select(F.pmod(F.col(KEY), F.lit(shards))).distinct().count()
+    used = max(1, sample.select(F.pmod(F.col(KEY), F.lit(shards))).distinct().count())
     out = np.zeros(features + 1)
     for r in parts.groupBy("place").agg(F.sort_array(F.collect_list("weight")).alias("w")).collect():  # <= FEATURES + 1
         out[r["place"]] = sum(r["w"]) / used
