@@ -15,15 +15,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = "_nx_key"
 TEXT = "_nx_text"
 NULL_KEY = -(1 << 63)
-WORDS_PER_CHUNK = 400_000
-CACHED_WORDS = 300_000
+CHUNK_BYTES = 2_000_000
 
 
 def key_of(column: str) -> Column:
@@ -48,25 +46,6 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-class WordHasher:
-    """64-bit hashes of words; the cache is emptied when it is full, so its
-    memory is bounded whatever the vocabulary."""
-
-    def __init__(self, limit: int = CACHED_WORDS):
-        self.limit, self.known = limit, _Hashes()
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.limit:
-            self.known = _Hashes()
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix)."""
     x = x ^ (x >> np.uint64(30))
@@ -95,39 +74,106 @@ def run_starts(counts: np.ndarray, k: int) -> np.ndarray:
     return (np.arange(len(ends)) + k <= ends)[:max(0, len(ends) - k + 1)]
 
 
-class Chunk:
-    """Some whole documents: keys, word counts, and all words end to end."""
+#: Byte classes: white space that parts words, and A-Z to a-z.
+SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_random = np.random.default_rng(20260101)
+_CODE = _random.integers(1, 1 << 64, 256, np.uint64, endpoint=False) | np.uint64(1)
+_BASE = int(_random.integers(1 << 62, 1 << 63)) * 2 + 1
+_CODE_OF = {True: np.where(SPACE, 0, _CODE[LOWER]).astype(np.uint64),
+            False: np.where(SPACE, 0, _CODE).astype(np.uint64)}
+
+
+def byte_codes(raw: np.ndarray) -> np.ndarray:
+    """The 64-bit code of each byte."""
+    return _CODE[raw]
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)), dtype=np.uint64)
 
-    def __init__(self, keys: list, words: list[bytes], counts: list[int]):
-        self.keys = np.array(keys, np.int64)
-        self.words = words
-        self.counts = np.array(counts, np.int64)
-        self.ends = np.cumsum(self.counts)
-        self.starts = self.ends - self.counts
+
+_POWERS = _powers(255)
+
+
+def hash_runs(codes: np.ndarray, rank: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Polynomial 64-bit hash of each run of ``codes`` (a run ends where the
+    next starts; code 0 is skipped); ``rank`` is the place in its run."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    longest = int(rank.max(initial=0))
+    powers = _POWERS if longest < len(_POWERS) else _powers(longest)
+    codes *= powers[rank]
+    return mix(np.add.reduceat(codes, starts))
+
+
+class Chunk:
+    """Some whole documents and their words.
+
+    ``raw`` holds the texts' bytes end to end and ``bounds`` where each starts
+    and the last ends; ``starts``, ``ends`` and ``hashes`` are the words' places
+    and 64-bit hashes in order, ``counts`` the words per document.
+    """
+
+    def __init__(self, keys: np.ndarray, raw: np.ndarray, bounds: np.ndarray, lower: bool, cut: np.ndarray | None = None):
+        """``cut``: places at which a word starts whatever stands before."""
+        self.keys, self.raw, self.bounds = keys, raw, bounds
+        word = ~SPACE[raw]
+        begin, last = word.copy(), word.copy()
+        begin[1:] &= ~word[:-1]
+        last[:-1] &= ~word[1:]
+        at = bounds[:-1][bounds[:-1] < bounds[1:]]
+        for places in (at, *([cut] if cut is not None else [])):
+            begin[places] = word[places]
+            last[places[places > 0] - 1] |= word[places[places > 0] - 1]
+        self.starts, self.ends = np.flatnonzero(begin), np.flatnonzero(last) + 1
+        if len(self.starts):
+            at = slice(int(self.starts[0]), None)  # a word's run goes on to the next word's start
+            size = np.diff(np.append(self.starts, len(raw)))
+            rank = np.arange(len(raw) - at.start, dtype=np.int32)
+            rank -= np.repeat((self.starts - at.start).astype(np.int32), size)
+            rank *= word[at]
+            self.hashes = hash_runs(_CODE_OF[lower][raw[at]], rank, self.starts - at.start)
+        else:
+            self.hashes = np.zeros(0, np.uint64)
+        self.counts = np.diff(np.searchsorted(self.starts, bounds))
 
     @property
     def doc(self) -> np.ndarray:
+        """The document of each word."""
         return np.repeat(np.arange(len(self.keys)), self.counts)
 
+    @property
+    def first(self) -> np.ndarray:
+        """The first word of each document."""
+        return np.cumsum(self.counts) - self.counts
+
+    def word(self, i: int) -> bytes:
+        return self.raw[self.starts[i]:self.ends[i]].tobytes()
+
 
-def word_chunks(batches: Iterable[pa.RecordBatch], lower: bool,
-                limit: int = WORDS_PER_CHUNK) -> Iterator[Chunk]:
-    """Documents of Arrow batches ``(KEY, TEXT)`` in chunks of about ``limit``
-    words (a longer document is a chunk of its own)."""
-    keys, words, counts = [], [], []
+def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES
+                ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(keys, raw, bounds)`` of Arrow batches ``(KEY, TEXT)`` without nulls,
+    whole documents of about ``limit`` bytes together (a longer one alone)."""
     for batch in batches:
-        texts = batch.column(TEXT).cast(pa.binary())
-        for key, text in zip(batch.column(KEY).to_pylist(), texts):
-            raw = text.as_py() or b""
-            found = (raw.lower() if lower else raw).split()
-            if words and len(words) + len(found) > limit:
-                yield Chunk(keys, words, counts)
-                keys, words, counts = [], [], []
-            keys.append(key)
-            counts.append(len(found))
-            words.extend(found)
-    if keys:
-        yield Chunk(keys, words, counts)
+        keys = batch.column(KEY).to_numpy(zero_copy_only=False).astype(np.int64)
+        texts = batch.column(TEXT).cast(pa.large_binary())
+        if not len(texts):
+            continue
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        a = 0
+        while a < len(keys):
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1)
+            yield keys[a:b], data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+            a = b
+
+
+def word_chunks(batches: Iterable[pa.RecordBatch], lower: bool, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    for keys, raw, bounds in text_chunks(batches, limit):
+        yield Chunk(keys, raw, bounds, lower)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

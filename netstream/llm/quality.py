@@ -22,17 +22,15 @@ scores.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, Chunk, WordHasher, id_of, key_of, keyed_texts, mix, word_chunks
+from netstream.llm.common import KEY, SPACE, TEXT, Chunk, byte_codes, hash_runs, id_of, key_of, keyed_texts, mix, word_chunks
 
 FEATURES = 1 << 18
 TRAIN_DOCS = 8_000
@@ -40,24 +38,30 @@ SHARD_DOCS = 1_000
 UPDATES = 6_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 THRESHOLD = 0.3
-CACHED_SHAPES = 300_000
 KINDS = 4
 SCHEMA = f"{KEY} long, score double"
 
-_SHAPE = (re.compile(rb"[A-Z]+"), re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[0-9]+"))
-
-
-def word_shape(word: bytes) -> bytes:
-    """``Hello!!`` -> ``Aa!!``; ASCII letters by case, other scripts as ``a``."""
-    for pattern, to in zip(_SHAPE, (b"A", b"a", b"0")):
-        word = pattern.sub(to, word)
-    return word[:16]
-
-
-class _Shapes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word_shape(word))
-        return h
+#: Byte classes of shapes: ``A``, ``a`` (other scripts too), ``0``; the rest as they are.
+_CLASS = np.array([65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b > 127 else 48 if 48 <= b <= 57 else b
+                   for b in range(256)], np.uint8)
+_RUN = np.isin(np.arange(256), [65, 97, 48])
+
+
+def shape_hashes(chunk: Chunk) -> np.ndarray:
+    """Hash of each word's shape: ``Hello!!`` -> ``Aa!!``."""
+    if not len(chunk.starts):
+        return np.zeros(0, np.uint64)
+    at = int(chunk.starts[0])
+    raw = _CLASS[chunk.raw[at:]]
+    starts = chunk.starts - at
+    keep = ~SPACE[raw]
+    again = _RUN[raw[1:]] & (raw[1:] == raw[:-1])
+    again[starts[1:] - 1] = False
+    keep[1:] &= ~again
+    place = np.cumsum(keep, dtype=np.int32)
+    rank = place - np.repeat(place[starts], np.diff(np.append(starts, len(raw))))
+    rank *= keep
+    return hash_runs(np.where(keep, byte_codes(raw), np.uint64(0)), rank, starts)
 
 
 class Featurizer:
@@ -65,15 +69,10 @@ class Featurizer:
 
     def __init__(self, features: int = FEATURES):
         self.features = features
-        self.words, self.shapes = WordHasher(), _Shapes()
 
     def __call__(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(document, place, value)``, ordered by document."""
-        if len(self.shapes) > CACHED_SHAPES:
-            self.shapes = _Shapes()
-        word = self.words([w.lower() for w in chunk.words])
-        shape = np.fromiter(map(self.shapes.__getitem__, chunk.words), np.uint64, len(chunk.words))
-        doc = chunk.doc
+        word, shape, doc = chunk.hashes, shape_hashes(chunk), chunk.doc
         pairs = doc[1:] == doc[:-1]
         again = np.append(False, (word[1:] == word[:-1]) & pairs) if len(word) else np.zeros(0, bool)
         shape = mix(shape + again.astype(np.uint64))
@@ -128,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         featurize, found, labels = Featurizer(features), [], []
         batch = pa.RecordBatch.from_arrays([pa.array(pdf["label"], pa.int64()), pa.array(pdf[TEXT], pa.string())],
                                            names=[KEY, TEXT])
-        for chunk in word_chunks([batch], lower=False):
+        for chunk in word_chunks([batch], lower=True):
             doc, place, value = featurize(chunk)
             ends = np.searchsorted(doc, np.arange(len(chunk.keys) + 1))
             found += [(place[a:b], value[a:b]) for a, b in zip(ends, ends[1:])]
@@ -153,7 +152,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     def scored(batches: Iterable[pa.RecordBatch]):
         w = shared.value
         featurize = Featurizer(len(w) - 1)
-        for chunk in word_chunks(batches, lower=False):
+        for chunk in word_chunks(batches, lower=True):
             doc, place, value = featurize(chunk)
             dot = np.bincount(doc, w[place] * value, len(chunk.keys)) + w[-1]
             yield pa.RecordBatch.from_arrays([pa.array(chunk.keys), pa.array(1 / (1 + np.exp(-np.clip(dot, -35, 35))))],
