@@ -56,22 +56,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def run_hashes(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """Hash of ``hashes[i:i+k]`` for each ``i``, order-sensitive."""
+    """Hash of ``hashes[i:i+k]`` for each ``i``, order-sensitive: a polynomial
+    of the (random-looking) hashes, put together from runs of powers of two."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, seed * 0x9E3779B97F4A7C15 + k & 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for j in range(k):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[j:j + n])
-    return out
-
-
-def run_starts(counts: np.ndarray, k: int) -> np.ndarray:
-    """For documents of ``counts`` words laid end to end: whether the run of
-    ``k`` words at each word stays inside its document (for the first
-    ``sum(counts) - k + 1`` words)."""
+    base = int(mix(np.array([seed + 1], np.uint64))[0]) | 1
+    out, done, run, size = None, 0, hashes, 1
+    while True:
+        if k & size:
+            part = run[done:done + n]
+            out = part.copy() if out is None else out + part * np.uint64(pow(base, done, 1 << 64))
+            done += size
+        if done == k:
+            return mix(out)
+        run = run[:-size] + run[size:] * np.uint64(pow(base, size, 1 << 64))
+        size *= 2
+
+
+def whole_runs(counts: np.ndarray, k: int) -> np.ndarray:
+    """For documents of ``counts`` words laid end to end: the words at which a
+    run of ``k`` words of one document starts."""
     ends = np.repeat(np.cumsum(counts), counts)
-    return (np.arange(len(ends)) + k <= ends)[:max(0, len(ends) - k + 1)]
+    return np.flatnonzero(np.arange(len(ends)) + k <= ends)
 
 
 #: Byte classes: white space that parts words, and A-Z to a-z.

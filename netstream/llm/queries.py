@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from netstream.llm import decontaminate, language_id, line_dedup, packing, quality, url_filter
+from netstream.llm import decontaminate, language_id, line_dedup, packing, quality, substring_dedup, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op4_language_id": language_id.query,
+    "op6_substring_dedup": substring_dedup.query,
     "op7_quality": quality.query,
     "op8_decontaminate": decontaminate.query,
     "op9_url_filter": url_filter.query,
@@ -15,4 +16,5 @@ QUERIES = {
 
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
+    "op6_substring_dedup": substring_dedup.SQL,
 }
