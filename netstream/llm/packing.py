@@ -12,8 +12,8 @@ the next unused document of the shard is the seed.
 So every sequence of a shard is full except the last, whose ids are laid out as
 sequences of the powers of two in their number: these need no padding.
 
-A shard is one bounded group in one task (sum of characters / ``shard_chars``
-shards, more as the corpus grows); text is shuffled once and tokenised there.
+A shard is one bounded group in one task (bytes of text / ``shard_bytes`` shards,
+more as the corpus grows); text is shuffled once and tokenised there.
 Words are tokenised apart and remembered, which gives the same ids because the
 tokenizer itself cuts at white space.
 
@@ -29,47 +29,93 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, id_of, keyed_texts
+from netstream.llm.common import KEY, SPACE, TEXT, Chunk, id_of, keyed_texts, text_chunks
 
 SEQ_LEN = 2048
 END_ID = 1
-SHARD_CHARS = 8_000_000
+SHARD_BYTES = 8_000_000
 QUERY_TERMS = 32
 K1, BM25_B = 1.2, 0.75
-CACHED_WORDS = 300_000
+CACHED_WORDS = 2_000_000
 SCHEMA = (f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 _tokenizers: dict = {}
 
 
+_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+_POINT = np.isin(np.arange(256), list(b".,"))
+
+
+def shard_words(keys: np.ndarray, raw: np.ndarray, bounds: np.ndarray) -> Chunk:
+    """The words of a shard; a ``.`` or ``,`` between a letter A-Z and white
+    space is a word of its own (the tokenizer parts there as well), so that
+    words recur more often."""
+    after = np.append(SPACE[raw[1:]], True)
+    after[bounds[1:][bounds[1:] > 0] - 1] = True
+    cut = np.flatnonzero(_POINT[raw] & after)
+    return Chunk(keys, raw, bounds, True, cut[(cut > 0) & _LETTER[raw[np.maximum(cut, 1) - 1]]])
+
+
 class WordTokenizer:
-    """Ids of a text by a tokenizer that cuts at white space: each word is
-    encoded once and remembered (bounded)."""
+    """Ids of texts by a lower-casing tokenizer that cuts at white space and
+    between letters and punctuation: each word is encoded once, and up to
+    ``limit`` words are remembered by their hashes."""
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit, self.known = limit, {}
-
-    def learn(self, words) -> None:
-        """Encode those of ``words`` that are not known."""
-        if len(self.known) > self.limit:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 5000):
-            part = new[i:i + 5000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                                     add_special_tokens=False)
-            for w, e in zip(part, found):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def __call__(self, words: list[bytes], end_id: int) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end_id.to_bytes(4, "little"), "<u4")
+        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        self.mark = special[-1] if special else None
+        self.limit = limit
+        self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has.  Words are
+        encoded twenty at a time with a special token between them, at which
+        the ids are cut again."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        if not self.mark or any(self.mark[1] in t for t in texts):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found])
+        joined = [self.mark[1].join(texts[i:i + 20]) for i in range(0, len(texts), 20)]
+        flat, counts = [], []
+        for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(e.ids, "<u4")
+            cut = ids == self.mark[0]
+            flat.append(ids[~cut])
+            counts.append(np.diff(np.flatnonzero(cut), prepend=-1, append=len(ids)) - 1)
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def __call__(self, words: Chunk, end_id: int) -> list[np.ndarray]:
+        """Ids of each document, the end id last."""
+        hashes, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        new = self.known[np.minimum(at, len(self.known) - 1)] != hashes if len(self.known) else np.ones(len(hashes), bool)
+        texts = [words.word(i).lower() for i in first[new]]
+        parts = [self.encode(texts[i:i + 5_000]) for i in range(0, len(texts), 5_000)]
+        size, ids = np.zeros(len(hashes), np.int64), self.ids
+        begin = np.zeros(len(hashes), np.int64)
+        begin[~new], size[~new] = self.begin[at[~new]], self.size[at[~new]]
+        if parts:
+            size[new] = np.concatenate([n for _, n in parts])
+            begin[new] = len(ids) + np.cumsum(size[new]) - size[new]
+            ids = np.concatenate([ids, *(i for i, _ in parts)])
+        if parts and len(self.known) < self.limit:
+            self.ids = ids
+            self.known, self.begin, self.size = (np.insert(old, at[new], add[new]) for old, add in (
+                (self.known, hashes), (self.begin, begin), (self.size, size)))
+        length = size[place]
+        until = np.append(0, np.cumsum(length))
+        flat = ids[np.repeat(begin[place] - until[:-1], length) + np.arange(until[-1])]
+        cuts = until[np.append(0, np.cumsum(words.counts))]
+        return [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(cuts, cuts[1:])]
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -108,7 +154,8 @@ class Index:
             at = at[np.argsort(self.df[at], kind="stable")[:self.query_terms]]
         if not len(at):
             return at
-        places = np.concatenate([np.arange(self.begin[t], self.begin[t + 1]) for t in at])
+        counts = self.df[at]
+        places = np.repeat(self.begin[at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         score = np.bincount(self.doc[places], self.impact[places], self.n)
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]
@@ -155,24 +202,23 @@ def _split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_chars: int = SHARD_CHARS,
+         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
          query_terms: int = QUERY_TERMS) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.  ``tokenizer_path`` must be readable on each
     executor."""
     texts = keyed_texts(docs, id_col, text_col)
-    chars = texts.agg(F.sum(F.length(TEXT))).first()[0] or 0
-    shards = max(1, -(-chars // shard_chars))
+    size = texts.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
     shard = F.pmod(F.xxhash64(KEY, TEXT), F.lit(shards))
 
     def shard_pieces(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([KEY, TEXT], kind="stable")
         tokenize = _tokenizer(tokenizer_path)
-        words = [t.encode("utf-8", "replace").split() for t in pdf[TEXT]]
-        tokenize.learn({w for ws in words for w in ws})
-        ids = [tokenize(ws, end_id) for ws in words]
         keys = pdf[KEY].to_numpy()
-        rows = [(keys[d], s, n, zlib.crc32(ids[d][s:s + n].tobytes()), len(ids[d]), (int(key[0]) << 32) + q, o)
+        batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pdf[TEXT], pa.string())], names=[KEY, TEXT])
+        ids = [d for part in text_chunks([batch]) for d in tokenize(shard_words(*part), end_id)]
+        rows = [(keys[d], s, n, zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()), len(ids[d]), (int(key[0]) << 32) + q, o)
                 for d, s, n, q, o in pack_shard(ids, seq_len, query_terms)]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
