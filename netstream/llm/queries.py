@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from netstream.llm import (decontaminate, language_id, language_model, line_dedup, near_dedup, packing, quality,
-                           substring_dedup, url_filter)
+from netstream.llm import (decontaminate, fingerprint, language_id, language_model, line_dedup, near_dedup, packing,
+                           quality, substring_dedup, url_filter)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_fingerprint": fingerprint.query,
     "op3_near_dedup": near_dedup.query,
     "op4_language_id": language_id.query,
     "op5_language_model": language_model.query,
