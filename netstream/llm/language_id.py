@@ -40,6 +40,7 @@ LANGUAGES = 64
 SAMPLE_CHARS = 20_000
 SAMPLE_DOCS = 200
 SAMPLE_LONGEST = 8_000
+SALTS = 64
 ALPHABET = 64
 BLOCK = 256
 EVIDENCE_LETTERS = 20
@@ -159,9 +160,11 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     top = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
     hashed = (rows.where(F.col("lang").isin(top) & (F.length("text") <= SAMPLE_LONGEST))
               .withColumn("h", F.xxhash64("text")))
+    salted = Window.partitionBy("lang", F.pmod("h", F.lit(SALTS))).orderBy("h")
     order = Window.partitionBy("lang").orderBy("h")
     picked = (hashed.groupBy("lang", "h").agg(F.max(F.length("text")).alias("size"))  # copies count once
-              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+              .withColumn("n", F.row_number().over(salted)).where(F.col("n") <= SAMPLE_DOCS)
+              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)  # of SALTS times as many
               .withColumn("before", F.sum("size").over(order) - F.col("size"))
               .where(F.col("before") < SAMPLE_CHARS).select("lang", "h", "n"))
     texts = (hashed.join(F.broadcast(picked), ["lang", "h"])  # at most LANGUAGES * SAMPLE_DOCS rows
