@@ -126,7 +126,7 @@ class CrossParser:
         order = np.argsort(-size, kind="stable")
         start, size, doc = start[order], size[order], doc[order]
         state = [np.ones(len(doc), np.int32) for _ in self.tables]
-        total = [np.ones(len(doc), np.int32) for _ in self.tables]  # the last phrase of each block
+        total = [np.zeros(len(doc), np.int32) for _ in self.tables]
         for step in range(int(size[0]) if len(size) else 0):
             n = int(np.searchsorted(-size, -step, side="left"))
             symbol = flat[start[:n] + step]
@@ -134,10 +134,11 @@ class CrossParser:
                 now = table[at[:n] * self.alphabet + symbol]
                 stop = np.flatnonzero(now == 0)
                 again = table[self.alphabet + symbol[stop]]
-                count[stop] += 1 + (again == 0)
+                # the open phrase (none at the start) ends; a symbol that the sample lacks is a phrase
+                count[stop] += (at[stop] != 1).astype(np.int32) + (again == 0)
                 now[stop] = np.maximum(again, 1)
                 at[:n] = now
-        return np.stack([np.bincount(doc, c, len(counts)) for c in total], 1)
+        return np.stack([np.bincount(doc, c + (at != 1), len(counts)) for c, at in zip(total, state)], 1)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and mean phrase length of each text."""
