@@ -60,7 +60,10 @@ class AsWritten:
         return out + ([1] if self.newest else [])
 
     def estimate(self) -> float:
-        return float(self.rest + self.newest) + (2.0 ** self.discarded - 1.0)
+        """``rest + newest + 2^discarded - 1``; infinite past the DOUBLE range
+        (``discarded`` itself stays exact)."""
+        power = 2.0 ** self.discarded if self.discarded < 1024 else float("inf")
+        return float(self.rest + self.newest) + (power - 1.0)
 
     def state(self) -> tuple:
         return (self.t, self.ones, self.rest, self.newest, self.discarded)

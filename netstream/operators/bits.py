@@ -1,26 +1,28 @@
 """Counting ones in a bit stream (B1-B10), batch form.
 
-Streams are keyed; ``seq`` orders the bits of a key.
-
-* Exact counts (running total, last N, last K) are prefix sums: range
-  partitions over ``(key, seq)`` split a hot key over many tasks, and the
-  last-N count is the difference of two prefix sums found by an equi-join on
-  ``(key, position - N)`` - a unique key, so no hot spot.
-* The DGIM sketches are per-key folds (``netstream.functions.dgim``): rows
-  are hash-partitioned by key, sorted by ``(key, seq)`` and folded by
-  ``mapInPandas`` over Arrow batches with O(log N) state per key.
+Streams are keyed; ``seq`` orders the bits of a key; a NULL key is a stream of
+its own.
+
+* Exact counts (running total, last N, last K) start from prefix sums: range
+  partitions over ``(key, seq)`` split a hot key over many tasks.  The counts of
+  the last N are windows over blocks of ``BLOCK_ROWS`` positions, each with a
+  halo of the N - 1 rows before it - one shuffle, no key in one task.
+* The as-written DGIM needs only a bounded head per stream and prefix sums.
+* The published DGIM folds each stream in order, but a stream is cut wherever
+  its last N bits hold no one: no bucket is left there.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.functions.dgim import QUERY_K, WINDOW_N, AsWritten, Published
+from netstream.functions.dgim import QUERY_K, WINDOW_N, Published
 from netstream.operators.indexing import keyed_prefix_sum
 from netstream.session import cut_lineage, shuffle_partitions
 
+BLOCK_ROWS = 100_000  # positions of one stream that go to one task
 P_ONE = 0.3  # fixed value: probability of a 1 in the reference's bit producer
 
 
@@ -38,39 +40,56 @@ def parse_bits(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def random_bits(rows: DataFrame, seq: str, p: float = P_ONE, seed: int = 42) -> DataFrame:
-    """One pseudo-random bit per row with ``P(1) = p``: a hash of
-    ``(seq, seed)`` as the uniform, so the bit does not depend on
-    partitioning or retries (``rand()`` does)."""
-    u = F.pmod(F.xxhash64(F.col(seq), F.lit(seed)), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    return rows.withColumn("bit", (u < F.lit(p)).cast("int"))
+    """One pseudo-random bit per row with ``P(1) = p``: the first 32 bits of
+    the MD5 of ``seed:seq`` as the uniform, so the bit depends on neither
+    partitioning nor retries (``rand()`` does), and any engine can repeat it."""
+    return rows.withColumn("bit", (hash_uniform(F.col(seq), seed) < F.lit(p)).cast("int"))
+
+
+def hash_uniform(value, seed: int):
+    """A uniform number in [0, 1) from an MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), value.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long").cast("double") / float(1 << 32)
 
 
 # ---------------------------------------------------------------------------
 # B6 / B7 / B8 / B9
 # ---------------------------------------------------------------------------
 
+def stream_positions(bits: DataFrame, key: str = "key", seq: str = "seq", bit: str = "bit") -> DataFrame:
+    """``(key, seq, bit, pos, ones_running)``: 1-based position in the stream
+    and ones since its start, written once."""
+    base = bits.select(F.col(key).cast("long").alias("key"), F.col(seq).cast("long").alias("seq"),
+                       F.when(F.col(bit) == 1, 1).otherwise(0).cast("long").alias("bit"),
+                       F.lit(1).cast("long").alias("one"))
+    cum = keyed_prefix_sum(base, "key", "seq", ["bit", "one"])
+    return cut_lineage(cum.select("key", "seq", "bit", F.col("one_cum").alias("pos"),
+                                  F.col("bit_cum").alias("ones_running")), name="positions")
+
+
+def with_window_counts(cum: DataFrame, windows: dict[str, int], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``cum`` with the ones among the last ``w`` bits for each ``name -> w``:
+    sums over the rows of a block of positions and its halo, the rows before
+    it that its windows reach into."""
+    if not windows:
+        return cum
+    halo = max(windows.values()) - 1
+    block = F.floor((F.col("pos") - 1) / block_rows).cast("long")
+    until = F.floor((F.col("pos") - 1 + halo) / block_rows).cast("long")
+    rows = cum.withColumn("_own", block).withColumn("_block", F.explode(F.sequence(block, until)))
+    place = Window.partitionBy("key", "_block").orderBy("pos")
+    for name, w in windows.items():
+        rows = rows.withColumn(name, F.sum("bit").over(place.rowsBetween(1 - w, 0)))
+    return rows.where("_block = _own").drop("_own", "_block")
+
+
 def ones_counts(bits: DataFrame, key: str = "key", seq: str = "seq", bit: str = "bit",
-                windows: dict[str, int] | None = None) -> DataFrame:
+                windows: dict[str, int] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per bit: ``pos`` (1-based position in its stream), ``ones_running``
     (ones since the start) and, for each ``name -> w`` in ``windows``, the
     ones among the last ``w`` bits."""
     windows = windows if windows is not None else {"ones_last_n": WINDOW_N}
-    base = bits.select(F.col(key).alias("key"), F.col(seq).alias("seq"),
-                       F.col(bit).cast("long").alias("bit"), F.lit(1).cast("long").alias("one"))
-    cum = keyed_prefix_sum(base, "key", "seq", ["bit", "one"])
-    cum = cum.select("key", "seq", "bit", F.col("one_cum").alias("pos"),
-                     F.col("bit_cum").alias("ones_running"))
-    if windows:
-        # read twice (rows and their N-back partners): write once
-        cum = cut_lineage(cum, name="prefix")
-    out = cum
-    for name, w in windows.items():
-        back = cum.select("key", (F.col("pos") + w).alias("pos"),
-                          F.col("ones_running").alias(f"_prev_{name}"))
-        out = (out.join(back, ["key", "pos"], "left")
-                  .withColumn(name, F.col("ones_running") - F.coalesce(F.col(f"_prev_{name}"), F.lit(0)))
-                  .drop(f"_prev_{name}"))
-    return out
+    return with_window_counts(stream_positions(bits, key, seq, bit), windows, block_rows)
 
 
 def relative_error(truth, estimate):
@@ -82,70 +101,64 @@ def relative_error(truth, estimate):
 # DGIM
 # ---------------------------------------------------------------------------
 
-_AS_WRITTEN_SCHEMA = ("key LONG, seq LONG, real_count LONG, n_buckets LONG, bucket_sum LONG, "
-                      "discarded LONG, estimate DOUBLE")
-_PUBLISHED_SCHEMA = "key LONG, seq LONG, n_buckets LONG, bucket_sum LONG, estimate LONG"
-
-
-def _fold_partition(mode: str, n: int):
+def _fold_published(n: int):
+    """Folds rows sorted by ``(key, segment, seq)``; the other columns pass."""
     def fold(batches):
-        cur_key, st = None, None
+        current, st = (), None
         for pdf in batches:
-            keys = pdf["key"].to_numpy()
-            seqs = pdf["seq"].to_numpy()
-            bits = pdf["bit"].to_numpy()
-            rows = []
-            for k, s, b in zip(keys.tolist(), seqs.tolist(), bits.tolist()):
-                if k != cur_key:
-                    cur_key = k
-                    st = AsWritten(n) if mode == "as_written" else Published(n)
+            keys = list(zip(pdf["_null"].tolist(), pdf["key"].tolist(), pdf["_segment"].tolist()))
+            pos = pdf["pos"].tolist()
+            n_buckets, total, estimate = [], [], []
+            for at, (k, b) in enumerate(zip(keys, pdf["bit"].tolist())):
+                if k != current:
+                    current, st = k, Published(n, t=pos[at] - 1)
                 st.step(int(b))
-                if mode == "as_written":
-                    bsum = st.rest + st.newest
-                    nb = bin(st.rest).count("1") + st.newest
-                    rows.append((k, s, st.ones, nb, bsum, st.discarded, st.estimate()))
-                else:
-                    rows.append((k, s, len(st.sizes), sum(st.sizes), st.estimate()))
-            cols = (["key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate"]
-                    if mode == "as_written" else ["key", "seq", "n_buckets", "bucket_sum", "estimate"])
-            yield pd.DataFrame.from_records(rows, columns=cols)
+                n_buckets.append(len(st.sizes))
+                total.append(sum(st.sizes))
+                estimate.append(st.estimate())
+            yield pdf.drop(columns=["_null", "_segment"]).assign(n_buckets=n_buckets, bucket_sum=total, estimate=estimate)
     return fold
 
 
-MAX_FOLD_ROWS = 1_000_000  # longest stream folded in one task before as-written is split
+def published(cum: DataFrame, n: int = WINDOW_N, partitions: int | None = None) -> DataFrame:
+    """Published DGIM after every bit, added to the columns of ``cum`` (with
+    ``key, seq, bit, pos``).
+
+    A stream is cut after each bit whose last ``n`` bits hold no one: the
+    bucket list is empty there, so the segments are folded apart, and a hot
+    stream is spread unless it has ones everywhere."""
+    spark = cum.sparkSession
+    counted = with_window_counts(cum, {"_last": n}).withColumn("_empty", (F.col("_last") == 0).cast("long"))
+    summed = keyed_prefix_sum(counted, "key", "seq", ["_empty"])
+    rows = (summed.withColumn("_segment", F.col("_empty_cum") - F.col("_empty"))
+            .withColumn("_null", F.col("key").isNull()).withColumn("key", F.coalesce("key", F.lit(0).cast("long"))))
+    extra = [c for c in cum.columns if c != "key"]
+    rows = rows.select("_null", "key", "_segment", *extra)
+    parts = partitions or shuffle_partitions(spark)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema
+                       if f.name not in ("_null", "_segment", "key"))
+    folded = (rows.repartition(parts, "_null", "key", "_segment")
+              .sortWithinPartitions("_null", "key", "_segment", "seq")
+              .withColumn("_key", F.when(~F.col("_null"), F.col("key")))
+              .mapInPandas(_fold_published(n), f"key long, {schema}, _key long, n_buckets long, bucket_sum long, estimate long"))
+    return folded.withColumn("key", F.col("_key")).drop("_key")
 
 
 def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str = "key",
-         seq: str = "seq", bit: str = "bit", partitions: int | None = None,
-         split: bool | str = "auto", max_fold_rows: int = MAX_FOLD_ROWS) -> DataFrame:
+         seq: str = "seq", bit: str = "bit", partitions: int | None = None) -> DataFrame:
     """DGIM state after every bit of every stream.
 
-    ``published`` is a sequential fold per stream (its buckets depend on the
-    whole history).  ``as_written`` can be split (``_dgim_as_written_split``:
-    bounded head fold + prefix sums); ``split='auto'`` measures the longest
-    stream with one grouped count and splits only when it exceeds
-    ``max_fold_rows`` - below that the plain fold is one bounded task per
-    stream and much cheaper.
-
     ``as_written``: ``(key, seq, real_count, n_buckets, bucket_sum,
-    discarded, estimate DOUBLE)`` - ``estimate = bucket_sum + 2^discarded - 1``
-    (DOUBLE: it passes 2^63 after 63 drops).
+    discarded, estimate DOUBLE)`` - ``estimate = bucket_sum + 2^discarded - 1``,
+    infinite past the DOUBLE range (``discarded`` is exact).
     ``published``: ``(key, seq, n_buckets, bucket_sum, estimate)``.
     """
     if mode not in ("as_written", "published"):
         raise ValueError("mode must be 'as_written' or 'published'")
-    if mode == "as_written" and split == "auto":
-        longest = bits.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        split = longest > max_fold_rows
-    if mode == "as_written" and split:
-        return _dgim_as_written_split(bits, n, key, seq, bit)
-    parts = partitions or shuffle_partitions(bits.sparkSession)
-    src = (bits.select(F.col(key).cast("long").alias("key"), F.col(seq).cast("long").alias("seq"),
-                       F.col(bit).cast("int").alias("bit"))
-               .repartition(parts, "key")
-               .sortWithinPartitions("key", "seq"))
-    schema = _AS_WRITTEN_SCHEMA if mode == "as_written" else _PUBLISHED_SCHEMA
-    return src.mapInPandas(_fold_partition(mode, n), schema)
+    cum = stream_positions(bits, key, seq, bit)
+    if mode == "as_written":
+        return as_written(cum, n).select("key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate")
+    return published(cum, n, partitions).select("key", "seq", "n_buckets", "bucket_sum", "estimate")
 
 
 def as_written_head_length(n: int) -> int:
@@ -161,66 +174,62 @@ def as_written_head_length(n: int) -> int:
     return n + int(n).bit_length() + 1
 
 
-def _dgim_as_written_split(bits: DataFrame, n: int, key: str, seq: str, bit: str) -> DataFrame:
-    """As-written DGIM with bounded sequential work per stream.
-
-    * head: the first ``T0 = as_written_head_length(n)`` bits of each stream
-      are folded by ``mapInPandas`` over partitions sorted by (key, seq) -
-      at most T0 rows per key;
+def _head_step(n: int):
+    """One bit of the as-written rule on ``(t, rest, newest, discarded)``."""
+    def step(state, bit):
+        one = bit == 1
+        t = state["t"] + 1
+        rest = state["rest"] + F.when(one & (state["newest"] == 1), 1).otherwise(0)
+        newest = F.when(one, 1).otherwise(state["newest"])
+        full = (t >= n) & ((rest > 0) | (newest == 1))
+        top = F.when(rest > 0, F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(rest, F.lit(1)).cast("double") + 0.5))))
+        return F.struct(
+            t.cast("long").alias("t"),
+            (rest - F.when(full & (rest > 0), top).otherwise(0).cast("long")).cast("long").alias("rest"),
+            F.when(full & (rest == 0), 0).otherwise(newest).cast("long").alias("newest"),
+            (state["discarded"] + F.when(full, 1).otherwise(0)).cast("long").alias("discarded"))
+    return step
+
+
+def as_written(cum: DataFrame, n: int = WINDOW_N) -> DataFrame:
+    """As-written DGIM after every bit, added to the columns of ``cum``
+    (``key, seq, bit, pos, ones_running``), with bounded sequential work.
+
+    * head: the first ``T0 = as_written_head_length(n)`` bits of a stream are
+      one array per key, folded by array functions;
     * tail: afterwards ``rest = 0`` and, from the state at T0,
       ``discarded = d0 + ones_after + [newest0 = 1 and a 0 was seen]`` and
-      ``newest = [newest0 = 1 and no 0 was seen]`` - prefix sums only, split
-      over range partitions like the exact counts, so a stream holding a
-      third of all bits is not one task.
+      ``newest = [newest0 = 1 and no 0 was seen]`` - no fold at all, so a stream
+      holding a third of all bits is split like the exact counts.
     """
     t0 = as_written_head_length(n)
-    base = bits.select(F.col(key).cast("long").alias("key"), F.col(seq).cast("long").alias("seq"),
-                       F.when(F.col(bit) == 1, 1).otherwise(0).cast("long").alias("bit"),
-                       F.lit(1).cast("long").alias("one"))
-    cum = keyed_prefix_sum(base, "key", "seq", ["bit", "one"])
-    cum = cut_lineage(cum.select("key", "seq", "bit", F.col("one_cum").alias("pos"),
-                                 F.col("bit_cum").alias("ones_running")), name="dgim-prefix")
-
-    def head_fold(batches):
-        # rows arrive sorted by (key, seq); at most t0 rows per key
-        cur, st = None, None
-        for pdf in batches:
-            out = []
-            for k, q, b in zip(pdf["key"].tolist(), pdf["seq"].tolist(), pdf["bit"].tolist()):
-                if k != cur:
-                    cur, st = k, AsWritten(n)
-                st.step(int(b))
-                out.append((k, q, st.ones, bin(st.rest).count("1") + st.newest,
-                            st.rest + st.newest, st.discarded, st.estimate(), st.t, st.rest,
-                            st.newest))
-            yield pd.DataFrame.from_records(out, columns=[
-                "key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate",
-                "pos", "rest", "newest"])
-
-    parts = shuffle_partitions(bits.sparkSession)
-    head = (cum.where(F.col("pos") <= t0).select("key", "seq", "bit")
-               .repartition(parts, "key").sortWithinPartitions("key", "seq")
-               .mapInPandas(head_fold, _AS_WRITTEN_SCHEMA + ", pos LONG, rest LONG, newest LONG"))
-    head = cut_lineage(head, name="dgim-head")
-    start = head.where(F.col("pos") == t0).select(
-        "key",
-        F.when(F.col("rest") != 0, F.raise_error(F.lit("as-written DGIM: rest not drained")))
-         .otherwise(F.col("newest")).alias("newest0"),
-        F.col("discarded").alias("d0"), F.col("real_count").alias("ones0"))
-    tail = cum.where(F.col("pos") > t0).join(start, "key")
+    first = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("t", "rest", "newest", "discarded")])
+    heads = (cum.where(F.col("pos") <= t0).groupBy("key")
+             .agg(F.sort_array(F.collect_list(F.struct("pos", "bit", "ones_running"))).alias("h")))
+    states = F.transform(F.sequence(F.lit(1), F.size("h")), lambda i: F.aggregate(
+        F.transform(F.slice("h", 1, i), lambda x: x["bit"]), first, _head_step(n)))
+    heads = cut_lineage(heads.select(F.col("key").alias("_key"), states.alias("states"),
+                                     F.element_at("h", -1)["ones_running"].alias("ones0")), name="dgim-heads")
+    rows = cum.join(heads, F.col("key").eqNullSafe(F.col("_key")))
+    last = F.element_at("states", -1)
     ones_after = F.col("ones_running") - F.col("ones0")
-    zeros_after = (F.col("pos") - t0) - ones_after
-    newest = F.when((F.col("newest0") == 1) & (zeros_after == 0), 1).otherwise(0).cast("long")
-    discarded = (F.col("d0") + ones_after
-                 + F.when((F.col("newest0") == 1) & (zeros_after > 0), 1).otherwise(0)).cast("long")
-    tail = tail.select("key", "seq", F.col("ones_running").alias("real_count"),
-                       newest.alias("n_buckets"), newest.alias("bucket_sum"),
-                       discarded.alias("discarded"),
-                       (newest.cast("double") + (F.pow(F.lit(2.0), discarded.cast("double")) - 1.0))
-                       .alias("estimate"))
-    return head.select("key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded",
-                       "estimate").unionByName(tail)
+    zeros_after = F.col("pos") - t0 - ones_after
+    in_head = F.col("pos") <= t0
+    here = F.get("states", (F.col("pos") - 1).cast("int"))
+    rest = F.when(in_head, here["rest"]).when(
+        last["rest"] != 0, F.raise_error(F.lit("as-written DGIM: rest not drained")).cast("long")).otherwise(0)
+    newest = F.when(in_head, here["newest"]).when((last["newest"] == 1) & (zeros_after == 0), 1).otherwise(0)
+    discarded = F.when(in_head, here["discarded"]).otherwise(
+        last["discarded"] + ones_after + F.when((last["newest"] == 1) & (zeros_after > 0), 1).otherwise(0))
+    rows = rows.select(*cum.columns, rest.cast("long").alias("_rest"), newest.cast("long").alias("_newest"),
+                       discarded.cast("long").alias("discarded"))
+    total = F.col("_rest") + F.col("_newest")
+    return (rows.withColumn("real_count", F.col("ones_running"))
+            .withColumn("n_buckets", (F.bit_count("_rest") + F.col("_newest")).cast("long"))
+            .withColumn("bucket_sum", total)
+            .withColumn("estimate", total.cast("double") + (F.pow(F.lit(2.0), F.col("discarded").cast("double")) - 1.0))
+            .drop("_rest", "_newest"))
 
 
 __all__ = ["parse_bits", "random_bits", "ones_counts", "relative_error", "dgim",
-           "WINDOW_N", "QUERY_K", "P_ONE"]
+           "stream_positions", "as_written", "published", "WINDOW_N", "QUERY_K", "P_ONE"]

@@ -39,7 +39,7 @@ def kmeans_clusters(vectors: DataFrame, k: int, seed: int = 7, n_columns: int |
     n_columns = n_columns or k
     feats = vectors.select(
         "id", array_to_vector(F.slice(F.col(features), 1, n_columns)).alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, initSteps=5, featuresCol="features",
                    predictionCol="cluster").fit(feats)
     return model.transform(feats).select("id", F.col("cluster").cast("int").alias("cluster"))
 
@@ -53,6 +53,13 @@ def degree_scaled(vectors: DataFrame, edges: DataFrame, features: str = "feature
                    .select("id", F.transform(F.col(features), lambda x: x / F.col("sd")).alias(features)))
 
 
+def labelled_by_least_member(labels: DataFrame) -> DataFrame:
+    """``(id, cluster)`` with each cluster named by its least id, so that equal
+    partitions have equal labels whatever numbers the model gave."""
+    least = labels.groupBy("cluster").agg(F.min("id").alias("least"))
+    return labels.join(F.broadcast(least), "cluster").select("id", F.col("least").alias("cluster"))  # k rows
+
+
 def cluster_sizes(labels: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Nodes per label: ``(cluster, n_nodes)`` (partial aggregation first)."""
     return labels.groupBy(F.col(cluster).alias("cluster")).agg(

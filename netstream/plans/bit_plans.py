@@ -35,13 +35,9 @@ def q_bit_parse(spark, sf_dir):
     return B.parse_bits(lines).select("user_id", "event_id", "bit", "valid")
 
 
-def _counts(spark, sf_dir):
-    return B.ones_counts(_bits(spark, sf_dir),
-                         windows={"ones_last_n": WINDOW_N, "ones_last_k": QUERY_K})
-
-
 def q_ones_running(spark, sf_dir):
-    return _named(_counts(spark, sf_dir)).select("user_id", "event_id", "pos", "ones_running")
+    counts = B.ones_counts(_bits(spark, sf_dir), windows={})
+    return _named(counts).select("user_id", "event_id", "pos", "ones_running")
 
 
 def q_ones_last_n(spark, sf_dir):
@@ -63,14 +59,13 @@ def q_dgim_published(spark, sf_dir):
 
 
 def q_dgim_error(spark, sf_dir):
-    bits = _bits(spark, sf_dir)
-    aw = B.dgim(bits, mode="as_written").select(
-        "key", "seq", "real_count", F.col("estimate").alias("est_as_written"))
-    pub = B.dgim(bits, mode="published").select(
-        "key", "seq", F.col("estimate").alias("est_published"))
-    exact = B.ones_counts(bits, windows={"ones_last_n": WINDOW_N}).select("key", "seq", "ones_last_n")
-    j = aw.join(pub, ["key", "seq"]).join(exact, ["key", "seq"])
-    return _named(j).select(
+    """Both estimates and their errors: the published fold carries the columns
+    of the as-written rule and the exact counts along, nothing is joined back."""
+    cum = B.with_window_counts(B.stream_positions(_bits(spark, sf_dir)), {"ones_last_n": WINDOW_N})
+    written = B.as_written(cum).select(
+        "key", "seq", "bit", "pos", "real_count", "ones_last_n", F.col("estimate").alias("est_as_written"))
+    both = B.published(written).withColumnRenamed("estimate", "est_published")
+    return _named(both).select(
         "user_id", "event_id", "real_count", "est_as_written",
         F.round(B.relative_error(F.col("real_count"), F.col("est_as_written")), 6)
          .alias("rel_error_as_written"),
@@ -128,9 +123,11 @@ def _published_cte(n: int) -> str:
     WHERE f.lvl > 0 OR b.t IS NOT NULL) s)"""
 
 
-_AW_OUT = """SELECT key AS user_id, seq AS event_id, ones AS real_count,
+_POW = "CASE WHEN discarded > 1023 THEN CAST('Infinity' AS DOUBLE) ELSE pow(2, discarded) END"
+
+_AW_OUT = f"""SELECT key AS user_id, seq AS event_id, ones AS real_count,
        CAST(bit_count(rest) + newest AS BIGINT) AS n_buckets, rest + newest AS bucket_sum,
-       discarded, rest + newest + (pow(2, discarded) - 1) AS estimate
+       discarded, rest + newest + ({_POW} - 1) AS estimate
 FROM aw WHERE t > 0"""
 
 _PB_OUT = """SELECT key AS user_id, seq AS event_id, len(bk) AS n_buckets,
@@ -152,6 +149,9 @@ WINDOW w AS (PARTITION BY user_id ORDER BY event_id
                                                                      k1=QUERY_K - 1)
 
 SQL = {
+    "random_bits": f"""
+SELECT event_id, CAST((CAST(('0x' || substr(md5('42:' || event_id), 1, 8)) AS BIGINT) / 4294967296.0) < {B.P_ONE}
+            AS INTEGER) AS bit FROM events""",
     "bit_parse": """
 SELECT user_id, event_id,
        CASE WHEN TRY_CAST(trim(v) AS INTEGER) = 1 THEN 1 ELSE 0 END AS bit,

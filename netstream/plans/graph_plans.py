@@ -2,6 +2,8 @@
 
 Inputs (all whole tables):
 * purchase graph - bipartite order-part edges from ``lineitem``;
+* part chain graph - parts on neighbouring rows of an order (not bipartite);
+* nation stars - customer -> nation, whose spectrum is known;
 * ``embeddings.label`` - a given labelling for the cluster tables;
 * ``customer.c_acctbal`` per nation - value lists for the eigengap rules.
 """
@@ -16,18 +18,27 @@ from netstream.operators import graph as G
 from netstream.operators import spectrum as S
 from netstream.session import scratch_dir
 from netstream.sources import graph_files as GF
-from netstream.sources.tables import purchase_edges, read_table
+from netstream.sources.tables import (nation_star_edges, part_chain_edges, purchase_edges, purchase_node_names,
+                                      read_table)
 
-K_CLUSTERS = 20      # clusters and eigenpairs, as in the reference's script
-PIC_STEPS = 10       # power iteration steps, as in the reference
-SOLVER_PASSES = 20   # subspace-iteration budget of the registered spectral queries
-SOLVER_TOL = 1e-6    # stop when the k Ritz values move less than this
+K_CLUSTERS = 20      # fixed value: clusters and eigenpairs of the reference's script
+PIC_STEPS = 10       # fixed value: power iteration steps of the reference
+N_STARS = 25         # the nations: the multiplicity of the eigenvalues 0 and 2
+SOLVER_TOL = 1e-6    # residual at which the solver may stop
 
 
 def purchase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.canonical_edges(purchase_edges(read_table(spark, sf_dir, "lineitem")))
 
 
+def star_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.canonical_edges(nation_star_edges(read_table(spark, sf_dir, "customer")))
+
+
+def chain_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.canonical_edges(part_chain_edges(read_table(spark, sf_dir, "lineitem")))
+
+
 def q_edge_canonical(spark, sf_dir):
     return purchase_graph(spark, sf_dir)
 
@@ -65,13 +76,47 @@ def q_normalized_laplacian(spark, sf_dir):
 
 
 def q_pic_vector(spark, sf_dir):
-    v = S.power_iteration_vector(purchase_graph(spark, sf_dir), iterations=PIC_STEPS)
+    v = S.power_iteration_vector(chain_graph(spark, sf_dir), iterations=PIC_STEPS)
     n = v.agg(F.count(F.lit(1))).scalar()
     return v.select("id", F.round(F.col("v") * n, 6).alias("v_scaled"))
 
 
 def q_pic_clusters(spark, sf_dir):
-    return C.pic_clusters(purchase_graph(spark, sf_dir), k=K_CLUSTERS, max_iter=PIC_STEPS)
+    return C.pic_clusters(chain_graph(spark, sf_dir), k=K_CLUSTERS, max_iter=PIC_STEPS)
+
+
+def q_edges_from_table(spark, sf_dir):
+    """S3: two columns of a table as an edge list."""
+    return G.canonical_edges(GF.edges_from_table(read_table(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey"))
+
+
+def q_weighted_edges(spark, sf_dir):
+    """Canonical edges with a constant weight."""
+    return G.weighted_edges(purchase_graph(spark, sf_dir))
+
+
+def q_named_node_index(spark, sf_dir):
+    """A graph whose file has text ids (``o7 p12``): read as text, every
+    distinct name numbered."""
+    path = scratch_dir(spark, "named")
+    raw = purchase_edges(read_table(spark, sf_dir, "lineitem"))
+    named = purchase_node_names(purchase_node_names(raw, "src").withColumnRenamed("name", "a"), "dst")
+    GF.write_edge_list(named.select(F.col("a").alias("src"), F.col("name").alias("dst")), path)
+    _, nodes = G.index_named_edges(GF.read_edge_list(spark, path, numeric=False))
+    return nodes.select("name", F.col("id").alias("idx"))
+
+
+def q_edge_rejects(spark, sf_dir):
+    """Lines of an edge file by how they were read: here the orders' status
+    stands where an id is expected in the lines of open orders."""
+    path = scratch_dir(spark, "rejects")
+    o = read_table(spark, sf_dir, "orders")
+    lines = o.select(F.when(F.col("o_orderstatus") == "O", F.concat_ws(" ", F.col("o_orderkey").cast("string"),
+                                                                      "o_orderstatus"))
+                     .otherwise(F.concat_ws(" ", F.col("o_orderkey").cast("string"),
+                                            F.col("o_custkey").cast("string"))).alias("value"))
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
+    return GF.edge_line_counts(spark, path)
 
 
 def _given_labels(spark, sf_dir):
@@ -101,33 +146,48 @@ def q_eigengap_first_peak(spark, sf_dir):
     return S.eigengap_first_peak(_acctbal_lists(spark, sf_dir), group=["c_nationkey"])
 
 
+def _rounded(spectrum):
+    return spectrum.select("pos", (F.round("eigenvalue", 4) + 0.0).alias("eigenvalue"))
+
+
 def q_spectrum_smallest(spark, sf_dir):
-    spec, _, _ = S.eigenpairs(purchase_graph(spark, sf_dir), K_CLUSTERS, which="smallest",
-                              max_iter=SOLVER_PASSES, tol=SOLVER_TOL)
-    return spec
+    return _rounded(S.eigenpairs(star_graph(spark, sf_dir), N_STARS, which="smallest", tol=SOLVER_TOL)[0])
 
 
 def q_spectrum_largest(spark, sf_dir):
-    spec, _, _ = S.eigenpairs(purchase_graph(spark, sf_dir), K_CLUSTERS, which="largest",
-                              max_iter=SOLVER_PASSES, tol=SOLVER_TOL)
-    return spec
+    return _rounded(S.eigenpairs(star_graph(spark, sf_dir), N_STARS, which="largest", tol=SOLVER_TOL)[0])
 
 
 def q_spectral_kmeans(spark, sf_dir):
     """As written: the eigenpairs an unshifted solver returns (the largest),
-    sorted ascending, and k-means on their first k vectors."""
-    edges = purchase_graph(spark, sf_dir)
-    _, vec, _ = S.eigenpairs(edges, K_CLUSTERS, which="largest", max_iter=SOLVER_PASSES,
-                             tol=SOLVER_TOL)
-    return C.kmeans_clusters(vec, K_CLUSTERS, seed=7)
+    sorted ascending, and k-means on their vectors.  On stars these tell each
+    hub and each hub's leaves apart."""
+    _, vec, _ = S.eigenpairs(star_graph(spark, sf_dir), N_STARS, which="largest", tol=SOLVER_TOL)
+    return C.labelled_by_least_member(C.kmeans_clusters(vec, 2 * N_STARS, seed=7, n_columns=N_STARS))
 
 
 def q_spectral_embedding_clusters(spark, sf_dir):
     """Spectral-embedding form: rows scaled by 1/sqrt(degree) before k-means."""
+    edges = star_graph(spark, sf_dir)
+    _, vec, _ = S.eigenpairs(edges, N_STARS, which="smallest", tol=SOLVER_TOL)
+    return C.labelled_by_least_member(C.kmeans_clusters(C.degree_scaled(vec, edges), N_STARS, seed=7))
+
+
+def q_gap_clusters(spark, sf_dir):
+    """The whole chain: spectrum, k from its eigengap, clusters with that k."""
+    edges = star_graph(spark, sf_dir)
+    spec, vec, _ = S.eigenpairs(edges, N_STARS + 5, which="smallest", tol=SOLVER_TOL)
+    k = S.eigengap_k(spec, decimals=4).first()["k"]
+    found = C.labelled_by_least_member(C.kmeans_clusters(C.degree_scaled(vec, edges), k, seed=7, n_columns=k))
+    return found.select("id", "cluster", F.lit(k).cast("int").alias("k"))
+
+
+def q_spectrum_residuals(spark, sf_dir):
+    """The two smallest eigenpairs of the purchase graph, checked against its
+    edges: whether ``|L x - l x|`` is within ten times the tolerance."""
     edges = purchase_graph(spark, sf_dir)
-    _, vec, _ = S.eigenpairs(edges, K_CLUSTERS, which="smallest", max_iter=SOLVER_PASSES,
-                             tol=SOLVER_TOL)
-    return C.kmeans_clusters(C.degree_scaled(vec, edges), K_CLUSTERS, seed=7)
+    spec, vec, _ = S.eigenpairs(edges, 2, which="smallest", tol=SOLVER_TOL, oversample=14)
+    return S.residuals(edges, spec, vec).select("pos", (F.col("residual") <= 10 * SOLVER_TOL).alias("converged"))
 
 
 # ---------------------------------------------------------------------------
@@ -145,8 +205,22 @@ ends AS (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges WHERE src <
 deg AS (SELECT id, CAST(count(*) AS DOUBLE) AS degree FROM ends GROUP BY id)"""
 
 
+_CHAIN = """
+placed AS (
+  SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS pos
+  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
+edges AS (
+  SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS src, greatest(a.l_partkey, b.l_partkey) AS dst
+  FROM placed a JOIN placed b ON a.l_orderkey = b.l_orderkey AND b.pos = a.pos + 1)"""
+
+_STARS = """
+stars AS (SELECT DISTINCT c_custkey * 2 AS leaf, c_nationkey * 2 + 1 AS hub FROM customer
+          WHERE c_custkey IS NOT NULL AND c_nationkey IS NOT NULL),
+least AS (SELECT hub, least(hub, min(leaf)) AS whole, min(leaf) AS leaves FROM stars GROUP BY hub)"""
+
+
 def _pic_sql(steps: int) -> str:
-    parts = [_EDGES,
+    parts = [_CHAIN,
              "a AS (SELECT src AS i, dst AS j FROM edges WHERE src <> dst "
              "UNION ALL SELECT dst, src FROM edges WHERE src <> dst)",
              "u0 AS (SELECT i AS id, CAST(count(*) AS DOUBLE) AS u FROM a GROUP BY i)"]
@@ -191,6 +265,27 @@ UNION ALL SELECT deg.id AS i, deg.id AS j,
                  round(1.0 - coalesce(loops.a, 0.0) / deg.degree, 6) AS v
           FROM deg LEFT JOIN loops ON loops.id = deg.id""",
     "pic_vector": _pic_sql(PIC_STEPS),
+    "edges_from_table": """SELECT DISTINCT least(l_suppkey, l_partkey) AS src, greatest(l_suppkey, l_partkey) AS dst
+FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL""",
+    "weighted_edges": f"WITH {_EDGES.strip()} SELECT src, dst, CAST(1.0 AS DOUBLE) AS weight FROM edges",
+    "named_node_index": """WITH nodes AS (SELECT 'o' || l_orderkey AS name FROM lineitem WHERE l_orderkey IS NOT NULL
+  AND l_partkey IS NOT NULL UNION SELECT 'p' || l_partkey FROM lineitem WHERE l_orderkey IS NOT NULL
+  AND l_partkey IS NOT NULL)
+SELECT name, CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS idx FROM nodes""",
+    "edge_rejects": """SELECT CASE WHEN o_orderstatus = 'O' THEN 'rejected' ELSE 'edge' END AS kind, count(*) AS n
+FROM orders GROUP BY 1""",
+    "spectrum_smallest": f"SELECT CAST(range AS INTEGER) AS pos, CAST(0 AS DOUBLE) AS eigenvalue FROM range({N_STARS})",
+    "spectrum_largest": f"SELECT CAST(range AS INTEGER) AS pos, CAST(2 AS DOUBLE) AS eigenvalue FROM range({N_STARS})",
+    "spectral_embedding_clusters": f"""WITH {_STARS.strip()}
+SELECT leaf AS id, whole AS cluster FROM stars JOIN least USING (hub)
+UNION ALL SELECT hub AS id, whole AS cluster FROM least""",
+    "gap_clusters": f"""WITH {_STARS.strip()}
+SELECT leaf AS id, whole AS cluster, {N_STARS} AS k FROM stars JOIN least USING (hub)
+UNION ALL SELECT hub AS id, whole AS cluster, {N_STARS} AS k FROM least""",
+    "spectral_kmeans": f"""WITH {_STARS.strip()}
+SELECT leaf AS id, leaves AS cluster FROM stars JOIN least USING (hub)
+UNION ALL SELECT hub AS id, hub AS cluster FROM least""",
+    "spectrum_residuals": "SELECT CAST(range AS INTEGER) AS pos, true AS converged FROM range(2)",
     "cluster_sizes": """SELECT label AS cluster, count(*) AS n_nodes FROM embeddings GROUP BY label""",
     "cluster_members": """SELECT label AS cluster, vec_id AS id,
        CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS BIGINT) AS member_pos,
@@ -226,6 +321,12 @@ QUERIES = {
     "eigengap_first_peak": q_eigengap_first_peak,
     "spectrum_smallest": q_spectrum_smallest,
     "spectrum_largest": q_spectrum_largest,
+    "spectrum_residuals": q_spectrum_residuals,
+    "gap_clusters": q_gap_clusters,
+    "edges_from_table": q_edges_from_table,
+    "weighted_edges": q_weighted_edges,
+    "named_node_index": q_named_node_index,
+    "edge_rejects": q_edge_rejects,
     "spectral_kmeans": q_spectral_kmeans,
     "spectral_embedding_clusters": q_spectral_embedding_clusters,
 }

@@ -1,52 +1,71 @@
-"""Registered streaming queries: ``events`` replayed through the file source
-in ``STREAM_BATCHES`` micro-batches of consecutive event ids, run with an
+"""Registered streaming queries: ``events`` replayed through the file source,
+``BATCH_ROWS`` consecutive event ids per micro-batch, run with an
 ``availableNow`` trigger; results are read back from the sinks."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
+from netstream.functions.dgim import WINDOW_N
 from netstream.operators import decay as D
+from netstream.plans.bit_plans import _B, _POW, _as_written_cte
 from netstream.plans.bit_plans import SQL as BIT_SQL
-from netstream.plans.bit_plans import _as_written_cte, _B
-from netstream.functions.dgim import WINDOW_N
 from netstream.sources.tables import bit_events, mention_events, read_table
 from netstream.streaming import queries as SQ
+from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE
+
+BATCH_ROWS = FILES_PER_TRIGGER * ROWS_PER_FILE
+DROP_BELOW = 0.5  # fixed value: the published decaying window's threshold
+
+
+def _bits(spark, sf_dir):
+    return bit_events(read_table(spark, sf_dir, "events"))
 
-NB = SQ.STREAM_BATCHES
+
+def _mentions(spark, sf_dir):
+    return mention_events(read_table(spark, sf_dir, "events")).select("seq", "ts", "mention")
 
 
 def q_stream_dgim(spark, sf_dir):
-    bits = bit_events(read_table(spark, sf_dir, "events"))
-    out = SQ.stream_dgim(spark, bits, mode="published")
-    return out.withColumnRenamed("key", "user_id").withColumnRenamed("seq", "event_id")
+    out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"])
+    return out.select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "n_buckets", "bucket_sum", "estimate")
 
 
 def q_stream_bit_report(spark, sf_dir):
-    bits = bit_events(read_table(spark, sf_dir, "events"))
-    return SQ.stream_bit_report(spark, bits).withColumnRenamed("key", "user_id")
+    out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_bit_report, SQ.REPORT_SCHEMA)
+    return out.select(F.col("key").alias("user_id"), F.col("batch_id").alias("micro_batch"), "real_count", "estimate",
+                      "rel_error")
 
 
-def _men(spark, sf_dir):
-    return mention_events(read_table(spark, sf_dir, "events"))
+def _rounded(out):
+    return out.select("batch_id", "mention", F.round("weight", 6).alias("weight"))
 
 
 def q_stream_decay_carry(spark, sf_dir):
-    out = SQ.stream_decay_carry(spark, _men(spark, sf_dir), c=D.DECAY_C)
-    return out.select("batch_id", "mention", F.round("weight", 6).alias("weight"))
+    return _rounded(SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_decay, SQ.DECAY_SCHEMA))
+
+
+def q_stream_decay_dropping(spark, sf_dir):
+    """Users as mentions, a fast decay, and weights below 1/2 dropped."""
+    events = read_table(spark, sf_dir, "events")
+    users = events.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("mention"))
+    start = partial(SQ.start_decay, c=1e-3, drop_below=DROP_BELOW)
+    return _rounded(SQ.replayed(spark, users, "seq", start, SQ.DECAY_SCHEMA))
 
 
 def q_stream_decay_topk(spark, sf_dir):
-    return SQ.stream_decay_topk(spark, _men(spark, sf_dir), c=D.DECAY_C)
+    out = SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_topk, SQ.TOPK_SCHEMA)
+    return out.select("batch_id", "rank", "mention", "weight_int")
 
 
 def q_stream_tumbling_topk(spark, sf_dir):
-    return SQ.stream_tumbling_topk(spark, _men(spark, sf_dir), window="1 hour")
+    return SQ.top_per_window(
+        SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_window_counts, SQ.WINDOW_SCHEMA))
 
 
-_PARAMS = f"""params AS (SELECT min(event_id) AS lo,
-                        CAST(ceil((max(event_id) - min(event_id) + 1) / {NB}.0) AS BIGINT) AS width
-                 FROM events)"""
+_PARAMS = f"params AS (SELECT CAST(0 AS BIGINT) AS lo, CAST({BATCH_ROWS} AS BIGINT) AS width)"
 
 _C = "(1 - 1e-6)"
 
@@ -55,7 +74,7 @@ SQL = {
     "stream_bit_report": f"""WITH RECURSIVE {_B}, {_as_written_cte(WINDOW_N)}, {_PARAMS},
 x AS (SELECT aw.*, (aw.seq - params.lo) // params.width AS micro_batch FROM aw, params WHERE aw.t > 0),
 l AS (SELECT key, micro_batch, arg_max(ones, seq) AS real_count,
-             arg_max(rest + newest + (pow(2, discarded) - 1), seq) AS estimate
+             arg_max(rest + newest + ({_POW} - 1), seq) AS estimate
       FROM x GROUP BY key, micro_batch)
 SELECT key AS user_id, micro_batch, real_count, estimate,
        round(CASE WHEN real_count > 0 THEN (real_count - estimate) / real_count ELSE 0.0 END, 6)
@@ -70,6 +89,24 @@ SELECT pr.batch_id, pr.mention, round(sum(pow({_C}, e.gend - a.g)), 6) AS weight
 FROM pairs pr JOIN ends e ON e.batch_id = pr.batch_id
               JOIN m a ON a.mention = pr.mention AND a.g <= e.gend
 GROUP BY pr.batch_id, pr.mention""",
+    "stream_decay_dropping": f"""WITH RECURSIVE {_PARAMS},
+m AS (SELECT event_id AS g, CAST(user_id AS VARCHAR) AS mention, event_id // {BATCH_ROWS} AS batch_id
+      FROM events WHERE user_id IS NOT NULL),
+ends AS (SELECT event_id // {BATCH_ROWS} AS batch_id, max(event_id) AS gend FROM events GROUP BY 1),
+here AS (SELECT m.batch_id, mention, sum(pow(1 - 1e-3, gend - g)) AS w FROM m JOIN ends USING (batch_id) GROUP BY 1, 2),
+users AS (SELECT DISTINCT mention FROM m),
+steps AS (
+  SELECT CAST(-1 AS BIGINT) AS batch_id, mention, CAST(0 AS DOUBLE) AS weight, CAST(0 AS DOUBLE) AS kept, false AS seen
+  FROM users
+  UNION ALL
+  SELECT s.batch_id + 1, s.mention,
+         s.kept * pow(1 - 1e-3, e.gend - coalesce(p.gend, e.gend)) + coalesce(h.w, 0),
+         CASE WHEN s.kept * pow(1 - 1e-3, e.gend - coalesce(p.gend, e.gend)) + coalesce(h.w, 0) >= 0.5
+              THEN s.kept * pow(1 - 1e-3, e.gend - coalesce(p.gend, e.gend)) + coalesce(h.w, 0) ELSE 0 END,
+         h.w IS NOT NULL
+  FROM steps s JOIN ends e ON e.batch_id = s.batch_id + 1 LEFT JOIN ends p ON p.batch_id = s.batch_id
+       LEFT JOIN here h ON h.batch_id = s.batch_id + 1 AND h.mention = s.mention)
+SELECT batch_id, mention, round(weight, 6) AS weight FROM steps WHERE seen""",
     "stream_decay_topk": f"""WITH {_PARAMS},
 m AS (SELECT event_id AS seq, ts, event_type AS mention,
              (event_id - params.lo) // params.width AS batch_id
@@ -96,6 +133,7 @@ QUERIES = {
     "stream_dgim": q_stream_dgim,
     "stream_bit_report": q_stream_bit_report,
     "stream_decay_carry": q_stream_decay_carry,
+    "stream_decay_dropping": q_stream_decay_dropping,
     "stream_decay_topk": q_stream_decay_topk,
     "stream_tumbling_topk": q_stream_tumbling_topk,
 }

@@ -60,7 +60,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def checkpoint_base(spark: SparkSession) -> str:
@@ -132,20 +132,31 @@ def shuffles_dropped(spark: SparkSession):
         spark.conf.set(key, old)
 
 
-def materialize_partitioned(df, keys, partitions: int | None = None):
-    """Hash-partition ``df`` by ``keys`` and materialise it with a reliable
-    checkpoint (in ``spark.checkpoint.dir``), which keeps the partitioning:
-    an iterative job that joins the result on ``keys`` every pass then
-    shuffles only the other side.  Cached while checkpointing so the data is
-    computed once."""
+def materialize_bucketed(df, keys, partitions: int, name: str = "bucketed"):
+    """``df`` as a table in the shared folder, bucketed by ``keys``: its scan
+    reports the partitioning, so an iterative job that joins it on ``keys``
+    every pass shuffles only the other side.  Returns ``(table, drop)``;
+    ``drop()`` takes it off the catalog and deletes its files."""
     spark = df.sparkSession
-    checkpoint_base(spark)
-    n = partitions or shuffle_partitions(spark)
-    staged = df.repartition(n, *keys).persist()
-    try:
-        return staged.checkpoint(eager=True)
-    finally:
-        staged.unpersist()
+    path = scratch_dir(spark, name)
+    table = f"netstream_{name}_{uuid.uuid4().hex[:12]}"
+    with shuffles_dropped(spark):
+        (df.repartition(partitions, *keys).write.bucketBy(partitions, *keys).sortBy(*keys)
+           .option("path", path).format("parquet").saveAsTable(table))
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_scratch(spark, path)
+
+    return spark.table(table), drop
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_dir`` named, once nobody reads it."""
+    if "/netstream/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager

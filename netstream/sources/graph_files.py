@@ -13,36 +13,50 @@ from netstream.session import shuffle_partitions
 
 
 def _spread(spark: SparkSession, df: DataFrame, partitions: int | None) -> DataFrame:
-    n = partitions or shuffle_partitions(spark)
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(partitions or shuffle_partitions(spark))
+
+
+def _tokens(lines: DataFrame) -> DataFrame:
+    """``(src, dst)`` texts of each line that is not blank or a comment."""
+    tokens = F.split(F.trim(F.regexp_replace("value", "#.*$", "")), r"\s+")
+    return (lines.select(tokens.alias("t")).where(F.col("t")[0] != "")
+            .select(F.col("t")[0].alias("src"), F.get(F.col("t"), 1).alias("dst")))
+
+
+def _as_long(name: str):
+    return F.expr(f"try_cast({name} AS BIGINT)")
 
 
 def read_edge_list(spark: SparkSession, path: str, numeric: bool = True,
                    partitions: int | None = None) -> DataFrame:
     """Whitespace-separated edge list; ``#`` starts a comment; extra columns
-    are ignored.  ``numeric`` casts ids to BIGINT (rows that do not parse
-    are dropped); otherwise ids stay strings (see ``index_named_edges``)."""
-    lines = spark.read.text(path)
-    tokens = F.split(F.trim(F.regexp_replace("value", "#.*$", "")), r"\s+")
-    df = (lines.select(tokens.alias("t"))
-               .where(F.size("t") >= 2)
-               .where(F.col("t")[0] != "")
-               .select(F.col("t")[0].alias("src"), F.col("t")[1].alias("dst")))
+    are ignored.  ``numeric`` casts ids to BIGINT, and a line that does not
+    parse is left out (``edge_line_counts`` tells how many); otherwise ids stay
+    strings (see ``index_named_edges``)."""
+    df = _tokens(spark.read.text(path)).where(F.col("dst").isNotNull())
     if numeric:
-        df = (df.select(F.expr("try_cast(src AS BIGINT)").alias("src"),
-                        F.expr("try_cast(dst AS BIGINT)").alias("dst"))
+        df = (df.select(_as_long("src").alias("src"), _as_long("dst").alias("dst"))
                 .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
     return _spread(spark, df, partitions)
 
 
+def edge_line_counts(spark: SparkSession, path: str, numeric: bool = True) -> DataFrame:
+    """``(kind, n)``: lines of an edge list read as ``edge`` and ``rejected``
+    (one id only, or an id that is no number)."""
+    ok = F.col("dst").isNotNull()
+    if numeric:
+        ok = _as_long("src").isNotNull() & _as_long("dst").isNotNull()
+    kind = F.when(F.coalesce(ok, F.lit(False)), "edge").otherwise("rejected")
+    return _tokens(spark.read.text(path)).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def read_edge_csv(spark: SparkSession, path: str, src_pos: int = 0, dst_pos: int = 1,
                   partitions: int | None = None) -> DataFrame:
-    """Headerless CSV; columns are addressed by position like ``_c0``."""
+    """Headerless CSV; columns are addressed by position like ``_c0``; a row
+    whose ids are no numbers is left out."""
     raw = spark.read.option("header", False).csv(path)
-    df = raw.select(
-        F.expr(f"try_cast(_c{src_pos} AS BIGINT)").alias("src"),
-        F.expr(f"try_cast(_c{dst_pos} AS BIGINT)").alias("dst"),
-    ).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    df = raw.select(_as_long(f"_c{src_pos}").alias("src"), _as_long(f"_c{dst_pos}").alias("dst"),
+                    ).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     return _spread(spark, df, partitions)
 
 

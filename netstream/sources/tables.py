@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netstream.operators.indexing import row_index
+from netstream.session import cut_lineage
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
@@ -29,6 +32,26 @@ def purchase_edges(lineitem: DataFrame) -> DataFrame:
         (F.col("l_partkey") * 2 + 1).alias("dst"))
 
 
+def nation_star_edges(customer: DataFrame) -> DataFrame:
+    """Customer -> nation, one star per nation: customer ``c`` is node
+    ``c_custkey * 2``, nation ``n`` node ``c_nationkey * 2 + 1``.  Its
+    normalised Laplacian has the eigenvalues 0 and 2 once per nation with
+    customers and 1 otherwise, and each nation is a hub."""
+    return customer.select((F.col("c_custkey") * 2).alias("src"), (F.col("c_nationkey") * 2 + 1).alias("dst"))
+
+
+def part_chain_edges(lineitem: DataFrame) -> DataFrame:
+    """Parts on neighbouring rows of an order (by line number, then part): one
+    edge per pair of neighbours, linear in ``lineitem`` and not bipartite.  The
+    neighbour is found by its position, so a hot order is no hot task."""
+    rows = lineitem.where(F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull()).select(
+        "l_orderkey", "l_linenumber", "l_partkey")
+    placed = cut_lineage(row_index(rows, order=["l_linenumber", "l_partkey"], group="l_orderkey", index_col="pos"),
+                         name="chain").select("l_orderkey", "pos", "l_partkey")
+    after = placed.select("l_orderkey", (F.col("pos") - 1).alias("pos"), F.col("l_partkey").alias("dst"))
+    return placed.join(after, ["l_orderkey", "pos"]).select(F.col("l_partkey").alias("src"), "dst")
+
+
 def purchase_node_names(nodes: DataFrame, id_col: str = "id") -> DataFrame:
     """Readable name of an interleaved node id: ``o<orderkey>`` / ``p<partkey>``."""
     ident = F.col(id_col)

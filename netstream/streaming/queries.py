@@ -1,178 +1,201 @@
-"""End-to-end streaming jobs (K1-K3, T1-T5) over a replayed table.
+"""Streaming jobs.
 
-Every job writes its result per micro-batch into its own directory
-``<sink>/batch_id=<id>`` with overwrite, so a retried batch replaces its own
-output (idempotent ``foreachBatch``); the streaming checkpoint lives next
-to it in the shared checkpoint folder.  Each function returns the final
-result as a batch DataFrame read back from the sink.
+Each ``start_*`` takes a streaming DataFrame, a sink folder, a checkpoint
+folder and a trigger (``{"processingTime": "5 seconds"}`` by default,
+``{"availableNow": True}``, ...) and returns the running ``StreamingQuery``.
+Results are written per micro-batch into ``<sink>/batch_id=<id>`` with
+overwrite, so a batch that is run again replaces its own output.
+
+``replayed`` runs such a job over a table, replayed through the file source
+until it is used up, and returns what the sink then holds.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from netstream.operators import decay as D
 from netstream.operators.bits import relative_error
-from netstream.session import scratch_dir
-from netstream.streaming.sources import replay_stream, stage_replay
-from netstream.streaming.stateful import dgim_stream, decay_stream
+from netstream.session import remove_scratch, scratch_dir
+from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE, replay_stream, stage_replay
+from netstream.streaming.stateful import dgim_stream
 
-STREAM_BATCHES = 10  # micro-batches a table is replayed in
+TRIGGER = {"processingTime": "5 seconds"}  # fixed value: the reference's batch length
 
 
-def _run(writer, checkpoint: str, spark: SparkSession | None = None) -> None:
-    """Start with ``availableNow`` and wait.  The number of state-store
-    partitions is fixed when a query first starts; it is set to the
-    cluster's default parallelism (not the batch-oriented shuffle setting),
-    then the session setting is restored."""
-    spark = spark or SparkSession.getActiveSession()
+def _start(writer, checkpoint: str, trigger: dict | None, spark: SparkSession) -> StreamingQuery:
+    """Start the query.  The number of state-store partitions is fixed when a
+    query first starts; it is set to the cluster's default parallelism (not the
+    batch-oriented shuffle setting), then the session setting is restored."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
     try:
-        q = (writer.option("checkpointLocation", checkpoint)
-                   .trigger(availableNow=True).start())
+        return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or TRIGGER)).start()
     finally:
         spark.conf.set(key, old)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
 
 
-def _batch_writer(sink: str, fn):
-    """foreachBatch body writing ``fn(df, batch_id)`` to ``sink/batch_id=<id>``."""
+def _per_batch(sink: str, fn: Callable):
+    """foreachBatch body writing ``fn(df, batch_id)`` to ``sink/batch_id=<id>``.
+    The batch is kept for the several uses ``fn`` may make of it, so a state
+    operator above it runs once."""
     def body(df: DataFrame, batch_id: int) -> None:
-        out = fn(df, batch_id)
-        if out is not None:
-            out.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        df = df.persist()
+        try:
+            fn(df, batch_id).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        finally:
+            df.unpersist()
     return body
 
 
-def _read_batches(spark: SparkSession, sink: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 - no batch produced output
-        return spark.createDataFrame([], schema)
+def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
+    """All batches of a sink (with ``batch_id``); an unreadable sink is an
+    error, a sink without a batch is empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder) or not len(fs.listStatus(folder)):
+        return spark.createDataFrame([], f"{schema}, batch_id LONG")
+    return spark.read.schema(f"{schema}, batch_id LONG").parquet(sink)
 
 
-def replay_table(spark: SparkSession, df: DataFrame, order: str, name: str,
-                 n_batches: int = STREAM_BATCHES):
-    path = scratch_dir(spark, f"replay-{name}")
-    width = stage_replay(df, order, n_batches, path)
-    return replay_stream(spark, path, df.schema), width
+def replayed(spark: SparkSession, table: DataFrame, order: str, start: Callable, schema: str,
+             rows_per_file: int = ROWS_PER_FILE, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """``start(stream, sink, checkpoint, trigger)`` over ``table`` replayed in
+    ``order`` until it is used up; what the sink holds."""
+    source, sink, checkpoint = (scratch_dir(spark, f"replay-{c}") for c in ("source", "sink", "checkpoint"))
+    stage_replay(table, order, source, rows_per_file)
+    query = start(replay_stream(spark, source, table.schema, files_per_trigger), sink, checkpoint, {"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    for folder in (source, checkpoint):
+        remove_scratch(spark, folder)
+    return read_sink(spark, sink, schema)
 
 
 # ---------------------------------------------------------------------------
-# T4 / K1: DGIM on a stream
+# T4 / K1 / K2: DGIM on a stream
 # ---------------------------------------------------------------------------
 
-def stream_dgim(spark: SparkSession, bits: DataFrame, mode: str = "published",
-                n_batches: int = STREAM_BATCHES) -> DataFrame:
-    """Replays ``bits(key, seq, ts, bit)`` and folds DGIM in the state store;
-    returns every bit's state (equal to the batch ``dgim``)."""
-    stream, _ = replay_table(spark, bits, "seq", "bits", n_batches)
-    sink = scratch_dir(spark, "sink-dgim")
-    writer = dgim_stream(stream, mode=mode).writeStream.format("parquet") \
-        .outputMode("append").option("path", sink)
-    _run(writer, scratch_dir(spark, "ckpt-dgim"), spark)
-    return spark.read.parquet(sink)
-
-
-def stream_bit_report(spark: SparkSession, bits: DataFrame,
-                      n_batches: int = STREAM_BATCHES) -> DataFrame:
-    """K2: per micro-batch and stream key, the reference's report - real
-    count, as-written estimate and signed relative error after the batch's
-    last bit."""
-    stream, _ = replay_table(spark, bits, "seq", "bits", n_batches)
-    sink = scratch_dir(spark, "sink-bitreport")
-
-    def report(df: DataFrame, batch_id: int) -> DataFrame:
-        last = df.groupBy("key").agg(F.max(F.struct("seq", "real_count", "estimate")).alias("s"))
-        return last.select(
-            "key", F.lit(batch_id).cast("long").alias("micro_batch"),
-            F.col("s.real_count").alias("real_count"), F.col("s.estimate").alias("estimate"),
-            F.round(relative_error(F.col("s.real_count"), F.col("s.estimate")), 6).alias("rel_error"))
-
-    writer = dgim_stream(stream, mode="as_written").writeStream.foreachBatch(
-        _batch_writer(sink, report))
-    _run(writer, scratch_dir(spark, "ckpt-bitreport"), spark)
-    return _read_batches(spark, sink, "key LONG, micro_batch LONG, real_count LONG, "
-                                      "estimate DOUBLE, rel_error DOUBLE, batch_id INT").drop("batch_id")
+DGIM_SCHEMA = {
+    "published": "key LONG, seq LONG, n_buckets LONG, bucket_sum LONG, estimate LONG",
+    "as_written": "key LONG, seq LONG, real_count LONG, n_buckets LONG, bucket_sum LONG, discarded LONG, estimate DOUBLE"}
+REPORT_SCHEMA = "key LONG, real_count LONG, estimate DOUBLE, rel_error DOUBLE"
+
+
+def start_dgim(bits: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+               mode: str = "published") -> StreamingQuery:
+    """DGIM state after every bit of a stream ``(key, seq, bit)``, folded in the
+    state store (equal to the batch ``dgim``)."""
+    writer = dgim_stream(bits, mode=mode).writeStream.foreachBatch(_per_batch(sink, lambda df, _: df))
+    return _start(writer, checkpoint, trigger, bits.sparkSession)
+
+
+def batch_report(state: DataFrame) -> DataFrame:
+    """The reference's report for one micro-batch: per stream the real count,
+    the as-written estimate and its signed relative error after the last bit."""
+    last = state.groupBy("key").agg(F.max(F.struct("seq", "real_count", "estimate")).alias("s"))
+    return last.select("key", F.col("s.real_count").alias("real_count"), F.col("s.estimate").alias("estimate"),
+                       F.round(relative_error(F.col("s.real_count"), F.col("s.estimate")), 6).alias("rel_error"))
+
+
+def start_bit_report(bits: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """K2: ``batch_report`` after every micro-batch."""
+    writer = dgim_stream(bits, mode="as_written").writeStream.foreachBatch(
+        _per_batch(sink, lambda df, _: batch_report(df)))
+    return _start(writer, checkpoint, trigger, bits.sparkSession)
 
 
 # ---------------------------------------------------------------------------
 # T5: decaying window on a stream
 # ---------------------------------------------------------------------------
 
-def stream_decay_carry(spark: SparkSession, mentions: DataFrame, c: float = D.DECAY_C,
-                       n_batches: int = STREAM_BATCHES) -> DataFrame:
-    """Published decaying window carried across micro-batches; ``mentions``
-    has ``(seq, ts, mention)`` with ``seq`` the global arrival position.
-    Output ``(batch_id, mention, weight)`` for every mention of a batch, the
-    weight taken at the batch's last arrival."""
-    stream, _ = replay_table(spark, mentions.select("seq", "ts", "mention"), "seq", "men", n_batches)
-    lam = -math.log1p(-c)
-    sink = scratch_dir(spark, "sink-decay")
-
-    def at_batch_end(df: DataFrame, batch_id: int) -> DataFrame:
-        end = df.agg(F.max("g_last")).scalar()
-        return df.select("mention", (F.col("weight_at_last") *
-                                     F.exp(-lam * (end - F.col("g_last")).cast("double"))).alias("weight"))
-
-    writer = decay_stream(stream.where(F.col("mention").isNotNull())
-                                .select("mention", F.col("seq").alias("g")), c) \
-        .writeStream.foreachBatch(_batch_writer(sink, at_batch_end))
-    _run(writer, scratch_dir(spark, "ckpt-decay"), spark)
-    return _read_batches(spark, sink, "mention STRING, weight DOUBLE, batch_id INT") \
-        .select(F.col("batch_id").cast("long").alias("batch_id"), "mention", "weight")
-
-
-def stream_decay_topk(spark: SparkSession, mentions: DataFrame, c: float = D.DECAY_C,
-                      k: int = D.TOP_K, n_batches: int = STREAM_BATCHES) -> DataFrame:
-    """As written: every micro-batch stands alone; weights rounded half to
-    even; the first ``k`` mentions of each batch (K3)."""
-    stream, _ = replay_table(spark, mentions.select("seq", "ts", "mention"), "seq", "men", n_batches)
-    sink = scratch_dir(spark, "sink-decaytopk")
-
+DECAY_SCHEMA = "mention STRING, weight DOUBLE"
+TOPK_SCHEMA = "rank INT, mention STRING, weight_int LONG"
+
+
+def start_decay(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                c: float = D.DECAY_C, drop_below: float = 0.0) -> StreamingQuery:
+    """Published decaying window over a stream ``(seq, mention)``, ``seq`` the
+    global arrival position: per micro-batch the weight of each of its mentions
+    at the batch's last arrival.
+
+    A batch is summed per mention by Spark before it meets the weights carried
+    so far, which are a table beside the checkpoint, one version per batch
+    (the version before is read, older ones go); a batch that is run again
+    starts from the same version.  Mentions whose weight falls below
+    ``drop_below`` (the published rule: 1/2) leave the table, so it does not
+    grow with every mention ever seen; 0 keeps them all."""
+    spark, lam = mentions.sparkSession, -math.log1p(-c)
+    schema = "mention STRING, weight DOUBLE, end_seq LONG"
+
+    def carried(version: int) -> str:
+        return f"{checkpoint}-weights/version={version}"
+
+    def update(df: DataFrame, batch_id: int) -> DataFrame:
+        end = df.agg(F.max("seq")).first()[0]
+        before = spark.read.schema(schema).parquet(carried(batch_id - 1)) if batch_id else spark.createDataFrame([], schema)
+        if end is None:  # an empty batch changes nothing
+            before.write.mode("overwrite").parquet(carried(batch_id))
+            return spark.createDataFrame([], DECAY_SCHEMA)
+        here = df.where(F.col("mention").isNotNull()).groupBy("mention").agg(
+            F.sum(F.exp(-lam * (F.lit(end) - F.col("seq")).cast("double"))).alias("new"))
+        old = before.select("mention", (F.col("weight") * F.exp(-lam * (F.lit(end) - F.col("end_seq")).cast("double")))
+                            .alias("old"))
+        both = here.join(old, "mention", "full").withColumn(
+            "weight", F.coalesce("new", F.lit(0.0)) + F.coalesce("old", F.lit(0.0)))
+        (both.where(F.col("weight") >= drop_below).select("mention", "weight", F.lit(end).cast("long").alias("end_seq"))
+         .write.mode("overwrite").parquet(carried(batch_id)))
+        if batch_id > 1:
+            remove_scratch(spark, carried(batch_id - 2))
+        return both.where("new IS NOT NULL").select("mention", "weight")
+
+    writer = mentions.select("seq", "mention").writeStream.foreachBatch(_per_batch(sink, update))
+    return _start(writer, checkpoint, trigger, spark)
+
+
+def start_topk(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+               c: float = D.DECAY_C, k: int = D.TOP_K) -> StreamingQuery:
+    """As written: every micro-batch of ``(seq, ts, mention)`` stands alone;
+    weights rounded half to even; the first ``k`` mentions of each batch (K3)."""
     def top(df: DataFrame, batch_id: int) -> DataFrame:
-        w = D.batch_weights(df.withColumn("batch_id", F.lit(batch_id).cast("long")), c=c,
-                            mode="as_written")
+        w = D.batch_weights(df.withColumn("batch_id", F.lit(batch_id).cast("long")), c=c, mode="as_written")
         return D.top_k_per_batch(w, k=k, weight="weight_int").select("rank", "mention", "weight_int")
 
-    writer = stream.writeStream.foreachBatch(_batch_writer(sink, top))
-    _run(writer, scratch_dir(spark, "ckpt-decaytopk"), spark)
-    return _read_batches(spark, sink, "rank INT, mention STRING, weight_int LONG, batch_id INT") \
-        .select(F.col("batch_id").cast("long").alias("batch_id"), "rank", "mention", "weight_int")
+    writer = mentions.writeStream.foreachBatch(_per_batch(sink, top))
+    return _start(writer, checkpoint, trigger, mentions.sparkSession)
 
 
 # ---------------------------------------------------------------------------
 # Event-time tumbling windows
 # ---------------------------------------------------------------------------
 
-def stream_tumbling_topk(spark: SparkSession, mentions: DataFrame, window: str = "1 hour",
-                         watermark: str = "1 hour", k: int = D.TOP_K,
-                         n_batches: int = STREAM_BATCHES) -> DataFrame:
-    """Mentions per event-time tumbling window (update mode with a
-    watermark, so old windows leave the state store); the first ``k`` per
-    window are ranked from the final counts."""
-    stream, _ = replay_table(spark, mentions.select("seq", "ts", "mention"), "seq", "men", n_batches)
-    counts = (stream.where(F.col("mention").isNotNull())
-                    .withWatermark("ts", watermark)
-                    .groupBy(F.window("ts", window).alias("w"), "mention")
-                    .agg(F.count(F.lit(1)).alias("n")))
-    sink = scratch_dir(spark, "sink-tumbling")
+WINDOW_SCHEMA = "window_start TIMESTAMP_NTZ, mention STRING, n LONG"
+
+
+def start_window_counts(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                        window: str = "1 hour", watermark: str = "1 hour") -> StreamingQuery:
+    """Mentions per event-time tumbling window (update mode with a watermark,
+    so old windows leave the state store)."""
+    counts = (mentions.where(F.col("mention").isNotNull()).withWatermark("ts", watermark)
+              .groupBy(F.window("ts", window).alias("w"), "mention").agg(F.count(F.lit(1)).alias("n")))
 
     def keep(df: DataFrame, batch_id: int) -> DataFrame:
         return df.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "mention", "n")
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(_batch_writer(sink, keep))
-    _run(writer, scratch_dir(spark, "ckpt-tumbling"), spark)
-    upd = _read_batches(spark, sink, "window_start TIMESTAMP_NTZ, mention STRING, n LONG, batch_id INT")
-    final = upd.groupBy("window_start", "mention").agg(F.max("n").alias("n"))
+    writer = counts.writeStream.outputMode("update").foreachBatch(_per_batch(sink, keep))
+    return _start(writer, checkpoint, trigger, mentions.sparkSession)
+
+
+def top_per_window(updates: DataFrame, k: int = D.TOP_K) -> DataFrame:
+    """The first ``k`` mentions of each window from the final counts."""
+    final = updates.groupBy("window_start", "mention").agg(F.max("n").alias("n"))
     rank = Window.partitionBy("window_start").orderBy(F.col("n").desc(), F.col("mention"))
-    return (final.withColumn("rank", F.row_number().over(rank))
-                 .where(F.col("rank") <= k)
-                 .select("window_start", "rank", "mention", "n"))
+    return (final.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+            .select("window_start", "rank", "mention", "n"))

@@ -2,9 +2,9 @@
 
 ``stream_reader`` is the one entry point for unbounded input: ``socket``,
 ``kafka``, ``rate`` or a file format.  Tests and registered queries replay
-a table through the file source: ``stage_replay`` writes one file per
-micro-batch in sequence order, and ``maxFilesPerTrigger=1`` turns each file
-into one micro-batch.  No port is opened.
+a table through the file source: ``stage_replay`` writes it once, in parallel,
+as files of consecutive sequence numbers, and ``maxFilesPerTrigger`` sets how
+many of them make a micro-batch.  No port is opened.
 """
 
 from __future__ import annotations
@@ -12,6 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netstream.operators.bits import hash_uniform
+from netstream.session import shuffle_partitions
+
+FILES_PER_TRIGGER = 4  # files of one micro-batch
+ROWS_PER_FILE = 1_000  # sequence numbers of one file
+_FIRST_TIME = 1_600_000_000_000  # modification time of file 0 (ms)
+
 
 def stream_reader(spark: SparkSession, fmt: str, schema=None, path: str | None = None,
                   **options) -> DataFrame:
@@ -35,27 +42,30 @@ def rate_bits(spark: SparkSession, rows_per_second: int = 10, p: float = 0.3,
     """Unbounded random bits: the rate source's ``value`` hashed to a
     uniform, ``bit = u < p`` (S6 on a stream)."""
     rate = stream_reader(spark, "rate", rowsPerSecond=rows_per_second)
-    u = F.pmod(F.xxhash64(F.col("value"), F.lit(seed)), F.lit(1 << 30)).cast("double") / float(1 << 30)
+    u = hash_uniform(F.col("value"), seed)
     return rate.select(F.lit(0).cast("long").alias("key"), F.col("value").alias("seq"),
                        F.col("timestamp").alias("ts"), (u < F.lit(p)).cast("int").alias("bit"))
 
 
-def stage_replay(df: DataFrame, order: str, n_batches: int, path: str) -> int:
-    """Write ``df`` as ``n_batches`` parquet files of consecutive ``order``
-    ranges, one file after another so modification times follow the order
-    (the file source takes files oldest first).  Returns the rows per batch
-    (range width).  A replay harness: production streams come from a real
-    source through ``stream_reader``."""
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
-    if lo is None:
-        return 0
-    width = -(-(hi - lo + 1) // n_batches)
-    for b in range(n_batches):
-        a = lo + b * width
-        part = df.where((F.col(order) >= a) & (F.col(order) < a + width))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return width
-
-
-def replay_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return stream_reader(spark, "parquet", schema=schema, path=path, maxFilesPerTrigger=1)
+def stage_replay(df: DataFrame, order: str, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write ``df`` as one parquet file per ``rows_per_file`` consecutive
+    values of ``order`` - one parallel write, a file is one task's - and give the
+    files modification times in that order (the file source takes files oldest
+    first).  ``order`` should be dense; values that are missing make a smaller
+    file.  A replay harness: production streams come from a real source
+    through ``stream_reader``."""
+    spark = df.sparkSession
+    numbered = df.withColumn("part_no", F.floor(F.col(order) / rows_per_file).cast("long"))
+    (numbered.repartition(shuffle_partitions(spark), "part_no").write.mode("append")
+     .partitionBy("part_no").parquet(path))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in fs.listStatus(folder):
+        number = part.getPath().getName().partition("part_no=")[2]
+        for file in fs.listStatus(part.getPath()) if number.lstrip("-").isdigit() else []:
+            fs.setTimes(file.getPath(), _FIRST_TIME + int(number), -1)
+
+
+def replay_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    return stream_reader(spark, "parquet", schema=schema, path=path, maxFilesPerTrigger=files_per_trigger,
+                         recursiveFileLookup="true")

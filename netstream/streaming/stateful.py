@@ -2,16 +2,10 @@
 
 T4 - DGIM per stream key with ``applyInPandasWithState``; state lives in the
 state store (checkpointed), not in a driver object.
-T5 - carried decaying window per mention with ``applyInPandasWithState``;
-the state is ``(acc, g_ref)`` with ``acc = sum (1-c)^(g_ref - g_j)`` over
-the mention's arrivals and ``g_ref`` the largest position seen, so the
-update is order-free and O(1) per chunk (a hot mention streams through).
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,16 +23,19 @@ _PB_STATE = "n LONG, t LONG, sizes ARRAY<LONG>, ends ARRAY<LONG>"
 def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) -> DataFrame:
     """DGIM state after every bit, on a stream of ``(key, seq, bit)``.
 
-    Rows of a key inside one micro-batch are sorted by ``seq`` before the
-    fold (their number is bounded by the trigger size); across batches the
-    state store carries the buckets.  Output rows have the batch schema of
+    The rows of a key arrive in any order, so a micro-batch's sequence numbers
+    and bits of the key are sorted before the fold; their number is bounded by
+    the trigger's rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
+    Across batches the state store carries the buckets.  Output rows have the batch schema of
     ``netstream.operators.bits.dgim``; output mode ``append``.
     """
     if mode not in ("as_written", "published"):
         raise ValueError("mode must be 'as_written' or 'published'")
 
     def fold(key, pdfs, state):
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+        parts = [(pdf["seq"].to_numpy(), pdf["bit"].to_numpy()) for pdf in pdfs]
+        seqs, bits_ = (np.concatenate(c) for c in zip(*parts))
+        order = np.argsort(seqs, kind="stable")
         if mode == "as_written":
             if state.exists:
                 s = state.get
@@ -52,8 +49,8 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
             else:
                 st = Published(n)
         out = []
-        k = int(key[0])
-        for q, b in zip(rows["seq"].tolist(), rows["bit"].tolist()):
+        k = None if pd.isna(key[0]) else int(key[0])  # a NULL key is a stream of its own
+        for q, b in zip(seqs[order].tolist(), bits_[order].tolist()):
             st.step(int(b))
             if mode == "as_written":
                 out.append((k, q, st.ones, bin(st.rest).count("1") + st.newest,
@@ -66,41 +63,11 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
         else:
             state.update((st.n, st.t, list(st.sizes), list(st.ends)))
             cols = ["key", "seq", "n_buckets", "bucket_sum", "estimate"]
-        yield pd.DataFrame.from_records(out, columns=cols)
+        frame = pd.DataFrame.from_records(out, columns=cols)
+        frame["key"] = pd.array([k] * len(frame), dtype="Int64")
+        yield frame
 
     out_schema = _AW_OUT if mode == "as_written" else _PB_OUT
     state_schema = _AW_STATE if mode == "as_written" else _PB_STATE
     return bits.select("key", "seq", "bit").groupBy("key").applyInPandasWithState(
         fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-
-
-def decay_stream(mentions: DataFrame, c: float) -> DataFrame:
-    """Carried decaying weight per mention on a stream of ``(mention, g)``,
-    ``g`` the global arrival position.  Emits, per micro-batch and mention
-    seen in it, ``(mention, weight_at_last, g_last)``: the weight right after
-    the mention's last arrival.  The weight at the end of the batch is
-    ``weight_at_last * (1-c)^(G_b - g_last)`` with ``G_b`` the largest
-    ``g_last`` of the batch (see ``netstream.streaming.queries``)."""
-    lam = -math.log1p(-c)
-
-    def update(key, pdfs, state):
-        acc, ref = (float(state.get[0]), int(state.get[1])) if state.exists else (0.0, None)
-        for pdf in pdfs:
-            g = pdf["g"].to_numpy(dtype=np.int64)
-            if g.size == 0:
-                continue
-            top = int(g.max())
-            if ref is None:
-                ref = top
-            if top > ref:
-                acc *= math.exp(-lam * (top - ref))
-                ref = top
-            acc += float(np.exp(-lam * (ref - g).astype(np.float64)).sum())
-        if ref is None:
-            return
-        state.update((acc, ref))
-        yield pd.DataFrame({"mention": [key[0]], "weight_at_last": [acc], "g_last": [ref]})
-
-    return mentions.select("mention", "g").groupBy("mention").applyInPandasWithState(
-        update, "mention STRING, weight_at_last DOUBLE, g_last LONG",
-        "acc DOUBLE, g_ref LONG", "append", GroupStateTimeout.NoTimeout)

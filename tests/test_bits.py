@@ -92,27 +92,49 @@ def test_counts_on_events_match_pandas(spark):
     np.testing.assert_array_equal(got["n24"].to_numpy(), exp_24.astype(int))
 
 
-def test_as_written_split_equals_fold(spark):
-    """The split form (bounded head fold + prefix sums) equals the plain
-    sequential fold, including streams far longer than the head and runs of
-    ones that keep the newest bucket alive."""
+def _streams():
     import random
     rng = random.Random(5)
     rows = []
-    for key, (length, p) in enumerate([(5, 0.5), (40, 0.3), (400, 0.9), (300, 0.1), (120, 1.0)]):
+    for key, (length, p) in enumerate([(5, 0.5), (40, 0.3), (400, 0.9), (300, 0.02), (1300, 1.0)]):
         for t in range(length):
-            rows.append((key, 1000 * key + t, int(rng.random() < p)))
+            rows.append((key or None, 2000 * key + t, int(rng.random() < p)))
+    return rows
+
+
+def test_folds_of_long_hot_and_null_streams(spark):
+    """Both rules equal the plain fold on streams far longer than the head, with
+    more than 1,100 ones (past the DOUBLE range) and with a NULL key; the
+    published rule also where streams are cut at gaps."""
+    rows = _streams()
     df = spark.createDataFrame(rows, "key LONG, seq LONG, bit INT")
     for n in (8, 24):
-        cols = ["key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate"]
-        split = sorted(tuple(r[c] for c in cols)
-                       for r in B.dgim(df, "as_written", n=n, split=True).collect())
-        auto = sorted(tuple(r[c] for c in cols)
-                      for r in B.dgim(df, "as_written", n=n, max_fold_rows=100).collect())
-        assert auto == split
-        plain = sorted(tuple(r[c] for c in cols)
-                       for r in B.dgim(df, "as_written", n=n, split=False).collect())
-        assert split == plain
+        want = {"as_written": set(), "published": set()}
+        for key in {k for k, _, _ in rows}:
+            aw, pb = AsWritten(n), Published(n)
+            for _, q, b in (r for r in rows if r[0] == key):
+                aw.step(b)
+                pb.step(b)
+                want["as_written"].add((key, q, aw.ones, len(aw.buckets()), sum(aw.buckets()), aw.discarded, aw.estimate()))
+                want["published"].add((key, q, len(pb.sizes), sum(pb.sizes), pb.estimate()))
+        for mode, rows_ in want.items():
+            got = B.dgim(df, mode, n=n).collect()
+            assert len(got) == len(rows_) and set(map(tuple, got)) == rows_
+    assert any(r[6] == float("inf") for r in want["as_written"])
+
+
+def test_window_counts_across_blocks(spark):
+    """Counts do not depend on the size of the blocks a stream is cut into."""
+    rows = _streams()
+    df = spark.createDataFrame(rows, "key LONG, seq LONG, bit INT")
+    want = {}
+    for key in {k for k, _, _ in rows}:
+        bits = [(q, b) for k, q, b in rows if k == key]
+        for t, (q, _) in enumerate(bits):
+            want[(key, q)] = (sum(b for _, b in bits[max(0, t - 23):t + 1]), sum(b for _, b in bits[max(0, t - 4):t + 1]))
+    for block in (7, 100, 100_000):
+        got = {(r.key, r.seq): (r.a, r.b) for r in B.ones_counts(df, windows={"a": 24, "b": 5}, block_rows=block).collect()}
+        assert got == want
 
 
 def test_as_written_head_drains():

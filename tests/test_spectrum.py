@@ -85,7 +85,7 @@ def _same_partition(labels, blocks):
 def test_planted_partition_spectral(spark):
     pairs, blocks = planted("unequal")
     e = G.canonical_edges(edges_df(spark, pairs))
-    spec, vec, info = S.eigenpairs(e, 3, which="smallest", max_iter=200, tol=1e-12)
+    spec, vec, info = S.eigenpairs(e, 3, which="smallest", tol=1e-7)
     lam = [r.eigenvalue for r in spec.orderBy("pos").collect()]
     dense = np.linalg.eigvalsh(__import__("test_graph").dense_laplacian(pairs, 120))
     np.testing.assert_allclose(lam, dense[:3], atol=1e-6)
@@ -112,3 +112,50 @@ def test_cluster_tables(spark):
     assert sizes == {0: 4, 1: 3, 2: 3}
     mem = C.cluster_members(labels).where(F.col("cluster") == 1).orderBy("member_pos").collect()
     assert [r.id for r in mem] == [1, 4, 7] and [r.member_pos for r in mem] == [0, 1, 2]
+
+
+def test_stars_converge_and_hubs_are_split(spark):
+    """Known spectrum, verified residuals; a hub's column is cut into salts of
+    bounded size, and no pass shuffles the matrix."""
+    leaves = {0: 300, 1: 40, 2: 7}
+    pairs = [(hub, 1000 * (hub + 1) + i) for hub, n in leaves.items() for i in range(n)]
+    e = G.canonical_edges(edges_df(spark, pairs))
+    for which, value in (("smallest", 0.0), ("largest", 2.0)):
+        spec, vec, info = S.eigenpairs(e, 3, which=which, hub_entries=50)
+        np.testing.assert_allclose([r.eigenvalue for r in spec.collect()], [value] * 3, atol=1e-6)
+        assert max(info["residuals"]) <= 1e-6
+        assert all(r.residual <= 1e-5 for r in S.residuals(e, spec, vec).collect())
+    salted, columns = S._salted(G.normalized_adjacency(e), 50)
+    assert salted.groupBy("j", "s").count().agg(F.max("count")).first()[0] <= 90
+    matrix, drop = S.materialize_bucketed(salted, ["j", "s"], 4, "test")
+    block = columns.select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        plan = S._multiply(matrix, columns, block, 2, 0.5, 1.0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.split("\n")
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    depth = lines[scan].index("FileScan")
+    above = []
+    for line in reversed(lines[:scan]):  # the scan's ancestors up to the join
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            depth = at
+            above.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+    drop()
+
+
+def test_solver_raises_when_it_does_not_converge(spark):
+    pairs = [(i, i + 1) for i in range(400)]
+    with pytest.raises(S.NotConverged):
+        S.eigenpairs(G.canonical_edges(edges_df(spark, pairs)), 3, max_rounds=1)
+
+
+def test_eigengap_empty_ungrouped_gives_no_row(spark):
+    df = spark.createDataFrame([], "pos INT, eigenvalue DOUBLE")
+    assert S.eigengap_k(df).count() == 0 and S.eigengap_first_peak(df).count() == 0

@@ -9,25 +9,37 @@ from netstream.session import scratch_dir
 from netstream.sources.tables import bit_events, mention_events, read_table
 from netstream.streaming import queries as SQ
 from netstream.streaming.sources import replay_stream, stage_replay
-from netstream.streaming.stateful import dgim_stream
 
 
 def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
+def test_stage_replay_is_one_file_per_range_in_order(spark):
+    bits = bit_events(read_table(spark, SF001, "events"))
+    path = scratch_dir(spark, "staged")
+    stage_replay(bits, "seq", path, rows_per_file=300)
+    files = sorted((f for d, _, fs in os.walk(path) for f in (os.path.join(d, x) for x in fs) if f.endswith(".parquet")),
+                   key=os.path.getmtime)
+    ranges = [spark.read.parquet(f).agg(F.min("seq"), F.max("seq")).first() for f in files]
+    assert [tuple(r) for r in ranges] == [(0, 299), (300, 599), (600, 899), (900, 999)]
+
+
 def test_stream_dgim_equals_batch(spark):
     bits = bit_events(read_table(spark, SF001, "events"))
-    for mode, cols in [("published", ["key", "seq", "n_buckets", "estimate"]),
-                       ("as_written", ["key", "seq", "real_count", "discarded", "estimate"])]:
-        s = SQ.stream_dgim(spark, bits, mode=mode, n_batches=4)
+    bits = bits.withColumn("key", F.when(F.col("key") % 5 != 0, F.col("key")))  # a NULL stream
+    for mode, cols in [("published", ["seq", "n_buckets", "estimate"]),
+                       ("as_written", ["seq", "real_count", "discarded", "estimate"])]:
+        s = SQ.replayed(spark, bits, "seq", lambda *a, m=mode: SQ.start_dgim(*a, mode=m), SQ.DGIM_SCHEMA[mode],
+                        rows_per_file=100, files_per_trigger=3)
         b = B.dgim(bits, mode=mode)
         assert _rows(s, cols) == _rows(b, cols)
+        assert s.where("key IS NULL").count() == b.where("key IS NULL").count() > 0
 
 
 def test_stream_decay_equals_batch(spark):
     men = mention_events(read_table(spark, SF001, "events"), batch_rows=250)
-    s = SQ.stream_decay_carry(spark, men, c=0.01, n_batches=4)
+    s = SQ.replayed(spark, men, "seq", lambda *a: SQ.start_decay(*a, c=0.01), SQ.DECAY_SCHEMA, 125, 2)
     b = D.carried_weights(men, c=0.01)
     got = {(r.batch_id, r.mention): r.weight for r in s.collect()}
     exp = {(r.batch_id, r.mention): r.weight for r in b.collect()}
@@ -35,28 +47,52 @@ def test_stream_decay_equals_batch(spark):
     assert all(abs(got[k] - exp[k]) < 1e-9 for k in exp)
 
 
+def test_dropped_weights_leave_the_state(spark):
+    """A mention that decayed below the threshold starts anew."""
+    rows = [(i, "once" if i in (0, 250) else f"m{i % 3}") for i in range(300)]
+    men = spark.createDataFrame(rows, "seq LONG, mention STRING")
+    got = {drop: {(r.batch_id, r.mention): r.weight for r in SQ.replayed(
+        spark, men, "seq", lambda *a, d=drop: SQ.start_decay(*a, c=0.01, drop_below=d), SQ.DECAY_SCHEMA, 50, 2).collect()}
+        for drop in (0.0, 0.5)}
+    # its weight at the first batch's end is 0.99^99 < 1/2
+    assert abs(got[0.0][(2, "once")] - (0.99 ** 49 + 0.99 ** 299)) < 1e-9
+    assert abs(got[0.5][(2, "once")] - 0.99 ** 49) < 1e-9
+
+
+def test_live_jobs_return_the_query_and_take_empty_batches(spark):
+    """Each job on a stream whose only file has no rows: it runs, stops, and
+    its sink is readable."""
+    men = mention_events(read_table(spark, SF001, "events")).select("seq", "ts", "mention").limit(0)
+    bits = bit_events(read_table(spark, SF001, "events")).limit(0)
+    jobs = [(bits, SQ.start_dgim, SQ.DGIM_SCHEMA["published"]), (bits, SQ.start_bit_report, SQ.REPORT_SCHEMA),
+            (men, SQ.start_decay, SQ.DECAY_SCHEMA), (men, SQ.start_topk, SQ.TOPK_SCHEMA),
+            (men, SQ.start_window_counts, SQ.WINDOW_SCHEMA)]
+    for table, start, schema in jobs:
+        source, sink, checkpoint = (scratch_dir(spark, c) for c in ("empty", "sink", "checkpoint"))
+        table.coalesce(1).write.parquet(source)
+        q = start(replay_stream(spark, source, table.schema), sink, checkpoint, {"processingTime": "1 second"})
+        assert q.isActive
+        q.processAllAvailable()
+        q.stop()
+        assert q.exception() is None
+        assert SQ.read_sink(spark, sink, schema).count() == 0
+
+
 def test_stream_restart_from_checkpoint(spark):
-    """Stop after two micro-batches, add the rest of the data, restart from
+    """Stop after some micro-batches, add the rest of the data, restart from
     the same checkpoint: the final answer equals the batch form."""
     bits = bit_events(read_table(spark, SF001, "events"))
-    lo_hi = bits.agg(F.min("seq"), F.max("seq")).first()
-    mid = (lo_hi[0] + lo_hi[1]) // 2
-    src = scratch_dir(spark, "restart-src")
-    stage_replay(bits.where(F.col("seq") <= mid), "seq", 2, src)
-    sink, ckpt = scratch_dir(spark, "restart-sink"), scratch_dir(spark, "restart-ckpt")
+    source, sink, checkpoint = (scratch_dir(spark, c) for c in ("restart-src", "restart-sink", "restart-ckpt"))
 
     def run():
-        st = replay_stream(spark, src, bits.schema)
-        q = (dgim_stream(st, mode="published").writeStream.format("parquet")
-             .option("path", sink).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        SQ.start_dgim(replay_stream(spark, source, bits.schema, 2), sink, checkpoint, {"availableNow": True}).awaitTermination()
 
+    stage_replay(bits.where(F.col("seq") < 500), "seq", source, 100)
     run()
-    first = spark.read.parquet(sink).count()
-    stage_replay(bits.where(F.col("seq") > mid), "seq", 2, src)
+    first = SQ.read_sink(spark, sink, SQ.DGIM_SCHEMA["published"]).count()
+    stage_replay(bits.where(F.col("seq") >= 500), "seq", source, 100)
     run()
-    out = spark.read.parquet(sink)
+    out = SQ.read_sink(spark, sink, SQ.DGIM_SCHEMA["published"])
     assert first < out.count()
     cols = ["key", "seq", "n_buckets", "estimate"]
     assert _rows(out, cols) == _rows(B.dgim(bits, mode="published"), cols)
