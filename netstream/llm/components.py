@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netstream.llm.common import forget
 from netstream.session import cut_lineage
 
 
@@ -37,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
                       .distinct(), name="links")
     before, after = None, state(now)
     while before != after:
-        now = cut_lineage(_star(_star(now, large=True), large=False), name="links")
+        old, now = now, cut_lineage(_star(_star(now, large=True), large=False), name="links")
         before, after = after, state(now)
+        forget(old)
     heads = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(heads)

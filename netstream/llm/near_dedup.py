@@ -19,9 +19,15 @@ ROWS``.  Two documents of similarity s meet in a table with probability
    one that leads most of its buckets among those not yet in its component
    (leaders by a hash that differs by round).  These links are verified and
    components formed.  A group of n near copies needs about n comparisons.
-4. All pairs that share a bucket but no component are then compared, so no link
-   that could join two components is left out; pairs within a component are
-   not made.
+4. What then shares a bucket but no component is compared in full, so no link
+   that could join two components is left out.  Buckets of up to
+   ``SMALL_BUCKET`` documents are joined with themselves.  Larger ones come from
+   large groups of near copies; they are put together to groups, and a group is
+   laid out in tiles of bounded size: blocks of the documents outside its
+   largest component, against each other and against blocks of that component.
+   A tile gets each document's set once, compares the pairs that share a table
+   key and no component, and returns one link per document and component - not
+   the pairs.
 
 A comparison first checks sizes and the estimate from all minhashes (a pair of
 similarity 0.75 fails it with probability below 1e-6), then the full sets.
@@ -34,13 +40,15 @@ document; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import (KEY, TEXT, Chunk, id_of, key_of, keyed_texts, mix, run_hashes, signed, whole_runs,
+from netstream.llm.common import (KEY, Chunk, forget, id_of, key_of, keyed_texts, mix, run_hashes, signed, whole_runs,
                                   word_chunks)
 from netstream.llm.components import components
 from netstream.session import cut_lineage
@@ -50,6 +58,8 @@ SIMILAR, OUT_OF = 75, 100
 SIDE, ROWS = 17, 3
 STAR_ROUNDS = 3
 MIN_ESTIMATE = 0.54
+SMALL_BUCKET = 24
+BLOCK_DOCS, BLOCK_SHINGLES = 1_024, 500_000
 SKETCH = (f"{KEY} long, n_shingles long, d1 long, d2 long, side_a array<long>, side_b array<long>, mins binary")
 
 
@@ -116,21 +126,22 @@ def _shared(nodes: DataFrame, side: str) -> DataFrame:
 
 
 def table_buckets(nodes: DataFrame) -> DataFrame:
-    """``(id, bucket)``: table keys that several nodes have."""
-    both = _shared(nodes, "side_a").join(_shared(nodes, "side_b"), "id")
+    """``(id, bucket, size)``: table keys that several nodes have."""
+    both = cut_lineage(_shared(nodes, "side_a").join(_shared(nodes, "side_b"), "id"), name="shared")
     keys = (both.select("id", F.explode("side_a").alias("a"), "side_b")
             .select("id", "a", F.explode("side_b").alias("b"))
             .select("id", F.xxhash64("a", "b").alias("bucket")))
-    keys = cut_lineage(keys, name="tables")
-    several = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    return keys.join(several, "bucket").select("id", "bucket")
+    several = keys.groupBy("bucket").agg(F.count(F.lit(1)).cast("int").alias("size")).where("size > 1")
+    buckets = cut_lineage(keys.join(several, "bucket").select("id", "bucket", "size"), name="buckets")
+    forget(both)
+    return buckets
 
 
 def _placed(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
     if comps is None:
         return buckets.withColumn("component", F.col("id"))
     return (buckets.join(comps, "id", "left")
-            .select("id", "bucket", F.coalesce("component", "id").alias("component")))
+            .select("id", "bucket", "size", F.coalesce("component", "id").alias("component")))
 
 
 def star_pairs(placed: DataFrame, salt: int) -> DataFrame:
@@ -145,13 +156,17 @@ def star_pairs(placed: DataFrame, salt: int) -> DataFrame:
             .select(F.col("id").alias("a"), F.col("m.other").alias("b")))
 
 
-def crossing_pairs(placed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but no component; sizes are checked here,
-    inside the join."""
-    rows = placed.join(sizes, "id")
-    mixed = (rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+def mixed_buckets(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    mixed = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo <> hi").select("bucket"))
-    rows = cut_lineage(rows.join(mixed, "bucket"), name="crossing")
+    return placed.join(mixed, "bucket")
+
+
+def crossing_pairs(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of (small) buckets that share no component; sizes are checked
+    inside the join."""
+    rows = rows.join(sizes, "id")
     a, b = rows.alias("a"), rows.alias("b")
     fits = (F.col("a.n") * OUT_OF >= F.col("b.n") * SIMILAR) & (F.col("b.n") * OUT_OF >= F.col("a.n") * SIMILAR)
     return (a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.id") < F.col("b.id"))
@@ -159,6 +174,84 @@ def crossing_pairs(placed: DataFrame, sizes: DataFrame) -> DataFrame:
             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
 
 
+def tiles(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(tile, kind, r, p, right, id, component, ...)``: the documents of large
+    mixed buckets, each in the tiles in which it has to be compared."""
+    lead = rows.groupBy("bucket").agg(F.min("id").alias("b"))
+    groups = components(rows.select("bucket", F.col("id").alias("a")).join(lead, "bucket").select("a", "b"))
+    docs = (rows.select("id", "component").distinct().join(groups.withColumnRenamed("component", "group"), "id")
+            .join(nodes.select("id", "n", "side_a", "side_b", "mins"), "id"))
+    docs = cut_lineage(docs, name="grouped")
+    parts = docs.groupBy("group", "component").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
+    main = parts.groupBy("group").agg(F.max(F.struct("docs", "component", "shingles")).alias("main"),
+                                      F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles"))
+
+    def blocks(docs, shingles):
+        return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    plan = main.select("group", F.col("main.component").alias("main"),
+                       blocks(F.col("main.docs"), F.col("main.shingles")).alias("mains"),
+                       blocks(F.col("docs") - F.col("main.docs"),
+                              F.col("shingles") - F.col("main.shingles")).alias("rests"))
+    docs = docs.join(plan, "group").withColumn("in_main", F.col("component") == F.col("main"))
+    h = F.xxhash64("id")
+    own = F.pmod(h, F.when(F.col("in_main"), F.col("mains")).otherwise(F.col("rests")).cast("long")).cast("int")
+
+    def upto(n):
+        return F.sequence(F.lit(0), n - 1)
+    with_main = F.when(F.col("in_main"), F.transform(upto(F.col("rests")), lambda r: F.struct(
+        F.lit("m").alias("kind"), r.alias("r"), F.col("own").alias("p"), F.lit(False).alias("right"))))
+    with_main = with_main.otherwise(F.transform(upto(F.col("mains")), lambda p: F.struct(
+        F.lit("m").alias("kind"), F.col("own").alias("r"), p.alias("p"), F.lit(True).alias("right"))))
+    with_rest = F.when(F.col("in_main"), F.array().cast(
+        "array<struct<kind:string,r:int,p:int,right:boolean>>")).otherwise(
+        F.transform(upto(F.col("rests")), lambda q: F.struct(
+            F.lit("r").alias("kind"), F.greatest(q, F.col("own")).alias("r"), F.least(q, F.col("own")).alias("p"),
+            (q < F.col("own")).alias("right"))))
+    placed = (docs.withColumn("own", own).withColumn("at", F.explode(F.concat(with_main, with_rest)))
+              .select("id", "component", "n", "side_a", "side_b", "mins", "group", "at.*"))
+    return placed.join(sets.withColumnRenamed(KEY, "id"), "id")
+
+
+def _tile_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One verified link per document and component of a tile."""
+    def of(rows):
+        return (rows["id"].to_numpy(), rows["component"].to_numpy(), rows["n"].to_numpy(),
+                *(np.stack(rows[c].to_numpy()) for c in ("side_a", "side_b")),
+                np.stack([np.frombuffer(m, np.uint8) for m in rows["mins"]]),
+                [np.frombuffer(x, np.uint64) for x in rows["shingles"]])
+    pdf = pdf.sort_values("id", kind="stable")
+    kind, r, p = pdf["kind"].iloc[0], pdf["r"].iloc[0], pdf["p"].iloc[0]
+    alone = kind == "r" and r == p
+    x = pdf if alone else pdf[~pdf["right"]]
+    y = pdf if alone else pdf[pdf["right"]]
+    out = []
+    if len(x) and len(y):
+        xid, xc, xn, xa, xb, xm, xs = of(x)
+        yid, yc, yn, ya, yb, ym, ys = of(y)
+        shared = overlaps(xs, ys)
+        for i in range(len(x)):  # a row of the tile at a time
+            ok = (yc != xc[i]) & (ya == xa[i]).any(1) & (yb == xb[i]).any(1) & ((ym == xm[i]).mean(1) >= MIN_ESTIMATE)
+            both = shared(i)
+            hits = np.flatnonzero(ok & (OUT_OF * both >= SIMILAR * (xn[i] + yn - both)))
+            _, first = np.unique(yc[hits], return_index=True)
+            out += [(int(xid[i]), int(yid[j])) for j in hits[first]]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]):
+    """A function of i: the size of the intersection of ``xs[i]`` with each of
+    ``ys`` (all sorted, without repeats)."""
+    order = np.argsort(flat := np.concatenate(ys), kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(ys)), [len(y) for y in ys])[order]
+
+    def count(i: int) -> np.ndarray:
+        a, b = np.searchsorted(flat, xs[i], "left"), np.searchsorted(flat, xs[i], "right")
+        n = b - a
+        at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(owner[at], minlength=len(ys))
+    return count
+
+
 def _likely(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
     width = 2 * SIDE * ROWS
     for batch in batches:
@@ -198,19 +291,17 @@ def _confirmed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def confirmed_links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+def confirmed_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    pairs = cut_lineage(likely_pairs(pairs, nodes), name=f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias(KEY)).union(pairs.select("b")).distinct()
-    sets = (texts.join(ids, KEY, "left_semi").mapInArrow(_sets, f"{KEY} long, shingles binary")
-            .groupBy(KEY).agg(F.max("shingles").alias("shingles")))  # rows that repeat an id
-    sets = cut_lineage(sets, name=f"{name}-sets")
+    pairs = cut_lineage(likely_pairs(pairs, nodes), name="pairs")
 
     def with_(side):
         return sets.select(F.col(KEY).alias(side), F.col("shingles").alias(f"s{side}"))
     links = (pairs.join(with_("b"), "b").join(with_("a"), "a").select("a", "b", "sa", "sb")
              .mapInArrow(_confirmed, "a long, b long"))
-    return cut_lineage(links, name=f"{name}-links")
+    links = cut_lineage(links, name="links")
+    forget(pairs)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,18 +318,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .agg(F.max(F.struct(F.col("n_shingles").alias("n"), "mins", "side_a", "side_b")).alias("s"))
              .select("id", "s.*"))
     nodes = cut_lineage(nodes, name="nodes")
-    buckets = cut_lineage(table_buckets(nodes), name="buckets")
-    links, comps = member.select(F.col(KEY).alias("a"), F.col("rep").alias("b")).where("a <> b"), None
-    verified = None
-    for step in range(STAR_ROUNDS + 1):
-        placed = _placed(buckets, comps)
-        pairs = (star_pairs(placed, step) if step < STAR_ROUNDS
-                 else crossing_pairs(placed, nodes.select("id", "n")))
-        found = confirmed_links(pairs, nodes, texts, f"round{step}")
-        verified = found if verified is None else verified.union(found)
-        comps = cut_lineage(components(verified), name="components")
-    whole = cut_lineage(components(links.union(comps.select(F.col("id").alias("a"), F.col("component").alias("b")))),
-                        name="components")
+    forget(sketches)
+    buckets = table_buckets(nodes)
+    sets = (texts.join(buckets.select(F.col("id").alias(KEY)).distinct(), KEY, "left_semi")
+            .mapInArrow(_sets, f"{KEY} long, shingles binary")
+            .groupBy(KEY).agg(F.max("shingles").alias("shingles")))  # rows that repeat an id
+    sets = cut_lineage(sets, name="sets")
+    links, comps = [], None
+    for step in range(STAR_ROUNDS):
+        links.append(confirmed_links(star_pairs(_placed(buckets, comps), step), nodes, sets))
+        comps = components(reduce(DataFrame.union, links))
+    rows = cut_lineage(mixed_buckets(_placed(buckets, comps)), name="mixed")
+    small = rows.where(F.col("size") <= SMALL_BUCKET)
+    links.append(confirmed_links(crossing_pairs(small, nodes.select("id", "n")), nodes, sets))
+    large = tiles(rows.where(F.col("size") > SMALL_BUCKET), nodes, sets)
+    links.append(cut_lineage(large.groupBy("group", "kind", "r", "p").applyInPandas(
+        lambda pdf: _tile_links(pdf), "a long, b long"), name="links"))
+    copies = member.select(F.col(KEY).alias("a"), F.col("rep").alias("b")).where("a <> b")
+    whole = components(reduce(DataFrame.union, [copies, *links]))
+    forget(buckets, sets, nodes, rows)
     return (member.join(whole, F.col(KEY) == F.col("id"), "left")
             .select(id_of().alias(id_col), "n_shingles",
                     id_of(F.coalesce("component", KEY)).alias("component_id"),
