@@ -9,7 +9,7 @@ their words, texts of fewer than ``WINDOW`` hashes one window.
 
 Only DataFrame functions: a text is one row, its words, hashes and minima are
 arrays made by higher-order functions, so fingerprinting is a map without a
-shuffle.
+shuffle.  Elements are read by ``get`` (constant time; ``slice`` copies the array).
 
 ``with_next`` gives each document the next one's text by ascending id, and the
 last one the first's.  Documents are cut into blocks of neighbouring ids at
@@ -33,40 +33,53 @@ from netstream.session import shuffle_partitions
 
 K = 4
 WINDOW = 8
+PLACE_BITS = 24
+_PLACES = (1 << PLACE_BITS) - 1
 
 
 def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """``array<struct<pos:int, h:bigint>>`` in the order of the places."""
-    words = F.filter(F.split(text, "[ \\t\\n\\x0b\\f\\r]+"), lambda w: w != "")
+    """``array<bigint>`` in the order of the places: the upper 40 bits are the
+    hash, the lower ``PLACE_BITS`` the place (see ``place_of``, ``hash_of``), so
+    the least of a window is its smallest hash and of equal ones the
+    rightmost."""
+    words = F.filter(F.split(text, "[ \t\n\x0b\f\r]+"), lambda w: w != "")
+
+    def placed(h: Column, i: Column) -> Column:
+        return h.bitwiseAND(F.lit(~_PLACES)).bitwiseOR(F.lit(_PLACES) - i.cast("long").bitwiseAND(F.lit(_PLACES)))
 
     def grams(hashes: Column) -> Column:
         n = F.size(hashes)
-        short = F.array(F.xxhash64(n, hashes))
-        full = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))),
-                           lambda i: F.xxhash64(*[F.get(hashes, i + (j - 1)) for j in range(k)]))
+        short = F.array(placed(F.xxhash64(n, hashes), F.lit(0)))
+        full = F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
+                           lambda i: placed(F.xxhash64(*[F.get(hashes, i + j) for j in range(k)]), i))
         return F.when(n == 0, F.array().cast("array<bigint>")).when(n < k, short).otherwise(full)
 
     def minima(h: Column) -> Column:
-        n = F.size(h)
-        last = F.greatest(n - window, F.lit(0))
-        # (hash, -place): the least is the smallest hash, of equal ones the rightmost
-        pairs = F.transform(h, lambda x, i: F.struct(x.alias("h"), (-i).alias("p")))
-        return let(pairs, lambda ps: F.when(n == 0, F.array().cast("array<struct<h:bigint,p:int>>")).otherwise(
-            F.transform(F.sequence(F.lit(0), last), lambda i: F.array_min(F.slice(ps, i + 1, window)))))
+        last = F.greatest(F.size(h) - window, F.lit(0))
+        least = F.transform(F.sequence(F.lit(0), last), lambda i: F.least(*[F.get(h, i + j) for j in range(window)]))
+        return F.when(F.size(h) == 0, h).otherwise(F.array_distinct(least))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hs: let(grams(hs), minima))
+
+
+def place_of(picked: Column) -> Column:
+    """The place (in words, modulo ``2**PLACE_BITS``) of an element."""
+    return F.lit(_PLACES) - picked.bitwiseAND(F.lit(_PLACES))
+
 
-    picked = let(F.transform(words, lambda w: F.xxhash64(w)), lambda hs: let(grams(hs), minima))
-    return F.transform(F.array_distinct(picked), lambda s: F.struct((-s["p"]).alias("pos"), s["h"].alias("h")))
+def hash_of(picked: Column) -> Column:
+    return F.shiftrightunsigned(picked, PLACE_BITS)
 
 
 def as_text(fp: Column) -> Column:
     """``place:hash`` in hexadecimal, one after the other."""
-    return F.array_join(F.transform(fp, lambda s: F.concat(F.hex(s["pos"]), F.lit(":"), F.hex(s["h"]))), " ")
+    return F.array_join(F.transform(fp, lambda x: F.concat(F.hex(place_of(x)), F.lit(":"), F.hex(hash_of(x)))), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of the hashes of two fingerprints."""
     def hashes(fp):
-        return F.transform(fp, lambda s: s["h"])
+        return F.transform(fp, hash_of)
     together = F.size(F.array_union(hashes(a), hashes(b)))
     return F.when(together == 0, 1.0).otherwise(F.size(F.array_intersect(hashes(a), hashes(b))) / together)
 
@@ -78,12 +91,13 @@ def in_blocks(texts: DataFrame, blocks: int) -> DataFrame:
     cuts = sorted(set(cuts or [])) if blocks > 1 else []
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts]).cast("array<bigint>")
     rows = texts.withColumn("block", F.size(F.filter(bounds, lambda c: c < F.col(KEY))))
-    first = (rows.groupBy("block").agg(F.min(F.struct(KEY, TEXT)).alias("f")))  # a row per block
-    before = Window.partitionBy(F.lit(0)).orderBy("block")
-    firsts = (first.withColumn("to", F.lag("block").over(before))
-              .withColumn("last", F.max("block").over(Window.partitionBy(F.lit(0))))
-              .select(F.col(f"f.{KEY}").alias(KEY), F.col(f"f.{TEXT}").alias(TEXT),
-                      F.coalesce("to", "last").alias("block"), F.lit(True).alias("extra")))
+    before = Window.partitionBy(F.lit(0)).orderBy("block")  # over one narrow row per block
+    first = (rows.groupBy("block").agg(F.min(KEY).alias(KEY))
+             .withColumn("to", F.lag("block").over(before))
+             .withColumn("last", F.max("block").over(Window.partitionBy(F.lit(0))))
+             .select(KEY, F.coalesce("to", "last").alias("block")))
+    firsts = (texts.join(F.broadcast(first), KEY)  # a row per block
+              .groupBy("block", KEY).agg(F.min(TEXT).alias(TEXT)).select(KEY, TEXT, "block", F.lit(True).alias("extra")))
     return rows.withColumn("extra", F.lit(False)).unionByName(firsts)
 
 
