@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netstream.session import remove_scratch
+
 KEY = "_nx_key"
 TEXT = "_nx_text"
 NULL_KEY = -(1 << 63)
@@ -39,6 +41,14 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias(TEXT))
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` wrote and nobody reads any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            remove_scratch(table.sparkSession, files[0].rpartition("/")[0])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row.  Catalyst may
     inline a projected column into a lambda, where it would be computed for
@@ -87,8 +97,7 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _random = np.random.default_rng(20260101)
 _CODE = _random.integers(1, 1 << 64, 256, np.uint64, endpoint=False) | np.uint64(1)
 _BASE = int(_random.integers(1 << 62, 1 << 63)) * 2 + 1
-_CODE_OF = {True: np.where(SPACE, 0, _CODE[LOWER]).astype(np.uint64),
-            False: np.where(SPACE, 0, _CODE).astype(np.uint64)}
+_CODE_OF = {True: _CODE[LOWER], False: _CODE}
 
 
 def byte_codes(raw: np.ndarray) -> np.ndarray:
@@ -122,10 +131,12 @@ class Chunk:
     and 64-bit hashes in order, ``counts`` the words per document.
     """
 
-    def __init__(self, keys: np.ndarray, raw: np.ndarray, bounds: np.ndarray, lower: bool, cut: np.ndarray | None = None):
-        """``cut``: places at which a word starts whatever stands before."""
+    def __init__(self, keys: np.ndarray, raw: np.ndarray, bounds: np.ndarray, lower: bool,
+                 cut: np.ndarray | None = None, parting: np.ndarray = SPACE):
+        """``cut``: places at which a word starts whatever stands before;
+        ``parting``: whether a byte parts words."""
         self.keys, self.raw, self.bounds = keys, raw, bounds
-        word = ~SPACE[raw]
+        word = ~parting[raw]
         begin, last = word.copy(), word.copy()
         begin[1:] &= ~word[:-1]
         last[:-1] &= ~word[1:]
@@ -140,7 +151,7 @@ class Chunk:
             rank = np.arange(len(raw) - at.start, dtype=np.int32)
             rank -= np.repeat((self.starts - at.start).astype(np.int32), size)
             rank *= word[at]
-            self.hashes = hash_runs(_CODE_OF[lower][raw[at]], rank, self.starts - at.start)
+            self.hashes = hash_runs(_CODE_OF[lower][raw[at]] * word[at], rank, self.starts - at.start)
         else:
             self.hashes = np.zeros(0, np.uint64)
         self.counts = np.diff(np.searchsorted(self.starts, bounds))

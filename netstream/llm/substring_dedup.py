@@ -13,8 +13,12 @@ Only windows around anchors that occur twice are then extended to their full
 ``WINDOW`` words and compared, by 128 bits.  The result equals that of
 comparing all windows.
 
+A document whose text is that of one with a smaller id is a copy: each of its
+windows starts earlier there, so all its words go if it has a window, and only
+the first of equal texts takes part in what follows.
+
 Counting anchors and finding the first place of a window are partial
-aggregates; marking the other places is an equi-join whose large side adaptive
+aggregates; marking the other places is a hash join whose large side adaptive
 execution splits, so a passage in a third of all documents is no hot task.
 
 Defined cases: words are taken as they are; a null text has none; fewer than
@@ -32,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import (KEY, TEXT, Chunk, id_of, keyed_texts, run_hashes, signed, whole_runs, word_chunks)
+from netstream.llm.common import (KEY, TEXT, Chunk, forget, id_of, keyed_texts, run_hashes, signed, whole_runs,
+                                  word_chunks)
 from netstream.session import cut_lineage
 
 PERIOD = 13
@@ -59,6 +64,13 @@ def chunk_anchors(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[keep], place[keep], run_hashes(chunk.hashes, ANCHOR)[at]
 
 
+def copied_texts(texts: DataFrame) -> DataFrame:
+    """``(KEY)`` of the texts that also stand under a smaller id."""
+    same = texts.select(KEY, F.xxhash64(TEXT).alias("d1"), F.xxhash64(F.lit(1), TEXT).alias("d2"))
+    first = same.groupBy("d1", "d2").agg(F.min(KEY).alias("first"), F.max(KEY).alias("last")).where("first < last")
+    return (same.join(first, ["d1", "d2"]).where(F.col(KEY) > F.col("first")).select(KEY).distinct())
+
+
 def repeated_anchors(texts: DataFrame) -> DataFrame:
     """``(KEY, places)``: where the anchors stand that occur more than once."""
     def counts(batches: Iterable[pa.RecordBatch]):
@@ -73,7 +85,7 @@ def repeated_anchors(texts: DataFrame) -> DataFrame:
 
     twice = (texts.mapInArrow(counts, "h long, n byte").groupBy("h").agg(F.sum("n").alias("n"))
              .where("n > 1").select("h"))
-    found = texts.mapInArrow(rows, f"h long, {KEY} long, place int").join(twice, "h")
+    found = texts.mapInArrow(rows, f"h long, {KEY} long, place int").join(twice.hint("shuffle_hash"), "h")
     return found.groupBy(KEY).agg(F.collect_list("place").alias("places"))
 
 
@@ -109,19 +121,20 @@ def later_windows(windows: DataFrame) -> DataFrame:
     first = (windows.groupBy("h1", "h2").agg(F.min(F.struct(KEY, "start")).alias("first"),
                                              F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("h1", "h2", "first"))
-    later = windows.join(first, ["h1", "h2"]).where(F.struct(KEY, "start") > F.col("first"))
+    later = windows.join(first.hint("shuffle_hash"), ["h1", "h2"]).where(F.struct(KEY, "start") > F.col("first"))
     return later.groupBy(KEY).agg(F.collect_set("start").alias("starts"))
 
 
-def remove_covered(texts: DataFrame, later: DataFrame) -> DataFrame:
+def remove_covered(texts: DataFrame, later: DataFrame, copies: DataFrame) -> DataFrame:
     """``(KEY, n_words, n_removed, kept)``: the texts without the words below
-    the windows, the rest joined by one space."""
+    the windows (copies: below any window), the rest joined by one space."""
     def rows(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
-            starts = batch.column("starts")
+            starts, copied = batch.column("starts"), batch.column("copied").to_numpy(zero_copy_only=False)
             done = 0
             for chunk in word_chunks([batch.select([KEY, TEXT])], lower=False):
                 own = starts.slice(done, len(chunk.keys))
+                gone = copied[done:done + len(chunk.keys)] & (chunk.counts >= WINDOW)
                 done += len(chunk.keys)
                 doc = np.repeat(np.arange(len(own)), own.value_lengths().fill_null(0).to_numpy())
                 start = own.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -130,12 +143,14 @@ def remove_covered(texts: DataFrame, later: DataFrame) -> DataFrame:
                 steps = np.zeros(len(chunk.hashes) + 1, np.int64)
                 np.add.at(steps, first, 1)
                 np.add.at(steps, first + WINDOW, -1)
-                keep = np.cumsum(steps[:-1]) == 0
+                keep = (np.cumsum(steps[:-1]) == 0) & ~gone[chunk.doc]
                 kept = np.bincount(chunk.doc[keep], minlength=len(chunk.keys))
                 yield _batch(f"{KEY} n_words n_removed kept", chunk.keys, chunk.counts, chunk.counts - kept,
                              joined_words(chunk, keep, kept))
 
-    return (texts.join(later, KEY, "left").select(KEY, TEXT, "starts")
+    marked = later.join(copies, KEY, "left_anti").withColumn("copied", F.lit(False)).unionByName(
+        copies.select(KEY, F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copied")))
+    return (texts.join(marked, KEY, "left").select(KEY, TEXT, "starts", F.coalesce("copied", F.lit(False)).alias("copied"))
             .mapInArrow(rows, f"{KEY} long, n_words long, n_removed long, kept string"))
 
 
@@ -158,10 +173,14 @@ def joined_words(chunk: Chunk, keep: np.ndarray, counts: np.ndarray) -> pa.Array
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_words, n_removed, kept`` of each row."""
     texts = keyed_texts(docs, id_col, text_col)
-    anchors = cut_lineage(repeated_anchors(texts), name="anchors")
-    windows = cut_lineage(extended_windows(texts, anchors), name="windows")
+    copies = cut_lineage(copied_texts(texts), name="copies")
+    firsts = cut_lineage(texts.join(copies, KEY, "left_anti"), name="firsts")
+    anchors = cut_lineage(repeated_anchors(firsts), name="anchors")
+    windows = cut_lineage(extended_windows(firsts, anchors), name="windows")
+    forget(firsts, anchors)
     later = cut_lineage(later_windows(windows), name="later")
-    return remove_covered(texts, later).select(id_of().alias(id_col), "n_words", "n_removed", "kept")
+    forget(windows)
+    return remove_covered(texts, later, copies).select(id_of().alias(id_col), "n_words", "n_removed", "kept")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
