@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import (KEY, TEXT, Chunk, forget, id_of, keyed_texts, run_hashes, signed, whole_runs,
+from netstream.llm.common import (KEY, TEXT, Chunk, forget, id_of, keyed_texts, mix, run_hashes, signed, whole_runs,
                                   word_chunks)
 from netstream.session import cut_lineage
 
@@ -81,16 +81,22 @@ def repeated_anchors(texts: DataFrame) -> DataFrame:
     def rows(batches: Iterable[pa.RecordBatch]):
         for chunk in word_chunks(batches, lower=False):
             doc, place, h = chunk_anchors(chunk)
-            yield _batch(f"h {KEY} place", signed(h), chunk.keys[doc], place.astype(np.int32))
+            _, at, n = np.unique(h, return_inverse=True, return_counts=True)
+            sure = n[at] > 1  # twice in this chunk: known, and spread instead of meeting at its hash
+            h = np.where(sure, mix(h + np.arange(len(h), dtype=np.uint64)), h)
+            yield _batch(f"h {KEY} place sure", signed(h), chunk.keys[doc], place.astype(np.int32), sure)
 
     twice = (texts.mapInArrow(counts, "h long, n byte").groupBy("h").agg(F.sum("n").alias("n"))
-             .where("n > 1").select("h"))
-    found = texts.mapInArrow(rows, f"h long, {KEY} long, place int").join(twice.hint("shuffle_hash"), "h")
+             .where("n > 1").select("h", F.lit(True).alias("twice")))
+    found = (texts.mapInArrow(rows, f"h long, {KEY} long, place int, sure boolean")
+             .join(twice.hint("shuffle_hash"), "h", "left").where("sure OR twice"))
     return found.groupBy(KEY).agg(F.collect_list("place").alias("places"))
 
 
 def extended_windows(texts: DataFrame, anchors: DataFrame) -> DataFrame:
-    """``(KEY, start, h1, h2)`` of each window around a repeated anchor."""
+    """``(KEY, start, h1, h2, sure)`` of each window around a repeated anchor;
+    ``sure``: its words start earlier in the same chunk of documents, so only
+    the first window of a chunk has to meet those of others."""
     def rows(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
             places = batch.column("places")
@@ -108,20 +114,27 @@ def extended_windows(texts: DataFrame, anchors: DataFrame) -> DataFrame:
                 near = np.cumsum(steps[:-1]) > 0
                 at = whole_runs(chunk.counts, WINDOW)
                 at = at[near[at]]
-                yield _batch(f"{KEY} start h1 h2", chunk.keys[chunk.doc[at]], _positions(chunk)[at].astype(np.int32),
-                             signed(run_hashes(chunk.hashes, WINDOW)[at]),
-                             signed(run_hashes(chunk.hashes, WINDOW, 1)[at]))
+                key, start = chunk.keys[chunk.doc[at]], _positions(chunk)[at].astype(np.int32)
+                h1, h2 = run_hashes(chunk.hashes, WINDOW)[at], run_hashes(chunk.hashes, WINDOW, 1)[at]
+                order = np.lexsort((start, key, h2, h1))
+                first = np.append(True, (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0))[:len(order)]
+                head = order[first][np.cumsum(first) - 1]  # the chunk's first window of these words
+                sure = np.zeros(len(at), bool)
+                sure[order] = (key[head] != key[order]) | (start[head] != start[order])
+                yield _batch(f"{KEY} start h1 h2 sure", key, start, signed(h1), signed(h2), sure)
 
     return (texts.join(anchors, KEY).select(KEY, TEXT, "places")
-            .mapInArrow(rows, f"{KEY} long, start int, h1 long, h2 long"))
+            .mapInArrow(rows, f"{KEY} long, start int, h1 long, h2 long, sure boolean"))
 
 
 def later_windows(windows: DataFrame) -> DataFrame:
     """``(KEY, starts)`` of the windows whose words also start earlier."""
-    first = (windows.groupBy("h1", "h2").agg(F.min(F.struct(KEY, "start")).alias("first"),
+    open_ = windows.where("NOT sure")
+    first = (open_.groupBy("h1", "h2").agg(F.min(F.struct(KEY, "start")).alias("first"),
                                              F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("h1", "h2", "first"))
-    later = windows.join(first.hint("shuffle_hash"), ["h1", "h2"]).where(F.struct(KEY, "start") > F.col("first"))
+    later = (open_.join(first.hint("shuffle_hash"), ["h1", "h2"]).where(F.struct(KEY, "start") > F.col("first"))
+             .select(KEY, "start").union(windows.where("sure").select(KEY, "start")))
     return later.groupBy(KEY).agg(F.collect_set("start").alias("starts"))
 
 
