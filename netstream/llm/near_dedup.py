@@ -51,12 +51,12 @@ from pyspark.sql import functions as F
 from netstream.llm.common import (KEY, Chunk, forget, id_of, key_of, keyed_texts, mix, run_hashes, signed, whole_runs,
                                   word_chunks)
 from netstream.llm.components import components
-from netstream.session import cut_lineage
+from netstream.session import cut_lineage, shuffles_dropped
 
 SHINGLE = 5
 SIMILAR, OUT_OF = 75, 100
 SIDE, ROWS = 17, 3
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 MIN_ESTIMATE = 0.54
 SMALL_BUCKET = 24
 BLOCK_DOCS, BLOCK_SHINGLES = 1_024, 500_000
@@ -177,9 +177,12 @@ def crossing_pairs(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 def tiles(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """``(tile, kind, r, p, right, id, component, ...)``: the documents of large
     mixed buckets, each in the tiles in which it has to be compared."""
-    lead = rows.groupBy("bucket").agg(F.min("id").alias("b"))
-    groups = components(rows.select("bucket", F.col("id").alias("a")).join(lead, "bucket").select("a", "b"))
-    docs = (rows.select("id", "component").distinct().join(groups.withColumnRenamed("component", "group"), "id")
+    # components that share a bucket make a group; a component counts once per bucket
+    shared = rows.select("bucket", "component").distinct()
+    lead = shared.groupBy("bucket").agg(F.min("component").alias("b"))
+    groups = components(shared.join(lead, "bucket").select(F.col("component").alias("a"), "b"))
+    groups = groups.select(F.col("id").alias("component"), F.col("component").alias("group"))
+    docs = (rows.select("id", "component").distinct().join(groups, "component")
             .join(nodes.select("id", "n", "side_a", "side_b", "mins"), "id"))
     docs = cut_lineage(docs, name="grouped")
     parts = docs.groupBy("group", "component").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
@@ -306,6 +309,11 @@ def confirmed_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> Data
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of each row."""
+    with shuffles_dropped(docs.sparkSession):
+        return _near_duplicates(docs, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = keyed_texts(docs, id_col, text_col)
     sketches = cut_lineage(texts.mapInArrow(_sketches, SKETCH), name="sketches")
     rep = sketches.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min(KEY).alias("rep"))
@@ -327,10 +335,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, comps = [], None
     for step in range(STAR_ROUNDS):
         links.append(confirmed_links(star_pairs(_placed(buckets, comps), step), nodes, sets))
-        comps = components(reduce(DataFrame.union, links))
+        before, comps = comps, components(reduce(DataFrame.union, links))
+        if before is not None:
+            forget(before)
     rows = cut_lineage(mixed_buckets(_placed(buckets, comps)), name="mixed")
     small = rows.where(F.col("size") <= SMALL_BUCKET)
     links.append(confirmed_links(crossing_pairs(small, nodes.select("id", "n")), nodes, sets))
+    forget(comps)
     large = tiles(rows.where(F.col("size") > SMALL_BUCKET), nodes, sets)
     links.append(cut_lineage(large.groupBy("group", "kind", "r", "p").applyInPandas(
         lambda pdf: _tile_links(pdf), "a long, b long"), name="links"))
