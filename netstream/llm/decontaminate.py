@@ -6,12 +6,14 @@ largest impact.  Impacts are divided by the item's score against itself, so one
 threshold (``MIN_SCORE``) serves all items.  Every passage of every document is
 a query and gets all items at or above the threshold:
 
-1. the sum of each term's largest impact bounds the passage; passages below the
-   threshold are skipped;
+1. the sum of each distinct term's largest impact bounds the passage; passages
+   below the threshold are skipped;
 2. the sum of block maxima bounds each block of items for the passages left;
    blocks below the threshold are skipped;
 3. the items of the blocks left are scored in full.
 
+All passages of some hundred documents take each step together (numpy).
+
 Bounds never underestimate, so nothing above the threshold is lost.  A passage
 is two neighbouring cells of as many words as the longest item, cells overlap
 by one, so an item that stands in a document stands whole in some passage.
@@ -35,14 +37,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, id_of, key_of, keyed_texts
+from netstream.llm.common import KEY, TEXT, Chunk, id_of, key_of, keyed_texts, text_chunks
 
 K1, BM25_B = 1.2, 0.75
 MIN_SCORE = 0.5
@@ -50,15 +52,27 @@ MIN_OVERLAP = 0.7
 GRAM = 3
 BLOCK_ITEMS = 16
 SHARD_ITEMS, SHARD_CHARS = 20_000, 16_000_000
-CHUNK_WORDS = 400_000
+CELLS = 400_000
 SCHEMA = f"{KEY} long, _nx_item long, score double, question_overlap double, answer_overlap double"
 
 #: ASCII bytes that are no letter or digit part words; other scripts pass.
-_CUT = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+PARTING = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+_CUT = bytes(32 if parts else b for b, parts in enumerate(PARTING))
+
+
+def lowered(texts: pa.Array) -> pa.Array:
+    return pc.utf8_lower(texts)
 
 
 def item_words(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").translate(_CUT).split()
+    return lowered(pa.array([text]))[0].as_py().encode("utf-8", "replace").translate(_CUT).split()
+
+
+def text_words(batches: Iterable[pa.RecordBatch]) -> Iterator[Chunk]:
+    for batch in batches:
+        small = pa.RecordBatch.from_arrays([batch.column(KEY), lowered(batch.column(TEXT))], names=[KEY, TEXT])
+        for keys, raw, bounds in text_chunks([small]):
+            yield Chunk(keys, raw, bounds, False, parting=PARTING)
 
 
 def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
@@ -76,12 +90,6 @@ def grams(ids: Iterable[int]) -> set:
     return {tuple(ids[i:i + GRAM]) for i in range(max(1, len(ids) - GRAM + 1))} if ids else set()
 
 
-def _lists(rows: np.ndarray, values: list[np.ndarray], n: int) -> list[np.ndarray]:
-    """Row starts and the values, ordered by row."""
-    order = np.argsort(rows, kind="stable")
-    return [np.searchsorted(rows[order], np.arange(n + 1)), *(v[order] for v in values)]
-
-
 class ItemIndex:
     """Inverted index of some items with impacts and block maxima."""
 
@@ -90,6 +98,10 @@ class ItemIndex:
         words = [item_words(t) for _, t in items]
         self.ids = np.array([i for i, _ in items], np.int64)
         self.vocabulary = {w: n for n, w in enumerate(sorted({w for ws in words for w in ws}))}
+        raw = np.frombuffer(b" ".join(self.vocabulary), np.uint8)
+        hashes = Chunk(np.zeros(1, np.int64), raw, np.array([0, len(raw)]), False, parting=PARTING).hashes
+        self.code = np.argsort(hashes)
+        self.hashes = hashes[self.code]
         self.cell = max(map(len, words), default=1)
         n_terms, n = len(self.vocabulary), len(items)
         found = [np.unique([self.vocabulary[w] for w in ws], return_counts=True) for ws in words]
@@ -103,18 +115,27 @@ class ItemIndex:
         impact /= np.bincount(item, impact, n)[item] if n else 1.0
         self.largest = np.zeros(n_terms)
         np.maximum.at(self.largest, term, impact)
-        self.begin, self.item, self.impact = _lists(term, [item, impact], n_terms)
-        blocks = -(-n // BLOCK_ITEMS)
-        pair, at = np.unique(term * max(1, blocks) + item // BLOCK_ITEMS, return_inverse=True)
-        top = np.zeros(len(pair))
-        np.maximum.at(top, at, impact)
-        self.blocks = blocks
-        self.block_begin, self.block, self.block_top = _lists(
-            pair // max(1, blocks), [pair % max(1, blocks), top], n_terms)
+        order = np.lexsort((item, term))
+        term, self.item, self.impact = term[order], item[order], impact[order]
+        self.begin = np.searchsorted(term, np.arange(n_terms + 1))
+        self.blocks = max(1, -(-n // BLOCK_ITEMS))
+        pair, at, size = np.unique(term * self.blocks + self.item // BLOCK_ITEMS, return_inverse=True, return_counts=True)
+        self.block_top = np.zeros(len(pair))
+        np.maximum.at(self.block_top, at, self.impact)
+        self.block = pair % self.blocks
+        self.block_begin = np.searchsorted(pair // self.blocks, np.arange(n_terms + 1))
+        self.entry_begin = np.append(0, np.cumsum(size))  # the items of each (term, block)
         coded = [tuple([self.vocabulary[w] for w in part] for part in question_answer(t)) for _, t in items]
         self.question = [grams(q) for q, _ in coded]
         self.answer = [grams(a) for _, a in coded]
 
+    def terms(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words by hash; -1: not in the vocabulary."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.code[at], -1)
+
     def _expand(self, terms, begin, *values):
         """For each term its list: the term's place, and the listed values."""
         counts = begin[terms + 1] - begin[terms]
@@ -128,46 +149,53 @@ class ItemIndex:
         cells = -(-counts // self.cell)
         first = np.cumsum(cells) - cells
         begins = np.cumsum(counts) - counts
+        doc = np.repeat(np.arange(len(counts)), cells)
+        follows = np.append(doc[1:] == doc[:-1], False)[:len(doc)]  # the next cell is of the same document
+        is_passage = follows | (cells[doc] == 1)
         within = np.arange(len(terms)) - np.repeat(begins, counts)
         cell = np.repeat(first, counts) + within // self.cell
-        n_cells, n_terms = int(cells.sum()), len(self.vocabulary)
-        known = terms >= 0
-        pair = np.unique(cell[known] * n_terms + terms[known])
-        pair_cell, pair_term = pair // n_terms, pair % n_terms
-        doc = np.repeat(np.arange(len(counts)), cells)
-        follows = np.append(doc[1:] == doc[:-1], False) if n_cells else np.zeros(0, bool)
-
-        def with_next(bound):
-            after = np.vstack([bound[1:], np.zeros_like(bound[:1])])
-            return bound + after * follows[:, None]
-
+        known = np.flatnonzero(terms >= 0)
+        cell, term = cell[known], terms[known]
+        own = is_passage[cell]
+        before = (cell > 0) & follows[cell - 1] if len(cell) else own
+        n_terms = max(1, len(self.vocabulary))
+        pairs = np.sort(np.append(cell[own] * n_terms + term[own], (cell[before] - 1) * n_terms + term[before]))
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]]
+        passage, term = pairs // n_terms, pairs % n_terms
         slack = min_score - 1e-9
-        bound = np.bincount(pair_cell, self.largest[pair_term], n_cells)[:, None]
-        live = with_next(bound)[:, 0] >= slack
-        wanted = live | np.append(False, (live & follows)[:-1]) if n_cells else live
-        keep = wanted[pair_cell]
-        at, block, top = self._expand(pair_term[keep], self.block_begin, self.block, self.block_top)
-        sums = np.bincount(pair_cell[keep][at] * self.blocks + block, top, n_cells * self.blocks)
-        passages, blocks = np.nonzero((with_next(sums.reshape(n_cells, self.blocks)) >= slack) & live[:, None])
-        starts = np.searchsorted(pair_cell, np.arange(n_cells + 1))
-        for p in np.unique(passages):
-            last = p + 1 + bool(follows[p])
-            own = np.unique(pair_term[starts[p]:starts[last]])
-            _, item, impact = self._expand(own, self.begin, self.item, self.impact)
-            score = np.bincount(item, impact, len(self.ids))
-            in_blocks = np.isin(np.arange(len(self.ids)) // BLOCK_ITEMS, blocks[passages == p])
-            hits = np.flatnonzero((score >= slack) & in_blocks)
-            if not len(hits):
-                continue
-            d = doc[p]
-            a = begins[d] + (p - first[d]) * self.cell
-            b = min(begins[d] + counts[d], a + 2 * self.cell)
-            seen = grams(terms[a:b].tolist())
-            seen_words = set(terms[a:b].tolist())
-            for i in hits:
-                q, w = (self._share(part, seen, seen_words) for part in (self.question[i], self.answer[i]))
-                if q >= min_overlap and w >= min_overlap:
-                    yield int(d), int(self.ids[i]), float(score[i]), q, w
+        live = np.bincount(passage, self.largest[term], len(doc)) >= slack
+        keep = live[passage]
+        passage, term = passage[keep], term[keep]
+        step = max(1, CELLS // max(1, len(self.ids)))
+        for at in self._slices(passage, step):
+            for p, i, score in self._scores(passage[at], term[at], slack):
+                d = doc[p]
+                a = begins[d] + (p - first[d]) * self.cell
+                b = min(begins[d] + counts[d], a + 2 * self.cell)
+                seen = terms[a:b].tolist()
+                shares = [self._share(part, grams(seen), set(seen)) for part in (self.question[i], self.answer[i])]
+                if min(shares) >= min_overlap:
+                    yield int(d), int(self.ids[i]), float(score), *shares
+
+    @staticmethod
+    def _slices(passage: np.ndarray, step: int) -> Iterator[slice]:
+        """Parts of the pairs with at most ``step`` passages each."""
+        starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1])[:len(passage)])
+        for i in range(0, len(starts), step):
+            yield slice(int(starts[i]), int(starts[i + step]) if i + step < len(starts) else len(passage))
+
+    def _scores(self, passage: np.ndarray, term: np.ndarray, slack: float) -> Iterator[tuple]:
+        """``(passage, item, score)`` at or above the threshold."""
+        own, row = np.unique(passage, return_inverse=True)
+        at, entry = self._expand(term, self.block_begin, np.arange(len(self.block)))
+        place = row[at] * self.blocks + self.block[entry]
+        bound = np.bincount(place, self.block_top[entry], len(own) * self.blocks)
+        keep = bound[place] >= slack
+        rows = row[at[keep]]
+        at, item, impact = self._expand(entry[keep], self.entry_begin, self.item, self.impact)
+        score = np.bincount(rows[at] * len(self.ids) + item, impact, len(own) * len(self.ids))
+        for hit in np.flatnonzero(score >= slack):
+            yield own[hit // len(self.ids)], hit % len(self.ids), score[hit]
 
     @staticmethod
     def _share(part: set, seen: set, words: set) -> float:
@@ -178,29 +206,14 @@ class ItemIndex:
         return sum(g in seen if len(g) == GRAM else words.issuperset(g) for g in part) / len(part)
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
-    keys, words, counts = [], [], []
-    for batch in batches:
-        for key, text in zip(batch.column(KEY).to_pylist(), batch.column(TEXT)):
-            found = item_words(text.as_py() or "")
-            if words and len(words) + len(found) > CHUNK_WORDS:
-                yield keys, words, counts
-                keys, words, counts = [], [], []
-            keys.append(key)
-            counts.append(len(found))
-            words.extend(found)
-    if keys:
-        yield keys, words, counts
-
-
 def _found(texts: DataFrame, index: ItemIndex, min_score: float, min_overlap: float) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(index)
 
     def search(batches):
         own = shared.value
-        for keys, words, counts in _chunks(batches):
-            terms = np.fromiter(map(own.vocabulary.get, words, repeat(-1)), np.int64, len(words))
-            rows = [(keys[d], *r) for d, *r in own.search(terms, np.array(counts, np.int64), min_score, min_overlap)]
+        for chunk in text_words(batches):
+            rows = [(int(chunk.keys[d]), *r)
+                    for d, *r in own.search(own.terms(chunk.hashes), chunk.counts, min_score, min_overlap)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)],
                                                  names=[c.split()[0] for c in SCHEMA.split(", ")])

@@ -63,7 +63,8 @@ def test_winnowing(spark, documents):
     texts += ["x y " + texts[-1][20:42] + " z"]
     rows = fingerprint.fingerprints(documents(texts), blocks=2).collect()
     k, w = fingerprint.K, fingerprint.WINDOW
-    got = {r.doc_id: {(s.pos, s.h) for s in r.fp} for r in rows}
+    low = (1 << fingerprint.PLACE_BITS) - 1
+    got = {r.doc_id: {(low - (x & low), x >> fingerprint.PLACE_BITS) for x in r.fp} for r in rows}
     for i, t in enumerate(texts):
         words = t.split()
         assert len(got[i]) == (0 if not words else len({p for p, _ in got[i]}))
@@ -80,7 +81,7 @@ def test_winnowing(spark, documents):
         after = texts[(i + 1) % len(texts)]
         half = len(t) // 2
         assert by[i].edited == t[:len(t) - half] + after[:half]
-        assert [tuple(s) for s in by[i].next_fp] == [tuple(s) for s in by[(i + 1) % len(texts)].fp]
+        assert by[i].next_fp == by[(i + 1) % len(texts)].fp
 
 
 def test_near_dedup_equals_all_pairs(spark):
@@ -252,3 +253,29 @@ def test_packing_round_trip(spark, small):
         assert (n := sum(p.length for p in own)) <= 2048 and n & (n - 1) == 0
     # neighbours: what shares a window is more alike than what does not
     assert len(by_sequence) > 10
+
+
+def test_near_dedup_large_group(spark, documents, monkeypatch):
+    """A large group of near copies, many near the threshold, through tiles of
+    a few documents: the components of all pairs."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for i in range(90):
+        words = list(base)
+        for at in rng.choice(80, rng.integers(0, 7), replace=False):
+            words[at] = f"e{i}x{at}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in map(str.split, texts)]
+    head = list(range(len(sets)))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        n = len(sets[a] & sets[b])
+        if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n) and head[a] != head[b]:
+            low, high = sorted((head[a], head[b]))
+            head = [low if h == high else h for h in head]
+    assert 1 < len(set(head)) < 60
+    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK_DOCS", 10)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(documents(texts)).collect()}
+    assert got == dict(enumerate(head))
