@@ -124,7 +124,7 @@ def shuffles_dropped(spark: SparkSession):
     """Drop the shuffle files of each query in the block when it ends: what it
     wrote is in the shared folder, so nobody reads them again."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(key)
+    old = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
         yield
