@@ -38,7 +38,6 @@ from netstream.llm.common import KEY, SPACE, TEXT, Chunk, id_of, keyed_texts, te
 SEQ_LEN = 2048
 END_ID = 1
 SHARD_BYTES = 8_000_000
-QUERY_TERMS = 32
 K1, BM25_B = 1.2, 0.75
 CACHED_WORDS = 2_000_000
 SCHEMA = (f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -127,7 +126,7 @@ def _tokenizer(path: str) -> WordTokenizer:
 class Index:
     """BM25 postings of one shard, terms are token ids."""
 
-    def __init__(self, docs: list[np.ndarray], query_terms: int):
+    def __init__(self, docs: list[np.ndarray]):
         n = len(docs)
         terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
         sizes = np.array([len(t) for t in terms])
@@ -143,15 +142,13 @@ class Index:
         impact = tf * (K1 + 1) / (tf + norm[doc])
         self.doc = doc[order]
         self.impact = impact[order] * np.repeat(self.idf, df)
-        self.df, self.n, self.of, self.query_terms = df, n, terms, query_terms
+        self.df, self.n, self.of = df, n, terms
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share one of the seed's ``query_terms`` rarest shared
-        terms, best first (ties: first in the shard)."""
+        """Documents that share a term with the seed, best first by all its
+        terms (ties: first in the shard)."""
         at = np.searchsorted(self.terms, self.of[seed])
         at = at[self.df[at] > 1]
-        if len(at) > self.query_terms:
-            at = at[np.argsort(self.df[at], kind="stable")[:self.query_terms]]
         if not len(at):
             return at
         counts = self.df[at]
@@ -161,9 +158,9 @@ class Index:
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def pack_shard(docs: list[np.ndarray], seq_len: int, query_terms: int) -> list[tuple]:
+def pack_shard(docs: list[np.ndarray], seq_len: int) -> list[tuple]:
     """Pieces ``(doc, start, length, sequence, offset)`` of one shard."""
-    index = Index(docs, query_terms)
+    index = Index(docs)
     used = np.zeros(len(docs), bool)
     pieces, sequence, filled = [], 0, 0
     candidates, reseed, following = iter(()), True, 0
@@ -202,8 +199,7 @@ def _split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
-         query_terms: int = QUERY_TERMS) -> DataFrame:
+         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.  ``tokenizer_path`` must be readable on each
     executor."""
@@ -219,7 +215,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pdf[TEXT], pa.string())], names=[KEY, TEXT])
         ids = [d for part in text_chunks([batch]) for d in tokenize(shard_words(*part), end_id)]
         rows = [(keys[d], s, n, zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()), len(ids[d]), (int(key[0]) << 32) + q, o)
-                for d, s, n, q, o in pack_shard(ids, seq_len, query_terms)]
+                for d, s, n, q, o in pack_shard(ids, seq_len)]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     packed = (texts.withColumn("_nx_shard", shard).groupBy("_nx_shard").applyInPandas(shard_pieces, SCHEMA))

@@ -255,6 +255,33 @@ def test_packing_round_trip(spark, small):
     assert len(by_sequence) > 10
 
 
+def _bm25(docs, seed):
+    """Scores of all documents for ``seed``'s terms, by the formula."""
+    mean = sum(map(len, docs)) / len(docs)
+    df = collections.Counter(t for d in docs for t in set(d.tolist()))
+    score = [0.0] * len(docs)
+    for t in sorted(set(docs[seed].tolist())):
+        if df[t] > 1:
+            idf = math.log1p((len(docs) - df[t] + 0.5) / (df[t] + 0.5))
+            for i, d in enumerate(docs):
+                tf = int((d == t).sum())
+                score[i] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
+    return score
+
+
+def test_packing_scores_all_terms():
+    """Neighbours of documents with far more than 32 shared terms: BM25's order,
+    and none that shares a term is missing."""
+    rng = np.random.default_rng(12)
+    docs = [np.append(rng.choice(400, rng.integers(60, 200)), 1).astype("<u4") for _ in range(40)]
+    index = packing.Index(docs)
+    for seed in range(len(docs)):
+        score = _bm25(docs, seed)
+        got = index.neighbours(seed).tolist()
+        assert sorted(got) == [i for i, x in enumerate(score) if x > 0]
+        assert np.allclose([score[i] for i in got], sorted((x for x in score if x > 0), reverse=True))
+
+
 def test_near_dedup_large_group(spark, documents, monkeypatch):
     """A large group of near copies, many near the threshold, through tiles of
     a few documents: the components of all pairs."""
