@@ -1,19 +1,32 @@
 """Packing by lexical retrieval.
 
 Documents become token ids followed by an end id and fill sequences of
-``seq_len`` ids.  A sharded BM25 inverted index decides what stands together:
-each shard (about ``shard_chars`` characters, drawn by hash so that no source
-or group of copies gathers in one) indexes its documents' ids; a seed document
-opens a window, and its unused neighbours, best BM25 score first, fill it.  The
-document that crosses the end of a window is cut there, and its rest opens the
-next window and asks for its own neighbours.  When no neighbour shares a term,
-the next unused document of the shard is the seed.
-
-So every sequence of a shard is full except the last, whose ids are laid out as
-sequences of the powers of two in their number: these need no padding.
-
-A shard is one bounded group in one task (bytes of text / ``shard_bytes`` shards,
-more as the corpus grows); text is shuffled once and tokenised there.
+``seq_len`` ids.  BM25 over the whole corpus decides what stands together: a
+seed document opens a window, and its unused neighbours, best score by all its
+terms first, fill it.  The document that crosses the end of a window is cut
+there, and its rest opens the next window and asks for its own neighbours.  When
+no unused document shares a term, the next unused document is the seed.
+
+Document frequencies, mean length and number of documents are the corpus's.  The
+postings lie in shards of bounded size (about ``shard_bytes`` of text each), but
+retrieval does not stop at a shard: every seed asks every shard, and the best of
+all shards are merged.  ``chains`` of windows (about ``CHAIN_WINDOWS`` windows
+each) grow side by side: in a round each chain's seed asks once, for
+``CANDIDATES`` neighbours at a time, then the chains take documents in order and
+the rest of the list; a chain whose list ran out though more neighbours exist
+asks again.  So a round is a map over the shards, and the result is that of the
+chains taking turns one after the other.  The work is windows times postings,
+that is quadratic in the corpus.
+
+The driver holds a flag and a length per document (9 bytes) and the candidates
+of one round; texts, ids and postings stay in tables.  A table of one shard is
+packed in one task as one chain.
+
+All sequences are full except the last: the unfilled windows of the chains are
+laid end to end, and what remains at the very end becomes sequences of the powers
+of two in its number, which need no padding.
+
+Equal rows are spread over the shards by their position in an order by hash.
 Words are tokenised apart and remembered, which gives the same ids because the
 tokenizer itself cuts at white space.
 
@@ -26,22 +39,30 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, SPACE, TEXT, Chunk, id_of, keyed_texts, text_chunks
+from netstream.llm.common import KEY, SPACE, TEXT, Chunk, forget, id_of, keyed_texts, text_chunks
+from netstream.operators.indexing import row_index
+from netstream.session import cut_lineage, scratch_dir
 
 SEQ_LEN = 2048
 END_ID = 1
 SHARD_BYTES = 8_000_000
+CHAIN_WINDOWS = 32
+CANDIDATES = 16
+FLUSH_PIECES = 200_000
 K1, BM25_B = 1.2, 0.75
 CACHED_WORDS = 2_000_000
 SCHEMA = (f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
+POSTINGS = "first long, lengths binary, terms binary, begin binary, doc binary, tf binary"
+PIECES = "pos long, start long, length long, sequence_id long, offset long"
 
 _tokenizers: dict = {}
 
@@ -137,7 +158,7 @@ class Index:
         self.terms, begins = np.unique(term[order], return_index=True)
         self.begin = np.append(begins, len(term))
         df = np.diff(self.begin)
-        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        self.idf = _idf(n, df)
         norm = K1 * (1 - BM25_B + BM25_B * length / length.mean())
         impact = tf * (K1 + 1) / (tf + norm[doc])
         self.doc = doc[order]
@@ -198,29 +219,262 @@ def _split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
     return out
 
 
+def _idf(n: int, df: np.ndarray) -> np.ndarray:
+    return np.log1p((n - df + 0.5) / (df + 0.5))
+
+
+def _small(x: np.ndarray) -> bytes:
+    """Whole numbers in 2 bytes each where they fit, else in 4; the first byte says which."""
+    size = 2 if x.max(initial=0) < 1 << 16 else 4
+    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+
+
+def _whole(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def postings(first: int, docs: list[np.ndarray]) -> list:
+    """The row ``POSTINGS`` of the documents at positions ``first ..``."""
+    terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
+    doc = np.repeat(np.arange(len(docs)), [len(t) for t in terms])
+    term, tf = np.concatenate(terms), np.concatenate(counts)
+    order = np.argsort(term, kind="stable")
+    own, begin = np.unique(term[order], return_index=True)
+    return [first, *map(_small, (np.array([len(d) for d in docs]), own, np.append(begin, len(term)), doc[order], tf[order]))]
+
+
+class Shard:
+    """The postings of one shard with the corpus's ``idf`` (by term) and mean length."""
+
+    def __init__(self, row: dict, idf: np.ndarray, mean: float):
+        self.first = row["first"]
+        length, self.terms, self.begin, self.doc, tf = (
+            _whole(row[c]) for c in ("lengths", "terms", "begin", "doc", "tf"))
+        self.n = len(length)
+        norm = K1 * (1 - BM25_B + BM25_B * length.astype(np.float64) / mean)
+        self.impact = tf * (K1 + 1) / (tf + norm[self.doc]) * np.repeat(idf[self.terms], np.diff(self.begin))
+
+    def scores(self, terms: np.ndarray) -> np.ndarray:
+        """Score of each document for the (ascending) ``terms``."""
+        at = np.searchsorted(self.terms, terms)
+        at = at[self.terms[np.minimum(at, len(self.terms) - 1)] == terms]
+        if not len(at):
+            return np.zeros(self.n)
+        cuts = [slice(a, b) for a, b in zip(self.begin[at].tolist(), self.begin[at + 1].tolist())]
+        return np.bincount(np.concatenate([self.doc[c] for c in cuts]),
+                           np.concatenate([self.impact[c] for c in cuts]), self.n)
+
+
+def best(doc: np.ndarray, score: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``limit`` best, best first (ties: first in the corpus)."""
+    if len(doc) > limit:
+        keep = score >= np.partition(score, -limit)[-limit]
+        doc, score = doc[keep], score[keep]
+    order = np.lexsort((doc, -score))[:limit]
+    return doc[order], score[order]
+
+
+class Corpus:
+    """Tables of the whole corpus: ``placed(pos, KEY, ids)`` and the postings."""
+
+    def __init__(self, placed: DataFrame, shards: int):
+        self.spark, self.placed = placed.sparkSession, placed
+        sizes = placed.select("pos", (F.octet_length("ids") / 4).cast("long").alias("n")).toArrow()  # 2 numbers a document
+        self.length = np.zeros(sizes.num_rows, np.int64)
+        self.length[sizes["pos"].to_numpy()] = sizes["n"].to_numpy()
+        each = -(-len(self.length) // shards)
+
+        def build(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("pos")
+            return pd.DataFrame([postings(int(pdf["pos"].iloc[0]), [np.frombuffer(d, "<u4") for d in pdf["ids"]])],
+                                columns=[c.split()[0] for c in POSTINGS.split(", ")])
+
+        self.index = cut_lineage(placed.select("pos", "ids", F.expr(f"pos div {each}").alias("shard"))
+                                 .repartition(shards, "shard").groupBy("shard").applyInPandas(build, POSTINGS), name="postings")
+
+        def frequencies(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    yield pa.RecordBatch.from_arrays([pa.array(_whole(row["terms"])),
+                                                      pa.array(np.diff(_whole(row["begin"])))], names=["term", "df"])
+
+        found = (self.index.select("terms", "begin").mapInArrow(frequencies, "term long, df long")
+                 .groupBy("term").agg(F.sum("df").alias("df")).toArrow())  # at most the tokenizer's ids
+        df = np.zeros(int(max(found["term"].to_numpy(), default=0)) + 1, np.int64)
+        df[found["term"].to_numpy()] = found["df"].to_numpy()
+        self.known = self.spark.sparkContext.broadcast((_idf(len(self.length), df), float(self.length.mean()), df > 1))
+
+    def neighbours(self, seeds: list[int], used: np.ndarray, limit: int) -> dict[int, list[int]]:
+        """The ``limit`` best unused neighbours of each seed, best first."""
+        asked = self.spark.createDataFrame(pa.table({"pos": pa.array(sorted(set(seeds)), pa.int64())}))
+        found = self.placed.select("pos", "ids").join(F.broadcast(asked), "pos").toArrow()
+        shared, known = self.known.value[2], self.known
+        queries = []
+        for pos, ids in zip(found["pos"].to_pylist(), found["ids"].to_pylist()):
+            terms = np.unique(np.frombuffer(ids, "<u4")).astype(np.int64)
+            queries.append((pos, terms[shared[terms]]))
+        sent = self.spark.sparkContext.broadcast((queries, np.packbits(used)))
+
+        def search(batches: Iterable[pa.RecordBatch]):
+            queries, bits = sent.value
+            idf, mean, _ = known.value
+            gone = np.unpackbits(bits).view(bool)
+            top = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    shard = Shard(batch.slice(i, 1).to_pylist()[0], idf, mean)
+                    free = ~gone[shard.first:shard.first + shard.n]
+                    for q, (_, terms) in enumerate(queries):
+                        score = shard.scores(terms) * free
+                        doc, old = top[q]
+                        own = np.flatnonzero(score >= old[-1] if len(old) == limit else score)
+                        if len(own):
+                            top[q] = best(np.append(doc, own + shard.first), np.append(old, score[own]), limit)
+            sizes = [len(d) for d, _ in top]
+            if sum(sizes):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat([p for p, _ in queries], sizes)), pa.array(np.concatenate([d for d, _ in top])),
+                    pa.array(np.concatenate([s for _, s in top]))], names=["seed", "doc", "score"])
+
+        order = Window.partitionBy("seed").orderBy(F.desc("score"), "doc")
+        rows = (self.index.mapInArrow(search, "seed long, doc long, score double")
+                .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).toArrow())
+        sent.destroy()
+        out = {pos: [] for pos, _ in queries}
+        seed, doc, rank = (rows[c].to_numpy() for c in ("seed", "doc", "rank"))
+        for i in np.lexsort((rank, seed)):
+            out[int(seed[i])].append(int(doc[i]))
+        return out
+
+
+class Chain:
+    """Windows that one seed after the other fills."""
+
+    def __init__(self, number: int, seq_len: int):
+        self.number, self.seq_len, self.sequence, self.filled = number, seq_len, 0, 0
+        self.seed, self.open = None, []
+
+    def place(self, doc: int, length: int, out: list) -> bool:
+        """Lay out ``doc``; full windows go to ``out``.  Whether a window became full."""
+        start, full = 0, False
+        while start < length:
+            part = min(length - start, self.seq_len - self.filled)
+            self.open.append((doc, start, part, (self.number << 32) + self.sequence, self.filled))
+            start, self.filled = start + part, self.filled + part
+            if self.filled == self.seq_len:
+                out += self.open
+                self.sequence, self.filled, self.open, full = self.sequence + 1, 0, [], True
+        return full
+
+
+def pack_chains(length: np.ndarray, neighbours, seq_len: int, chains: int, limit: int = CANDIDATES):
+    """Lists of pieces ``(doc, start, length, sequence, offset)``, the unfilled
+    windows last; ``neighbours(seeds, used, limit)`` gives the best unused."""
+    used = np.zeros(len(length), bool)
+    grown, following = [Chain(c, seq_len) for c in range(chains)], 0
+    waiting, lists = list(grown), {}
+    while waiting:
+        out, still = [], []
+        for chain in waiting:
+            names = lists.get(chain.seed, [])
+            for doc in names:
+                if not used[doc]:
+                    used[doc] = True
+                    if chain.place(doc, int(length[doc]), out):
+                        chain.seed = doc
+                        break
+            else:
+                if chain.seed is None or len(names) < limit:  # no unused document shares a term
+                    while following < len(used) and used[following]:
+                        following += 1
+                    if following == len(used):
+                        continue
+                    chain.seed, used[following] = following, True
+                    chain.place(following, int(length[following]), out)
+            still.append(chain)
+        yield out
+        waiting = still if not used.all() else []
+        lists = neighbours([c.seed for c in waiting], used, limit) if waiting else {}
+    yield lay_out([p[:3] for c in grown for p in c.open], seq_len, chains)
+
+
+def lay_out(parts: list[tuple], seq_len: int, number: int) -> list[tuple]:
+    """``(doc, start, length)`` end to end as the sequences of chain ``number``."""
+    chain, out = Chain(number, seq_len), []
+    for doc, start, length in parts:
+        before, held = len(out), len(chain.open)
+        chain.place(doc, length, out)
+        laid = out[before + held:] + chain.open if len(out) > before else chain.open[held:]
+        moved = [(d, s + start, *rest) for d, s, *rest in laid]
+        if len(out) > before:
+            kept = len(out) - before - held
+            out[before + held:], chain.open = moved[:kept], moved[kept:]
+        else:
+            chain.open[held:] = moved
+    return _split_last(out + chain.open, (number << 32) + chain.sequence, chain.filled)
+
+
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
+         chains: int | None = None) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.  ``tokenizer_path`` must be readable on each
     executor."""
+    spark = docs.sparkSession
     texts = keyed_texts(docs, id_col, text_col)
-    size = texts.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
+    size = texts.agg(F.sum(F.octet_length(TEXT) + 8)).first()[0] or 0  # 8: key and end id
     shards = max(1, -(-size // shard_bytes))
-    shard = F.pmod(F.xxhash64(KEY, TEXT), F.lit(shards))
+    names = [id_of().alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
-    def shard_pieces(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([KEY, TEXT], kind="stable")
+    def ids_of(batch: pa.RecordBatch) -> list[np.ndarray]:
         tokenize = _tokenizer(tokenizer_path)
+        return [d for part in text_chunks([batch]) for d in tokenize(shard_words(*part), end_id)]
+
+    def whole_table(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([KEY, TEXT], kind="stable")
         keys = pdf[KEY].to_numpy()
-        batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pdf[TEXT], pa.string())], names=[KEY, TEXT])
-        ids = [d for part in text_chunks([batch]) for d in tokenize(shard_words(*part), end_id)]
-        rows = [(keys[d], s, n, zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()), len(ids[d]), (int(key[0]) << 32) + q, o)
+        ids = ids_of(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pdf[TEXT], pa.string())], names=[KEY, TEXT]))
+        rows = [(keys[d], s, n, zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()), len(ids[d]), q, o)
                 for d, s, n, q, o in pack_shard(ids, seq_len)]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    packed = (texts.withColumn("_nx_shard", shard).groupBy("_nx_shard").applyInPandas(shard_pieces, SCHEMA))
-    return packed.select(id_of().alias(id_col), "start", "length", "ids_crc32", "doc_tokens",
-                         "sequence_id", "offset")
+    if shards == 1 and chains is None:
+        return (texts.withColumn("_nx_shard", F.lit(0)).groupBy("_nx_shard").applyInPandas(whole_table, SCHEMA)
+                .select(*names))
+
+    def tokenised(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            if batch.num_rows:
+                ids = pa.array([d.astype("<u4").tobytes() for d in ids_of(batch)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(KEY), batch.column("place"), ids], names=[KEY, "place", "ids"])
+
+    stored = cut_lineage(texts.withColumn("place", F.xxhash64(KEY, TEXT))
+                         .mapInArrow(tokenised, f"{KEY} long, place long, ids binary"), name="ids")
+    ranked = row_index(stored.withColumn("copy", F.monotonically_increasing_id()), ["place", KEY, "copy"], index_col="pos")
+    placed = cut_lineage(ranked.select("pos", KEY, "ids"), name="placed")
+    forget(stored, ranked)
+    corpus = Corpus(placed, shards)
+    if chains is None:
+        chains = max(1, int(corpus.length.sum()) // (seq_len * CHAIN_WINDOWS))
+    path, held = scratch_dir(spark, "pieces"), []
+    for some in pack_chains(corpus.length, corpus.neighbours, seq_len, chains):
+        held += some
+        if len(held) >= FLUSH_PIECES:
+            held = _flush(spark, held, path)
+    _flush(spark, held, path)
+    forget(corpus.index)
+    pieces = spark.read.schema(PIECES).parquet(path)
+    return (pieces.join(placed, "pos")
+            .withColumn("ids_crc32", F.crc32(F.substr("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int"))))
+            .withColumn("doc_tokens", (F.octet_length("ids") / 4).cast("long")).select(*names))
+
+
+def _flush(spark, pieces: list[tuple], path: str) -> list:
+    """Append ``pieces`` to the table at ``path``."""
+    columns = np.array(pieces, np.int64).reshape(-1, 5).T
+    table = pa.table({c.split()[0]: pa.array(v) for c, v in zip(PIECES.split(", "), columns)})
+    spark.createDataFrame(table).write.mode("append").parquet(path)
+    return []
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 from corpus_fixtures import SF001, SF01, documents  # noqa: F401
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from netstream.llm import (components, decontaminate, fingerprint, language_id, language_model, near_dedup, packing,
@@ -282,6 +283,42 @@ def test_packing_scores_all_terms():
         assert np.allclose([score[i] for i in got], sorted((x for x in score if x > 0), reverse=True))
 
 
+@pytest.mark.parametrize("chains", [1, 3])
+def test_packing_searches_whole_corpus(spark, small, chains):
+    """Several shards of postings: windows are those of a plain greedy packing
+    by BM25 of the whole corpus; equal rows do not meet in one shard."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = small.select("doc_id", "text").where("length(text) < 3000").limit(100)
+    docs = docs.union(docs.limit(1).crossJoin(spark.range(30)).select("doc_id", "text"))
+    rows = docs.withColumn("h", F.xxhash64(F.col("doc_id").alias("k"), "text")).orderBy("h", "doc_id").collect()
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    ids = [np.array(tokenizer.encode(r.text, add_special_tokens=False).ids + [1], "<u4") for r in rows]
+    mean, n = sum(map(len, ids)) / len(ids), len(ids)
+    df = np.bincount(np.concatenate([np.unique(d) for d in ids]))
+    tf = np.zeros((n, len(df)))
+    for i, d in enumerate(ids):
+        tf[i] = np.bincount(d, minlength=len(df))
+    norm = 1.2 * (0.25 + 0.75 * np.array([len(d) for d in ids]) / mean)
+    impact = tf * 2.2 / (tf + norm[:, None]) * np.where(df > 1, np.log1p((n - df + 0.5) / (df + 0.5)), 0)
+
+    def neighbours(seeds, used, limit):
+        out = {}
+        for s in seeds:
+            score = np.zeros(n)
+            for t in np.unique(ids[s]):
+                score += impact[:, t]
+            out[s] = [i for i in np.lexsort((np.arange(n), -score)).tolist() if score[i] > 0 and not used[i]][:limit]
+        return out
+
+    want = collections.Counter()
+    for some in packing.pack_chains(np.array([len(d) for d in ids]), neighbours, 512, chains, limit=n):
+        want.update((rows[d].doc_id, *rest) for d, *rest in some)
+    size = sum(len(r.text.encode()) for r in rows)
+    got = packing.pack(docs, path, seq_len=512, shard_bytes=size // 5, chains=chains).collect()
+    assert collections.Counter((p.doc_id, p.start, p.length, p.sequence_id, p.offset) for p in got) == want
+
+
 def test_near_dedup_large_group(spark, documents, monkeypatch):
     """A large group of near copies, many near the threshold, through tiles of
     a few documents: the components of all pairs."""
