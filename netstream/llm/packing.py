@@ -37,7 +37,9 @@ an empty table gives no pieces.  Only the id and the text are read.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterable
 
@@ -92,6 +94,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
         self.mark = special[-1] if special else None
+        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile(b"|".join(added), re.IGNORECASE) if added else None
         self.limit = limit
         self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
@@ -113,12 +117,21 @@ class WordTokenizer:
             counts.append(np.diff(np.flatnonzero(cut), prepend=-1, append=len(ids)) - 1)
         return np.concatenate(flat), np.concatenate(counts)
 
+    def as_written(self, words: Chunk) -> np.ndarray:
+        """The words that contain the text of an added token in any case: the
+        tokenizer looks for it before it lower-cases."""
+        found = [m.start() for m in self.added.finditer(words.raw.tobytes())] if self.added else []
+        return np.unique(np.searchsorted(words.starts, np.array(found, np.int64), side="right") - 1)
+
     def __call__(self, words: Chunk, end_id: int) -> list[np.ndarray]:
         """Ids of each document, the end id last."""
-        hashes, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        own, kept = words.hashes.copy(), self.as_written(words)
+        for i in kept:  # remembered by the bytes as they stand
+            own[i] = int.from_bytes(hashlib.blake2b(words.word(i), digest_size=8).digest(), "little")
+        hashes, first, place = np.unique(own, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, hashes)
         new = self.known[np.minimum(at, len(self.known) - 1)] != hashes if len(self.known) else np.ones(len(hashes), bool)
-        texts = [words.word(i).lower() for i in first[new]]
+        texts = [words.word(i) if w else words.word(i).lower() for i, w in zip(first[new], np.isin(first[new], kept))]
         parts = [self.encode(texts[i:i + 5_000]) for i in range(0, len(texts), 5_000)]
         size, ids = np.zeros(len(hashes), np.int64), self.ids
         begin = np.zeros(len(hashes), np.int64)

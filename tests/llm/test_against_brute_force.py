@@ -283,6 +283,19 @@ def test_packing_scores_all_terms():
         assert np.allclose([score[i] for i in got], sorted((x for x in score if x > 0), reverse=True))
 
 
+def test_added_tokens_are_case_sensitive():
+    """An added token's text counts only as it is written."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["a <|ENDOFTEXT|> b", "a <|endoftext|> b", "X<|EndOfText|>Y <|ENDOFTEXT|>, z", "<|STARTOFTEXT|>", "Plain"] * 2
+    raw = [t.encode() for t in texts]
+    words = packing.shard_words(np.arange(len(raw)), np.frombuffer(b"".join(raw), np.uint8),
+                                np.append(0, np.cumsum([len(r) for r in raw])))
+    got = packing.WordTokenizer(path)(words, 1)
+    assert [d.tolist() for d in got] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
 @pytest.mark.parametrize("chains", [1, 3])
 def test_packing_searches_whole_corpus(spark, small, chains):
     """Several shards of postings: windows are those of a plain greedy packing
