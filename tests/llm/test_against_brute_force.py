@@ -296,6 +296,22 @@ def test_added_tokens_are_case_sensitive():
     assert [d.tolist() for d in got] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
 
 
+def test_packing_spreads_equal_rows(spark, monkeypatch):
+    """Rows equal in id and text lie in several shards of postings, at even sizes."""
+    rows, sizes = [(None, "some words of a text")] * 40, []
+
+    class Seen(packing.Corpus):
+        def __init__(self, placed, shards):
+            super().__init__(placed, shards)
+            sizes.extend(len(packing._whole(r.lengths)) for r in self.index.collect())
+
+    monkeypatch.setattr(packing, "Corpus", Seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), seq_len=64, shard_bytes=300).collect()
+    assert sum(p.length for p in pieces) == 40 * pieces[0].doc_tokens
+    assert len(sizes) >= 3 and sum(sizes) == 40 and max(sizes) <= 15
+
+
 @pytest.mark.parametrize("chains", [1, 3])
 def test_packing_searches_whole_corpus(spark, small, chains):
     """Several shards of postings: windows are those of a plain greedy packing
