@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netstream.llm.common import KEY, TEXT, Chunk, id_of, key_of, keyed_texts, text_chunks
+from netstream.session import cut_lineage
 
 K1, BM25_B = 1.2, 0.75
 MIN_SCORE = 0.5
@@ -91,9 +92,11 @@ def grams(ids: Iterable[int]) -> set:
 
 
 class ItemIndex:
-    """Inverted index of some items with impacts and block maxima."""
+    """Inverted index of some items with impacts and block maxima.  ``whole``
+    has the figures of all items if these are only a shard: ``(items, mean
+    length, longest, {word: items with it})``."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: tuple | None = None):
         items = [(i, t) for i, t in items if item_words(t or "")]
         words = [item_words(t) for _, t in items]
         self.ids = np.array([i for i, _ in items], np.int64)
@@ -110,8 +113,12 @@ class ItemIndex:
         tf = np.concatenate([c for _, c in found] or [np.zeros(0)]).astype(np.float64)
         df = np.bincount(term, minlength=n_terms)
         length = np.array([len(w) for w in words], np.float64)
-        norm = K1 * (1 - BM25_B + BM25_B * length / max(1.0, length.mean() if n else 1.0))
-        impact = np.log1p((n - df + 0.5) / (df + 0.5))[term] * tf * (K1 + 1) / (tf + norm[item])
+        total, mean = n, length.mean() if n else 1.0
+        if whole:
+            total, mean, self.cell, counted = whole
+            df = np.array([counted[w] for w in self.vocabulary], np.int64)
+        norm = K1 * (1 - BM25_B + BM25_B * length / max(1.0, mean))
+        impact = np.log1p((total - df + 0.5) / (df + 0.5))[term] * tf * (K1 + 1) / (tf + norm[item])
         impact /= np.bincount(item, impact, n)[item] if n else 1.0
         self.largest = np.zeros(n_terms)
         np.maximum.at(self.largest, term, impact)
@@ -221,6 +228,30 @@ def _found(texts: DataFrame, index: ItemIndex, min_score: float, min_overlap: fl
     return texts.mapInArrow(search, SCHEMA)
 
 
+def _whole(items: DataFrame):
+    """``ItemIndex``'s ``whole`` for a shard of ``items(KEY, TEXT, _nx_shard)``:
+    figures over all items, document frequencies for the shard's words only."""
+    def words(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            for shard, text in zip(batch.column("_nx_shard").to_pylist(), batch.column(TEXT).to_pylist()):
+                if found := item_words(text):
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([len(found)], pa.int64()),
+                                                      pa.array([sorted(set(found))], pa.list_(pa.binary()))],
+                                                     names=["shard", "size", "words"])
+
+    each = cut_lineage(items.select(F.col("_nx_shard").cast("long").alias("_nx_shard"), TEXT)
+                       .mapInArrow(words, "shard long, size long, words array<binary>"), name="item-words")
+    n, mean, longest = each.agg(F.count(F.lit(1)), F.avg("size"), F.max("size")).first()
+    listed = each.select("shard", F.explode("words").alias("word")).groupBy("word", "shard").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(listed.groupBy("word").agg(F.sum("n").alias("df"), F.collect_set("shard").alias("shards")),
+                          name="item-df")
+
+    def of(shard: int) -> tuple:
+        rows = counted.where(F.array_contains("shards", F.lit(shard).cast("long"))).select("word", "df").collect()
+        return n, mean or 1.0, longest or 1, {bytes(r["word"]): r["df"] for r in rows}
+    return of
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text", min_score: float = MIN_SCORE,
           min_overlap: float = MIN_OVERLAP) -> DataFrame:
@@ -231,10 +262,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     tests = keyed_texts(items, item_id_col, item_text_col)
     n, chars = tests.agg(F.count(F.lit(1)), F.sum(F.length(TEXT))).first()
     shards = max(-(-n // SHARD_ITEMS), -(-(chars or 0) // SHARD_CHARS))
-    found = []
+    found, own = [], F.pmod(F.xxhash64(KEY, TEXT), F.lit(max(1, shards)))
+    whole = _whole(tests.withColumn("_nx_shard", own).distinct()) if shards > 1 else None
     for shard in range(shards):
-        rows = tests.where(F.pmod(F.xxhash64(KEY, TEXT), F.lit(shards)) == shard).distinct().collect()
-        found.append(_found(texts, ItemIndex(sorted((r[KEY], r[TEXT]) for r in rows)), min_score, min_overlap))
+        rows = tests.where(own == shard).distinct().collect()
+        index = ItemIndex(sorted((r[KEY], r[TEXT]) for r in rows), whole and whole(shard))
+        found.append(_found(texts, index, min_score, min_overlap))
     found = reduce(DataFrame.union, found) if found else spark.createDataFrame([], SCHEMA)
     best = found.groupBy(KEY, "_nx_item").agg(
         F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b"))

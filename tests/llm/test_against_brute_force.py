@@ -227,6 +227,24 @@ def test_block_max_search_equals_full_scores():
     assert set(got) == set(best)
 
 
+def test_leaks_do_not_depend_on_shards(spark, monkeypatch):
+    """The same scores from one index shard and from several."""
+    rng = np.random.default_rng(21)
+    words = [f"t{i}" for i in range(90)]
+    texts = [rng.choice(words, rng.integers(5, 30)).tolist() for _ in range(40)]
+    items = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "item_id long, text string")
+    edited = [[w if rng.random() < 0.75 else "zz" for w in t] for t in texts]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(edited)], "doc_id long, text string")
+
+    def found():
+        rows = decontaminate.leaks(docs, items, min_score=0.2, min_overlap=0.0).collect()
+        return {(r.doc_id, r.item_id): round(r.score, 9) for r in rows}
+
+    one = found()
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 9)
+    assert len(one) > 30 and found() == one
+
+
 def test_packing_round_trip(spark, small):
     """Every id in exactly one piece, the tokenizer's own ids, full sequences."""
     from tokenizers import Tokenizer
