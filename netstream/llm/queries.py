@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from netstream.llm import (decontaminate, fingerprint, language_id, language_model, line_dedup, near_dedup, packing,
-                           quality, substring_dedup, url_filter)
+                           quality, substring_dedup, url_filter, vector_codes)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
+    "op13_vector_codes": vector_codes.query,
 }
 
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op6_substring_dedup": substring_dedup.SQL,
+    "op13_vector_codes": vector_codes.SQL,
 }
