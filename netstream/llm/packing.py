@@ -37,9 +37,6 @@ an empty table gives no pieces.  Only the id and the text are read.
 
 from __future__ import annotations
 
-import hashlib
-import os
-import re
 import zlib
 from collections.abc import Iterable
 
@@ -49,7 +46,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, SPACE, TEXT, Chunk, forget, id_of, keyed_texts, text_chunks
+from netstream.llm.common import KEY, TEXT, forget, id_of, keyed_texts, text_chunks
+from netstream.llm.tokens import shard_words, tokenizer
 from netstream.operators.indexing import row_index
 from netstream.session import cut_lineage, scratch_dir
 
@@ -60,103 +58,11 @@ CHAIN_WINDOWS = 32
 CANDIDATES = 16
 FLUSH_PIECES = 200_000
 K1, BM25_B = 1.2, 0.75
-CACHED_WORDS = 2_000_000
 SCHEMA = (f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 POSTINGS = "first long, lengths binary, terms binary, begin binary, doc binary, tf binary"
 PIECES = "pos long, start long, length long, sequence_id long, offset long"
 
-_tokenizers: dict = {}
-
-
-_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
-_POINT = np.isin(np.arange(256), list(b".,"))
-
-
-def shard_words(keys: np.ndarray, raw: np.ndarray, bounds: np.ndarray) -> Chunk:
-    """The words of a shard; a ``.`` or ``,`` between a letter A-Z and white
-    space is a word of its own (the tokenizer parts there as well), so that
-    words recur more often."""
-    after = np.append(SPACE[raw[1:]], True)
-    after[bounds[1:][bounds[1:] > 0] - 1] = True
-    cut = np.flatnonzero(_POINT[raw] & after)
-    return Chunk(keys, raw, bounds, True, cut[(cut > 0) & _LETTER[raw[np.maximum(cut, 1) - 1]]])
-
-
-class WordTokenizer:
-    """Ids of texts by a lower-casing tokenizer that cuts at white space and
-    between letters and punctuation: each word is encoded once, and up to
-    ``limit`` words are remembered by their hashes."""
-
-    def __init__(self, path: str, limit: int = CACHED_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
-        self.mark = special[-1] if special else None
-        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.added = re.compile(b"|".join(added), re.IGNORECASE) if added else None
-        self.limit = limit
-        self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, "<u4")
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words end to end, and how many each has.  Words are
-        encoded twenty at a time with a special token between them, at which
-        the ids are cut again."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        if not self.mark or any(self.mark[1] in t for t in texts):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found])
-        joined = [self.mark[1].join(texts[i:i + 20]) for i in range(0, len(texts), 20)]
-        flat, counts = [], []
-        for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(e.ids, "<u4")
-            cut = ids == self.mark[0]
-            flat.append(ids[~cut])
-            counts.append(np.diff(np.flatnonzero(cut), prepend=-1, append=len(ids)) - 1)
-        return np.concatenate(flat), np.concatenate(counts)
-
-    def as_written(self, words: Chunk) -> np.ndarray:
-        """The words that contain the text of an added token in any case: the
-        tokenizer looks for it before it lower-cases."""
-        found = [m.start() for m in self.added.finditer(words.raw.tobytes())] if self.added else []
-        return np.unique(np.searchsorted(words.starts, np.array(found, np.int64), side="right") - 1)
-
-    def __call__(self, words: Chunk, end_id: int) -> list[np.ndarray]:
-        """Ids of each document, the end id last."""
-        own, kept = words.hashes.copy(), self.as_written(words)
-        for i in kept:  # remembered by the bytes as they stand
-            own[i] = int.from_bytes(hashlib.blake2b(words.word(i), digest_size=8).digest(), "little")
-        hashes, first, place = np.unique(own, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, hashes)
-        new = self.known[np.minimum(at, len(self.known) - 1)] != hashes if len(self.known) else np.ones(len(hashes), bool)
-        texts = [words.word(i) if w else words.word(i).lower() for i, w in zip(first[new], np.isin(first[new], kept))]
-        parts = [self.encode(texts[i:i + 5_000]) for i in range(0, len(texts), 5_000)]
-        size, ids = np.zeros(len(hashes), np.int64), self.ids
-        begin = np.zeros(len(hashes), np.int64)
-        begin[~new], size[~new] = self.begin[at[~new]], self.size[at[~new]]
-        if parts:
-            size[new] = np.concatenate([n for _, n in parts])
-            begin[new] = len(ids) + np.cumsum(size[new]) - size[new]
-            ids = np.concatenate([ids, *(i for i, _ in parts)])
-        if parts and len(self.known) < self.limit:
-            self.ids = ids
-            self.known, self.begin, self.size = (np.insert(old, at[new], add[new]) for old, add in (
-                (self.known, hashes), (self.begin, begin), (self.size, size)))
-        length = size[place]
-        until = np.append(0, np.cumsum(length))
-        flat = ids[np.repeat(begin[place] - until[:-1], length) + np.arange(until[-1])]
-        cuts = until[np.append(0, np.cumsum(words.counts))]
-        return [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(cuts, cuts[1:])]
-
-
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
-
-
 class Index:
     """BM25 postings of one shard, terms are token ids."""
 
@@ -440,7 +346,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     names = [id_of().alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def ids_of(batch: pa.RecordBatch) -> list[np.ndarray]:
-        tokenize = _tokenizer(tokenizer_path)
+        tokenize = tokenizer(tokenizer_path)
         return [d for part in text_chunks([batch]) for d in tokenize(shard_words(*part), end_id)]
 
     def whole_table(pdf: pd.DataFrame) -> pd.DataFrame:

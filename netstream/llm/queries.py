@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from netstream.llm import (decontaminate, fingerprint, language_id, language_model, line_dedup, near_dedup, packing,
-                           quality, substring_dedup, url_filter, vector_codes)
+from netstream.llm import (best_fit, decontaminate, fingerprint, language_id, language_model, line_dedup, near_dedup, packing,
+                           quality, substring_dedup, url_filter, vector_codes, whitening)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_url_filter": url_filter.query,
     "op10_packing": packing.query,
+    "op11_best_fit": best_fit.query,
+    "op12_whitening": whitening.query,
     "op13_vector_codes": vector_codes.query,
 }
 
