@@ -1,129 +1,247 @@
 """Packing by lexical retrieval.
 
 Documents become token ids followed by an end id and fill sequences of
-``seq_len`` ids.  BM25 over the whole corpus decides what stands together: a
-seed document opens a window, and its unused neighbours, best score by all its
-terms first, fill it.  The document that crosses the end of a window is cut
-there, and its rest opens the next window and asks for its own neighbours.  When
-no unused document shares a term, the next unused document is the seed.
-
-Document frequencies, mean length and number of documents are the corpus's.  The
-postings lie in shards of bounded size (about ``shard_bytes`` of text each), but
-retrieval does not stop at a shard: every seed asks every shard, and the best of
-all shards are merged.  ``chains`` of windows (about ``CHAIN_WINDOWS`` windows
-each) grow side by side: in a round each chain's seed asks once, for
-``CANDIDATES`` neighbours at a time, then the chains take documents in order and
-the rest of the list; a chain whose list ran out though more neighbours exist
-asks again.  So a round is a map over the shards, and the result is that of the
-chains taking turns one after the other.  The work is windows times postings,
-that is quadratic in the corpus.
-
-The driver holds a flag and a length per document (9 bytes) and the candidates
-of one round; texts, ids and postings stay in tables.  A table of one shard is
-packed in one task as one chain.
-
-All sequences are full except the last: the unfilled windows of the chains are
-laid end to end, and what remains at the very end becomes sequences of the powers
-of two in its number, which need no padding.
-
-Equal rows are spread over the shards by their position in an order by hash.
-Words are tokenised apart and remembered, which gives the same ids because the
-tokenizer itself cuts at white space.
+``seq_len`` ids.  BM25 decides what stands together: a seed document opens a
+window, and its unused neighbours, best score by all its terms first, fill it.
+The document that crosses the end of a window is cut there, and its rest opens the
+next window and asks for its own neighbours.  When no unused document shares a
+term, the next unused document is the seed.
+
+The inverted index is sharded.  Document frequencies, mean length and number of
+documents are the corpus's.  Documents go to shards by content: first by the
+nearest of ``CENTROIDS`` centroids (fitted on ``SAMPLE`` documents, laid out so that
+like ones are near each other), then by their ``RAREST`` rarest ids, so that copies
+and near copies lie side by side; a range sort by this key and the document's own
+number spreads any hot key over many tasks.  A task cuts its sorted documents into
+shards of ``shard_tokens`` ids, indexes one shard at a time, asks it for every seed
+and writes its pieces.  So the work grows with the corpus, and the driver holds a
+number per id of the tokenizer and the centroids, nothing per document.
+
+A seed asks the shard it lies in.  The README has the share of a seed's 16 best
+documents of the whole corpus that lie there.
+
+All sequences are full except a shard's last, which is cut into sequences of the
+powers of two in its length; these need no padding.
 
 Defined cases: a null or empty text is the end id alone; a null id is a document
 like any other; repeated rows are packed as often as they stand in the table;
-an empty table gives no pieces.  Only the id and the text are read.
+equal scores go by the order in the shard; a document longer than a shard is a
+shard of its own; an empty table gives no pieces.  Only the id and the text are
+read.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, forget, id_of, keyed_texts, text_chunks
-from netstream.llm.tokens import shard_words, tokenizer
-from netstream.operators.indexing import row_index
-from netstream.session import cut_lineage, scratch_dir
+from netstream.llm.common import KEY, forget, id_of, keyed_texts
+from netstream.llm.tokens import token_ids, vocabulary
+from netstream.llm.vectors import slot_sums
+from netstream.session import cut_lineage
 
 SEQ_LEN = 2048
 END_ID = 1
-SHARD_BYTES = 8_000_000
-CHAIN_WINDOWS = 32
-CANDIDATES = 16
-FLUSH_PIECES = 200_000
+SHARD_TOKENS = 2_000_000
+TASK_TOKENS = 4_000_000
 K1, BM25_B = 1.2, 0.75
-SCHEMA = (f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, "
-          "sequence_id long, offset long")
-POSTINGS = "first long, lengths binary, terms binary, begin binary, doc binary, tf binary"
-PIECES = "pos long, start long, length long, sequence_id long, offset long"
-
-class Index:
-    """BM25 postings of one shard, terms are token ids."""
-
-    def __init__(self, docs: list[np.ndarray]):
-        n = len(docs)
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
-        sizes = np.array([len(t) for t in terms])
-        doc = np.repeat(np.arange(n), sizes)
-        term, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float64)
-        length = np.array([len(d) for d in docs], np.float64)
-        order = np.argsort(term, kind="stable")
-        self.terms, begins = np.unique(term[order], return_index=True)
-        self.begin = np.append(begins, len(term))
-        df = np.diff(self.begin)
-        self.idf = _idf(n, df)
-        norm = K1 * (1 - BM25_B + BM25_B * length / length.mean())
-        impact = tf * (K1 + 1) / (tf + norm[doc])
-        self.doc = doc[order]
-        self.impact = impact[order] * np.repeat(self.idf, df)
-        self.df, self.n, self.of = df, n, terms
-
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share a term with the seed, best first by all its
-        terms (ties: first in the shard)."""
-        at = np.searchsorted(self.terms, self.of[seed])
-        at = at[self.df[at] > 1]
-        if not len(at):
-            return at
-        counts = self.df[at]
-        places = np.repeat(self.begin[at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        score = np.bincount(self.doc[places], self.impact[places], self.n)
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+CENTROIDS, SAMPLE, DIMENSIONS = 64, 4_000, 64
+RAREST, RARE_BITS = 3, 21
+FIRST_NEIGHBOURS = 64
+DENSE = 16
+TASK_BITS = 40
+STORED = f"pid long, {KEY} long, ids binary"
+PIECES = f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+
+
+def _documents(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_buffer(), "<u4") for b in batch.column("ids")]
+
+
+# -- figures of the corpus ----------------------------------------------------
+
+class Figures:
+    """Documents, documents with each id, and mean length of the whole corpus."""
+
+    def __init__(self, n: int, tokens: int, df: np.ndarray):
+        self.df, self.mean = df, tokens / max(n, 1)
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5)) * (df > 1)  # an id of one document links nothing
+
+    @classmethod
+    def of(cls, stored: DataFrame, ids: int) -> Figures:
+        def count(batches: Iterable[pa.RecordBatch]) -> np.ndarray:
+            total = np.zeros(ids + 2, np.int64)
+            for batch in batches:
+                docs = _documents(batch)
+                total[:2] += len(docs), sum(map(len, docs))
+                for doc in docs:
+                    total[2 + np.unique(doc)] += 1
+            return total
+
+        n, tokens, *df = slot_sums(stored.select("ids"), count, ids + 2, "long").tolist()
+        return cls(n, tokens, np.array(df))
+
+    def weights(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The document's distinct ids and their BM25 weights in it."""
+        terms, tf = np.unique(doc, return_counts=True)
+        norm = K1 * (1 - BM25_B + BM25_B * len(doc) / self.mean)
+        return terms.astype(np.int64), tf * (K1 + 1) / (tf + norm) * self.idf[terms]
+
+
+# -- routing by content -------------------------------------------------------
+
+def directions(ids: int) -> np.ndarray:
+    """A random direction per id."""
+    return np.random.default_rng(7).standard_normal((ids, DIMENSIONS), np.float32)
+
+
+def sketch(doc: np.ndarray, figures: Figures, along: np.ndarray) -> np.ndarray:
+    """The document's BM25 weights along a few random directions."""
+    terms, weight = figures.weights(doc)
+    out = weight.astype(np.float32) @ along[terms]
+    return out / max(float(np.linalg.norm(out)), 1e-9)
+
+
+def centroids(sketches: np.ndarray, rounds: int = 10) -> np.ndarray:
+    """Spherical k-means of the sample; the centroids in an order in which each
+    follows the one most like it."""
+    if not len(sketches):
+        return np.zeros((1, DIMENSIONS), np.float32)
+    found = np.unique(sketches, axis=0)
+    found = found[np.random.default_rng(8).permutation(len(found))[:CENTROIDS]]
+    for _ in range(rounds):
+        sums = np.zeros_like(found)
+        np.add.at(sums, (sketches @ found.T).argmax(1), sketches)
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        found = np.where(size > 1e-6, sums / np.maximum(size, 1e-6), found)
+    order, left = [0], list(range(1, len(found)))
+    while left:
+        left.sort(key=lambda i: float(found[i] @ found[order[-1]]))
+        order.append(left.pop())
+    return found[order]
+
+
+def rare_key(doc: np.ndarray, df: np.ndarray) -> int:
+    """The rarest ids that other documents share, as one number."""
+    terms = np.unique(doc)
+    terms = terms[df[terms] > 1]
+    rarest = terms[np.lexsort((terms, df[terms]))][:RAREST].tolist()
+    key = 0
+    for term in (rarest + [0] * RAREST)[:RAREST]:
+        key = key << RARE_BITS | term & (1 << RARE_BITS) - 1
+    return key
+
+
+def routed(stored: DataFrame, figures: Figures) -> DataFrame:
+    """``stored`` with the columns ``near`` and ``rare`` by which it is sorted."""
+    along = directions(len(figures.df))
+    some = stored.orderBy(F.xxhash64("pid"), "pid").limit(SAMPLE).select("ids")
+
+    def sketches(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            found = [sketch(d, figures, along).tobytes() for d in _documents(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["sketch"])
+
+    sample = some.mapInArrow(sketches, "sketch binary").toArrow()["sketch"].to_pylist()  # at most SAMPLE rows
+    middle = centroids(np.frombuffer(b"".join(sample), np.float32).reshape(-1, DIMENSIONS))
+
+    def route(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            docs = _documents(batch)
+            near = [int((middle @ sketch(d, figures, along)).argmax()) for d in docs]
+            rare = [rare_key(d, figures.df) for d in docs]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int64()), pa.array(rare, pa.int64())],
+                                             names=[*batch.schema.names, "near", "rare"])
 
+    return stored.mapInArrow(route, f"{STORED}, near long, rare long")
 
-def pack_shard(docs: list[np.ndarray], seq_len: int) -> list[tuple]:
+
+# -- one shard ----------------------------------------------------------------
+
+class Shard:
+    """The inverted index of one shard's documents, with the corpus's figures.
+    An id that many documents of the shard have is kept as a row of weights, the
+    others as postings; used documents leave both now and then."""
+
+    def __init__(self, docs: list[np.ndarray], figures: Figures):
+        own = [figures.weights(d) for d in docs]
+        self.n, self.of = len(docs), [t[w > 0] for t, w in own]
+        doc = np.repeat(np.arange(self.n), [len(t) for t, _ in own])
+        term, weight = (np.concatenate(c) for c in zip(*own))
+        order = np.argsort(term, kind="stable")
+        self.doc, self.weight = doc[order], weight[order]
+        self.terms, begin = np.unique(term[order], return_index=True)
+        many = np.diff(np.append(begin, len(term))) * DENSE > self.n
+        self.row = np.where(many, np.cumsum(many) - 1, -1)
+        place = np.repeat(self.row, np.diff(np.append(begin, len(term))))
+        self.rows = np.zeros((int(many.sum()), self.n), np.float32)
+        self.rows[place[place >= 0], self.doc[place >= 0]] = self.weight[place >= 0]
+        self.begin = np.append(0, np.cumsum(place < 0))[np.append(begin, len(term))]
+        self.doc, self.weight = self.doc[place < 0], self.weight[place < 0]
+        self.alive, self.used, self.gone = np.arange(self.n), np.zeros(self.n, bool), 0
+
+    def take(self, doc: int) -> None:
+        """Use a document up."""
+        self.used[doc] = True
+        self.gone += 1
+        if self.gone * 4 > len(self.alive):
+            stay, keep = ~self.used[self.alive], ~self.used[self.doc]
+            self.rows, self.alive, self.gone = self.rows[:, stay], self.alive[stay], 0
+            self.begin = np.append(0, np.cumsum(keep))[self.begin]
+            self.doc, self.weight = self.doc[keep], self.weight[keep]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """Score of each document for all terms of the seed."""
+        at = np.searchsorted(self.terms, self.of[seed])
+        row = self.row[at]
+        parts = [slice(a, b) for a, b in zip(self.begin[at].tolist(), self.begin[at + 1].tolist()) if a < b]
+        score = np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]),
+                            self.n) if parts else np.zeros(self.n)
+        score[self.alive] += self.rows[row[row >= 0]].sum(0)
+        return score
+
+    def neighbours(self, seed: int) -> Iterator[int]:
+        """Documents unused at the time that share a term with the seed, best
+        first."""
+        score = self.scores(seed)
+        found = np.flatnonzero((score > 0) & ~self.used)
+        least = np.partition(score[found], -FIRST_NEIGHBOURS)[-FIRST_NEIGHBOURS] if len(found) > FIRST_NEIGHBOURS else 0
+        for some in (found[score[found] >= least], found[score[found] < least]):
+            yield from some[np.lexsort((some, -score[some]))].tolist()
+
+
+def fill(docs: list[np.ndarray], figures: Figures, seq_len: int) -> list[tuple]:
     """Pieces ``(doc, start, length, sequence, offset)`` of one shard."""
-    index = Index(docs)
-    used = np.zeros(len(docs), bool)
+    shard = Shard(docs, figures)
     pieces, sequence, filled = [], 0, 0
-    candidates, reseed, following = iter(()), True, 0
+    candidates, following = iter(()), 0
     for _ in range(len(docs)):
-        doc = next((d for d in candidates if not used[d]), None)
-        if doc is None:
-            while used[following]:
+        doc = next((d for d in candidates if not shard.used[d]), None)
+        asks = doc is None
+        if asks:
+            while shard.used[following]:
                 following += 1
-            doc, reseed = following, True
-        used[doc] = True
+            doc = following
+        shard.take(doc)
         start = 0
         while start < len(docs[doc]):
             length = min(len(docs[doc]) - start, seq_len - filled)
             pieces.append((doc, start, length, sequence, filled))
             start, filled = start + length, filled + length
             if filled == seq_len:
-                sequence, filled, reseed = sequence + 1, 0, True
-        if reseed:
-            candidates, reseed = iter(index.neighbours(doc)), False
-    return _split_last(pieces, sequence, filled)
+                sequence, filled, asks = sequence + 1, 0, True
+        if asks:
+            candidates = shard.neighbours(doc)
+    return split_last(pieces, sequence, filled)
 
 
-def _split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
+def split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
     """The last, unfilled sequence as sequences of powers of two."""
     ends = np.cumsum([1 << b for b in reversed(range(filled.bit_length())) if filled >> b & 1])
     out = []
@@ -138,262 +256,59 @@ def _split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
     return out
 
 
-def _idf(n: int, df: np.ndarray) -> np.ndarray:
-    return np.log1p((n - df + 0.5) / (df + 0.5))
-
-
-def _small(x: np.ndarray) -> bytes:
-    """Whole numbers in 2 bytes each where they fit, else in 4; the first byte says which."""
-    size = 2 if x.max(initial=0) < 1 << 16 else 4
-    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+# -- the operator -------------------------------------------------------------
 
+def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """``STORED``: the ids of each document, with a number ``pid`` of its own."""
+    def encode(batches: Iterable[pa.RecordBatch]):
+        pid = TaskContext.get().partitionId() << TASK_BITS
+        for keys, texts in token_ids(batches, tokenizer_path, end_id):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(pid, pid + len(keys))), pa.array(keys),
+                pa.array([t.astype("<u4").tobytes() for t in texts], pa.binary())], names=["pid", KEY, "ids"])
+            pid += len(keys)
 
-def _whole(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
-def postings(first: int, docs: list[np.ndarray]) -> list:
-    """The row ``POSTINGS`` of the documents at positions ``first ..``."""
-    terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
-    doc = np.repeat(np.arange(len(docs)), [len(t) for t in terms])
-    term, tf = np.concatenate(terms), np.concatenate(counts)
-    order = np.argsort(term, kind="stable")
-    own, begin = np.unique(term[order], return_index=True)
-    return [first, *map(_small, (np.array([len(d) for d in docs]), own, np.append(begin, len(term)), doc[order], tf[order]))]
-
-
-class Shard:
-    """The postings of one shard with the corpus's ``idf`` (by term) and mean length."""
-
-    def __init__(self, row: dict, idf: np.ndarray, mean: float):
-        self.first = row["first"]
-        length, self.terms, self.begin, self.doc, tf = (
-            _whole(row[c]) for c in ("lengths", "terms", "begin", "doc", "tf"))
-        self.n = len(length)
-        norm = K1 * (1 - BM25_B + BM25_B * length.astype(np.float64) / mean)
-        self.impact = tf * (K1 + 1) / (tf + norm[self.doc]) * np.repeat(idf[self.terms], np.diff(self.begin))
-
-    def scores(self, terms: np.ndarray) -> np.ndarray:
-        """Score of each document for the (ascending) ``terms``."""
-        at = np.searchsorted(self.terms, terms)
-        at = at[self.terms[np.minimum(at, len(self.terms) - 1)] == terms]
-        if not len(at):
-            return np.zeros(self.n)
-        cuts = [slice(a, b) for a, b in zip(self.begin[at].tolist(), self.begin[at + 1].tolist())]
-        return np.bincount(np.concatenate([self.doc[c] for c in cuts]),
-                           np.concatenate([self.impact[c] for c in cuts]), self.n)
-
-
-def best(doc: np.ndarray, score: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``limit`` best, best first (ties: first in the corpus)."""
-    if len(doc) > limit:
-        keep = score >= np.partition(score, -limit)[-limit]
-        doc, score = doc[keep], score[keep]
-    order = np.lexsort((doc, -score))[:limit]
-    return doc[order], score[order]
-
-
-class Corpus:
-    """Tables of the whole corpus: ``placed(pos, KEY, ids)`` and the postings."""
-
-    def __init__(self, placed: DataFrame, shards: int):
-        self.spark, self.placed = placed.sparkSession, placed
-        sizes = placed.select("pos", (F.octet_length("ids") / 4).cast("long").alias("n")).toArrow()  # 2 numbers a document
-        self.length = np.zeros(sizes.num_rows, np.int64)
-        self.length[sizes["pos"].to_numpy()] = sizes["n"].to_numpy()
-        each = -(-len(self.length) // shards)
-
-        def build(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("pos")
-            return pd.DataFrame([postings(int(pdf["pos"].iloc[0]), [np.frombuffer(d, "<u4") for d in pdf["ids"]])],
-                                columns=[c.split()[0] for c in POSTINGS.split(", ")])
-
-        self.index = cut_lineage(placed.select("pos", "ids", F.expr(f"pos div {each}").alias("shard"))
-                                 .repartition(shards, "shard").groupBy("shard").applyInPandas(build, POSTINGS), name="postings")
-
-        def frequencies(batches):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    yield pa.RecordBatch.from_arrays([pa.array(_whole(row["terms"])),
-                                                      pa.array(np.diff(_whole(row["begin"])))], names=["term", "df"])
-
-        found = (self.index.select("terms", "begin").mapInArrow(frequencies, "term long, df long")
-                 .groupBy("term").agg(F.sum("df").alias("df")).toArrow())  # at most the tokenizer's ids
-        df = np.zeros(int(max(found["term"].to_numpy(), default=0)) + 1, np.int64)
-        df[found["term"].to_numpy()] = found["df"].to_numpy()
-        self.known = self.spark.sparkContext.broadcast((_idf(len(self.length), df), float(self.length.mean()), df > 1))
-
-    def neighbours(self, seeds: list[int], used: np.ndarray, limit: int) -> dict[int, list[int]]:
-        """The ``limit`` best unused neighbours of each seed, best first."""
-        asked = self.spark.createDataFrame(pa.table({"pos": pa.array(sorted(set(seeds)), pa.int64())}))
-        found = self.placed.select("pos", "ids").join(F.broadcast(asked), "pos").toArrow()
-        shared, known = self.known.value[2], self.known
-        queries = []
-        for pos, ids in zip(found["pos"].to_pylist(), found["ids"].to_pylist()):
-            terms = np.unique(np.frombuffer(ids, "<u4")).astype(np.int64)
-            queries.append((pos, terms[shared[terms]]))
-        sent = self.spark.sparkContext.broadcast((queries, np.packbits(used)))
-
-        def search(batches: Iterable[pa.RecordBatch]):
-            queries, bits = sent.value
-            idf, mean, _ = known.value
-            gone = np.unpackbits(bits).view(bool)
-            top = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    shard = Shard(batch.slice(i, 1).to_pylist()[0], idf, mean)
-                    free = ~gone[shard.first:shard.first + shard.n]
-                    for q, (_, terms) in enumerate(queries):
-                        score = shard.scores(terms) * free
-                        doc, old = top[q]
-                        own = np.flatnonzero(score >= old[-1] if len(old) == limit else score)
-                        if len(own):
-                            top[q] = best(np.append(doc, own + shard.first), np.append(old, score[own]), limit)
-            sizes = [len(d) for d, _ in top]
-            if sum(sizes):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat([p for p, _ in queries], sizes)), pa.array(np.concatenate([d for d, _ in top])),
-                    pa.array(np.concatenate([s for _, s in top]))], names=["seed", "doc", "score"])
-
-        order = Window.partitionBy("seed").orderBy(F.desc("score"), "doc")
-        rows = (self.index.mapInArrow(search, "seed long, doc long, score double")
-                .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).toArrow())
-        sent.destroy()
-        out = {pos: [] for pos, _ in queries}
-        seed, doc, rank = (rows[c].to_numpy() for c in ("seed", "doc", "rank"))
-        for i in np.lexsort((rank, seed)):
-            out[int(seed[i])].append(int(doc[i]))
-        return out
-
-
-class Chain:
-    """Windows that one seed after the other fills."""
-
-    def __init__(self, number: int, seq_len: int):
-        self.number, self.seq_len, self.sequence, self.filled = number, seq_len, 0, 0
-        self.seed, self.open = None, []
-
-    def place(self, doc: int, length: int, out: list) -> bool:
-        """Lay out ``doc``; full windows go to ``out``.  Whether a window became full."""
-        start, full = 0, False
-        while start < length:
-            part = min(length - start, self.seq_len - self.filled)
-            self.open.append((doc, start, part, (self.number << 32) + self.sequence, self.filled))
-            start, self.filled = start + part, self.filled + part
-            if self.filled == self.seq_len:
-                out += self.open
-                self.sequence, self.filled, self.open, full = self.sequence + 1, 0, [], True
-        return full
-
-
-def pack_chains(length: np.ndarray, neighbours, seq_len: int, chains: int, limit: int = CANDIDATES):
-    """Lists of pieces ``(doc, start, length, sequence, offset)``, the unfilled
-    windows last; ``neighbours(seeds, used, limit)`` gives the best unused."""
-    used = np.zeros(len(length), bool)
-    grown, following = [Chain(c, seq_len) for c in range(chains)], 0
-    waiting, lists = list(grown), {}
-    while waiting:
-        out, still = [], []
-        for chain in waiting:
-            names = lists.get(chain.seed, [])
-            for doc in names:
-                if not used[doc]:
-                    used[doc] = True
-                    if chain.place(doc, int(length[doc]), out):
-                        chain.seed = doc
-                        break
-            else:
-                if chain.seed is None or len(names) < limit:  # no unused document shares a term
-                    while following < len(used) and used[following]:
-                        following += 1
-                    if following == len(used):
-                        continue
-                    chain.seed, used[following] = following, True
-                    chain.place(following, int(length[following]), out)
-            still.append(chain)
-        yield out
-        waiting = still if not used.all() else []
-        lists = neighbours([c.seed for c in waiting], used, limit) if waiting else {}
-    yield lay_out([p[:3] for c in grown for p in c.open], seq_len, chains)
-
-
-def lay_out(parts: list[tuple], seq_len: int, number: int) -> list[tuple]:
-    """``(doc, start, length)`` end to end as the sequences of chain ``number``."""
-    chain, out = Chain(number, seq_len), []
-    for doc, start, length in parts:
-        before, held = len(out), len(chain.open)
-        chain.place(doc, length, out)
-        laid = out[before + held:] + chain.open if len(out) > before else chain.open[held:]
-        moved = [(d, s + start, *rest) for d, s, *rest in laid]
-        if len(out) > before:
-            kept = len(out) - before - held
-            out[before + held:], chain.open = moved[:kept], moved[kept:]
-        else:
-            chain.open[held:] = moved
-    return _split_last(out + chain.open, (number << 32) + chain.sequence, chain.filled)
+    return keyed_texts(docs, id_col, text_col).mapInArrow(encode, STORED)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
-         chains: int | None = None) -> DataFrame:
+         seq_len: int = SEQ_LEN, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.  ``tokenizer_path`` must be readable on each
     executor."""
-    spark = docs.sparkSession
-    texts = keyed_texts(docs, id_col, text_col)
-    size = texts.agg(F.sum(F.octet_length(TEXT) + 8)).first()[0] or 0  # 8: key and end id
-    shards = max(1, -(-size // shard_bytes))
-    names = [id_of().alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-
-    def ids_of(batch: pa.RecordBatch) -> list[np.ndarray]:
-        tokenize = tokenizer(tokenizer_path)
-        return [d for part in text_chunks([batch]) for d in tokenize(shard_words(*part), end_id)]
-
-    def whole_table(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([KEY, TEXT], kind="stable")
-        keys = pdf[KEY].to_numpy()
-        ids = ids_of(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pdf[TEXT], pa.string())], names=[KEY, TEXT]))
-        rows = [(keys[d], s, n, zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()), len(ids[d]), q, o)
-                for d, s, n, q, o in pack_shard(ids, seq_len)]
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    if shards == 1 and chains is None:
-        return (texts.withColumn("_nx_shard", F.lit(0)).groupBy("_nx_shard").applyInPandas(whole_table, SCHEMA)
-                .select(*names))
-
-    def tokenised(batches: Iterable[pa.RecordBatch]):
+    stored = cut_lineage(tokenised(docs, tokenizer_path, end_id, id_col, text_col), name="ids")
+    figures = Figures.of(stored, vocabulary(tokenizer_path, end_id))
+    tasks = max(1, -(-int(stored.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // (4 * TASK_TOKENS)))
+    sort = ["near", "rare", "pid"]
+
+    def pieces_of(held: list, first: int) -> pa.RecordBatch:
+        keys, texts = zip(*held)
+        rows = np.array(fill(list(texts), figures, seq_len), np.int64).T
+        doc, start, length, sequence, offset = rows
+        crc = [zlib.crc32(texts[d][s:s + n].tobytes()) for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist())]
+        total = np.array([len(t) for t in texts])[doc]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.array(keys, np.int64)[doc]), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+            pa.array(total), pa.array(sequence + first), pa.array(offset)],
+            names=[c.split()[0] for c in PIECES.split(", ")])
+
+    def fill_shards(batches: Iterable[pa.RecordBatch]):
+        first, held, size = TaskContext.get().partitionId() << TASK_BITS, [], 0
         for batch in batches:
-            if batch.num_rows:
-                ids = pa.array([d.astype("<u4").tobytes() for d in ids_of(batch)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(KEY), batch.column("place"), ids], names=[KEY, "place", "ids"])
-
-    stored = cut_lineage(texts.withColumn("place", F.xxhash64(KEY, TEXT))
-                         .mapInArrow(tokenised, f"{KEY} long, place long, ids binary"), name="ids")
-    ranked = row_index(stored.withColumn("copy", F.monotonically_increasing_id()), ["place", KEY, "copy"], index_col="pos")
-    placed = cut_lineage(ranked.select("pos", KEY, "ids"), name="placed")
-    forget(stored, ranked)
-    corpus = Corpus(placed, shards)
-    if chains is None:
-        chains = max(1, int(corpus.length.sum()) // (seq_len * CHAIN_WINDOWS))
-    path, held = scratch_dir(spark, "pieces"), []
-    for some in pack_chains(corpus.length, corpus.neighbours, seq_len, chains):
-        held += some
-        if len(held) >= FLUSH_PIECES:
-            held = _flush(spark, held, path)
-    _flush(spark, held, path)
-    forget(corpus.index)
-    pieces = spark.read.schema(PIECES).parquet(path)
-    return (pieces.join(placed, "pos")
-            .withColumn("ids_crc32", F.crc32(F.substr("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int"))))
-            .withColumn("doc_tokens", (F.octet_length("ids") / 4).cast("long")).select(*names))
-
-
-def _flush(spark, pieces: list[tuple], path: str) -> list:
-    """Append ``pieces`` to the table at ``path``."""
-    columns = np.array(pieces, np.int64).reshape(-1, 5).T
-    table = pa.table({c.split()[0]: pa.array(v) for c, v in zip(PIECES.split(", "), columns)})
-    spark.createDataFrame(table).write.mode("append").parquet(path)
-    return []
+            for key, doc in zip(batch.column(KEY).to_pylist(), _documents(batch)):
+                if held and size + len(doc) > shard_tokens:
+                    out = pieces_of(held, first)
+                    yield out
+                    first, held, size = int(max(out.column("sequence_id").to_numpy())) + 1, [], 0
+                held.append((key, doc))
+                size += len(doc)
+        if held:
+            yield pieces_of(held, first)
+
+    pieces = cut_lineage(routed(stored, figures).repartitionByRange(tasks, *sort).sortWithinPartitions(*sort)
+                         .select(KEY, "ids").mapInArrow(fill_shards, PIECES), name="packed")
+    forget(stored)
+    return pieces.select(id_of().alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -110,3 +110,9 @@ def token_ids(batches: Iterable[pa.RecordBatch], path: str, end_id: int) -> Iter
     encode = tokenizer(path)
     for keys, raw, bounds in text_chunks(batches):
         yield keys, encode(shard_words(keys, raw, bounds), end_id)
+
+
+def vocabulary(path: str, end_id: int) -> int:
+    """One more than the largest id."""
+    found = tokenizer(path).tokenizer.get_vocab(with_added_tokens=True)
+    return max([end_id, *found.values()]) + 1

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from netstream.llm import (components, decontaminate, fingerprint, language_id, language_model, near_dedup, packing,
-                           quality, substring_dedup)
+                           quality, substring_dedup, tokens)
 from netstream.llm.common import Chunk, run_hashes, whole_runs
 
 
@@ -254,7 +254,7 @@ def test_packing_round_trip(spark, small):
     docs = small.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
     ids = {r.doc_id: np.array(tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1], "<u4")
            for r in docs.collect()}
-    pieces = packing.pack(docs, path, shard_bytes=60_000).collect()
+    pieces = packing.pack(docs, path, shard_tokens=60_000).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for p in pieces:
         by_doc[p.doc_id].append(p)
@@ -288,17 +288,70 @@ def _bm25(docs, seed):
     return score
 
 
+def _figures(docs):
+    df = collections.Counter(t for d in docs for t in set(d.tolist()))
+    return packing.Figures(len(docs), sum(map(len, docs)), np.array([df[i] for i in range(max(df) + 1)]))
+
+
 def test_packing_scores_all_terms():
-    """Neighbours of documents with far more than 32 shared terms: BM25's order,
-    and none that shares a term is missing."""
+    """Neighbours of documents with many shared terms, common and rare: BM25's
+    order, and none that shares a term is missing; used documents are left out."""
     rng = np.random.default_rng(12)
-    docs = [np.append(rng.choice(400, rng.integers(60, 200)), 1).astype("<u4") for _ in range(40)]
-    index = packing.Index(docs)
+    docs = [np.append(rng.choice(400, rng.integers(60, 200)) if i % 2 else 400 + rng.choice(4000, 150), 1).astype("<u4")
+            for i in range(40)]
+    shard = packing.Shard(docs, _figures(docs))
     for seed in range(len(docs)):
         score = _bm25(docs, seed)
-        got = index.neighbours(seed).tolist()
-        assert sorted(got) == [i for i, x in enumerate(score) if x > 0]
-        assert np.allclose([score[i] for i in got], sorted((x for x in score if x > 0), reverse=True))
+        free = [i for i in range(len(docs)) if not shard.used[i] and score[i] > 0]
+        got = list(shard.neighbours(seed))
+        assert sorted(got) == free
+        assert np.allclose([score[i] for i in got], sorted((score[i] for i in free), reverse=True))
+        shard.take(seed)
+
+
+def test_packing_is_greedy():
+    """A shard against a packer that scores and places one document after the
+    other in plain Python."""
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.zipf(1.3, rng.integers(1, 90)) % 500 + 2, 1).astype("<u4") for _ in range(120)]
+    docs += [docs[5], docs[5], np.array([1], "<u4")]
+    free, where, filled, sequence, seed, at = list(range(len(docs))), [], 0, 0, None, 0
+    while free:
+        score = _bm25(docs, seed) if seed is not None else [0.0] * len(docs)
+        best = max(free, key=lambda i: (round(score[i], 4), -i))
+        if score[best] <= 0:
+            best, seed = free[0], free[0]
+        free.remove(best)
+        for start in itertools.count():
+            if start == len(docs[best]):
+                break
+            where.append((best, start, sequence, filled))
+            filled += 1
+            if filled == 128:
+                sequence, filled, seed = sequence + 1, 0, best
+    got = [(d, s + i, q, o + i) for d, s, n, q, o in packing.fill(docs, _figures(docs), 128) for i in range(n)]
+    full = [w for w in where if w[2] < sequence]
+    assert [g for g in got if g[2] < sequence] == full and len(got) == len(where)
+
+
+def test_packing_brings_copies_together(spark, small):
+    """Near copies far apart in the table lie in one shard, at any number of
+    shards; rows equal in all are spread over several."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [(r.doc_id, r.text) for r in small.select("doc_id", "text").where("length(text) between 600 and 3000").collect()][:60]
+    near = [(1000 + i, f"{t} and some more words") for i, t in texts[:20]]
+    docs = spark.createDataFrame(texts + near, "doc_id long, text string")
+    stored = packing.tokenised(docs, path, 1, "doc_id", "text").persist()
+    ranked = packing.routed(stored, packing.Figures.of(stored, packing.vocabulary(path, 1))).orderBy("near", "rare", "pid")
+    order = [r._nx_key for r in ranked.collect()]
+    place = {k: i for i, k in enumerate(order)}
+    assert sum(abs(place[1000 + i] - place[i]) <= 2 for i, _ in texts[:20]) >= 15
+    same = spark.range(400).selectExpr("cast(null as long) doc_id", "'some words of a text' text")
+    pieces = packing.pack(same, path, seq_len=64, shard_tokens=300).collect()
+    assert sum(p.length for p in pieces) == 400 * pieces[0].doc_tokens
+    short = {p.sequence_id for p in pieces if p.length + p.offset < 64}
+    assert len(short) > 5  # the last sequences of several shards
+    stored.unpersist()
 
 
 def test_added_tokens_are_case_sensitive():
@@ -308,64 +361,12 @@ def test_added_tokens_are_case_sensitive():
     tokenizer = Tokenizer.from_file(path)
     texts = ["a <|ENDOFTEXT|> b", "a <|endoftext|> b", "X<|EndOfText|>Y <|ENDOFTEXT|>, z", "<|STARTOFTEXT|>", "Plain"] * 2
     raw = [t.encode() for t in texts]
-    words = packing.shard_words(np.arange(len(raw)), np.frombuffer(b"".join(raw), np.uint8),
+    words = tokens.shard_words(np.arange(len(raw)), np.frombuffer(b"".join(raw), np.uint8),
                                 np.append(0, np.cumsum([len(r) for r in raw])))
-    got = packing.WordTokenizer(path)(words, 1)
+    got = tokens.WordTokenizer(path)(words, 1)
     assert [d.tolist() for d in got] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
 
 
-def test_packing_spreads_equal_rows(spark, monkeypatch):
-    """Rows equal in id and text lie in several shards of postings, at even sizes."""
-    rows, sizes = [(None, "some words of a text")] * 40, []
-
-    class Seen(packing.Corpus):
-        def __init__(self, placed, shards):
-            super().__init__(placed, shards)
-            sizes.extend(len(packing._whole(r.lengths)) for r in self.index.collect())
-
-    monkeypatch.setattr(packing, "Corpus", Seen)
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), seq_len=64, shard_bytes=300).collect()
-    assert sum(p.length for p in pieces) == 40 * pieces[0].doc_tokens
-    assert len(sizes) >= 3 and sum(sizes) == 40 and max(sizes) <= 15
-
-
-@pytest.mark.parametrize("chains", [1, 3])
-def test_packing_searches_whole_corpus(spark, small, chains):
-    """Several shards of postings: windows are those of a plain greedy packing
-    by BM25 of the whole corpus; equal rows do not meet in one shard."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    docs = small.select("doc_id", "text").where("length(text) < 3000").limit(100)
-    docs = docs.union(docs.limit(1).crossJoin(spark.range(30)).select("doc_id", "text"))
-    rows = docs.withColumn("h", F.xxhash64(F.col("doc_id").alias("k"), "text")).orderBy("h", "doc_id").collect()
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    ids = [np.array(tokenizer.encode(r.text, add_special_tokens=False).ids + [1], "<u4") for r in rows]
-    mean, n = sum(map(len, ids)) / len(ids), len(ids)
-    df = np.bincount(np.concatenate([np.unique(d) for d in ids]))
-    tf = np.zeros((n, len(df)))
-    for i, d in enumerate(ids):
-        tf[i] = np.bincount(d, minlength=len(df))
-    norm = 1.2 * (0.25 + 0.75 * np.array([len(d) for d in ids]) / mean)
-    impact = tf * 2.2 / (tf + norm[:, None]) * np.where(df > 1, np.log1p((n - df + 0.5) / (df + 0.5)), 0)
-
-    def neighbours(seeds, used, limit):
-        out = {}
-        for s in seeds:
-            score = np.zeros(n)
-            for t in np.unique(ids[s]):
-                score += impact[:, t]
-            out[s] = [i for i in np.lexsort((np.arange(n), -score)).tolist() if score[i] > 0 and not used[i]][:limit]
-        return out
-
-    want = collections.Counter()
-    for some in packing.pack_chains(np.array([len(d) for d in ids]), neighbours, 512, chains, limit=n):
-        want.update((rows[d].doc_id, *rest) for d, *rest in some)
-    size = sum(len(r.text.encode()) for r in rows)
-    got = packing.pack(docs, path, seq_len=512, shard_bytes=size // 5, chains=chains).collect()
-    assert collections.Counter((p.doc_id, p.start, p.length, p.sequence_id, p.offset) for p in got) == want
-
-
 def test_near_dedup_large_group(spark, documents, monkeypatch):
     """A large group of near copies, many near the threshold, through tiles of
     a few documents: the components of all pairs."""

@@ -47,7 +47,7 @@ OPERATORS = {
     "language_model": _model,
     "substring_dedup": substring_dedup.dedup_substrings,
     "quality": _quality,
-    "packing": lambda d: packing.pack(d, TOKENIZER, shard_bytes=1 << 20),
+    "packing": lambda d: packing.pack(d, TOKENIZER, shard_tokens=1 << 18),
 }
 
 
