@@ -8,21 +8,30 @@ its own.
   the last N are windows over blocks of ``BLOCK_ROWS`` positions, each with a
   halo of the N - 1 rows before it - one shuffle, no key in one task.
 * The as-written DGIM needs only a bounded head per stream and prefix sums.
-* The published DGIM folds each stream in order, but a stream is cut wherever
-  its last N bits hold no one: no bucket is left there.
+* The published DGIM folds the blocks of a stream in parallel: a block is folded
+  for every state it may start with, the blocks' results are chained, and each
+  block is folded once more from its state.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.functions.dgim import QUERY_K, WINDOW_N, Published
+from netstream.functions.dgim import (QUERY_K, WINDOW_N, buckets_of, follow_totals, oldest_size, possible_totals,
+                                      suffix_totals)
 from netstream.operators.indexing import keyed_prefix_sum
-from netstream.session import cut_lineage, shuffle_partitions
+from netstream.session import cut_lineage
 
 BLOCK_ROWS = 100_000  # positions of one stream that go to one task
+FOLD_ROWS = 4_096  # positions of one stream that are folded as one block
+FOLD_TOGETHER = 500_000  # rows whose blocks are folded at once
+CHAINED_BLOCKS = 1_024  # blocks of a stream that one task chains
 P_ONE = 0.3  # fixed value: probability of a 1 in the reference's bit producer
 
 
@@ -101,51 +110,173 @@ def relative_error(truth, estimate):
 # DGIM
 # ---------------------------------------------------------------------------
 
-def _fold_published(n: int):
-    """Folds rows sorted by ``(key, segment, seq)``; the other columns pass."""
-    def fold(batches):
-        current, st = (), None
-        for pdf in batches:
-            keys = list(zip(pdf["_null"].tolist(), pdf["key"].tolist(), pdf["_segment"].tolist()))
-            pos = pdf["pos"].tolist()
-            n_buckets, total, estimate = [], [], []
-            for at, (k, b) in enumerate(zip(keys, pdf["bit"].tolist())):
-                if k != current:
-                    current, st = k, Published(n, t=pos[at] - 1)
-                st.step(int(b))
-                n_buckets.append(len(st.sizes))
-                total.append(sum(st.sizes))
-                estimate.append(st.estimate())
-            yield pdf.drop(columns=["_null", "_segment"]).assign(n_buckets=n_buckets, bucket_sum=total, estimate=estimate)
-    return fold
-
-
-def published(cum: DataFrame, n: int = WINDOW_N, partitions: int | None = None) -> DataFrame:
+_BLOCK = ["_null", "key", "_block"]
+
+
+def _whole_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by ``_BLOCK`` in tables of whole blocks, with the rows at
+    which blocks start."""
+    def starts(table: pa.Table) -> np.ndarray:
+        change = np.ones(table.num_rows, bool)
+        columns = [table.column(c).to_numpy() for c in _BLOCK]
+        change[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        return np.flatnonzero(change)
+
+    held, rows = [], 0
+    for batch in batches:
+        held, rows = [*held, batch], rows + batch.num_rows
+        if rows >= FOLD_TOGETHER:
+            table = pa.Table.from_batches(held).combine_chunks()
+            first = starts(table)
+            if len(first) > 1:
+                yield table.slice(0, int(first[-1])), first[:-1]
+                held = table.slice(int(first[-1])).to_batches()
+                rows = sum(b.num_rows for b in held)
+    if rows:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, starts(table)
+
+
+class _Blocks:
+    """The bits of some blocks, each after the last bits of the block before."""
+
+    def __init__(self, table: pa.Table, first: np.ndarray):
+        self.size = np.diff(np.append(first, table.num_rows))
+        self.own = (table.column("_block").to_numpy() == table.column("_own").to_numpy())
+        self.bit = table.column("bit").to_numpy().astype(np.uint8)
+        self.end = first + self.size
+        self.begin = self.end - np.add.reduceat(self.own, first)
+        ones = np.append(0, np.cumsum(self.bit, dtype=np.int64))
+        self.recent = ones[self.begin] - ones[first]
+
+
+def _block_results(n: int):
+    """``(_BLOCK, recent, ends)`` of each block: the ones in the ``n`` bits
+    before it, and the totals it ends with for each total it may start with."""
+    def run(batches):
+        for table, first in _whole_blocks(batches):
+            blocks = _Blocks(table, first)
+            real = blocks.begin < blocks.end  # behind a stream's end there may be bits before a block, but no block
+            first, blocks.begin, blocks.end, blocks.recent = (
+                a[real] for a in (first, blocks.begin, blocks.end, blocks.recent))
+            if not len(first):
+                continue
+            starts = [possible_totals(c) for c in blocks.recent.tolist()]
+            widest = max(map(len, starts))
+            padded = np.array([s + s[:1] * (widest - len(s)) for s in starts], np.int64)
+            ends = follow_totals(blocks.bit, blocks.begin, blocks.end, padded, n)
+            rows = table.take(pa.array(first)).select(_BLOCK).combine_chunks()
+            found = [e[:len(s)].tolist() for e, s in zip(ends, starts)]
+            yield pa.RecordBatch.from_arrays(
+                [*(c.combine_chunks() for c in rows.columns), pa.array(blocks.recent), pa.array(found, pa.list_(pa.int64()))],
+                names=[*_BLOCK, "recent", "ends"])
+    return run
+
+
+_RESULT = "_null boolean, key long, _block long, recent long, ends array<long>"
+
+
+def _walk(pdf: pd.DataFrame, total: int) -> list[int]:
+    """Totals before each block of a stream (in order), and after the last."""
+    out = [total]
+    for recent, ends in zip(pdf["recent"].tolist(), pdf["ends"]):
+        out.append(int(ends[possible_totals(recent).index(out[-1])]))
+    return out
+
+
+def block_starts(results: DataFrame) -> DataFrame:
+    """``(_BLOCK, start)``: the total each block starts with.  A stream of more
+    than ``CHAINED_BLOCKS`` blocks is chained in groups, then over the groups."""
+    fan = CHAINED_BLOCKS
+
+    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_block")
+        first = int(pdf["start"].iloc[0])
+        return pdf[_BLOCK].assign(start=_walk(pdf, first)[:-1])
+
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_block")
+        recent = int(pdf["recent"].iloc[0])
+        ends = [_walk(pdf, total)[-1] for total in possible_totals(recent)]
+        return pdf[["_null", "key"]].head(1).assign(_block=int(pdf["_block"].iloc[0]) // fan, recent=recent, ends=[ends])
+
+    group = F.floor(F.col("_block") / fan).cast("long")
+    schema = "_null boolean, key long, _block long, start long"
+    last = results.agg(F.max("_block")).first()[0] or 0
+    if last < fan:
+        return results.withColumn("start", F.lit(0)).groupBy("_null", "key").applyInPandas(starts, schema)
+    groups = cut_lineage(results.withColumn("_group", group).groupBy("_null", "key", "_group")
+                         .applyInPandas(joined, _RESULT), name="dgim-groups")
+    before = block_starts(groups).withColumnRenamed("_block", "_group")
+    return (results.withColumn("_group", group).join(before, ["_null", "key", "_group"])
+            .groupBy("_null", "key", "_group").applyInPandas(starts, schema))
+
+
+def _block_totals(n: int, columns: list[str], queries: dict[str, int]):
+    """Rows with their totals; a block's first row may be its ``start``."""
+    def run(batches):
+        for table, first in _whole_blocks(batches):
+            start = table.column("start").to_numpy(zero_copy_only=False)[first]
+            real = np.isnan(table.column("start").to_numpy(zero_copy_only=False).astype(np.float64))
+            start = np.nan_to_num(start.astype(np.float64)).astype(np.int64)
+            place = np.append(0, np.cumsum(real))
+            table = table.filter(pa.array(real))
+            blocks = _Blocks(table, place[first])
+            total = np.zeros(table.num_rows, np.int64)
+            follow_totals(blocks.bit, blocks.begin, blocks.end, start[:, None], n, total)
+            at = np.flatnonzero(blocks.own)
+            total, out = total[at], table.take(pa.array(at)).combine_chunks()
+            found = {"n_buckets": buckets_of(total), "bucket_sum": total, "estimate": total - oldest_size(total) // 2}
+            for name, k in queries.items():
+                inside, oldest = suffix_totals(blocks.bit, at, total, k)
+                found[name] = inside - oldest // 2
+            yield pa.RecordBatch.from_arrays([*(out.column(c).combine_chunks() for c in columns), *map(pa.array, found.values())],
+                                             names=[*columns, *found])
+    return run
+
+
+def published(cum: DataFrame, n: int = WINDOW_N, queries: dict[str, int] | None = None,
+              fold_rows: int | None = None) -> DataFrame:
     """Published DGIM after every bit, added to the columns of ``cum`` (with
-    ``key, seq, bit, pos``).
-
-    A stream is cut after each bit whose last ``n`` bits hold no one: the
-    bucket list is empty there, so the segments are folded apart, and a hot
-    stream is spread unless it has ones everywhere."""
-    spark = cum.sparkSession
-    counted = with_window_counts(cum, {"_last": n}).withColumn("_empty", (F.col("_last") == 0).cast("long"))
-    summed = keyed_prefix_sum(counted, "key", "seq", ["_empty"])
-    rows = (summed.withColumn("_segment", F.col("_empty_cum") - F.col("_empty"))
-            .withColumn("_null", F.col("key").isNull()).withColumn("key", F.coalesce("key", F.lit(0).cast("long"))))
-    extra = [c for c in cum.columns if c != "key"]
-    rows = rows.select("_null", "key", "_segment", *extra)
-    parts = partitions or shuffle_partitions(spark)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema
-                       if f.name not in ("_null", "_segment", "key"))
-    folded = (rows.repartition(parts, "_null", "key", "_segment")
-              .sortWithinPartitions("_null", "key", "_segment", "seq")
-              .withColumn("_key", F.when(~F.col("_null"), F.col("key")))
-              .mapInPandas(_fold_published(n), f"key long, {schema}, _key long, n_buckets long, bucket_sum long, estimate long"))
-    return folded.withColumn("key", F.col("_key")).drop("_key")
+    ``key, seq, bit, pos``): ``n_buckets, bucket_sum, estimate`` (ones among the
+    last ``n`` bits) and, for each ``name -> k`` in ``queries`` (``k <= n``), the
+    sketch's answer for the last ``k`` bits: the buckets that end among them,
+    less half of the oldest of these.
+
+    The state is one number (see ``functions.dgim``), so a stream is cut into
+    blocks whatever its bits are: each is folded for every state that the ``n`` bits
+    before it allow, the results are chained per stream, and each block is folded
+    once more from the state found.  No state is guessed."""
+    queries = queries or {}
+    if any(k > n for k in queries.values()):
+        raise ValueError("a query reaches back at most n bits")
+    size = fold_rows or max(FOLD_ROWS, 8 * n)
+    columns = [c for c in cum.columns if c != "key"]
+    rows = cum.select(F.col("key").isNull().alias("_null"), F.coalesce("key", F.lit(0).cast("long")).alias("key"), *columns)
+    own = F.floor((F.col("pos") - 1) / size).cast("long")
+    until = F.floor((F.col("pos") - 1 + n) / size).cast("long")
+    cut = rows.withColumn("_own", own).withColumn("_block", F.explode(F.sequence(own, until)))
+    single = (cum.agg(F.max("pos")).first()[0] or 0) <= size
+    cut = cut.where(F.col("_block") == F.col("_own")) if single else cut
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    starts = None
+    if not single:
+        results = (cut.select(*_BLOCK, "_own", "pos", "bit").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "pos")
+                   .mapInArrow(_block_results(n), _RESULT))
+        starts = cut_lineage(block_starts(cut_lineage(results, name="dgim-blocks")), name="dgim-starts")
+    cut = cut.withColumn("start", F.lit(None).cast("long"))
+    if starts is not None:
+        cut = cut.unionByName(starts.withColumn("pos", F.lit(-1).cast("long")), allowMissingColumns=True)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in ["_null", "key", *columns])
+    out = (cut.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "pos")
+           .mapInArrow(_block_totals(n, ["_null", "key", *columns], queries),
+                       f"{schema}, n_buckets long, bucket_sum long, estimate long"
+                       + "".join(f", `{c}` long" for c in queries)))
+    return out.withColumn("key", F.when(~F.col("_null"), F.col("key"))).drop("_null")
 
 
 def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str = "key",
-         seq: str = "seq", bit: str = "bit", partitions: int | None = None) -> DataFrame:
+         seq: str = "seq", bit: str = "bit") -> DataFrame:
     """DGIM state after every bit of every stream.
 
     ``as_written``: ``(key, seq, real_count, n_buckets, bucket_sum,
@@ -158,7 +289,7 @@ def dgim(bits: DataFrame, mode: str = "published", n: int = WINDOW_N, key: str =
     cum = stream_positions(bits, key, seq, bit)
     if mode == "as_written":
         return as_written(cum, n).select("key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate")
-    return published(cum, n, partitions).select("key", "seq", "n_buckets", "bucket_sum", "estimate")
+    return published(cum, n).select("key", "seq", "n_buckets", "bucket_sum", "estimate")
 
 
 def as_written_head_length(n: int) -> int:

@@ -58,6 +58,15 @@ def q_dgim_published(spark, sf_dir):
     return _named(B.dgim(_bits(spark, sf_dir), mode="published"))
 
 
+def q_dgim_last_k(spark, sf_dir):
+    """The published sketch of the last N bits asked for the last K, beside the
+    exact count."""
+    cum = B.with_window_counts(B.stream_positions(_bits(spark, sf_dir)), {"ones_last_k": QUERY_K})
+    asked = B.published(cum, queries={"estimate_k": QUERY_K})
+    return _named(asked).select("user_id", "event_id", "ones_last_k", "estimate_k", F.round(
+        B.relative_error(F.col("ones_last_k"), F.col("estimate_k")), 6).alias("rel_error_k"))
+
+
 def q_dgim_error(spark, sf_dir):
     """Both estimates and their errors: the published fold carries the columns
     of the as-written rule and the exact counts along, nothing is joined back."""
@@ -163,6 +172,14 @@ FROM (SELECT user_id, event_id, CAST(CAST(event_type = 'error' AS INTEGER) AS VA
     "ones_last_k": f"SELECT user_id, event_id, ones_last_k FROM ({_WIN})",
     "dgim_as_written": f"WITH RECURSIVE {_B}, {_as_written_cte(WINDOW_N)}\n{_AW_OUT}",
     "dgim_published": f"WITH RECURSIVE {_B}, {_published_cte(WINDOW_N)}\n{_PB_OUT}",
+    "dgim_last_k": f"""WITH RECURSIVE {_B}, {_published_cte(WINDOW_N)}, w AS ({_WIN}),
+p AS (SELECT key, seq, list_filter(bk, lambda x: x.e > t - {QUERY_K}) AS bk FROM pb WHERE t > 0 AND lvl = 0),
+e AS (SELECT key, seq, CAST(coalesce(list_sum(list_transform(bk, lambda x: x.s)), 0)
+                            - coalesce(bk[1].s // 2, 0) AS BIGINT) AS estimate_k FROM p)
+SELECT w.user_id, w.event_id, w.ones_last_k, e.estimate_k,
+       round(CASE WHEN w.ones_last_k > 0 THEN CAST(w.ones_last_k - e.estimate_k AS DOUBLE) / w.ones_last_k
+                  ELSE 0.0 END, 6) AS rel_error_k
+FROM w JOIN e ON e.key = w.user_id AND e.seq = w.event_id""",
     "dgim_error": f"""WITH RECURSIVE {_B}, {_as_written_cte(WINDOW_N)}, {_published_cte(WINDOW_N)},
 a AS ({_AW_OUT}), p AS ({_PB_OUT}), w AS ({_WIN})
 SELECT a.user_id, a.event_id, a.real_count, a.estimate AS est_as_written,
@@ -184,5 +201,6 @@ QUERIES = {
     "ones_last_k": q_ones_last_k,
     "dgim_as_written": q_dgim_as_written,
     "dgim_published": q_dgim_published,
+    "dgim_last_k": q_dgim_last_k,
     "dgim_error": q_dgim_error,
 }

@@ -1,9 +1,11 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from netstream.functions.dgim import AsWritten, Published
+from netstream.functions import dgim
+from netstream.functions.dgim import AsWritten, Published, Totals
 from netstream.operators import bits as B
 from netstream.sources.tables import bit_events, read_table
 
@@ -149,3 +151,83 @@ def test_as_written_head_drains():
                 st.step(int(rng.random() < rng.choice([0.5, 0.95, 1.0])))
                 if st.t >= t0:
                     assert st.rest == 0
+
+
+def _reference(bits, n, k):
+    """Bucket lists by the published rule: totals, counts, estimates, and the
+    answer for the last k bits with the size of the oldest bucket in it."""
+    pb, out = Published(n), []
+    for b in bits:
+        pb.step(int(b))
+        late = [s for s, e in zip(pb.sizes, pb.ends) if e > pb.t - k]
+        out.append((sum(pb.sizes), len(pb.sizes), pb.estimate(), sum(late), late[0] if late else 0))
+    return np.array(out, np.int64).T
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 24, 100])
+@pytest.mark.parametrize("p", [0.02, 0.3, 0.7, 1.0])
+def test_the_total_is_the_whole_state(n, p):
+    rng = np.random.default_rng(int(n + 1000 * p))
+    bits, k = (rng.random(600) < p).astype(np.uint8), max(1, n - 4)
+    total, count, estimate, late, oldest = _reference(bits, n, k)
+    fold = Totals(n)
+    assert np.concatenate([fold.feed(bits[:250]), fold.feed(bits[250:])]).tolist() == total.tolist()
+    assert dgim.buckets_of(total).tolist() == count.tolist()
+    assert (total - dgim.oldest_size(total) // 2).tolist() == estimate.tolist()
+    found, size = dgim.suffix_totals(bits, np.arange(600), total, k)
+    assert found.tolist() == late.tolist() and size.tolist() == oldest.tolist()
+    cuts = [c for c in (1, 50, 333) if c >= min(n, 50)]
+    blocks = [bits[max(0, c - n):] for c in cuts]
+    begin = np.cumsum([0, *(len(b) for b in blocks)])[:-1]
+    halo = np.array([min(n, c) for c in cuts])
+    starts = [dgim.possible_totals(int(b[:h].sum())) for b, h in zip(blocks, halo)]
+    wide = max(map(len, starts))
+    ends = dgim.follow_totals(np.concatenate(blocks), begin + halo, begin + [len(b) for b in blocks],
+                              np.array([s + s[:1] * (wide - len(s)) for s in starts]), n)
+    for cut, start, end in zip(cuts, starts, ends):
+        assert end[start.index(total[cut - 1])] == total[-1]
+
+
+@pytest.mark.parametrize("fold_rows", [7, 100])
+def test_blocks_of_streams_equal_the_fold(spark, monkeypatch, fold_rows):
+    """Blocks far shorter than the streams and than N, chained over two levels
+    of groups; NULL, hot, sparse and dense streams; other columns pass."""
+    monkeypatch.setattr(B, "CHAINED_BLOCKS", 5)
+    rows = _streams()
+    cum = B.stream_positions(spark.createDataFrame(rows, "key LONG, seq LONG, bit INT")).withColumn("note", F.col("seq") * 2)
+    want = set()
+    for key in {k for k, _, _ in rows}:
+        own = [(q, b) for k, q, b in rows if k == key]
+        total, count, estimate, late, oldest = _reference([b for _, b in own], 24, 20)
+        want |= {(key, q, 2 * q, *map(int, r)) for (q, _), *r in zip(own, count, total, estimate, late - oldest // 2)}
+    got = B.published(cum, queries={"last20": 20}, fold_rows=fold_rows).select(
+        "key", "seq", "note", "n_buckets", "bucket_sum", "estimate", "last20").collect()
+    assert len(got) == len(rows) and set(map(tuple, got)) == want
+
+
+def test_dense_stream_is_folded_in_parallel(spark):
+    """One stream of a million ones: no gap to cut at, many tasks, the fold's
+    result."""
+    n = 1_000_000
+    cum = spark.range(n).select(F.lit(1).cast("long").alias("key"), F.col("id").alias("seq"), F.lit(1).cast("long").alias("bit"),
+                                (F.col("id") + 1).alias("pos"))
+    out = B.published(cum)
+    assert len(out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()) > 1
+    got = out.groupBy("bucket_sum").count().collect()
+    total, count = np.unique(Totals(24).feed(np.ones(n, np.uint8)), return_counts=True)
+    assert {(r["bucket_sum"], r["count"]) for r in got} == set(zip(total.tolist(), count.tolist()))
+    tail = [(r.bucket_sum, r.estimate) for r in out.where(f"seq >= {n - 50}").orderBy("seq").collect()]
+    fold = Totals(24)
+    want = fold.feed(np.ones(n, np.uint8))[-50:]
+    assert tail == list(zip(want.tolist(), (want - dgim.oldest_size(want) // 2).tolist()))
+
+
+def test_query_for_last_k_is_within_half(spark):
+    bits = bit_events(read_table(spark, SF001, "events"))
+    cum = B.with_window_counts(B.stream_positions(bits), {"k5": 5, "k20": 20, "k24": 24})
+    out = B.published(cum, queries={"e5": 5, "e20": 20, "e24": 24})
+    worst = out.select(*[F.max(F.abs(B.relative_error(F.col(f"k{k}"), F.col(f"e{k}")))) for k in (5, 20, 24)]).first()
+    assert max(worst) <= 0.5
+    assert out.where("e24 != estimate").count() == 0
+    with pytest.raises(ValueError):
+        B.published(cum, queries={"e25": 25})
