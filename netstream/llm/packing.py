@@ -10,12 +10,13 @@ term, the next unused document is the seed.
 The inverted index is sharded.  Document frequencies, mean length and number of
 documents are the corpus's.  Documents go to shards by content: first by the
 nearest of ``CENTROIDS`` centroids (fitted on ``SAMPLE`` documents, laid out so that
-like ones are near each other), then by their ``RAREST`` rarest ids, so that copies
-and near copies lie side by side; a range sort by this key and the document's own
-number spreads any hot key over many tasks.  A task cuts its sorted documents into
-shards of ``shard_tokens`` ids, indexes one shard at a time, asks it for every seed
-and writes its pieces.  So the work grows with the corpus, and the driver holds a
-number per id of the tokenizer and the centroids, nothing per document.
+like ones are near each other), then by their ``RAREST`` rarest ids (as the sample
+has them), so that copies and near copies lie side by side; a range sort by this
+key and the document's own number spreads any hot key over many tasks.  A task
+cuts its sorted documents into shards of ``shard_tokens`` ids, indexes one shard at a
+time, asks it for every seed and writes its pieces.  So the work grows with the
+corpus, and the driver holds a number per id of the tokenizer and the centroids,
+nothing per document.
 
 A seed asks the shard it lies in.  The README has the share of a seed's 16 best
 documents of the whole corpus that lie there.
@@ -41,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, forget, id_of, keyed_texts
+from netstream.llm.common import KEY, TEXT, forget, id_of, keyed_texts
 from netstream.llm.tokens import token_ids, vocabulary
 from netstream.llm.vectors import slot_sums
 from netstream.session import cut_lineage
@@ -56,12 +57,27 @@ RAREST, RARE_BITS = 3, 21
 FIRST_NEIGHBOURS = 64
 DENSE = 16
 TASK_BITS = 40
-STORED = f"pid long, {KEY} long, ids binary"
+STORED = f"pid long, {KEY} long, wide boolean, ids binary"
 PIECES = f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def _documents(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(b.as_buffer(), "<u4") for b in batch.column("ids")]
+    """Ids of each document, two bytes each where they fit."""
+    return [np.frombuffer(b.as_buffer(), "<u4" if w else "<u2")
+            for w, b in zip(batch.column("wide").to_pylist(), batch.column("ids"))]
+
+
+class _Distinct:
+    """Distinct ids of one document after the other."""
+
+    def __init__(self, ids: int):
+        self.seen = np.zeros(ids, bool)
+
+    def __call__(self, doc: np.ndarray) -> np.ndarray:
+        self.seen[doc] = True
+        found = np.flatnonzero(self.seen)
+        self.seen[found] = False
+        return found
 
 
 # -- figures of the corpus ----------------------------------------------------
@@ -70,21 +86,21 @@ class Figures:
     """Documents, documents with each id, and mean length of the whole corpus."""
 
     def __init__(self, n: int, tokens: int, df: np.ndarray):
-        self.df, self.mean = df, tokens / max(n, 1)
+        self.df, self.tokens, self.mean = df, tokens, tokens / max(n, 1)
         self.idf = np.log1p((n - df + 0.5) / (df + 0.5)) * (df > 1)  # an id of one document links nothing
 
     @classmethod
     def of(cls, stored: DataFrame, ids: int) -> Figures:
         def count(batches: Iterable[pa.RecordBatch]) -> np.ndarray:
-            total = np.zeros(ids + 2, np.int64)
+            total, distinct = np.zeros(ids + 2, np.int64), _Distinct(ids)
             for batch in batches:
                 docs = _documents(batch)
                 total[:2] += len(docs), sum(map(len, docs))
                 for doc in docs:
-                    total[2 + np.unique(doc)] += 1
+                    total[2 + distinct(doc)] += 1
             return total
 
-        n, tokens, *df = slot_sums(stored.select("ids"), count, ids + 2, "long").tolist()
+        n, tokens, *df = slot_sums(stored.select("wide", "ids"), count, ids + 2, "long").tolist()
         return cls(n, tokens, np.array(df))
 
     def weights(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,11 +117,26 @@ def directions(ids: int) -> np.ndarray:
     return np.random.default_rng(7).standard_normal((ids, DIMENSIONS), np.float32)
 
 
-def sketch(doc: np.ndarray, figures: Figures, along: np.ndarray) -> np.ndarray:
-    """The document's BM25 weights along a few random directions."""
-    terms, weight = figures.weights(doc)
-    out = weight.astype(np.float32) @ along[terms]
-    return out / max(float(np.linalg.norm(out)), 1e-9)
+class Router:
+    """Where a document goes: ``near``, the place of its centroid, and
+    ``rare``, its rarest ids as one number."""
+
+    def __init__(self, figures: Figures, middle: np.ndarray | None = None):
+        self.df, self.middle = figures.df, middle
+        self.along = directions(len(figures.df)) * figures.idf[:, None].astype(np.float32)
+
+    def sketch(self, terms: np.ndarray) -> np.ndarray:
+        """The distinct ids along a few random directions, by their idf."""
+        out = self.along[terms].sum(0)
+        return out / max(float(np.linalg.norm(out)), 1e-9)
+
+    def place(self, terms: np.ndarray) -> tuple[int, int]:
+        df, key = self.df[terms], 0
+        for _ in range(RAREST):
+            at = int(df.argmin())  # terms ascend, so equal ones go by id
+            key = key << RARE_BITS | int(terms[at]) & (1 << RARE_BITS) - 1
+            df[at] = np.iinfo(np.int64).max
+        return int((self.middle @ self.sketch(terms)).argmax()), key
 
 
 def centroids(sketches: np.ndarray, rounds: int = 10) -> np.ndarray:
@@ -127,39 +158,24 @@ def centroids(sketches: np.ndarray, rounds: int = 10) -> np.ndarray:
     return found[order]
 
 
-def rare_key(doc: np.ndarray, df: np.ndarray) -> int:
-    """The rarest ids that other documents share, as one number."""
-    terms = np.unique(doc)
-    terms = terms[df[terms] > 1]
-    rarest = terms[np.lexsort((terms, df[terms]))][:RAREST].tolist()
-    key = 0
-    for term in (rarest + [0] * RAREST)[:RAREST]:
-        key = key << RARE_BITS | term & (1 << RARE_BITS) - 1
-    return key
-
-
-def routed(stored: DataFrame, figures: Figures) -> DataFrame:
-    """``stored`` with the columns ``near`` and ``rare`` by which it is sorted."""
-    along = directions(len(figures.df))
-    some = stored.orderBy(F.xxhash64("pid"), "pid").limit(SAMPLE).select("ids")
+def router(texts: DataFrame, tokenizer_path: str, end_id: int) -> Router:
+    """Fitted on the ``SAMPLE`` documents of ``texts`` that a hash puts first."""
+    ids = vocabulary(tokenizer_path, end_id)
+    some = cut_lineage(texts.orderBy(F.xxhash64(KEY, TEXT)).limit(SAMPLE), name="sample")
+    stored = cut_lineage(tokenised(some.repartition(SAMPLE // 500), tokenizer_path, end_id), name="sample-ids")
+    first = Router(Figures.of(stored, ids))
 
     def sketches(batches: Iterable[pa.RecordBatch]):
+        distinct = _Distinct(ids)
         for batch in batches:
-            found = [sketch(d, figures, along).tobytes() for d in _documents(batch)]
+            found = [first.sketch(distinct(d)).tobytes() for d in _documents(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["sketch"])
 
-    sample = some.mapInArrow(sketches, "sketch binary").toArrow()["sketch"].to_pylist()  # at most SAMPLE rows
-    middle = centroids(np.frombuffer(b"".join(sample), np.float32).reshape(-1, DIMENSIONS))
-
-    def route(batches: Iterable[pa.RecordBatch]):
-        for batch in batches:
-            docs = _documents(batch)
-            near = [int((middle @ sketch(d, figures, along)).argmax()) for d in docs]
-            rare = [rare_key(d, figures.df) for d in docs]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int64()), pa.array(rare, pa.int64())],
-                                             names=[*batch.schema.names, "near", "rare"])
-
-    return stored.mapInArrow(route, f"{STORED}, near long, rare long")
+    found = stored.select("wide", "ids").mapInArrow(sketches, "sketch binary").toArrow()["sketch"]  # at most SAMPLE rows
+    sample = np.frombuffer(b"".join(sorted(found.to_pylist())), np.float32)
+    first.middle = centroids(sample.reshape(-1, DIMENSIONS))
+    forget(some, stored)
+    return first
 
 
 # -- one shard ----------------------------------------------------------------
@@ -258,17 +274,24 @@ def split_last(pieces: list[tuple], sequence: int, filled: int) -> list[tuple]:
 
 # -- the operator -------------------------------------------------------------
 
-def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``STORED``: the ids of each document, with a number ``pid`` of its own."""
+def tokenised(texts: DataFrame, tokenizer_path: str, end_id: int, route: Router | None = None) -> DataFrame:
+    """``STORED``: the ids of each document, with a number ``pid`` of its own;
+    with ``route`` also where it goes."""
     def encode(batches: Iterable[pa.RecordBatch]):
         pid = TaskContext.get().partitionId() << TASK_BITS
+        distinct = _Distinct(len(route.df)) if route else None
         for keys, texts in token_ids(batches, tokenizer_path, end_id):
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(pid, pid + len(keys))), pa.array(keys),
-                pa.array([t.astype("<u4").tobytes() for t in texts], pa.binary())], names=["pid", KEY, "ids"])
+            wide = [int(t.max()) >> 16 > 0 for t in texts]
+            columns = [np.arange(pid, pid + len(keys)), keys, np.array(wide),
+                       [t.astype("<u4" if w else "<u2").tobytes() for t, w in zip(texts, wide)]]
+            if route:
+                columns += [np.array(c, np.int64) for c in zip(*(route.place(distinct(t)) for t in texts))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
             pid += len(keys)
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(encode, STORED)
+    schema = STORED + (", near long, rare long" if route else "")
+    names = [c.split()[0] for c in schema.split(", ")]
+    return texts.mapInArrow(encode, schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -276,16 +299,19 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.  ``tokenizer_path`` must be readable on each
     executor."""
-    stored = cut_lineage(tokenised(docs, tokenizer_path, end_id, id_col, text_col), name="ids")
-    figures = Figures.of(stored, vocabulary(tokenizer_path, end_id))
-    tasks = max(1, -(-int(stored.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // (4 * TASK_TOKENS)))
+    texts = keyed_texts(docs, id_col, text_col)
+    route = router(texts, tokenizer_path, end_id)
+    stored = cut_lineage(tokenised(texts, tokenizer_path, end_id, route), name="ids")
+    figures = Figures.of(stored, len(route.df))
+    tasks = max(1, -(-int(figures.tokens) // TASK_TOKENS))
     sort = ["near", "rare", "pid"]
 
     def pieces_of(held: list, first: int) -> pa.RecordBatch:
         keys, texts = zip(*held)
         rows = np.array(fill(list(texts), figures, seq_len), np.int64).T
         doc, start, length, sequence, offset = rows
-        crc = [zlib.crc32(texts[d][s:s + n].tobytes()) for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist())]
+        crc = [zlib.crc32(texts[d][s:s + n].astype("<u4").tobytes())
+               for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist())]
         total = np.array([len(t) for t in texts])[doc]
         return pa.RecordBatch.from_arrays([
             pa.array(np.array(keys, np.int64)[doc]), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
@@ -305,8 +331,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         if held:
             yield pieces_of(held, first)
 
-    pieces = cut_lineage(routed(stored, figures).repartitionByRange(tasks, *sort).sortWithinPartitions(*sort)
-                         .select(KEY, "ids").mapInArrow(fill_shards, PIECES), name="packed")
+    pieces = cut_lineage(stored.repartitionByRange(tasks, *sort).sortWithinPartitions(*sort)
+                         .select(KEY, "wide", "ids").mapInArrow(fill_shards, PIECES), name="packed")
     forget(stored)
     return pieces.select(id_of().alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from netstream.llm import (components, decontaminate, fingerprint, language_id, language_model, near_dedup, packing,
                            quality, substring_dedup, tokens)
-from netstream.llm.common import Chunk, run_hashes, whole_runs
+from netstream.llm.common import Chunk, keyed_texts, run_hashes, whole_runs
 
 
 @pytest.fixture(scope="module")
@@ -341,8 +341,8 @@ def test_packing_brings_copies_together(spark, small):
     texts = [(r.doc_id, r.text) for r in small.select("doc_id", "text").where("length(text) between 600 and 3000").collect()][:60]
     near = [(1000 + i, f"{t} and some more words") for i, t in texts[:20]]
     docs = spark.createDataFrame(texts + near, "doc_id long, text string")
-    stored = packing.tokenised(docs, path, 1, "doc_id", "text").persist()
-    ranked = packing.routed(stored, packing.Figures.of(stored, packing.vocabulary(path, 1))).orderBy("near", "rare", "pid")
+    keyed = keyed_texts(docs)
+    ranked = packing.tokenised(keyed, path, 1, packing.router(keyed, path, 1)).orderBy("near", "rare", "pid")
     order = [r._nx_key for r in ranked.collect()]
     place = {k: i for i, k in enumerate(order)}
     assert sum(abs(place[1000 + i] - place[i]) <= 2 for i, _ in texts[:20]) >= 15
@@ -351,7 +351,6 @@ def test_packing_brings_copies_together(spark, small):
     assert sum(p.length for p in pieces) == 400 * pieces[0].doc_tokens
     short = {p.sequence_id for p in pieces if p.length + p.offset < 64}
     assert len(short) > 5  # the last sequences of several shards
-    stored.unpersist()
 
 
 def test_added_tokens_are_case_sensitive():
