@@ -8,10 +8,11 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from netstream.functions.dgim import WINDOW_N
+from netstream.functions.dgim import QUERY_K, WINDOW_N
 from netstream.operators import decay as D
-from netstream.plans.bit_plans import _B, _POW, _as_written_cte
+from netstream.plans.bit_plans import _B, _POW, _WIN, _as_written_cte, _published_cte
 from netstream.plans.bit_plans import SQL as BIT_SQL
+from netstream.session import cut_lineage
 from netstream.sources.tables import bit_events, mention_events, read_table
 from netstream.streaming import queries as SQ
 from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE
@@ -33,6 +34,26 @@ def q_stream_dgim(spark, sf_dir):
     return out.select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "n_buckets", "bucket_sum", "estimate")
 
 
+def q_stream_ones(spark, sf_dir):
+    """Exact last N and last K of each stream after every bit."""
+    windows = {"ones_last_n": WINDOW_N, "ones_last_k": QUERY_K}
+    out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", partial(SQ.start_window_bits, windows=windows),
+                      SQ.COUNTS_SCHEMA + "".join(f", {name} LONG" for name in windows))
+    return out.select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "pos", "ones_running", *windows)
+
+
+def q_dgim_state(spark, sf_dir):
+    """The buckets in the state store of ``stream_dgim`` when the stream ends."""
+    kept = []
+
+    def keep(checkpoint):
+        state = SQ.read_state(spark, checkpoint).select("key.key", "value.groupState.t", "value.groupState.total")
+        kept.append(cut_lineage(state, name="dgim-state"))
+
+    SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"], before_end=keep)
+    return kept[0].select(F.col("key").alias("user_id"), F.col("t").alias("bits"), F.col("total").alias("bucket_sum"))
+
+
 def q_stream_bit_report(spark, sf_dir):
     out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_bit_report, SQ.REPORT_SCHEMA)
     return out.select(F.col("key").alias("user_id"), F.col("batch_id").alias("micro_batch"), "real_count", "estimate",
@@ -55,6 +76,15 @@ def q_stream_decay_dropping(spark, sf_dir):
     return _rounded(SQ.replayed(spark, users, "seq", start, SQ.DECAY_SCHEMA))
 
 
+def q_stream_decay_state(spark, sf_dir):
+    """``stream_decay_dropping`` with a state per mention and timers."""
+    events = read_table(spark, sf_dir, "events")
+    users = events.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("mention"))
+    start = partial(SQ.start_decay_state, epoch_rows=BATCH_ROWS, c=1e-3, drop_below=DROP_BELOW)
+    out = SQ.replayed(spark, users, "seq", start, SQ.STATE_SCHEMA)
+    return out.select(F.col("epoch").alias("batch_id"), "mention", F.round("weight", 6).alias("weight"))
+
+
 def q_stream_decay_topk(spark, sf_dir):
     out = SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_topk, SQ.TOPK_SCHEMA)
     return out.select("batch_id", "rank", "mention", "weight_int")
@@ -129,8 +159,19 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY window_start
 SELECT window_start, rank, mention, n FROM r WHERE rank <= 5""",
 }
 
+SQL["stream_ones"] = f"SELECT user_id, event_id, pos, ones_running, ones_last_n, ones_last_k FROM ({_WIN})"
+SQL["stream_decay_state"] = SQL["stream_decay_dropping"]
+SQL["dgim_state"] = f"""WITH RECURSIVE {_B}, {_published_cte(WINDOW_N)},
+p AS (SELECT key, t, bk FROM pb WHERE t > 0 AND lvl = 0)
+SELECT key AS user_id, max(t) AS bits,
+       CAST(coalesce(list_sum(list_transform(arg_max(bk, t), lambda x: x.s)), 0) AS BIGINT) AS bucket_sum
+FROM p GROUP BY key"""
+
 QUERIES = {
     "stream_dgim": q_stream_dgim,
+    "stream_ones": q_stream_ones,
+    "dgim_state": q_dgim_state,
+    "stream_decay_state": q_stream_decay_state,
     "stream_bit_report": q_stream_bit_report,
     "stream_decay_carry": q_stream_decay_carry,
     "stream_decay_dropping": q_stream_decay_dropping,

@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from netstream.functions.dgim import WINDOW_N
 from netstream.operators import decay as D
 from netstream.operators.bits import relative_error
 from netstream.session import remove_scratch, scratch_dir
 from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE, replay_stream, stage_replay
-from netstream.streaming.stateful import dgim_stream
+from netstream.streaming.stateful import decay_stream, dgim_stream, window_counts_stream
 
 TRIGGER = {"processingTime": "5 seconds"}  # fixed value: the reference's batch length
 
@@ -65,15 +66,18 @@ def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
 
 
 def replayed(spark: SparkSession, table: DataFrame, order: str, start: Callable, schema: str,
-             rows_per_file: int = ROWS_PER_FILE, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+             rows_per_file: int = ROWS_PER_FILE, files_per_trigger: int = FILES_PER_TRIGGER,
+             before_end: Callable = lambda checkpoint: None) -> DataFrame:
     """``start(stream, sink, checkpoint, trigger)`` over ``table`` replayed in
-    ``order`` until it is used up; what the sink holds."""
+    ``order`` until it is used up; what the sink holds.  ``before_end`` sees the
+    checkpoint before it is deleted."""
     source, sink, checkpoint = (scratch_dir(spark, f"replay-{c}") for c in ("source", "sink", "checkpoint"))
     stage_replay(table, order, source, rows_per_file)
     query = start(replay_stream(spark, source, table.schema, files_per_trigger), sink, checkpoint, {"availableNow": True})
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    before_end(checkpoint)
     for folder in (source, checkpoint):
         remove_scratch(spark, folder)
     return read_sink(spark, sink, schema)
@@ -112,6 +116,24 @@ def start_bit_report(bits: DataFrame, sink: str, checkpoint: str, trigger: dict
     return _start(writer, checkpoint, trigger, bits.sparkSession)
 
 
+COUNTS_SCHEMA = "key LONG, seq LONG, pos LONG, ones_running LONG"
+
+
+def start_window_bits(bits: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                      windows: dict[str, int] | None = None) -> StreamingQuery:
+    """Exact counts of the last bits after every bit, from a ring of bits in
+    the state store."""
+    counted = window_counts_stream(bits, windows or {"ones_last_n": WINDOW_N})
+    return _start(counted.writeStream.foreachBatch(_per_batch(sink, lambda df, _: df)), checkpoint, trigger, bits.sparkSession)
+
+
+def read_state(spark: SparkSession, checkpoint: str, operator: int = 0, variable: str | None = None) -> DataFrame:
+    """K6: the state of a query as a table ``(key, value, partition_id)``, read
+    from its checkpoint (``variable``: a named state of ``transformWithState``)."""
+    reader = spark.read.format("statestore").option("path", checkpoint).option("operatorId", operator)
+    return (reader.option("stateVarName", variable) if variable else reader).load()
+
+
 # ---------------------------------------------------------------------------
 # T5: decaying window on a stream
 # ---------------------------------------------------------------------------
@@ -160,6 +182,36 @@ def start_decay(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict |
     return _start(writer, checkpoint, trigger, spark)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def start_decay_state(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                      epoch_rows: int = FILES_PER_TRIGGER * ROWS_PER_FILE, c: float = D.DECAY_C,
+                      drop_below: float = 0.0) -> StreamingQuery:
+    """``start_decay`` with a state per mention (``decay_stream``): per epoch of
+    ``epoch_rows`` arrivals the weights of its mentions at the epoch's last arrival.
+    A micro-batch should hold whole epochs."""
+    spark, lam = mentions.sparkSession, -math.log1p(-c)
+
+    def at_ends(df: DataFrame, batch_id: int) -> DataFrame:
+        ends = df.groupBy("epoch").agg(F.max("seq").alias("end"))  # one row per epoch of the batch
+        return (df.where(F.col("mention").isNotNull()).join(F.broadcast(ends), "epoch")
+                .select("epoch", "mention", (F.col("weight") * F.exp(-lam * (F.col("end") - F.col("seq")).cast("double")))
+                        .alias("weight")))
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)  # a query keeps the store it starts with
+    try:
+        states = decay_stream(mentions, epoch_rows, c, drop_below)
+        return _start(states.writeStream.outputMode("append").foreachBatch(_per_batch(sink, at_ends)), checkpoint, trigger, spark)
+    finally:
+        spark.conf.set(key, old)
+
+
+STATE_SCHEMA = "epoch LONG, mention STRING, weight DOUBLE"
+
+
 def start_topk(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
                c: float = D.DECAY_C, k: int = D.TOP_K) -> StreamingQuery:
     """As written: every micro-batch of ``(seq, ts, mention)`` stands alone;

@@ -1,73 +1,179 @@
-"""Stateful streaming operators.
+"""Stateful streaming operators.  State lives in the state store (checkpointed),
+never in a driver object.
 
-T4 - DGIM per stream key with ``applyInPandasWithState``; state lives in the
-state store (checkpointed), not in a driver object.
+* ``dgim_stream`` (T4) - DGIM per stream key;
+* ``window_counts_stream`` (T3) - exact counts of the last bits per key, from a
+  ring of bits;
+* ``decay_stream`` (T5) - a decaying weight per mention, read and written only when
+  the mention arrives, with timers that expire it.
+
+The rows of a key arrive in any order, so a micro-batch's rows of the key are
+sorted first; their number is bounded by the trigger's rate limit
+(``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from netstream.functions.dgim import WINDOW_N, AsWritten, Published
+from netstream.functions.dgim import WINDOW_N, AsWritten, Totals, buckets_of, oldest_size
+from netstream.operators.decay import DECAY_C
 
 _AW_OUT = ("key LONG, seq LONG, real_count LONG, n_buckets LONG, bucket_sum LONG, "
            "discarded LONG, estimate DOUBLE")
 _AW_STATE = "n LONG, t LONG, ones LONG, rest LONG, newest LONG, discarded LONG"
 _PB_OUT = "key LONG, seq LONG, n_buckets LONG, bucket_sum LONG, estimate LONG"
-_PB_STATE = "n LONG, t LONG, sizes ARRAY<LONG>, ends ARRAY<LONG>"
+PUBLISHED_STATE = "n LONG, t LONG, total LONG, recent BINARY"
 
 
-def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) -> DataFrame:
-    """DGIM state after every bit, on a stream of ``(key, seq, bit)``.
+def _in_order(pdfs: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+    """``(seq, bit)`` of a key's rows in a micro-batch by ``seq``."""
+    seqs, bits = (np.concatenate(c) for c in zip(*((p["seq"].to_numpy(), p["bit"].to_numpy()) for p in pdfs)))
+    order = np.argsort(seqs, kind="stable")
+    return seqs[order], (bits[order] == 1).astype(np.uint8)
+
 
-    The rows of a key arrive in any order, so a micro-batch's sequence numbers
-    and bits of the key are sorted before the fold; their number is bounded by
-    the trigger's rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
-    Across batches the state store carries the buckets.  Output rows have the batch schema of
-    ``netstream.operators.bits.dgim``; output mode ``append``.
+def _keyed(key: tuple, **columns: np.ndarray) -> pd.DataFrame:
+    """Rows of one key; a NULL key is a stream of its own."""
+    frame = pd.DataFrame(columns)
+    frame.insert(0, "key", pd.array([None if pd.isna(key[0]) else int(key[0])] * len(frame), dtype="Int64"))
+    return frame
+
+
+def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) -> DataFrame:
+    """DGIM state after every bit, on a stream of ``(key, seq, bit)``.  Across
+    batches the state store carries the state of a key: the total of its buckets
+    and its last ``n`` bits (published), or the buckets' numeral (as written).
+    Output rows have the batch schema of ``netstream.operators.bits.dgim``;
+    output mode ``append``.
     """
     if mode not in ("as_written", "published"):
         raise ValueError("mode must be 'as_written' or 'published'")
 
-    def fold(key, pdfs, state):
-        parts = [(pdf["seq"].to_numpy(), pdf["bit"].to_numpy()) for pdf in pdfs]
-        seqs, bits_ = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(seqs, kind="stable")
-        if mode == "as_written":
-            if state.exists:
-                s = state.get
-                st = AsWritten(int(s[0]), int(s[1]), int(s[2]), int(s[3]), int(s[4]), int(s[5]))
-            else:
-                st = AsWritten(n)
-        else:
-            if state.exists:
-                s = state.get
-                st = Published(int(s[0]), int(s[1]), list(s[2]), list(s[3]))
-            else:
-                st = Published(n)
+    def published(key, pdfs, state):
+        seqs, bits_ = _in_order(pdfs)
+        fold = Totals(n, *state.get[1:]) if state.exists else Totals(n)
+        total = fold.feed(bits_)
+        state.update((n, fold.t, fold.total, fold.recent.tobytes()))
+        yield _keyed(key, seq=seqs, n_buckets=buckets_of(total), bucket_sum=total, estimate=total - oldest_size(total) // 2)
+
+    def as_written(key, pdfs, state):
+        seqs, bits_ = _in_order(pdfs)
+        st = AsWritten(*(int(x) for x in state.get)) if state.exists else AsWritten(n)
         out = []
-        k = None if pd.isna(key[0]) else int(key[0])  # a NULL key is a stream of its own
-        for q, b in zip(seqs[order].tolist(), bits_[order].tolist()):
-            st.step(int(b))
-            if mode == "as_written":
-                out.append((k, q, st.ones, bin(st.rest).count("1") + st.newest,
-                            st.rest + st.newest, st.discarded, st.estimate()))
-            else:
-                out.append((k, q, len(st.sizes), sum(st.sizes), st.estimate()))
-        if mode == "as_written":
-            state.update((st.n, st.t, st.ones, st.rest, st.newest, st.discarded))
-            cols = ["key", "seq", "real_count", "n_buckets", "bucket_sum", "discarded", "estimate"]
-        else:
-            state.update((st.n, st.t, list(st.sizes), list(st.ends)))
-            cols = ["key", "seq", "n_buckets", "bucket_sum", "estimate"]
-        frame = pd.DataFrame.from_records(out, columns=cols)
-        frame["key"] = pd.array([k] * len(frame), dtype="Int64")
-        yield frame
-
-    out_schema = _AW_OUT if mode == "as_written" else _PB_OUT
-    state_schema = _AW_STATE if mode == "as_written" else _PB_STATE
+        for b in bits_.tolist():
+            st.step(b)
+            out.append((st.ones, st.rest.bit_count() + st.newest, st.rest + st.newest, st.discarded, st.estimate()))
+        state.update((st.n, st.t, st.ones, st.rest, st.newest, st.discarded))
+        real, count, total, discarded, estimate = zip(*out)
+        yield _keyed(key, seq=seqs, real_count=real, n_buckets=count, bucket_sum=total, discarded=discarded, estimate=estimate)
+
+    fold, out_schema, state_schema = ((as_written, _AW_OUT, _AW_STATE) if mode == "as_written"
+                                      else (published, _PB_OUT, PUBLISHED_STATE))
     return bits.select("key", "seq", "bit").groupBy("key").applyInPandasWithState(
         fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+RING_STATE = "t LONG, ones LONG, held INT, ring BINARY"
+
+
+def window_counts_stream(bits: DataFrame, windows: dict[str, int]) -> DataFrame:
+    """Exact ones among the last ``w`` bits for each ``name -> w``, and since
+    the start, after every bit of a stream ``(key, seq, bit)`` (equal to the batch
+    ``ones_counts``).  A key's state is its position, its ones so far and a ring of
+    its last bits, eight to a byte: ``max(w) / 8`` bytes however long the stream."""
+    reach = max(windows.values(), default=1)
+
+    def count(key, pdfs, state):
+        seqs, bits_ = _in_order(pdfs)
+        t, ones, held, ring = state.get if state.exists else (0, 0, 0, b"")
+        before = np.unpackbits(np.frombuffer(ring, np.uint8), count=held)
+        every = np.concatenate([before, bits_])
+        running = np.append(0, np.cumsum(every, dtype=np.int64))
+        at = np.arange(held, len(every)) + 1
+        found = {name: running[at] - running[np.maximum(at - w, 0)] for name, w in windows.items()}
+        kept = every[max(0, len(every) - reach):]
+        state.update((t + len(bits_), ones + int(bits_.sum()), len(kept), np.packbits(kept).tobytes()))
+        yield _keyed(key, seq=seqs, pos=t + 1 + np.arange(len(bits_)), ones_running=ones + running[at] - running[held], **found)
+
+    schema = "key LONG, seq LONG, pos LONG, ones_running LONG" + "".join(f", `{name}` LONG" for name in windows)
+    return bits.select("key", "seq", "bit").groupBy("key").applyInPandasWithState(
+        count, schema, RING_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+class _Decay(StatefulProcessor):
+    """Weight of one mention at its last arrival."""
+
+    def __init__(self, lam: float, drop_below: float, epoch_rows: int):
+        self.lam, self.drop_below, self.epoch_rows = lam, drop_below, epoch_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("weight", "weight DOUBLE, seq LONG")
+
+    def _expires(self, weight: float, last: int) -> int:
+        """The first end of an epoch, from the last arrival's on, at which the
+        weight is below the threshold."""
+        epoch = last // self.epoch_rows
+        if weight >= self.drop_below > 0:
+            reach = last + math.log(weight / self.drop_below) / self.lam
+            epoch = max(epoch, int((reach + 1) // self.epoch_rows) - 1)
+        while weight * math.exp(-self.lam * ((epoch + 1) * self.epoch_rows - 1 - last)) >= self.drop_below:
+            epoch += 1
+        return (epoch + 1) * self.epoch_rows - 1
+
+    def handleInputRows(self, key, rows, timerValues):
+        seqs = np.sort(np.concatenate([pdf["seq"].to_numpy() for pdf in rows]))
+        if key[0] is None:  # arrivals without a mention only make the clock go on
+            yield pd.DataFrame({"mention": [None], "weight": [None], "seq": [int(seqs[-1])], "epoch": [int(seqs[-1]) // self.epoch_rows]})
+            return
+        weight, last = self.state.get() if self.state.exists() else (0.0, int(seqs[0]))
+        out = []
+        for own in np.split(seqs, np.flatnonzero(np.diff(seqs // self.epoch_rows)) + 1):
+            epoch, end = int(own[0]) // self.epoch_rows, int(own[-1])
+            if epoch > last // self.epoch_rows and \
+                    weight * math.exp(-self.lam * (epoch * self.epoch_rows - 1 - last)) < self.drop_below:
+                weight = 0.0
+            weight = weight * math.exp(-self.lam * (end - last)) + float(np.exp(-self.lam * (end - own)).sum())
+            last = end
+            out.append((key[0], weight, last, epoch))
+        self.state.update((weight, last))
+        if self.drop_below > 0:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(1000 * (self._expires(weight, last) + 1))  # at the clock of that seq
+        yield pd.DataFrame(out, columns=["mention", "weight", "seq", "epoch"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.state.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+DECAY_OUT = "mention STRING, weight DOUBLE, seq LONG, epoch LONG"
+
+
+def decay_stream(mentions: DataFrame, epoch_rows: int, c: float = DECAY_C, drop_below: float = 0.0) -> DataFrame:
+    """Published decaying window over a stream ``(seq, mention)``, one state per
+    mention: ``(mention, weight, seq, epoch)`` with the weight at the mention's last
+    arrival ``seq`` in each epoch of ``epoch_rows`` arrivals.
+
+    A weight decays when it is read, so a micro-batch reads and writes the state of
+    its own mentions only, however many were ever seen.  A weight that is below
+    ``drop_below`` at the end of an epoch counts as dropped from then on; an
+    event-time timer (the clock is ``seq + 1``, one second each) takes its state out of
+    the store.  Needs the RocksDB state store; rows without a mention give a row with
+    a null weight, which tells how far the clock went."""
+    clocked = mentions.select("mention", "seq", F.timestamp_seconds(F.col("seq") + 1).alias("at")).withWatermark("at", "0 seconds")
+    return clocked.groupBy("mention").transformWithStateInPandas(
+        _Decay(-math.log1p(-c), drop_below, epoch_rows), DECAY_OUT, "Append", "EventTime")

@@ -96,3 +96,64 @@ def test_stream_restart_from_checkpoint(spark):
     assert first < out.count()
     cols = ["key", "seq", "n_buckets", "estimate"]
     assert _rows(out, cols) == _rows(B.dgim(bits, mode="published"), cols)
+
+
+def test_exact_windows_on_a_stream_and_after_a_restart(spark):
+    """The ring of bits: equal to the batch counts, with a NULL stream, windows
+    longer than some streams and a restart in between."""
+    bits = bit_events(read_table(spark, SF001, "events"))
+    bits = bits.withColumn("key", F.when(F.col("key") % 5 != 0, F.col("key")))
+    windows = {"w3": 3, "w24": 24, "w500": 500}
+    schema = SQ.COUNTS_SCHEMA + "".join(f", {w} LONG" for w in windows)
+    source, sink, checkpoint = (scratch_dir(spark, c) for c in ("ring-src", "ring-sink", "ring-ckpt"))
+    for part in (bits.where("seq < 430"), bits.where("seq >= 430")):
+        stage_replay(part, "seq", source, 100)
+        SQ.start_window_bits(replay_stream(spark, source, bits.schema, 2), sink, checkpoint, {"availableNow": True},
+                             windows).awaitTermination()
+    cols = ["seq", "pos", "ones_running", *windows]
+    out = SQ.read_sink(spark, sink, schema)
+    assert _rows(out, cols) == _rows(B.ones_counts(bits, windows=windows), cols)
+    state = SQ.read_state(spark, checkpoint).select("value.groupState.*")
+    assert state.agg(F.sum("t"), F.max("held")).first()[0] == bits.count()
+    assert state.where("length(ring) > 63").count() == 0
+
+
+def test_state_reader_shows_the_buckets(spark):
+    """The state of ``stream_dgim`` in the store is the last row of each stream."""
+    bits = bit_events(read_table(spark, SF001, "events"))
+    held = {}
+
+    def keep(checkpoint):
+        for r in SQ.read_state(spark, checkpoint).select("key.key", "value.groupState.*").collect():
+            held[r.key] = (r.t, r.total, len(r.recent))
+
+    SQ.replayed(spark, bits, "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"], 100, 3, before_end=keep)
+    last = {}
+    for r in B.dgim(bits).orderBy("seq").collect():
+        last[r.key] = (last.get(r.key, (0,))[0] + 1, r.bucket_sum)
+    assert {k: v[:2] for k, v in held.items()} == last
+    assert all(length == min(t, 24) for t, _, length in held.values())
+
+
+def test_decay_state_expires_and_follows_the_batch(spark):
+    """A state per mention: the weights of the table form, arrivals without a
+    mention, expiry by timers, and a micro-batch that writes its own mentions only."""
+    rows = [(i, None if i % 50 == 7 else "once" if i in (0, 250) else f"m{i // 100}x{i % 3}") for i in range(400)]
+    men = spark.createDataFrame(rows, "seq LONG, mention STRING")
+    for drop in (0.0, 0.5):
+        want = {(r.batch_id, r.mention): r.weight for r in SQ.replayed(
+            spark, men, "seq", lambda *a, d=drop: SQ.start_decay(*a, c=0.05, drop_below=d), SQ.DECAY_SCHEMA, 50, 2).collect()}
+        source, sink, checkpoint = (scratch_dir(spark, c) for c in ("decay-src", "decay-sink", "decay-ckpt"))
+        stage_replay(men, "seq", source, 50)
+        query = SQ.start_decay_state(replay_stream(spark, source, men.schema, 2), sink, checkpoint, {"availableNow": True},
+                                     epoch_rows=100, c=0.05, drop_below=drop)
+        query.awaitTermination()
+        got = {(r.epoch, r.mention): r.weight for r in SQ.read_sink(spark, sink, SQ.STATE_SCHEMA).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        held = {r.key.mention for r in SQ.read_state(spark, checkpoint, variable="weight").collect()}
+        if drop:
+            assert len(held) < 7  # the first epochs' mentions left the store
+        else:
+            assert len(held) == 13
+            batches = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+            assert [b["numRowsUpdated"] for b in batches] == [4, 3, 4, 3]  # a batch's mentions, not all that were seen
