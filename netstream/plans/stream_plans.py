@@ -90,6 +90,38 @@ def q_stream_decay_topk(spark, sf_dir):
     return out.select("batch_id", "rank", "mention", "weight_int")
 
 
+def q_mention_rejects(spark, sf_dir):
+    """Text lines of the mention stream per micro-batch: how many came, how many
+    were rejected.  Users whose id ends in 7 send lines that are cut short."""
+    events = read_table(spark, sf_dir, "events")
+    good = D.mention_lines(events.select("event_id", "ts", "event_type", "user_id"))
+    text = F.when(F.col("user_id") % 10 == 7, F.substring("value", 1, 19)).otherwise(F.col("value"))
+    lines = good.join(events.select("event_id", "user_id"), "event_id").select("event_id", text.alias("value"))
+    return SQ.line_counts(spark, lines, "event_id", SQ.start_mention_lines, SQ.MENTION_SCHEMA)
+
+
+def q_bit_rejects(spark, sf_dir):
+    """The same for bit lines: the value of an event as text is a bit only where
+    it is a whole number."""
+    events = read_table(spark, sf_dir, "events")
+    whole = F.col("value") == F.floor("value")
+    text = F.when(F.col("event_type") == "error", "1").when(F.col("event_type") == "view", "0").when(
+        whole, F.col("value").cast("long").cast("string")).otherwise(F.concat(F.lit("v="), F.col("event_type")))
+    return SQ.line_counts(spark, events.select("event_id", text.alias("value")), "event_id", SQ.start_bit_lines, "bit INT")
+
+
+SESSION_GAP, SESSION_DELAY = "3 hours", "6 hours"
+
+
+def q_stream_sessions(spark, sf_dir):
+    """Sessions of each user that ended before the watermark of the whole stream."""
+    events = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("seq"), F.col("user_id").alias("key"), F.col("ts").cast("timestamp").alias("ts"))
+    out = SQ.replayed(spark, events, "seq", partial(SQ.start_sessions, gap=SESSION_GAP, watermark=SESSION_DELAY),
+                      SQ.SESSION_SCHEMA)
+    return out.select(F.col("key").alias("user_id"), "session_start", "session_end", "n")
+
+
 def q_stream_tumbling_topk(spark, sf_dir):
     return SQ.top_per_window(
         SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_window_counts, SQ.WINDOW_SCHEMA))
@@ -167,7 +199,24 @@ SELECT key AS user_id, max(t) AS bits,
        CAST(coalesce(list_sum(list_transform(arg_max(bk, t), lambda x: x.s)), 0) AS BIGINT) AS bucket_sum
 FROM p GROUP BY key"""
 
+SQL["mention_rejects"] = f"""SELECT event_id // {BATCH_ROWS} AS batch_id, count(*) AS n_lines,
+       CAST(sum(CASE WHEN user_id % 10 = 7 THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected FROM events GROUP BY 1"""
+SQL["bit_rejects"] = f"""SELECT event_id // {BATCH_ROWS} AS batch_id, count(*) AS n_lines,
+       CAST(sum(CASE WHEN event_type IN ('error', 'view') OR value = floor(value) THEN 0 ELSE 1 END) AS BIGINT) AS n_rejected
+FROM events GROUP BY 1"""
+SQL["stream_sessions"] = f"""WITH e AS (
+  SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
+s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL '{SESSION_GAP}' THEN 1 ELSE 0 END)
+                          OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nr FROM e),
+g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '{SESSION_GAP}' AS session_end, count(*) AS n
+      FROM s GROUP BY user_id, nr)
+SELECT user_id, session_start, session_end, n FROM g
+WHERE session_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '{SESSION_DELAY}'"""
+
 QUERIES = {
+    "mention_rejects": q_mention_rejects,
+    "bit_rejects": q_bit_rejects,
+    "stream_sessions": q_stream_sessions,
     "stream_dgim": q_stream_dgim,
     "stream_ones": q_stream_ones,
     "dgim_state": q_dgim_state,

@@ -13,15 +13,16 @@ until it is used up, and returns what the sink then holds.
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from netstream.functions.dgim import WINDOW_N
 from netstream.operators import decay as D
-from netstream.operators.bits import relative_error
+from netstream.operators.bits import parse_bits, relative_error
 from netstream.session import remove_scratch, scratch_dir
 from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE, replay_stream, stage_replay
 from netstream.streaming.stateful import decay_stream, dgim_stream, window_counts_stream
@@ -74,9 +75,10 @@ def replayed(spark: SparkSession, table: DataFrame, order: str, start: Callable,
     source, sink, checkpoint = (scratch_dir(spark, f"replay-{c}") for c in ("source", "sink", "checkpoint"))
     stage_replay(table, order, source, rows_per_file)
     query = start(replay_stream(spark, source, table.schema, files_per_trigger), sink, checkpoint, {"availableNow": True})
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+    if query is not None:  # else ``start`` has waited for it
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
     before_end(checkpoint)
     for folder in (source, checkpoint):
         remove_scratch(spark, folder)
@@ -245,6 +247,117 @@ def start_window_counts(mentions: DataFrame, sink: str, checkpoint: str, trigger
     return _start(writer, checkpoint, trigger, mentions.sparkSession)
 
 
+SESSION_SCHEMA = "key LONG, session_start TIMESTAMP_NTZ, session_end TIMESTAMP_NTZ, n LONG"
+
+
+def start_sessions(events: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                   gap: str = "30 minutes", watermark: str = "1 hour") -> StreamingQuery:
+    """Sessions of a stream ``(key, ts, seq)`` - events of a key with less
+    than ``gap`` between neighbours - written when the watermark has passed their
+    end.  An event that arrives twice (same ``seq`` within the watermark) counts
+    once; late events are dropped and counted (``StreamMetrics``)."""
+    sessions = (events.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["seq"])
+                .groupBy("key", F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("n")))
+
+    def keep(df: DataFrame, batch_id: int) -> DataFrame:
+        return df.select("key", F.col("w.start").cast("timestamp_ntz").alias("session_start"),
+                         F.col("w.end").cast("timestamp_ntz").alias("session_end"), "n")
+
+    writer = sessions.writeStream.outputMode("append").foreachBatch(_per_batch(sink, keep))
+    return _start(writer, checkpoint, trigger, events.sparkSession)
+
+
+# ---------------------------------------------------------------------------
+# Raw lines, rejects counted
+# ---------------------------------------------------------------------------
+
+LINES = "lines"  # name of the observed metrics
+
+
+class StreamMetrics(StreamingQueryListener):
+    """Metrics of the micro-batches of one query, as its progress reports them:
+    ``batches[id]`` holds the observed metrics, rows in, and rows that came too late
+    (one entry per batch; ``keep`` bounds how many are held)."""
+
+    def __init__(self, keep: int = 10_000):
+        self.query, self.keep, self.batches, self.ended = None, keep, {}, False
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if self.query is not None and str(progress.id) == self.query:
+            found = {name: row.asDict() for name, row in progress.observedMetrics.items()}
+            late = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+            if progress.numInputRows or late:
+                self.batches[progress.batchId] = {"rows": progress.numInputRows, "late": late, **found}
+            while len(self.batches) > self.keep:
+                del self.batches[min(self.batches)]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended = self.ended or str(event.id) == self.query
+
+
+def watched(spark: SparkSession, start: Callable, timeout: float = 60.0) -> dict[int, dict]:
+    """Run the query that ``start()`` returns until it ends; its metrics by
+    micro-batch."""
+    metrics = StreamMetrics()
+    spark.streams.addListener(metrics)
+    try:
+        query = start(metrics)
+        metrics.query = str(query.id)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        until = time.monotonic() + timeout
+        while not metrics.ended and time.monotonic() < until:  # events arrive after the query
+            time.sleep(0.05)
+        return metrics.batches
+    finally:
+        spark.streams.removeListener(metrics)
+
+
+MENTION_SCHEMA = "mention STRING, time_text STRING, ts_parsed TIMESTAMP_NTZ"
+
+
+def start_mention_lines(lines: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """W1 on a stream of text lines ``value``: mentions go to the sink, a line
+    without a mention or time is rejected; both are counted per micro-batch as the
+    observed metrics ``LINES``."""
+    parsed = D.parse_mention_lines(lines)
+    bad = F.col("mention").isNull() | F.col("ts_parsed").isNull()
+    seen = parsed.withColumn("_bad", bad).observe(
+        LINES, F.count(F.lit(1)).alias("n_lines"), F.coalesce(F.sum(F.col("_bad").cast("long")), F.lit(0)).alias("n_rejected"))
+    good = seen.where(~F.col("_bad")).select("mention", "time_text", "ts_parsed")
+    return _start(good.writeStream.foreachBatch(_per_batch(sink, lambda df, _: df)), checkpoint, trigger, lines.sparkSession)
+
+
+def start_bit_lines(lines: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """B1 on a stream of text lines ``value``: whole numbers go to the sink as
+    bits, anything else is rejected and counted as ``LINES``."""
+    seen = parse_bits(lines).observe(
+        LINES, F.count(F.lit(1)).alias("n_lines"), F.coalesce(F.sum((~F.col("valid")).cast("long")), F.lit(0)).alias("n_rejected"))
+    good = seen.where("valid").select("bit")
+    return _start(good.writeStream.foreachBatch(_per_batch(sink, lambda df, _: df)), checkpoint, trigger, lines.sparkSession)
+
+
+def line_counts(spark: SparkSession, lines: DataFrame, order: str, start: Callable, schema: str) -> DataFrame:
+    """``(batch_id, n_lines, n_rejected)`` of a replay of ``lines(order, value)``
+    through ``start``."""
+    batches: dict[int, dict] = {}
+
+    def begin(stream, sink, checkpoint, trigger):
+        batches.update(watched(spark, lambda _: start(stream, sink, checkpoint, trigger)))
+
+    replayed(spark, lines, order, begin, schema)
+    rows = [(i, b[LINES]["n_lines"], b[LINES]["n_rejected"]) for i, b in sorted(batches.items()) if LINES in b]
+    return spark.createDataFrame(rows, "batch_id LONG, n_lines LONG, n_rejected LONG")  # a row per micro-batch
+
+
 def top_per_window(updates: DataFrame, k: int = D.TOP_K) -> DataFrame:
     """The first ``k`` mentions of each window from the final counts."""
     final = updates.groupBy("window_start", "mention").agg(F.max("n").alias("n"))
