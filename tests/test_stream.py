@@ -157,3 +157,53 @@ def test_decay_state_expires_and_follows_the_batch(spark):
             assert len(held) == 13
             batches = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
             assert [b["numRowsUpdated"] for b in batches] == [4, 3, 4, 3]  # a batch's mentions, not all that were seen
+
+
+def test_rejected_lines_are_counted_per_batch(spark):
+    """Header, short and undated lines of the mention stream, and text among
+    bits, are counted and kept out of the sink."""
+    texts = ["2024-01-01 00:00:01,view", "date time,mention", "2024-01-01 00:00:02", "", "2024-13-01 00:00:02,view", "x y,z",
+             "2024-01-01 00:00:03,click,more"]
+    lines = spark.createDataFrame([(i, texts[i % len(texts)]) for i in range(70)], "seq LONG, value STRING")
+    counts = SQ.line_counts(spark, lines, "seq", SQ.start_mention_lines, SQ.MENTION_SCHEMA).collect()
+    want = {b: sum(texts[i % len(texts)] not in (texts[0], texts[-1]) for i in range(70) if i // 4000 == b) for b in (0,)}
+    assert {(r.batch_id, r.n_lines): r.n_rejected for r in counts} == {(0, 70): want[0]}
+    kept = SQ.replayed(spark, lines, "seq", SQ.start_mention_lines, SQ.MENTION_SCHEMA)
+    assert {r.mention for r in kept.collect()} == {"view", "click"} and kept.count() == 70 - want[0]
+    bits = spark.createDataFrame([(i, v) for i, v in enumerate(["1", "0", " 1 ", "x", "", None, "7"])], "seq LONG, value STRING")
+    batches = SQ.line_counts(spark, bits, "seq", SQ.start_bit_lines, "bit INT").collect()
+    assert [tuple(r) for r in batches] == [(0, 7, 3)]
+    assert sorted(r.bit for r in SQ.replayed(spark, bits, "seq", SQ.start_bit_lines, "bit INT").collect()) == [0, 0, 1, 1]
+
+
+def test_sessions_count_repeated_events_once_and_late_ones(spark):
+    """Events twice within the watermark count once; an event far behind the
+    watermark is dropped and counted; open sessions are not written."""
+    minute = [0, 10, 25, 60, 61, 300, 10, 305, 600]  # the seventh row comes far too late
+    rows = [(i, 1, m) for i, m in enumerate(minute)] + [(3, 1, 60), (40, 2, 90)]
+    table = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "ord LONG, seq LONG, key LONG, m LONG").select(
+        "ord", "seq", "key", F.timestamp_seconds(F.col("m") * 60 + 86_400).alias("ts"))
+    source, sink, checkpoint = (scratch_dir(spark, c) for c in ("session-src", "session-sink", "session-ckpt"))
+    late = {}
+    for batch in ("ord in (0, 1, 2, 3, 9)", "ord in (4, 10)", "ord = 5", "ord = 6", "ord in (7, 8)"):
+        stage_replay(table.where(batch), "ord", source, 100)
+        found = SQ.watched(spark, lambda _: SQ.start_sessions(
+            replay_stream(spark, source, table.schema), sink, checkpoint, {"availableNow": True}, "30 minutes", "1 hour"))
+        late.update({b: m["late"] for b, m in found.items() if m["late"]})
+    out = SQ.read_sink(spark, sink, SQ.SESSION_SCHEMA).collect()
+    got = sorted((r.key, r.session_start.hour * 60 + r.session_start.minute, r.n) for r in out)
+    assert got == [(1, 0, 3), (1, 60, 2), (1, 300, 2), (2, 90, 1)]
+    assert sum(late.values()) == 1
+
+
+def test_metrics_are_bounded(spark):
+    metrics = SQ.StreamMetrics(keep=2)
+    metrics.query = "q"
+
+    class Event:
+        def __init__(self, batch):
+            self.progress = type("P", (), {"id": "q", "observedMetrics": {}, "stateOperators": [], "numInputRows": 1,
+                                           "batchId": batch})
+    for batch in range(5):
+        metrics.onQueryProgress(Event(batch))
+    assert sorted(metrics.batches) == [3, 4]
