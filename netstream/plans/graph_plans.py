@@ -83,7 +83,7 @@ def q_pic_vector(spark, sf_dir):
 
 
 def q_pic_clusters(spark, sf_dir):
-    return C.pic_clusters(chain_graph(spark, sf_dir), k=K_CLUSTERS, max_iter=PIC_STEPS)
+    return C.pic_interval_clusters(chain_graph(spark, sf_dir), k=K_CLUSTERS, max_iter=PIC_STEPS)
 
 
 def q_edges_from_table(spark, sf_dir):
@@ -220,14 +220,52 @@ stars AS (SELECT DISTINCT c_custkey * 2 AS leaf, c_nationkey * 2 + 1 AS hub FROM
 least AS (SELECT hub, least(hub, min(leaf)) AS whole, min(leaf) AS leaves FROM stars GROUP BY hub)"""
 
 
-def _pic_sql(steps: int) -> str:
+def _pic_steps(steps: int) -> list[str]:
     parts = [_CHAIN,
              "a AS (SELECT src AS i, dst AS j FROM edges WHERE src <> dst "
              "UNION ALL SELECT dst, src FROM edges WHERE src <> dst)",
              "u0 AS (SELECT i AS id, CAST(count(*) AS DOUBLE) AS u FROM a GROUP BY i)"]
     for t in range(1, steps + 1):
-        parts.append(f"u{t} AS (SELECT a.i AS id, avg(u.u) AS u FROM a JOIN u{t-1} u "
+        parts.append(f"u{t} AS MATERIALIZED (SELECT a.i AS id, avg(u.u) AS u FROM a JOIN u{t-1} u "
                      f"ON a.j = u.id GROUP BY a.i)")
+    return parts
+
+
+def _pic_clusters_sql(steps: int, k: int, bins: int) -> str:
+    """The iteration with its stop rule, the histogram, and the dynamic
+    programme over its bins, one run more per step."""
+    parts = _pic_steps(steps)
+    for t in range(1, steps + 1):
+        parts.append(f"""c{t} AS (SELECT {t} AS t, sum(abs(x.u / (SELECT sum(u) FROM u{t}) - y.u / (SELECT sum(u) FROM u{t-1})))
+          AS change FROM u{t} x JOIN u{t-1} y USING (id))""")
+    parts.append("changes AS (" + " UNION ALL ".join(f"SELECT * FROM c{t}" for t in range(1, steps + 1)) + ")")
+    parts.append(f"""ends AS (SELECT coalesce(min(t), {steps}) AS last FROM (
+  SELECT t, abs(change - lag(change) OVER (ORDER BY t)) AS diff FROM changes)
+  WHERE diff <= greatest(1e-5 / (SELECT count(*) FROM u0), 1e-8))""")
+    parts.append("u AS (" + " UNION ALL ".join(f"SELECT {t} AS t, * FROM u{t}" for t in range(1, steps + 1)) + ")")
+    parts.append("v AS (SELECT id, u / sum(u) OVER () AS v FROM u WHERE t = (SELECT last FROM ends))")
+    parts.append("span AS (SELECT min(v) AS low, max(v) AS high FROM v)")
+    parts.append(f"""b AS (SELECT id, CAST(least(floor((v - low) / (high - low) * {bins}), {bins} - 1) AS BIGINT) AS bin
+  FROM v, span)""")
+    parts.append("h AS (SELECT bin, count(*) AS n, row_number() OVER (ORDER BY bin) AS j FROM b GROUP BY bin)")
+    parts.append("""p AS MATERIALIZED (SELECT j, CAST(sum(n) OVER w AS DOUBLE) AS n, CAST(sum(n * bin) OVER w AS DOUBLE) AS s1,
+  CAST(sum(n * bin * bin) OVER w AS DOUBLE) AS s2 FROM h WINDOW w AS (ORDER BY j)
+  UNION ALL SELECT 0, 0, 0, 0)""")
+    parts.append("""cost AS MATERIALIZED (SELECT a.j AS i, z.j, (z.s2 - a.s2) - (z.s1 - a.s1) * (z.s1 - a.s1) / (z.n - a.n) AS c
+  FROM p a JOIN p z ON a.j < z.j)""")
+    parts.append("d1 AS (SELECT j, c, CAST([] AS BIGINT[]) AS cuts FROM cost WHERE i = 0)")
+    for runs in range(2, k + 1):
+        parts.append(f"""d{runs} AS MATERIALIZED (SELECT j, m.c AS c, m.cuts AS cuts FROM (
+  SELECT x.j, min({{'c': d.c + x.c, 'i': d.j, 'cuts': list_append(d.cuts, d.j)}}) AS m
+  FROM d{runs - 1} d JOIN cost x ON x.i = d.j WHERE d.j >= {runs - 1} GROUP BY x.j))""")
+    parts.append(f"best AS (SELECT cuts FROM d{k} WHERE j = (SELECT max(j) FROM h))")
+    return ("WITH " + ",\n".join(x.strip() for x in parts) +
+            "\nSELECT b.id, CAST(len(list_filter(best.cuts, lambda x: x < h.j)) AS INTEGER) AS cluster "
+            "FROM b JOIN h USING (bin), best")
+
+
+def _pic_sql(steps: int) -> str:
+    parts = _pic_steps(steps)
     last = f"u{steps}"
     return ("WITH " + ",\n".join(p.strip() for p in parts) +
             f"\nSELECT id, round(u / (SELECT sum(u) FROM {last}) * "
@@ -266,6 +304,7 @@ UNION ALL SELECT deg.id AS i, deg.id AS j,
                  round(1.0 - coalesce(loops.a, 0.0) / deg.degree, 6) AS v
           FROM deg LEFT JOIN loops ON loops.id = deg.id""",
     "pic_vector": _pic_sql(PIC_STEPS),
+    "pic_clusters": _pic_clusters_sql(PIC_STEPS, K_CLUSTERS, C.VALUE_BINS),
     "edges_from_table": """SELECT DISTINCT least(l_suppkey, l_partkey) AS src, greatest(l_suppkey, l_partkey) AS dst
 FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL""",
     "weighted_edges": f"WITH {_EDGES.strip()} SELECT src, dst, CAST(1.0 AS DOUBLE) AS weight FROM edges",

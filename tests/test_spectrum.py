@@ -159,3 +159,62 @@ def test_solver_raises_when_it_does_not_converge(spark):
 def test_eigengap_empty_ungrouped_gives_no_row(spark):
     df = spark.createDataFrame([], "pos INT, eigenvalue DOUBLE")
     assert S.eigengap_k(df).count() == 0 and S.eigengap_first_peak(df).count() == 0
+
+
+def test_optimal_cuts_against_all_partitions():
+    import itertools
+    rng = np.random.default_rng(2)
+    for trial in range(30):
+        m, k = int(rng.integers(1, 9)), int(rng.integers(1, 5))
+        place, count = np.sort(rng.choice(40, m, replace=False)), rng.integers(1, 5, m)
+
+        def cost(ends):
+            total = 0.0
+            for a, b in zip([0, *ends], ends):
+                x, w = place[a:b], count[a:b]
+                total += (w * (x - (w * x).sum() / w.sum()) ** 2).sum()
+            return total
+
+        best = min(cost([*c, m]) for c in itertools.combinations(range(1, m), min(k, m) - 1))
+        got = C.optimal_cuts(place, count, k)
+        assert got[-1] == m and len(got) == min(k, m) and abs(cost(got) - best) < 1e-9
+
+
+def test_interval_clusters_cases(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 0.1), (3, 5.0), (4, 5.1), (5, 9.9), (6, None)], "id LONG, v DOUBLE")
+    got = {r.id: r.cluster for r in C.interval_clusters(df, 3).collect()}
+    assert got == {1: 0, 2: 0, 3: 1, 4: 1, 5: 2, 6: None}
+    same = spark.createDataFrame([(1, 2.0), (2, 2.0), (3, None)], "id LONG, v DOUBLE")
+    assert {r.id: r.cluster for r in C.interval_clusters(same, 3).collect()} == {1: 0, 2: 0, 3: None}
+    assert C.interval_clusters(df.limit(0), 3).count() == 0
+    few = {r.id: r.cluster for r in C.interval_clusters(df, 20).collect()}
+    assert len(set(few.values()) - {None}) <= 5 and few[1] < few[3] < few[5]
+
+
+def test_power_iteration_stops_as_mllib_does(spark):
+    """A graph on which the change settles after a few steps: the vector is that
+    of the step at which the rule stops, not of the last one allowed."""
+    pairs = [(i, j) for i in range(12) for j in range(i + 1, 12) if (i + j) % 5] + [(0, 12), (12, 13)]
+    n = 14
+    a = np.zeros((n, n))
+    for i, j in pairs:
+        a[i, j] = a[j, i] = 1
+    w = a / a.sum(1, keepdims=True)
+    v = a.sum(1) / a.sum()
+    change, steps = np.inf, 0
+    for steps in range(1, 200):
+        new = w @ v
+        new /= new.sum()
+        last, change, v = change, np.abs(new - v).sum(), new
+        if abs(change - last) <= S.stop_tolerance(n):
+            break
+    assert 3 < steps < 199
+    got = {r.id: r.v for r in S.power_iteration_vector(G.canonical_edges(edges_df(spark, pairs)), 40 if steps < 40 else steps + 20,
+                                                       early_stop=True).collect()}
+    np.testing.assert_allclose([got[i] for i in range(n)], v, rtol=1e-9)
+
+
+def test_planted_partition_pic_intervals(spark):
+    pairs, blocks = planted("unequal")
+    e = G.canonical_edges(edges_df(spark, pairs))
+    assert _same_partition({r.id: r.cluster for r in C.pic_interval_clusters(e, 2).collect()}, blocks)
