@@ -9,7 +9,7 @@ term, the next unused document is the seed.
 
 The inverted index is sharded.  Document frequencies, mean length and number of
 documents are the corpus's.  Documents go to shards by content: first by the
-nearest of ``CENTROIDS`` centroids (fitted on ``SAMPLE`` documents, laid out so that
+nearest of ``CENTROIDS`` centroids (fitted on about ``SAMPLE`` documents, laid out so that
 like ones are near each other), then by their ``RAREST`` rarest ids (as the sample
 has them), so that copies and near copies lie side by side; a range sort by this
 key and the document's own number spreads any hot key over many tasks.  A task
@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, forget, id_of, keyed_texts
+from netstream.llm.common import KEY, forget, id_of, keyed_texts
 from netstream.llm.tokens import token_ids, vocabulary
 from netstream.llm.vectors import slot_sums
 from netstream.session import cut_lineage
@@ -159,9 +159,12 @@ def centroids(sketches: np.ndarray, rounds: int = 10) -> np.ndarray:
 
 
 def router(texts: DataFrame, tokenizer_path: str, end_id: int) -> Router:
-    """Fitted on the ``SAMPLE`` documents of ``texts`` that a hash puts first."""
+    """Fitted on about ``SAMPLE`` documents of ``texts``, chosen by a hash of
+    their place in the table, so that copies are no likelier to be chosen."""
     ids = vocabulary(tokenizer_path, end_id)
-    some = cut_lineage(texts.orderBy(F.xxhash64(KEY, TEXT)).limit(SAMPLE), name="sample")
+    share = min(1.0, SAMPLE / max(texts.count(), 1))
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 40))
+    some = cut_lineage(texts.withColumn("place", place).where(F.col("place") < int(share * (1 << 40))).drop("place"), name="sample")
     stored = cut_lineage(tokenised(some.repartition(SAMPLE // 500), tokenizer_path, end_id), name="sample-ids")
     first = Router(Figures.of(stored, ids))
 
@@ -171,7 +174,7 @@ def router(texts: DataFrame, tokenizer_path: str, end_id: int) -> Router:
             found = [first.sketch(distinct(d)).tobytes() for d in _documents(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["sketch"])
 
-    found = stored.select("wide", "ids").mapInArrow(sketches, "sketch binary").toArrow()["sketch"]  # at most SAMPLE rows
+    found = stored.select("wide", "ids").mapInArrow(sketches, "sketch binary").toArrow()["sketch"]  # about SAMPLE rows
     sample = np.frombuffer(b"".join(sorted(found.to_pylist())), np.float32)
     first.middle = centroids(sample.reshape(-1, DIMENSIONS))
     forget(some, stored)
