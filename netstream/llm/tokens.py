@@ -43,26 +43,50 @@ class WordTokenizer:
         self.mark = special[-1] if special else None
         added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.added = re.compile(b"|".join(added), re.IGNORECASE) if added else None
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids at which a word ends
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.limit = limit
         self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words end to end, and how many each has.  Words are
-        encoded twenty at a time with a special token between them, at which
-        the ids are cut again."""
+        """Ids of the words end to end, and how many each has."""
         texts = [w.decode("utf-8", "replace") for w in words]
+        plain = np.array([t.isalpha() for t in texts], bool)
+        size, parts = np.zeros(len(texts), np.int64), [None, None]
+        for kind, encode in enumerate((self._marked, self._letters)):
+            rows = np.flatnonzero(plain == bool(kind))
+            parts[kind], size[rows] = encode([texts[i] for i in rows.tolist()])
+        ids = np.empty(int(size.sum()), "<u4")
+        own = np.repeat(plain, size)
+        ids[~own], ids[own] = parts
+        return ids, size
+
+    def _letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters only: the tokenizer takes each as one piece, whose
+        last id says that a word ends; fifty at a time with a space between."""
+        joined = [" ".join(texts[i:i + 50]) for i in range(0, len(texts), 50)]
+        flat = [i for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids]
+        ids = np.array(flat, "<u4")
+        size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(size) == len(texts) and size.sum() == len(ids):
+            return ids, size
+        return self._marked(texts)
+
+    def _marked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Any words: twenty at a time with a special token between them, at which
+        the ids are cut again."""
         if not self.mark or any(self.mark[1] in t for t in texts):
             found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found])
-        joined = [self.mark[1].join(texts[i:i + 20]) for i in range(0, len(texts), 20)]
-        flat, counts = [], []
+            return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
+        joined, flat = [self.mark[1].join(texts[i:i + 20]) for i in range(0, len(texts), 20)], []
         for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(e.ids, "<u4")
-            cut = ids == self.mark[0]
-            flat.append(ids[~cut])
-            counts.append(np.diff(np.flatnonzero(cut), prepend=-1, append=len(ids)) - 1)
-        return np.concatenate(flat), np.concatenate(counts)
+            flat += e.ids
+            flat.append(self.mark[0])
+        ids = np.array(flat, "<u4")
+        cut = ids == self.mark[0]
+        return ids[~cut], np.diff(np.flatnonzero(cut), prepend=-1) - 1
 
     def as_written(self, words: Chunk) -> np.ndarray:
         """The words that contain the text of an added token in any case: the
