@@ -32,7 +32,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Documents without repeated line windows, ``n_chars`` brought up to date;
     a document whose every line was a repeat goes."""
     ship_package(spark)
-    stats = "_nx_lines_removed"
+    stats = "lines"
+    while stats in docs.columns:  # a name that the table does not have
+        stats += "_"
     out = line_dedup.dedup_lines(docs, stats_col=stats)
     emptied = (F.col(f"{stats}.n_removed") > 0) & (F.trim(F.translate("text", "\n\r\t", "   ")) == "")
     n_chars = F.when(F.col(f"{stats}.n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -5,8 +5,12 @@ argument cuts UTF-8 text at exactly these six characters, and
 ``bytes.lower()`` lower-cases A-Z only.
 
 ``doc_id`` is carried as ``KEY``: a null id becomes the smallest long, so that
-joins and orderings treat it as an ordinary (first) document, and is turned
-back into null in results.
+orderings treat it as an ordinary (first) document, and is turned back into null in
+results.  Operators that relate rows to each other by key first give each row a key
+of its own (``own_rows``), so that rows that share an id, or have none, stay apart.
+
+Operators keep the columns of a table they return in one struct while they work, so
+that no name of a column can clash with theirs.
 """
 
 from __future__ import annotations
@@ -18,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netstream.session import remove_scratch
+from netstream.operators.indexing import row_index
+from netstream.session import cut_lineage, remove_scratch
 
 KEY = "_nx_key"
+DOC = "_nx_doc"
 TEXT = "_nx_text"
 NULL_KEY = -(1 << 63)
 CHUNK_BYTES = 2_000_000
@@ -41,6 +47,64 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias(TEXT))
 
 
+class Rows:
+    """``docs`` with keys: ``table(KEY, DOC)``, ``DOC`` a struct of all columns.
+
+    Where every row has an id of its own, the id is the key.  Otherwise (null or
+    repeated ids) the key is the number of the pair (id, text) in an order by id
+    (null first) and text hash: rows that only share an id, or have none, are
+    documents of their own; rows equal in id and text are one document and have equal
+    results; orders by key are orders by id as well; ``with_ids`` turns keys back
+    into ids."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str):
+        self.text_col, self.ids = text_col, None
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(DOC)
+        ident, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+        odd = docs.groupBy(ident.alias("id")).count().where("id IS NULL OR count > 1").limit(1).count()
+        if not odd:
+            self.table = docs.select(ident.alias(KEY), whole)
+            return
+        rows = docs.select(whole, ident.alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+        pairs = row_index(rows.select("id", "h1", "h2").distinct(), ["id", "h1", "h2"], index_col=KEY)
+        pairs = cut_lineage(pairs.select(KEY, F.col("id").alias("own"), F.col("h1").alias("g1"), F.col("h2").alias("g2")),
+                            name="own-keys")
+        self.ids = pairs.select(KEY, "own")
+        same = F.col("id").eqNullSafe(F.col("own")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
+        self.table = rows.join(pairs, same).select(KEY, DOC)
+
+    def texts(self) -> DataFrame:
+        """``(KEY, TEXT)``; a null text is the empty text."""
+        return self.table.select(KEY, F.coalesce(self.column(self.text_col).cast("string"), F.lit("")).alias(TEXT))
+
+    @staticmethod
+    def column(name: str) -> Column:
+        return F.col(DOC).getField(name)
+
+    def with_ids(self, found: DataFrame, *columns: str) -> DataFrame:
+        """``found`` with the keys in ``columns`` turned into ids."""
+        for i, c in enumerate(columns if self.ids is not None else ()):
+            own = self.ids.select(F.col(KEY).alias(f"_nx_k{i}"), F.col("own").alias(f"_nx_i{i}"))
+            found = (found.join(own, F.col(c) == F.col(f"_nx_k{i}")).withColumn(c, F.col(f"_nx_i{i}"))
+                     .drop(f"_nx_k{i}", f"_nx_i{i}"))
+        return found
+
+
+def filtered(docs: DataFrame, text_col: str, keep) -> DataFrame:
+    """``docs`` without the rows that ``keep(texts)`` - an Arrow array of texts
+    without nulls, a mask back - rejects: a map, whatever the ids are."""
+    place, names = docs.columns.index(text_col), [f"_nx_{i}" for i in range(len(docs.columns))]
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                texts = batch.column(place).cast(pa.large_string()).fill_null("")
+                yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    renamed = docs.toDF(*names)
+    return renamed.mapInArrow(rows, renamed.schema).toDF(*docs.columns)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``cut_lineage`` wrote and nobody reads any more."""
     for table in tables:

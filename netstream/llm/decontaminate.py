@@ -14,9 +14,11 @@ a query and gets all items at or above the threshold:
 
 All passages of some hundred documents take each step together (numpy).
 
-Bounds never underestimate, so nothing above the threshold is lost.  A passage
-is two neighbouring cells of as many words as the longest item, cells overlap
-by one, so an item that stands in a document stands whole in some passage.
+Bounds never underestimate, so nothing above the threshold is lost.  Items are
+indexed by length class (up to 16 words, 64, 256, ...), a passage is two neighbouring
+cells of the class's length, passages overlap by one cell: an item that stands in a
+document stands whole in some passage, and no item changes the passages that another
+of another length is held against.
 
 A retrieved item counts as leaked if the passage holds at least ``MIN_OVERLAP``
 of the word 3-grams of its question and of its answer.  An item is one text: its
@@ -24,19 +26,20 @@ answer is its last sentence, or its last quarter if it is a single sentence.
 
 The index goes to the tasks in shards of at most ``SHARD_ITEMS`` items (and
 about ``SHARD_CHARS`` characters), one pass over the documents per shard, so no
-broadcast grows with the items.  Documents are not shuffled.
+broadcast grows with the items.  Documents are not shuffled; ``remove_leaking`` is
+a map that judges each row by its text, whatever its id.
 
 Defined cases: words are runs of letters and digits, lower-cased; a null or
-empty text leaks nothing, an item without words is never leaked; repeated rows
-of an id count as one document, repeated items are reported once; a null id is
-an id of its own; empty tables give no rows.
+empty text leaks nothing, an item without words is never leaked; what rows of one id
+leak is reported under the id (null ids together), repeated items are reported once;
+empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, Chunk, id_of, key_of, keyed_texts, text_chunks
+from netstream.llm.common import KEY, TEXT, Chunk, filtered, id_of, keyed_texts, text_chunks
 from netstream.session import cut_lineage
 
 K1, BM25_B = 1.2, 0.75
@@ -52,6 +55,7 @@ MIN_SCORE = 0.5
 MIN_OVERLAP = 0.7
 GRAM = 3
 BLOCK_ITEMS = 16
+CLASS_WORDS, CLASS_STEP = 16, 4
 SHARD_ITEMS, SHARD_CHARS = 20_000, 16_000_000
 CELLS = 400_000
 SCHEMA = f"{KEY} long, _nx_item long, score double, question_overlap double, answer_overlap double"
@@ -91,12 +95,36 @@ def grams(ids: Iterable[int]) -> set:
     return {tuple(ids[i:i + GRAM]) for i in range(max(1, len(ids) - GRAM + 1))} if ids else set()
 
 
+def class_length(words: int) -> int:
+    """Words of the longest items that share a class with an item of ``words``."""
+    length = CLASS_WORDS
+    while length < words:
+        length *= CLASS_STEP
+    return length
+
+
+def figures(items: list[tuple[int, str]]) -> tuple[int, float, dict[bytes, int]]:
+    """``(items, mean length, {word: items with it})``."""
+    words = [w for w in (item_words(t or "") for _, t in items) if w]
+    return len(words), sum(map(len, words)) / max(1, len(words)), Counter(w for ws in words for w in set(ws))
+
+
+def class_indexes(items: list[tuple[int, str]], whole: tuple | None = None) -> list[ItemIndex]:
+    """An index for each length class of the items; ``whole``: the figures of
+    all items if these are only a shard."""
+    whole, classes = whole or figures(items), {}
+    for i, t in items:
+        if words := item_words(t or ""):
+            classes.setdefault(class_length(len(words)), []).append((i, t))
+    return [ItemIndex(own, whole, cell) for cell, own in sorted(classes.items())]
+
+
 class ItemIndex:
     """Inverted index of some items with impacts and block maxima.  ``whole``
-    has the figures of all items if these are only a shard: ``(items, mean
-    length, longest, {word: items with it})``."""
+    has the ``figures`` of all items if these are only a part; passages are twice
+    ``cell`` words long (without it, the longest item's)."""
 
-    def __init__(self, items: list[tuple[int, str]], whole: tuple | None = None):
+    def __init__(self, items: list[tuple[int, str]], whole: tuple | None = None, cell: int | None = None):
         items = [(i, t) for i, t in items if item_words(t or "")]
         words = [item_words(t) for _, t in items]
         self.ids = np.array([i for i, _ in items], np.int64)
@@ -105,7 +133,7 @@ class ItemIndex:
         hashes = Chunk(np.zeros(1, np.int64), raw, np.array([0, len(raw)]), False, parting=PARTING).hashes
         self.code = np.argsort(hashes)
         self.hashes = hashes[self.code]
-        self.cell = max(map(len, words), default=1)
+        self.cell = cell or max(map(len, words), default=1)
         n_terms, n = len(self.vocabulary), len(items)
         found = [np.unique([self.vocabulary[w] for w in ws], return_counts=True) for ws in words]
         item = np.repeat(np.arange(n), [len(t) for t, _ in found])
@@ -115,7 +143,7 @@ class ItemIndex:
         length = np.array([len(w) for w in words], np.float64)
         total, mean = n, length.mean() if n else 1.0
         if whole:
-            total, mean, self.cell, counted = whole
+            total, mean, counted = whole
             df = np.array([counted[w] for w in self.vocabulary], np.int64)
         norm = K1 * (1 - BM25_B + BM25_B * length / max(1.0, mean))
         impact = np.log1p((total - df + 0.5) / (df + 0.5))[term] * tf * (K1 + 1) / (tf + norm[item])
@@ -213,13 +241,12 @@ class ItemIndex:
         return sum(g in seen if len(g) == GRAM else words.issuperset(g) for g in part) / len(part)
 
 
-def _found(texts: DataFrame, index: ItemIndex, min_score: float, min_overlap: float) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(index)
+def _found(texts: DataFrame, indexes: list[ItemIndex], min_score: float, min_overlap: float) -> DataFrame:
+    shared = texts.sparkSession.sparkContext.broadcast(indexes)
 
     def search(batches):
-        own = shared.value
         for chunk in text_words(batches):
-            rows = [(int(chunk.keys[d]), *r)
+            rows = [(int(chunk.keys[d]), *r) for own in shared.value
                     for d, *r in own.search(own.terms(chunk.hashes), chunk.counts, min_score, min_overlap)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)],
@@ -229,8 +256,8 @@ def _found(texts: DataFrame, index: ItemIndex, min_score: float, min_overlap: fl
 
 
 def _whole(items: DataFrame):
-    """``ItemIndex``'s ``whole`` for a shard of ``items(KEY, TEXT, _nx_shard)``:
-    figures over all items, document frequencies for the shard's words only."""
+    """The ``figures`` of all ``items(KEY, TEXT, _nx_shard)`` for a shard, document
+    frequencies for the shard's words only."""
     def words(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
             for shard, text in zip(batch.column("_nx_shard").to_pylist(), batch.column(TEXT).to_pylist()):
@@ -241,14 +268,14 @@ def _whole(items: DataFrame):
 
     each = cut_lineage(items.select(F.col("_nx_shard").cast("long").alias("_nx_shard"), TEXT)
                        .mapInArrow(words, "shard long, size long, words array<binary>"), name="item-words")
-    n, mean, longest = each.agg(F.count(F.lit(1)), F.avg("size"), F.max("size")).first()
+    n, mean = each.agg(F.count(F.lit(1)), F.avg("size")).first()
     listed = each.select("shard", F.explode("words").alias("word")).groupBy("word", "shard").agg(F.count(F.lit(1)).alias("n"))
     counted = cut_lineage(listed.groupBy("word").agg(F.sum("n").alias("df"), F.collect_set("shard").alias("shards")),
                           name="item-df")
 
     def of(shard: int) -> tuple:
         rows = counted.where(F.array_contains("shards", F.lit(shard).cast("long"))).select("word", "df").collect()
-        return n, mean or 1.0, longest or 1, {bytes(r["word"]): r["df"] for r in rows}
+        return n, mean or 1.0, {bytes(r["word"]): r["df"] for r in rows}
     return of
 
 
@@ -257,28 +284,50 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
           min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """``id_col, item_id_col, score, question_overlap, answer_overlap``: each
     document with each item it leaks (the best passage's figures)."""
-    spark = docs.sparkSession
-    texts = keyed_texts(docs, id_col, text_col)
+    texts, found = keyed_texts(docs, id_col, text_col), None
+    for indexes in item_shards(items, item_id_col, item_text_col):
+        part = _found(texts, indexes, min_score, min_overlap)
+        found = part if found is None else found.union(part)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], SCHEMA)
+    best = found.groupBy(KEY, "_nx_item").agg(
+        F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b"))
+    return best.select(id_of().alias(id_col), id_of("_nx_item").alias(item_id_col), "b.*")
+
+
+def item_shards(items: DataFrame, item_id_col: str, item_text_col: str) -> Iterator[list[ItemIndex]]:
+    """The indexes of each shard of the items."""
     tests = keyed_texts(items, item_id_col, item_text_col)
     n, chars = tests.agg(F.count(F.lit(1)), F.sum(F.length(TEXT))).first()
     shards = max(-(-n // SHARD_ITEMS), -(-(chars or 0) // SHARD_CHARS))
-    found, own = [], F.pmod(F.xxhash64(KEY, TEXT), F.lit(max(1, shards)))
+    own = F.pmod(F.xxhash64(KEY, TEXT), F.lit(max(1, shards)))
     whole = _whole(tests.withColumn("_nx_shard", own).distinct()) if shards > 1 else None
     for shard in range(shards):
         rows = tests.where(own == shard).distinct().collect()
-        index = ItemIndex(sorted((r[KEY], r[TEXT]) for r in rows), whole and whole(shard))
-        found.append(_found(texts, index, min_score, min_overlap))
-    found = reduce(DataFrame.union, found) if found else spark.createDataFrame([], SCHEMA)
-    best = found.groupBy(KEY, "_nx_item").agg(
-        F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b"))
-    return best.select(id_of().alias(id_col), id_of("_nx_item").alias(item_id_col), "b.*")
+        yield class_indexes(sorted((r[KEY], r[TEXT]) for r in rows), whole and whole(shard))
 
 
-def remove_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   **kwargs) -> DataFrame:
+def remove_leaking(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+                   item_text_col: str = "text", min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """``docs`` without the documents that leak an item."""
-    bad = leaks(docs, items, id_col, text_col, **kwargs).select(key_of(id_col).alias(KEY)).distinct()
-    return docs.withColumn(KEY, key_of(id_col)).join(bad, KEY, "left_anti").drop(KEY)
+    for indexes in item_shards(items, item_id_col, item_text_col):
+        docs = _without(docs, indexes, text_col, min_score, min_overlap)
+    return docs
+
+
+def _without(docs: DataFrame, indexes: list[ItemIndex], text_col: str, min_score: float, min_overlap: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(indexes)
+
+    def keep(texts: pa.Array) -> np.ndarray:
+        out = np.ones(len(texts), bool)
+        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), texts], names=[KEY, TEXT])
+        for chunk in text_words([batch]):
+            for own in shared.value:
+                for d, *_ in own.search(own.terms(chunk.hashes), chunk.counts, min_score, min_overlap):
+                    out[chunk.keys[d]] = False
+        return out
+
+    return filtered(docs, text_col, keep)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

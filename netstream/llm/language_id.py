@@ -7,16 +7,18 @@ and wins.  A suffix automaton of the sample answers "does the phrase go on?" in
 one table look-up per letter, and a batch of texts is parsed in lockstep with
 numpy, one look-up per language and letter.
 
-Texts are lower-cased; letters are symbols (the ``ALPHABET - 2`` most frequent
-of the samples, all others share one), everything else is one space.  They are
+Texts are lower-cased; each letter of the samples is a symbol (letters of no
+sample share one), everything else is one space.  They are
 parsed in blocks of ``BLOCK`` symbols, a phrase ends with its block; this adds
 the same to each language and lets very long texts run as many short ones.
 
-Learning reads a bounded sample: for each of the ``LANGUAGES`` most frequent
-labels, ``SAMPLE_CHARS`` characters of up to ``SAMPLE_DOCS`` documents (of at
-most ``SAMPLE_LONGEST`` characters, in the order of a hash), so all samples are
-equally long where the table allows.  Only these samples travel to the tasks,
-which build the automata.  Prediction is a map over all rows without a shuffle.
+Learning reads a bounded sample of each label: ``SAMPLE_CHARS`` characters of up to
+``SAMPLE_DOCS`` documents in the order of a hash (of a text longer than
+``SAMPLE_PIECE`` a piece of that length), so all samples are equally long where the
+table allows, and every label is learned, however rare, whatever its alphabet and
+the length of its texts.  Only these samples travel to the tasks, which build the
+automata.  Prediction is a map over all rows without a shuffle, and so is the filter
+``keep_identified``: it judges each row by its text, whatever its id.
 
 Defined cases: a null text, a text without letters, or no labelled row at all
 gives ``und`` with score 0; of languages with equally many phrases the first by
@@ -26,7 +28,6 @@ rows; only id, text and (for learning) label are read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -34,16 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, id_of, key_of, keyed_texts
+from netstream.llm.common import KEY, TEXT, filtered, id_of, keyed_texts
 
-LANGUAGES = 64
 SAMPLE_CHARS = 20_000
 SAMPLE_DOCS = 200
-SAMPLE_LONGEST = 8_000
+SAMPLE_PIECE = 8_000
 SALTS = 64
-ALPHABET = 64
 BLOCK = 256
 EVIDENCE_LETTERS = 20
+DENSE_CELLS = 4_000_000
 MIN_PHRASE = 1.75
 UNDETERMINED = "und"
 CHUNK_CHARS = 4_000_000
@@ -52,9 +52,9 @@ SCHEMA = f"{KEY} long, lang_pred string, score double, phrase_length double"
 _models: dict = {}
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions ``[state, symbol]`` of the automaton that accepts every
-    substring of ``symbols``; state 0 is the dead end, 1 the start."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the automaton that accepts every substring of
+    ``symbols``; state 0 is the dead end, 1 the start."""
     longest, link, moves = [0, 0], [0, 0], [None, {}]
     last = 1
     for s in symbols:
@@ -80,28 +80,53 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[new] = clone
         last = new
-    table = np.zeros((len(moves), alphabet), np.int32)
-    for state, out in enumerate(moves[1:], 1):
-        for s, to in out.items():
-            table[state, s] = to
-    return table
+    return [{}, *moves[1:]]
+
+
+class Moves:
+    """The transitions of an automaton.  Symbols that occur in none of them share
+    a column, so the table has a column per symbol of its own sample; where that is
+    too large (many letters), the transitions are a sorted list."""
+
+    def __init__(self, moves: list[dict[int, int]], alphabet: int):
+        used = sorted({s for out in moves for s in out})
+        self.column = np.zeros(alphabet, np.int32)  # column 0: leads nowhere
+        self.column[used] = np.arange(1, len(used) + 1)
+        self.width = len(used) + 1
+        state = np.repeat(np.arange(len(moves)), [len(out) for out in moves])
+        place = state * self.width + self.column[[s for out in moves for s in out]] if len(state) else np.zeros(0, np.int64)
+        to = np.array([t for out in moves for t in out.values()], np.int32)
+        self.table, self.places = None, None
+        if len(moves) * self.width <= DENSE_CELLS:
+            self.table = np.zeros(len(moves) * self.width, np.int32)
+            self.table[place] = to
+        else:
+            order = np.argsort(place)
+            self.places, self.to = np.append(place[order], -1), np.append(to[order], 0)
+
+    def __call__(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        place = state * self.width + self.column[symbol]
+        if self.table is not None:
+            return self.table[place]
+        at = np.searchsorted(self.places[:-1], place)
+        return np.where(self.places[at] == place, self.to[at], 0)
 
 
 class CrossParser:
     """Automata of the samples ``{language: text}``."""
 
-    def __init__(self, samples: dict[str, str], alphabet: int = ALPHABET):
+    def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
+        own = sorted({c for t in samples.values() for c in t.lower() if c.isalpha()})
+        self.alphabet = len(own) + 2  # 0: no letter; the last: a letter of no sample
         letters = np.array([chr(c).isalpha() for c in range(0x110000)])
-        self.symbol = np.where(letters, alphabet - 1, 0).astype(np.uint8)
-        common = Counter(c for t in samples.values() for c in t.lower() if c.isalpha())
-        for n, (c, _) in enumerate(sorted(common.items(), key=lambda x: (-x[1], x[0]))[:alphabet - 2], 1):
+        self.symbol = np.where(letters, self.alphabet - 1, 0).astype(np.int32)
+        for n, c in enumerate(own, 1):
             self.symbol[ord(c)] = n
-        self.alphabet = alphabet
-        self.tables, self.bits = [], []
+        self.moves, self.bits = [], []
         for language in self.languages:
             flat, _, _ = self.symbols([samples[language]])
-            self.tables.append(suffix_automaton(flat.tolist(), alphabet).ravel())
+            self.moves.append(Moves(suffix_automaton(flat.tolist()), self.alphabet))
             self.bits.append(np.log2(max(2, len(flat))))
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,15 +150,15 @@ class CrossParser:
         size = np.minimum(BLOCK, counts[doc] - within * BLOCK)
         order = np.argsort(-size, kind="stable")
         start, size, doc = start[order], size[order], doc[order]
-        state = [np.ones(len(doc), np.int32) for _ in self.tables]
-        total = [np.zeros(len(doc), np.int32) for _ in self.tables]
+        state = [np.ones(len(doc), np.int64) for _ in self.moves]
+        total = [np.zeros(len(doc), np.int32) for _ in self.moves]
         for step in range(int(size[0]) if len(size) else 0):
             n = int(np.searchsorted(-size, -step, side="left"))
             symbol = flat[start[:n] + step]
-            for table, at, count in zip(self.tables, state, total):
-                now = table[at[:n] * self.alphabet + symbol]
+            for moves, at, count in zip(self.moves, state, total):
+                now = moves(at[:n], symbol)
                 stop = np.flatnonzero(now == 0)
-                again = table[self.alphabet + symbol[stop]]
+                again = moves(np.ones(len(stop), np.int64), symbol[stop])
                 # the open phrase (none at the start) ends; a symbol that the sample lacks is a phrase
                 count[stop] += (at[stop] != 1).astype(np.int32) + (again == 0)
                 now[stop] = np.maximum(again, 1)
@@ -156,11 +181,12 @@ class CrossParser:
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
     """``{language: sample}`` from labelled rows (bounded, see the module)."""
-    rows = labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"),
-                           F.col(f"`{text_col}`").cast("string").alias("text")).where("lang IS NOT NULL")
-    top = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    hashed = (rows.where(F.col("lang").isin(top) & (F.length("text") <= SAMPLE_LONGEST))
-              .withColumn("h", F.xxhash64("text")))
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text")).where("lang IS NOT NULL")
+    # a piece of a long text, from a place that its hash chooses
+    spare = F.greatest(F.length("text") - SAMPLE_PIECE, F.lit(0))
+    hashed = (rows.withColumn("h", F.xxhash64("text"))
+              .withColumn("text", F.substr("text", (F.pmod("h", spare + 1) + 1).cast("int"), F.lit(SAMPLE_PIECE))))
     salted = Window.partitionBy("lang", F.pmod("h", F.lit(SALTS))).orderBy("h")
     order = Window.partitionBy("lang").orderBy("h")
     picked = (hashed.groupBy("lang", "h").agg(F.max(F.length("text")).alias("size"))  # copies count once
@@ -168,7 +194,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
               .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)  # of SALTS times as many
               .withColumn("before", F.sum("size").over(order) - F.col("size"))
               .where(F.col("before") < SAMPLE_CHARS).select("lang", "h", "n"))
-    texts = (hashed.join(F.broadcast(picked), ["lang", "h"])  # at most LANGUAGES * SAMPLE_DOCS rows
+    texts = (hashed.join(F.broadcast(picked), ["lang", "h"])  # at most SAMPLE_DOCS rows a language
              .groupBy("lang", "n").agg(F.max("text").alias("text")))
     samples: dict[str, str] = {}
     for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["n"])):
@@ -185,29 +211,34 @@ def _parser(samples: dict[str, str]) -> CrossParser:
     return _models[key]
 
 
-def _predicted(samples: dict[str, str], batches: Iterable[pa.RecordBatch]):
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
+def _predictions(samples: dict[str, str], texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    if samples:
+        return _parser(samples).predict(texts)
+    return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
 
-    def out(keys, texts):
-        if samples:
-            lang, score, length = _parser(samples).predict(texts)
-        else:
-            lang, score, length = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lang, pa.string()),
-                                           pa.array(score), pa.array(length)], names=names)
 
-    keys, texts, size = [], [], 0
+def _text_chunks(texts: list[str]) -> Iterable[list[str]]:
+    """Runs of about ``CHUNK_CHARS`` characters, or one longer text."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > CHUNK_CHARS:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
+def _predicted(samples: dict[str, str], batches: Iterable[pa.RecordBatch]):
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
     for batch in batches:
-        for key, text in zip(batch.column(KEY).to_pylist(), batch.column(TEXT)):
-            text = text.as_py() or ""
-            if texts and size + len(text) > CHUNK_CHARS:
-                yield out(keys, texts)
-                keys, texts, size = [], [], 0
-            keys.append(key)
-            texts.append(text)
-            size += len(text)
-    if texts:
-        yield out(keys, texts)
+        done = 0
+        for part in _text_chunks(batch.column(TEXT).to_pylist()):
+            lang, score, length = _predictions(samples, part)
+            yield pa.RecordBatch.from_arrays([batch.column(KEY).slice(done, len(part)), pa.array(lang, pa.string()),
+                                              pa.array(score), pa.array(length)], names=names)
+            done += len(part)
 
 
 def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,14 +247,18 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", t
     return rows.select(id_of().alias(id_col), "lang_pred", "score", "phrase_length")
 
 
-def keep_identified(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text",
+def keep_identified(docs: DataFrame, samples: dict[str, str], text_col: str = "text",
                     min_phrase: float = MIN_PHRASE) -> DataFrame:
     """``docs`` without the rejected: undetermined, or explained by no learned
     language (phrases of fewer than ``min_phrase`` letters on average)."""
-    found = identify(docs, samples, id_col, text_col)
-    bad = (found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("phrase_length") < min_phrase))
-           .select(key_of(id_col).alias(KEY)).distinct())
-    return docs.withColumn(KEY, key_of(id_col)).join(bad, KEY, "left_anti").drop(KEY)
+    def keep(texts: pa.Array) -> np.ndarray:
+        out = []
+        for part in _text_chunks(texts.to_pylist()):
+            lang, _, length = _predictions(samples, part)
+            out.append((np.array(lang) != UNDETERMINED) & (length >= min_phrase))
+        return np.concatenate(out)
+
+    return filtered(docs, text_col, keep)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ which adaptive execution splits the large side.
 
 Defined cases: a null text has no lines and stays null; an empty text is one
 empty line; documents of fewer than three lines have no window and stay whole.
-Rows that repeat an id are one document: their windows at one place do not
-repeat each other, and what is removed from the id is removed from each row.
-Other columns pass through whatever their names.
+Rows that share an id or have none are documents of their own, by text order; rows
+equal in id and text are one document, what is removed from one is removed from
+each.  Other columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -23,21 +23,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, key_of, keyed_texts, let
+from netstream.llm.common import KEY, TEXT, Rows, let
 from netstream.session import cut_lineage
 
 WINDOW = 3
 STATS = "line_dedup"
 
 
-def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(KEY, start, h1, h2)`` of each window."""
+def line_windows(texts: DataFrame) -> DataFrame:
+    """``(KEY, start, h1, h2)`` of each window of ``texts(KEY, TEXT)``."""
     lines = F.col("_nx_lines")
     n = F.size(lines)
     shifted = [F.slice(lines, i + 1, n).alias(f"l{i}") for i in range(WINDOW)]
     parts = [F.col(f"w.l{i}") for i in range(WINDOW)]
-    return (keyed_texts(docs, id_col, text_col)
-            .select(KEY, F.split("_nx_text", "\n", -1).alias("_nx_lines"))
+    return (texts.select(KEY, F.split(TEXT, "\n", -1).alias("_nx_lines"))
             .where(n >= WINDOW)
             .select(KEY, F.posexplode(F.arrays_zip(*shifted)).alias("start", "w"))
             .where(parts[-1].isNotNull() & (F.trim(F.translate(F.concat(*parts), "\t\r\x0b\x0c", "    ")) != ""))
@@ -59,10 +58,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stats_col: str | None = STATS) -> DataFrame:
     """``docs`` with ``text_col`` freed of repeated windows; ``stats_col``
     (unless None) holds ``struct(n_lines, n_removed)``."""
-    windows = cut_lineage(line_windows(docs, id_col, text_col), name="line-windows")
-    text = F.col(f"`{text_col}`")
-    joined = (docs.withColumn(KEY, key_of(id_col))
-              .join(covered_lines(windows), KEY, "left"))
+    rows = Rows(docs, id_col, text_col)
+    windows = cut_lineage(line_windows(rows.texts()), name="line-windows")
+    text = rows.column(text_col).cast("string")
+    joined = rows.table.join(covered_lines(windows), KEY, "left")
     covered = F.col("_nx_covered")
 
     def kept(lines):
@@ -73,7 +72,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stats = F.struct(n_lines.alias("n_lines"),
                      F.coalesce(F.size(covered), F.lit(0)).cast("long").alias("n_removed"))
     cut = F.when(covered.isNull(), text).otherwise(let(F.split(text, "\n", -1), kept))
-    out = [cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != stats_col]
+    out = [(cut if c == text_col else rows.column(c)).alias(c) for c in docs.columns if c != stats_col]
     return joined.select(*out, *([stats.alias(stats_col)] if stats_col else []))
 
 

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import (KEY, Chunk, forget, id_of, key_of, keyed_texts, mix, run_hashes, signed, whole_runs,
+from netstream.llm.common import (DOC, KEY, Chunk, Rows, forget, mix, run_hashes, signed, whole_runs,
                                   word_chunks)
 from netstream.llm.components import components
 from netstream.session import cut_lineage, shuffles_dropped
@@ -309,12 +309,19 @@ def confirmed_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> Data
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of each row."""
-    with shuffles_dropped(docs.sparkSession):
-        return _near_duplicates(docs, id_col, text_col)
+    rows = Rows(docs, id_col, text_col)
+    found = rows.with_ids(groups(rows.texts()), KEY, "component_id")
+    return found.select(F.col(KEY).alias(id_col), "n_shingles", "component_id", "kept")
 
 
-def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    texts = keyed_texts(docs, id_col, text_col)
+def groups(texts: DataFrame) -> DataFrame:
+    """``KEY, n_shingles, component_id, kept`` of ``texts(KEY, TEXT)``, one text
+    per key."""
+    with shuffles_dropped(texts.sparkSession):
+        return _groups(texts)
+
+
+def _groups(texts: DataFrame) -> DataFrame:
     sketches = cut_lineage(texts.mapInArrow(_sketches, SKETCH), name="sketches")
     rep = sketches.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min(KEY).alias("rep"))
     member = (sketches.select(KEY, "n_shingles", "d1", "d2").join(rep, ["d1", "d2", "n_shingles"], "left")
@@ -330,7 +337,7 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     buckets = table_buckets(nodes)
     sets = (texts.join(buckets.select(F.col("id").alias(KEY)).distinct(), KEY, "left_semi")
             .mapInArrow(_sets, f"{KEY} long, shingles binary")
-            .groupBy(KEY).agg(F.max("shingles").alias("shingles")))  # rows that repeat an id
+            .groupBy(KEY).agg(F.max("shingles").alias("shingles")))  # equal rows have one key and one set
     sets = cut_lineage(sets, name="sets")
     links, comps = [], None
     for step in range(STAR_ROUNDS):
@@ -349,16 +356,15 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     whole = components(reduce(DataFrame.union, [copies, *links]))
     forget(buckets, sets, nodes, rows)
     return (member.join(whole, F.col(KEY) == F.col("id"), "left")
-            .select(id_of().alias(id_col), "n_shingles",
-                    id_of(F.coalesce("component", KEY)).alias("component_id"),
+            .select(KEY, "n_shingles", F.coalesce("component", KEY).alias("component_id"),
                     (F.coalesce("component", KEY) == F.col(KEY)).alias("kept")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that are not the first of their group."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(~F.col("kept")).select(key_of(id_col).alias(KEY)).distinct()
-    return docs.withColumn(KEY, key_of(id_col)).join(gone, KEY, "left_anti").drop(KEY)
+    rows = Rows(docs, id_col, text_col)
+    gone = groups(rows.texts()).where(~F.col("kept")).select(KEY).distinct()
+    return rows.table.join(gone, KEY, "left_anti").select(f"{DOC}.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

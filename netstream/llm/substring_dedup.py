@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netstream.llm.common import (KEY, TEXT, Chunk, forget, id_of, keyed_texts, mix, run_hashes, signed, whole_runs,
+from netstream.llm.common import (KEY, TEXT, Chunk, Rows, forget, mix, run_hashes, signed, whole_runs,
                                   word_chunks)
 from netstream.session import cut_lineage
 
@@ -185,7 +185,8 @@ def joined_words(chunk: Chunk, keep: np.ndarray, counts: np.ndarray) -> pa.Array
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_words, n_removed, kept`` of each row."""
-    texts = keyed_texts(docs, id_col, text_col)
+    rows = Rows(docs, id_col, text_col)
+    texts = rows.texts()
     copies = cut_lineage(copied_texts(texts), name="copies")
     firsts = cut_lineage(texts.join(copies, KEY, "left_anti"), name="firsts")
     anchors = cut_lineage(repeated_anchors(firsts), name="anchors")
@@ -193,7 +194,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     forget(firsts, anchors)
     later = cut_lineage(later_windows(windows), name="later")
     forget(windows)
-    return remove_covered(texts, later, copies).select(id_of().alias(id_col), "n_words", "n_removed", "kept")
+    found = rows.with_ids(remove_covered(texts, later, copies), KEY)
+    return found.select(F.col(KEY).alias(id_col), "n_words", "n_removed", "kept")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
