@@ -12,9 +12,10 @@ from netstream.functions.dgim import QUERY_K, WINDOW_N
 from netstream.operators import decay as D
 from netstream.plans.bit_plans import _B, _POW, _WIN, _as_written_cte, _published_cte
 from netstream.plans.bit_plans import SQL as BIT_SQL
-from netstream.session import cut_lineage
+from netstream.session import cut_lineage, scratch_dir
 from netstream.sources.tables import bit_events, mention_events, read_table
 from netstream.streaming import queries as SQ
+from netstream.streaming.replay_source import random_bit_stream
 from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE
 
 BATCH_ROWS = FILES_PER_TRIGGER * ROWS_PER_FILE
@@ -90,6 +91,15 @@ def q_stream_decay_topk(spark, sf_dir):
     return out.select("batch_id", "rank", "mention", "weight_int")
 
 
+def q_stream_random_bits(spark, sf_dir):
+    """S6 on a stream: a bit per event, from the source that computes them."""
+    n = read_table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    sink, checkpoint = (scratch_dir(spark, f"random-{c}") for c in ("sink", "checkpoint"))
+    bits = random_bit_stream(spark, rate=0, count=0 if n is None else n + 1, seed=42)
+    SQ.start_bits(bits, sink, checkpoint, {"availableNow": True}).awaitTermination()
+    return SQ.read_sink(spark, sink, "seq LONG, bit INT").select(F.col("seq").alias("event_id"), "bit")
+
+
 def q_mention_rejects(spark, sf_dir):
     """Text lines of the mention stream per micro-batch: how many came, how many
     were rejected.  Users whose id ends in 7 send lines that are cut short."""
@@ -199,6 +209,7 @@ SELECT key AS user_id, max(t) AS bits,
        CAST(coalesce(list_sum(list_transform(arg_max(bk, t), lambda x: x.s)), 0) AS BIGINT) AS bucket_sum
 FROM p GROUP BY key"""
 
+SQL["stream_random_bits"] = BIT_SQL["random_bits"]
 SQL["mention_rejects"] = f"""SELECT event_id // {BATCH_ROWS} AS batch_id, count(*) AS n_lines,
        CAST(sum(CASE WHEN user_id % 10 = 7 THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected FROM events GROUP BY 1"""
 SQL["bit_rejects"] = f"""SELECT event_id // {BATCH_ROWS} AS batch_id, count(*) AS n_lines,
@@ -214,6 +225,7 @@ SELECT user_id, session_start, session_end, n FROM g
 WHERE session_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '{SESSION_DELAY}'"""
 
 QUERIES = {
+    "stream_random_bits": q_stream_random_bits,
     "mention_rejects": q_mention_rejects,
     "bit_rejects": q_bit_rejects,
     "stream_sessions": q_stream_sessions,

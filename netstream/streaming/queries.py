@@ -118,6 +118,11 @@ def start_bit_report(bits: DataFrame, sink: str, checkpoint: str, trigger: dict
     return _start(writer, checkpoint, trigger, bits.sparkSession)
 
 
+def start_bits(bits: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The bits of a source as they come."""
+    return _start(bits.writeStream.foreachBatch(_per_batch(sink, lambda df, _: df)), checkpoint, trigger, bits.sparkSession)
+
+
 COUNTS_SCHEMA = "key LONG, seq LONG, pos LONG, ones_running LONG"
 
 

@@ -4,7 +4,8 @@
 ``kafka``, ``rate`` or a file format.  Tests and registered queries replay
 a table through the file source: ``stage_replay`` writes it once, in parallel,
 as files of consecutive sequence numbers, and ``maxFilesPerTrigger`` sets how
-many of them make a micro-batch.  No port is opened.
+many of them make a micro-batch.  No port is opened.  ``replay_source`` has
+sources with offsets of their own (random bits, lines of a file).
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netstream.operators.bits import hash_uniform
 from netstream.session import shuffle_partitions
 
 FILES_PER_TRIGGER = 4  # files of one micro-batch
@@ -37,16 +37,6 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return stream_reader(spark, "socket", host=host, port=port)
 
 
-def rate_bits(spark: SparkSession, rows_per_second: int = 10, p: float = 0.3,
-              seed: int = 42) -> DataFrame:
-    """Unbounded random bits: the rate source's ``value`` hashed to a
-    uniform, ``bit = u < p`` (S6 on a stream)."""
-    rate = stream_reader(spark, "rate", rowsPerSecond=rows_per_second)
-    u = hash_uniform(F.col("value"), seed)
-    return rate.select(F.lit(0).cast("long").alias("key"), F.col("value").alias("seq"),
-                       F.col("timestamp").alias("ts"), (u < F.lit(p)).cast("int").alias("bit"))
-
-
 def stage_replay(df: DataFrame, order: str, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write ``df`` as one parquet file per ``rows_per_file`` consecutive
     values of ``order`` - one parallel write, a file is one task's - and give the

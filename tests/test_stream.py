@@ -207,3 +207,51 @@ def test_metrics_are_bounded(spark):
     for batch in range(5):
         metrics.onQueryProgress(Event(batch))
     assert sorted(metrics.batches) == [3, 4]
+
+
+def test_random_bit_source_is_replayable(spark):
+    """The source's bits are the batch operator's, its offers follow the clock,
+    and a restarted query repeats and loses none."""
+    import time
+
+    from netstream.streaming import replay_source as RS
+    rows = spark.range(500).withColumnRenamed("id", "seq")
+    want = {(r.seq, r.bit) for r in B.random_bits(rows, "seq", p=0.3, seed=5).collect()}
+    sink, checkpoint = (scratch_dir(spark, c) for c in ("bits-sink", "bits-ckpt"))
+    for count in (180, 500):
+        bits = RS.random_bit_stream(spark, rate=0, count=count, seed=5, partitions=3)
+        SQ.start_bits(bits, sink, checkpoint, {"availableNow": True}).awaitTermination()
+    out = SQ.read_sink(spark, sink, "seq LONG, bit INT").collect()
+    assert len(out) == 500 and {(r.seq, r.bit) for r in out} == want
+    reader = RS._BitReader({"rate": "10", "count": "1000", "start_ms": str(int(time.time() * 1000) - 2_000)})
+    assert 20 <= reader.latestOffset()["bits"] <= 25
+    assert [(r.begin, r.end) for r in reader.partitions({"bits": 3}, {"bits": 3})] == []
+
+
+def test_line_source_replays_a_file_from_its_offset(spark, tmp_path):
+    """At most the limit per micro-batch, in order; a restart goes on at the
+    byte it stopped at; a line without an end waits."""
+    from netstream.streaming import replay_source as RS
+    lines = [f"2024-01-01 00:00:{i % 60:02d},m{i % 7}é" for i in range(95)]
+    path = tmp_path / "lines.csv"
+    path.write_text("\n".join(lines[:60]) + "\nunfinis", encoding="utf-8")
+    sink, checkpoint = (scratch_dir(spark, c) for c in ("lines-sink", "lines-ckpt"))
+
+    def run():
+        stream = RS.replayed_lines(spark, str(path), 25)
+        query = SQ.start_bits(stream, sink, checkpoint, {"processingTime": "0 seconds"})
+        query.processAllAvailable()
+        query.stop()
+        assert query.exception() is None
+
+    run()
+    first = SQ.read_sink(spark, sink, "seq LONG, value STRING").collect()
+    assert {r.seq: r.value for r in first} == dict(enumerate(lines[:60])) and len(first) == 60
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    run()
+    out = SQ.read_sink(spark, sink, "seq LONG, value STRING").collect()
+    assert {r.seq: r.value for r in out} == dict(enumerate(lines)) and len(out) == 95
+    sizes = {}
+    for r in out:
+        sizes[r.batch_id] = sizes.get(r.batch_id, 0) + 1
+    assert max(sizes.values()) <= 25
