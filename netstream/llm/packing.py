@@ -68,7 +68,7 @@ def _documents(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 class _Distinct:
-    """Distinct ids of one document after the other."""
+    """Distinct ids of one document after the other, ascending."""
 
     def __init__(self, ids: int):
         self.seen = np.zeros(ids, bool)
@@ -80,6 +80,13 @@ class _Distinct:
         return found
 
 
+def _counted(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and how often each occurs."""
+    ids = np.sort(doc)
+    ends = np.flatnonzero(np.append(ids[1:] != ids[:-1], True))
+    return ids[ends].astype(np.int64), np.diff(ends, prepend=-1)
+
+
 # -- figures of the corpus ----------------------------------------------------
 
 class Figures:
@@ -105,9 +112,9 @@ class Figures:
 
     def weights(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The document's distinct ids and their BM25 weights in it."""
-        terms, tf = np.unique(doc, return_counts=True)
+        terms, tf = _counted(doc)
         norm = K1 * (1 - BM25_B + BM25_B * len(doc) / self.mean)
-        return terms.astype(np.int64), tf * (K1 + 1) / (tf + norm) * self.idf[terms]
+        return terms, tf * (K1 + 1) / (tf + norm) * self.idf[terms]
 
 
 # -- routing by content -------------------------------------------------------
@@ -125,18 +132,27 @@ class Router:
         self.df, self.middle = figures.df, middle
         self.along = directions(len(figures.df)) * figures.idf[:, None].astype(np.float32)
 
-    def sketch(self, terms: np.ndarray) -> np.ndarray:
-        """The distinct ids along a few random directions, by their idf."""
-        out = self.along[terms].sum(0)
-        return out / max(float(np.linalg.norm(out)), 1e-9)
-
-    def place(self, terms: np.ndarray) -> tuple[int, int]:
-        df, key = self.df[terms], 0
+    def sketches(self, terms: list[np.ndarray]) -> np.ndarray:
+        """The distinct ids of documents along a few random directions, by
+        their idf."""
+        out = np.stack([self.along[t].sum(0) for t in terms])
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+    def terms(self, docs: list[np.ndarray]) -> list[np.ndarray]:
+        distinct = _Distinct(len(self.df))
+        return [distinct(d) for d in docs]
+
+    def places(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """``near`` and ``rare`` of each document (none is empty)."""
+        terms = self.terms(docs)
+        size = np.array([len(t) for t in terms])
+        first, flat = np.cumsum(size) - size, np.concatenate(terms)
+        rank, key = self.df[flat] << RARE_BITS | flat, np.zeros(len(docs), np.int64)
         for _ in range(RAREST):
-            at = int(df.argmin())  # terms ascend, so equal ones go by id
-            key = key << RARE_BITS | int(terms[at]) & (1 << RARE_BITS) - 1
-            df[at] = np.iinfo(np.int64).max
-        return int((self.middle @ self.sketch(terms)).argmax()), key
+            least = np.minimum.reduceat(rank, first)
+            key = key << RARE_BITS | least & (1 << RARE_BITS) - 1
+            rank[rank == np.repeat(least, size)] = np.iinfo(np.int64).max
+        return (self.sketches(terms) @ self.middle.T).argmax(1), key
 
 
 def centroids(sketches: np.ndarray, rounds: int = 10) -> np.ndarray:
@@ -169,10 +185,10 @@ def router(texts: DataFrame, tokenizer_path: str, end_id: int) -> Router:
     first = Router(Figures.of(stored, ids))
 
     def sketches(batches: Iterable[pa.RecordBatch]):
-        distinct = _Distinct(ids)
         for batch in batches:
-            found = [first.sketch(distinct(d)).tobytes() for d in _documents(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["sketch"])
+            if batch.num_rows:
+                found = [r.tobytes() for r in first.sketches(first.terms(_documents(batch))).astype(np.float32)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["sketch"])
 
     found = stored.select("wide", "ids").mapInArrow(sketches, "sketch binary").toArrow()["sketch"]  # about SAMPLE rows
     sample = np.frombuffer(b"".join(sorted(found.to_pylist())), np.float32)
@@ -282,13 +298,12 @@ def tokenised(texts: DataFrame, tokenizer_path: str, end_id: int, route: Router
     with ``route`` also where it goes."""
     def encode(batches: Iterable[pa.RecordBatch]):
         pid = TaskContext.get().partitionId() << TASK_BITS
-        distinct = _Distinct(len(route.df)) if route else None
         for keys, texts in token_ids(batches, tokenizer_path, end_id):
             wide = [int(t.max()) >> 16 > 0 for t in texts]
             columns = [np.arange(pid, pid + len(keys)), keys, np.array(wide),
                        [t.astype("<u4" if w else "<u2").tobytes() for t, w in zip(texts, wide)]]
             if route:
-                columns += [np.array(c, np.int64) for c in zip(*(route.place(distinct(t)) for t in texts))]
+                columns += route.places(texts)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
             pid += len(keys)
 
