@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.operators.indexing import row_index
+from netstream.operators.indexing import keyed_prefix_sum, row_index
 from netstream.session import cut_lineage
 
 DECAY_C = 1e-6   # fixed value: the reference's decay constant
@@ -140,10 +140,9 @@ def carried_weights(mentions: DataFrame, c: float = DECAY_C, batch: str = "batch
               .agg(F.sum(F.exp(-lam * dist)).alias("local")))
     per = per.withColumn("q", F.floor(F.col("gend") / epoch_len).cast("long"))
     since_ref = (F.col("gend") - F.col("q") * epoch_len).cast("double")
-    w = (Window.partitionBy("mention", "q").orderBy("gend")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    per = per.withColumn(
-        "in_epoch", F.sum(F.col("local") * F.exp(lam * since_ref)).over(w) * F.exp(-lam * since_ref))
+    # by range partitions: a mention of every batch is no hot task
+    per = keyed_prefix_sum(per.withColumn("scaled", F.col("local") * F.exp(lam * since_ref)), ["mention", "q"], "gend", ["scaled"])
+    per = per.withColumn("in_epoch", F.col("scaled_cum") * F.exp(-lam * since_ref)).drop("scaled", "scaled_cum", "local")
     # read twice (rows, and each epoch's last value): write once
     per = cut_lineage(per, name="decay-epochs")
     last = (per.groupBy("mention", "q")

@@ -120,6 +120,18 @@ def q_edge_rejects(spark, sf_dir):
     return GF.edge_line_counts(spark, path)
 
 
+def q_csv_rejects(spark, sf_dir):
+    """Rows of a headerless CSV by how they were read: here finished orders have
+    no second column, and open ones their status in it."""
+    path = scratch_dir(spark, "csvrejects")
+    o = read_table(spark, sf_dir, "orders")
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    line = F.when(status == "F", key).when(status == "O", F.concat_ws(",", key, status)).otherwise(
+        F.concat_ws(",", key, F.col("o_custkey").cast("string"), status))
+    o.select(line.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+    return GF.csv_line_counts(spark, path)
+
+
 def _given_labels(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings")
     return emb.select(F.col("vec_id").alias("id"), F.col("label").alias("cluster"))
@@ -313,6 +325,8 @@ FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL""",
   AND l_partkey IS NOT NULL)
 SELECT name, CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS idx FROM nodes""",
     "edge_rejects": """SELECT CASE WHEN o_orderstatus = 'O' THEN 'rejected' ELSE 'edge' END AS kind, count(*) AS n
+FROM orders GROUP BY 1""",
+    "csv_rejects": """SELECT CASE WHEN o_orderstatus IN ('O', 'F') THEN 'rejected' ELSE 'edge' END AS kind, count(*) AS n
 FROM orders GROUP BY 1""",
     "spectrum_smallest": f"SELECT CAST(range AS INTEGER) AS pos, CAST(0 AS DOUBLE) AS eigenvalue FROM range({N_STARS})",
     "spectrum_largest": f"SELECT CAST(range AS INTEGER) AS pos, CAST(2 AS DOUBLE) AS eigenvalue FROM range({N_STARS})",
@@ -367,6 +381,7 @@ QUERIES = {
     "weighted_edges": q_weighted_edges,
     "named_node_index": q_named_node_index,
     "edge_rejects": q_edge_rejects,
+    "csv_rejects": q_csv_rejects,
     "spectral_kmeans": q_spectral_kmeans,
     "spectral_embedding_clusters": q_spectral_embedding_clusters,
 }

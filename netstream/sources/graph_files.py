@@ -53,13 +53,28 @@ def edge_line_counts(spark: SparkSession, path: str, numeric: bool = True) -> Da
 def read_edge_csv(spark: SparkSession, path: str, src_pos: int = 0, dst_pos: int = 1,
                   partitions: int | None = None) -> DataFrame:
     """Headerless CSV; columns are addressed by position like ``_c0``; a row
-    whose ids are no numbers is left out."""
-    raw = spark.read.option("header", False).csv(path)
-    df = raw.select(_as_long(f"_c{src_pos}").alias("src"), _as_long(f"_c{dst_pos}").alias("dst"),
-                    ).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    whose ids are no numbers is left out (``csv_line_counts`` tells how many)."""
+    df = _csv_ids(spark, path, src_pos, dst_pos).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     return _spread(spark, df, partitions)
 
 
+def _csv_ids(spark: SparkSession, path: str, src_pos: int, dst_pos: int) -> DataFrame:
+    """``(src, dst)`` of every row; null where there is no such column or no
+    number in it.  The columns are named, so that the first line of a file does
+    not decide how many are read."""
+    names = [f"_c{i}" for i in range(max(src_pos, dst_pos) + 1)]
+    raw = spark.read.option("header", False).schema(", ".join(f"{c} STRING" for c in names)).csv(path)
+    return raw.select(_as_long(f"_c{src_pos}").alias("src"), _as_long(f"_c{dst_pos}").alias("dst"))
+
+
+def csv_line_counts(spark: SparkSession, path: str, src_pos: int = 0, dst_pos: int = 1) -> DataFrame:
+    """``(kind, n)``: rows of a headerless CSV read as ``edge`` and
+    ``rejected`` (a column is missing or holds no whole number)."""
+    ok = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    return (_csv_ids(spark, path, src_pos, dst_pos).groupBy(F.when(ok, "edge").otherwise("rejected").alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def edges_from_table(df: DataFrame, source: str, target: str) -> DataFrame:
     """Any two columns of a table as an edge list."""
     return df.select(F.col(source).alias("src"), F.col(target).alias("dst"))

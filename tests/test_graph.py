@@ -107,3 +107,15 @@ def test_purchase_graph_is_linear_in_lineitem(spark):
     e = purchase_graph(spark, SF001)
     assert e.count() <= li.count()
     assert e.where(F.col("src") > F.col("dst")).count() == 0
+
+
+def test_csv_rejects_and_short_first_row(spark, tmp_path):
+    """Rows with a missing column, text or a fraction are counted; the first row
+    of a file does not decide how many columns are read."""
+    from netstream.sources import graph_files as GF
+    (tmp_path / "a.csv").write_text("1\n2,3,x\n4,5\nx,6\n7,8.5\n,9\n10,11\n")
+    kinds = {r["kind"]: r["n"] for r in GF.csv_line_counts(spark, str(tmp_path)).collect()}
+    assert kinds == {"edge": 3, "rejected": 4}
+    assert sorted(map(tuple, GF.read_edge_csv(spark, str(tmp_path)).collect())) == [(2, 3), (4, 5), (10, 11)]
+    third = GF.csv_line_counts(spark, str(tmp_path), 0, 2).collect()
+    assert {r["kind"]: r["n"] for r in third} == {"rejected": 7}
