@@ -106,3 +106,41 @@ def test_every_label_is_learned(documents):
     assert len(samples) == 71 and len(samples["long"]) > 8_000
     got = language_id.identify(docs, samples).collect()
     assert sum(r.lang_pred == ("long" if r.doc_id >= 9_000 else f"l{r.doc_id // 100}") for r in got) == len(got)
+
+
+def test_url_model_on_urls_it_has_not_seen(spark):
+    """The model alone, with a labelled table of its own (no rule fits): held-out
+    urls get the verdict that marks in host and path predict."""
+    import random
+
+    from netstream.llm import url_filter
+    rng = random.Random(6)
+
+    def url(bad):
+        host = rng.choice(["casino", "pills", "winbig"] if bad else ["library", "museum", "gardens"])
+        return (f"http://{host}{rng.randrange(1000)}.{rng.choice(['net', 'info'])}/"
+                f"{rng.choice(['play', 'spin', 'buy'] if bad else ['read', 'visit', 'learn'])}/{rng.randrange(10_000)}")
+
+    made = [(url(i % 2 == 0), "block" if i % 2 == 0 else "allow") for i in range(600)]
+    train = spark.createDataFrame(made[:300], "url string, verdict string")
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(made[300:])], "page_id long, url string")
+    out = {r.page_id: r for r in url_filter.judge(pages, train).collect()}
+    right = sum(out[i].verdict == v for i, (_, v) in enumerate(made[300:]))
+    assert right >= 0.98 * 300 and all(r.rule is None for r in out.values())
+
+
+def test_url_and_leak_odd_cases(spark, documents):
+    """Very long urls and texts, repeated pages and items, clashing names."""
+    from netstream.llm import url_filter
+    far = "http://example.org/es/" + "a" * 100_000
+    pages = spark.createDataFrame([(1, far, 5), (1, far, 5), (2, "HTTP://X.COM/DE/", 5), (None, None, 5), (3, "://", 5)],
+                                  "page_id long, url string, _nx_id int")
+    labelled = spark.createDataFrame([("http://a.net/1", "allow"), ("http://b.net/2", "block")], "url string, verdict string")
+    got = sorted((str(r.page_id), r.rule, r.host, r.verdict) for r in url_filter.judge(pages, labelled).collect())
+    assert [g[:3] for g in got] == [("1", "example.org/es/", "example.org"), ("1", "example.org/es/", "example.org"),
+                                    ("2", None, "x.com"), ("3", None, ""), ("None", None, "")]
+    sky = "What is the colour of the sky? It is blue today."
+    items = spark.createDataFrame([(1, sky, 1), (1, sky, 2), (5, sky, 3), (6, "", 4)], "item_id long, text string, score int")
+    docs = documents([(1, "filler " * 200_000 + sky), (1, sky), (2, "x" * 500_000), (None, sky)], extra=["score", "_nx_item"])
+    found = sorted((str(r.doc_id), r.item_id) for r in decontaminate.leaks(docs, items).collect())
+    assert found == [("1", 1), ("1", 5), ("None", 1), ("None", 5)]
