@@ -36,16 +36,17 @@ PUBLISHED_STATE = "n LONG, t LONG, total LONG, recent BINARY"
 
 def _in_order(pdfs: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
     """``(seq, bit)`` of a key's rows in a micro-batch by ``seq``."""
-    seqs, bits = (np.concatenate(c) for c in zip(*((p["seq"].to_numpy(), p["bit"].to_numpy()) for p in pdfs)))
+    parts = [(p["seq"].to_numpy(), p["bit"].to_numpy()) for p in pdfs]
+    seqs, bits = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
     order = np.argsort(seqs, kind="stable")
     return seqs[order], (bits[order] == 1).astype(np.uint8)
 
 
 def _keyed(key: tuple, **columns: np.ndarray) -> pd.DataFrame:
     """Rows of one key; a NULL key is a stream of its own."""
-    frame = pd.DataFrame(columns)
-    frame.insert(0, "key", pd.array([None if pd.isna(key[0]) else int(key[0])] * len(frame), dtype="Int64"))
-    return frame
+    n = len(columns["seq"])
+    own = pd.array([None] * n, dtype="Int64") if pd.isna(key[0]) else np.full(n, int(key[0]))
+    return pd.DataFrame({"key": own, **columns}, copy=False)
 
 
 def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) -> DataFrame:
