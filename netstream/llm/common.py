@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,17 @@ class Rows:
         return found
 
 
+def text_slices(batch: pa.RecordBatch, column: str | int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``limit`` bytes of text in the column (a longer
+    text alone)."""
+    size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    until, a = np.append(0, np.cumsum(size)), 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(until, until[a] + limit, side="right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def filtered(docs: DataFrame, text_col: str, keep) -> DataFrame:
     """``docs`` without the rows that ``keep(texts)`` - an Arrow array of texts
     without nulls, a mask back - rejects: a map, whatever the ids are."""
@@ -97,9 +109,9 @@ def filtered(docs: DataFrame, text_col: str, keep) -> DataFrame:
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                texts = batch.column(place).cast(pa.large_string()).fill_null("")
-                yield batch.filter(pa.array(keep(texts), pa.bool_()))
+            for part in text_slices(batch, place):
+                texts = part.column(place).cast(pa.large_string()).fill_null("")
+                yield part.filter(pa.array(keep(texts), pa.bool_()))
 
     renamed = docs.toDF(*names)
     return renamed.mapInArrow(rows, renamed.schema).toDF(*docs.columns)

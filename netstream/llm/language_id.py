@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstream.llm.common import KEY, TEXT, filtered, id_of, keyed_texts
+from netstream.llm.common import KEY, TEXT, filtered, id_of, keyed_texts, text_slices
 
 SAMPLE_CHARS = 20_000
 SAMPLE_DOCS = 200
@@ -46,7 +46,6 @@ EVIDENCE_LETTERS = 20
 DENSE_CELLS = 4_000_000
 MIN_PHRASE = 1.75
 UNDETERMINED = "und"
-CHUNK_CHARS = 4_000_000
 SCHEMA = f"{KEY} long, lang_pred string, score double, phrase_length double"
 
 _models: dict = {}
@@ -120,7 +119,7 @@ class CrossParser:
         own = sorted({c for t in samples.values() for c in t.lower() if c.isalpha()})
         self.alphabet = len(own) + 2  # 0: no letter; the last: a letter of no sample
         letters = np.array([chr(c).isalpha() for c in range(0x110000)])
-        self.symbol = np.where(letters, self.alphabet - 1, 0).astype(np.int32)
+        self.symbol = np.where(letters, self.alphabet - 1, 0).astype(np.uint8 if self.alphabet <= 256 else np.int32)
         for n, c in enumerate(own, 1):
             self.symbol[ord(c)] = n
         self.moves, self.bits = [], []
@@ -217,28 +216,13 @@ def _predictions(samples: dict[str, str], texts: list[str]) -> tuple[list[str],
     return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
 
 
-def _text_chunks(texts: list[str]) -> Iterable[list[str]]:
-    """Runs of about ``CHUNK_CHARS`` characters, or one longer text."""
-    part, size = [], 0
-    for text in texts:
-        if part and size + len(text) > CHUNK_CHARS:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield part
-
-
 def _predicted(samples: dict[str, str], batches: Iterable[pa.RecordBatch]):
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     for batch in batches:
-        done = 0
-        for part in _text_chunks(batch.column(TEXT).to_pylist()):
-            lang, score, length = _predictions(samples, part)
-            yield pa.RecordBatch.from_arrays([batch.column(KEY).slice(done, len(part)), pa.array(lang, pa.string()),
-                                              pa.array(score), pa.array(length)], names=names)
-            done += len(part)
+        for part in text_slices(batch, TEXT):
+            lang, score, length = _predictions(samples, part.column(TEXT).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(KEY), pa.array(lang, pa.string()), pa.array(score), pa.array(length)],
+                                             names=names)
 
 
 def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,11 +236,8 @@ def keep_identified(docs: DataFrame, samples: dict[str, str], text_col: str = "t
     """``docs`` without the rejected: undetermined, or explained by no learned
     language (phrases of fewer than ``min_phrase`` letters on average)."""
     def keep(texts: pa.Array) -> np.ndarray:
-        out = []
-        for part in _text_chunks(texts.to_pylist()):
-            lang, _, length = _predictions(samples, part)
-            out.append((np.array(lang) != UNDETERMINED) & (length >= min_phrase))
-        return np.concatenate(out)
+        lang, _, length = _predictions(samples, texts.to_pylist())
+        return (np.array(lang) != UNDETERMINED) & (length >= min_phrase)
 
     return filtered(docs, text_col, keep)
 
