@@ -12,7 +12,7 @@ import pyarrow as pa
 
 from netstream.llm.common import SPACE, Chunk, text_chunks
 
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 1_000_000
 
 _tokenizers: dict = {}
 
