@@ -1,6 +1,7 @@
-"""Registered streaming queries: ``events`` replayed through the file source,
-``BATCH_ROWS`` consecutive event ids per micro-batch, run with an
-``availableNow`` trigger; results are read back from the sinks."""
+"""Registered streaming queries: ``events`` replayed through the file source
+with an ``availableNow`` trigger; results are read back from the sinks.
+``BATCH_ROWS`` consecutive event ids are an epoch, for which results that are told per
+batch are told; a micro-batch takes whole epochs, the more the longer the table."""
 
 from __future__ import annotations
 
@@ -30,15 +31,19 @@ def _mentions(spark, sf_dir):
     return mention_events(read_table(spark, sf_dir, "events")).select("seq", "ts", "mention")
 
 
+def _replayed(*args, **options):
+    return SQ.replayed(*args, epoch_rows=BATCH_ROWS, **options)
+
+
 def q_stream_dgim(spark, sf_dir):
-    out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"])
+    out = _replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"])
     return out.select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "n_buckets", "bucket_sum", "estimate")
 
 
 def q_stream_ones(spark, sf_dir):
     """Exact last N and last K of each stream after every bit."""
     windows = {"ones_last_n": WINDOW_N, "ones_last_k": QUERY_K}
-    out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", partial(SQ.start_window_bits, windows=windows),
+    out = _replayed(spark, _bits(spark, sf_dir), "seq", partial(SQ.start_window_bits, windows=windows),
                       SQ.COUNTS_SCHEMA + "".join(f", {name} LONG" for name in windows))
     return out.select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "pos", "ones_running", *windows)
 
@@ -51,22 +56,22 @@ def q_dgim_state(spark, sf_dir):
         state = SQ.read_state(spark, checkpoint).select("key.key", "value.groupState.t", "value.groupState.total")
         kept.append(cut_lineage(state, name="dgim-state"))
 
-    SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"], before_end=keep)
+    _replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_dgim, SQ.DGIM_SCHEMA["published"], before_end=keep)
     return kept[0].select(F.col("key").alias("user_id"), F.col("t").alias("bits"), F.col("total").alias("bucket_sum"))
 
 
 def q_stream_bit_report(spark, sf_dir):
-    out = SQ.replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_bit_report, SQ.REPORT_SCHEMA)
-    return out.select(F.col("key").alias("user_id"), F.col("batch_id").alias("micro_batch"), "real_count", "estimate",
+    out = _replayed(spark, _bits(spark, sf_dir), "seq", SQ.start_bit_report, SQ.REPORT_SCHEMA + SQ.EPOCH)
+    return out.select(F.col("key").alias("user_id"), F.col("epoch").alias("micro_batch"), "real_count", "estimate",
                       "rel_error")
 
 
 def _rounded(out):
-    return out.select("batch_id", "mention", F.round("weight", 6).alias("weight"))
+    return out.select(F.col("epoch").alias("batch_id"), "mention", F.round("weight", 6).alias("weight"))
 
 
 def q_stream_decay_carry(spark, sf_dir):
-    return _rounded(SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_decay, SQ.DECAY_SCHEMA))
+    return _rounded(_replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_decay, SQ.DECAY_SCHEMA + SQ.EPOCH))
 
 
 def q_stream_decay_dropping(spark, sf_dir):
@@ -74,7 +79,7 @@ def q_stream_decay_dropping(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     users = events.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("mention"))
     start = partial(SQ.start_decay, c=1e-3, drop_below=DROP_BELOW)
-    return _rounded(SQ.replayed(spark, users, "seq", start, SQ.DECAY_SCHEMA))
+    return _rounded(_replayed(spark, users, "seq", start, SQ.DECAY_SCHEMA + SQ.EPOCH))
 
 
 def q_stream_decay_state(spark, sf_dir):
@@ -82,13 +87,13 @@ def q_stream_decay_state(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     users = events.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("mention"))
     start = partial(SQ.start_decay_state, epoch_rows=BATCH_ROWS, c=1e-3, drop_below=DROP_BELOW)
-    out = SQ.replayed(spark, users, "seq", start, SQ.STATE_SCHEMA)
+    out = _replayed(spark, users, "seq", start, SQ.STATE_SCHEMA)
     return out.select(F.col("epoch").alias("batch_id"), "mention", F.round("weight", 6).alias("weight"))
 
 
 def q_stream_decay_topk(spark, sf_dir):
-    out = SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_topk, SQ.TOPK_SCHEMA)
-    return out.select("batch_id", "rank", "mention", "weight_int")
+    out = _replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_topk, SQ.TOPK_SCHEMA + SQ.EPOCH)
+    return out.select(F.col("epoch").alias("batch_id"), "rank", "mention", "weight_int")
 
 
 def q_stream_random_bits(spark, sf_dir):
@@ -107,7 +112,7 @@ def q_mention_rejects(spark, sf_dir):
     good = D.mention_lines(events.select("event_id", "ts", "event_type", "user_id"))
     text = F.when(F.col("user_id") % 10 == 7, F.substring("value", 1, 19)).otherwise(F.col("value"))
     lines = good.join(events.select("event_id", "user_id"), "event_id").select("event_id", text.alias("value"))
-    return SQ.line_counts(spark, lines, "event_id", SQ.start_mention_lines, SQ.MENTION_SCHEMA)
+    return SQ.line_counts(spark, lines, "event_id", SQ.start_mention_lines, SQ.MENTION_SCHEMA, BATCH_ROWS)
 
 
 def q_bit_rejects(spark, sf_dir):
@@ -117,7 +122,8 @@ def q_bit_rejects(spark, sf_dir):
     whole = F.col("value") == F.floor("value")
     text = F.when(F.col("event_type") == "error", "1").when(F.col("event_type") == "view", "0").when(
         whole, F.col("value").cast("long").cast("string")).otherwise(F.concat(F.lit("v="), F.col("event_type")))
-    return SQ.line_counts(spark, events.select("event_id", text.alias("value")), "event_id", SQ.start_bit_lines, "bit INT")
+    return SQ.line_counts(spark, events.select("event_id", text.alias("value")), "event_id", SQ.start_bit_lines, "bit INT",
+                          BATCH_ROWS)
 
 
 SESSION_GAP, SESSION_DELAY = "3 hours", "6 hours"
@@ -127,14 +133,14 @@ def q_stream_sessions(spark, sf_dir):
     """Sessions of each user that ended before the watermark of the whole stream."""
     events = read_table(spark, sf_dir, "events").select(
         F.col("event_id").alias("seq"), F.col("user_id").alias("key"), F.col("ts").cast("timestamp").alias("ts"))
-    out = SQ.replayed(spark, events, "seq", partial(SQ.start_sessions, gap=SESSION_GAP, watermark=SESSION_DELAY),
+    out = _replayed(spark, events, "seq", partial(SQ.start_sessions, gap=SESSION_GAP, watermark=SESSION_DELAY),
                       SQ.SESSION_SCHEMA)
     return out.select(F.col("key").alias("user_id"), "session_start", "session_end", "n")
 
 
 def q_stream_tumbling_topk(spark, sf_dir):
     return SQ.top_per_window(
-        SQ.replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_window_counts, SQ.WINDOW_SCHEMA))
+        _replayed(spark, _mentions(spark, sf_dir), "seq", SQ.start_window_counts, SQ.WINDOW_SCHEMA))
 
 
 _PARAMS = f"params AS (SELECT CAST(0 AS BIGINT) AS lo, CAST({BATCH_ROWS} AS BIGINT) AS width)"

@@ -24,7 +24,7 @@ from netstream.functions.dgim import WINDOW_N
 from netstream.operators import decay as D
 from netstream.operators.bits import parse_bits, relative_error
 from netstream.session import remove_scratch, scratch_dir
-from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE, replay_stream, stage_replay
+from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE, epochs_per_file, in_epochs, replay_stream, stage_replay
 from netstream.streaming.stateful import decay_stream, dgim_stream, window_counts_stream
 
 TRIGGER = {"processingTime": "5 seconds"}  # fixed value: the reference's batch length
@@ -56,6 +56,14 @@ def _per_batch(sink: str, fn: Callable):
     return body
 
 
+EPOCH = ", epoch LONG"  # of the sinks of jobs that report per epoch
+
+
+def _epoch(df: DataFrame) -> list[str]:
+    """The column of the epochs, if the stream has one."""
+    return [c for c in ("epoch",) if c in df.columns]
+
+
 def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
     """All batches of a sink (with ``batch_id``); an unreadable sink is an
     error, a sink without a batch is empty."""
@@ -68,12 +76,21 @@ def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
 
 def replayed(spark: SparkSession, table: DataFrame, order: str, start: Callable, schema: str,
              rows_per_file: int = ROWS_PER_FILE, files_per_trigger: int = FILES_PER_TRIGGER,
-             before_end: Callable = lambda checkpoint: None) -> DataFrame:
+             before_end: Callable = lambda checkpoint: None, epoch_rows: int | None = None) -> DataFrame:
     """``start(stream, sink, checkpoint, trigger)`` over ``table`` replayed in
     ``order`` until it is used up; what the sink holds.  ``before_end`` sees the
-    checkpoint before it is deleted."""
+    checkpoint before it is deleted.
+
+    With ``epoch_rows`` the stream has a column ``epoch`` (``in_epochs``) and a file
+    holds whole epochs, the more the longer the table: a micro-batch costs about a
+    second however few rows it has, so their number must not grow with the table.
+    Jobs that report per batch then report per epoch."""
     source, sink, checkpoint = (scratch_dir(spark, f"replay-{c}") for c in ("source", "sink", "checkpoint"))
-    stage_replay(table, order, source, rows_per_file)
+    if epoch_rows:
+        table, epochs = in_epochs(table, order, epoch_rows)
+        stage_replay(table, "epoch", source, epochs_per_file(epochs))
+    else:
+        stage_replay(table, order, source, rows_per_file)
     query = start(replay_stream(spark, source, table.schema, files_per_trigger), sink, checkpoint, {"availableNow": True})
     if query is not None:  # else ``start`` has waited for it
         query.awaitTermination()
@@ -104,11 +121,13 @@ def start_dgim(bits: DataFrame, sink: str, checkpoint: str, trigger: dict | None
 
 
 def batch_report(state: DataFrame) -> DataFrame:
-    """The reference's report for one micro-batch: per stream the real count,
-    the as-written estimate and its signed relative error after the last bit."""
-    last = state.groupBy("key").agg(F.max(F.struct("seq", "real_count", "estimate")).alias("s"))
+    """The reference's report for one micro-batch (or each of its epochs): per
+    stream the real count, the as-written estimate and its signed relative error
+    after the last bit."""
+    epoch = _epoch(state)
+    last = state.groupBy("key", *epoch).agg(F.max(F.struct("seq", "real_count", "estimate")).alias("s"))
     return last.select("key", F.col("s.real_count").alias("real_count"), F.col("s.estimate").alias("estimate"),
-                       F.round(relative_error(F.col("s.real_count"), F.col("s.estimate")), 6).alias("rel_error"))
+                       F.round(relative_error(F.col("s.real_count"), F.col("s.estimate")), 6).alias("rel_error"), *epoch)
 
 
 def start_bit_report(bits: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -160,35 +179,63 @@ def start_decay(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict |
     (the version before is read, older ones go); a batch that is run again
     starts from the same version.  Mentions whose weight falls below
     ``drop_below`` (the published rule: 1/2) leave the table, so it does not
-    grow with every mention ever seen; 0 keeps them all."""
+    grow with every mention ever seen; 0 keeps them all.
+
+    A stream with a column ``epoch`` gives the weights of each epoch's mentions at
+    the epoch's last arrival, and drops at each epoch's end: a micro-batch is summed
+    per epoch and mention, and a mention's few sums are folded in order."""
     spark, lam = mentions.sparkSession, -math.log1p(-c)
     schema = "mention STRING, weight DOUBLE, end_seq LONG"
+    epoch = _epoch(mentions)
 
     def carried(version: int) -> str:
         return f"{checkpoint}-weights/version={version}"
 
     def update(df: DataFrame, batch_id: int) -> DataFrame:
-        end = df.agg(F.max("seq")).first()[0]
+        df = df if epoch else df.withColumn("epoch", F.lit(batch_id).cast("long"))
+        ends = df.where(F.col("seq").isNotNull()).groupBy("epoch").agg(F.max("seq").alias("end"))
+        ends = sorted(tuple(r) for r in ends.collect())  # a row per epoch of the micro-batch
         before = spark.read.schema(schema).parquet(carried(batch_id - 1)) if batch_id else spark.createDataFrame([], schema)
-        if end is None:  # an empty batch changes nothing
+        if not ends:  # an empty batch changes nothing
             before.write.mode("overwrite").parquet(carried(batch_id))
-            return spark.createDataFrame([], DECAY_SCHEMA)
-        here = df.where(F.col("mention").isNotNull()).groupBy("mention").agg(
-            F.sum(F.exp(-lam * (F.lit(end) - F.col("seq")).cast("double"))).alias("new"))
-        old = before.select("mention", (F.col("weight") * F.exp(-lam * (F.lit(end) - F.col("end_seq")).cast("double")))
-                            .alias("old"))
-        both = here.join(old, "mention", "full").withColumn(
-            "weight", F.coalesce("new", F.lit(0.0)) + F.coalesce("old", F.lit(0.0)))
-        (both.where(F.col("weight") >= drop_below).select("mention", "weight", F.lit(end).cast("long").alias("end_seq"))
-         .write.mode("overwrite").parquet(carried(batch_id)))
+            return spark.createDataFrame([], DECAY_SCHEMA + (EPOCH if epoch else ""))
+        known = spark.createDataFrame([(e, end, ends[i - 1][1] if i else None) for i, (e, end) in enumerate(ends)],
+                                      "epoch LONG, end LONG, end_before LONG")
+        here = df.where(F.col("mention").isNotNull()).join(F.broadcast(known), "epoch").groupBy("mention", "epoch").agg(
+            F.sum(F.exp(-lam * (F.col("end") - F.col("seq")).cast("double"))).alias("new"), F.max("end").alias("end"),
+            F.max("end_before").alias("end_before"))
+        steps = here.groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("epoch", "end", "end_before", "new"))).alias("steps"))
+        start = F.struct(F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("end_seq", F.lit(0).cast("long")).alias("end"),
+                         F.expr("cast(array() as array<struct<epoch: bigint, weight: double, new: double>>)").alias("out"))
+        both = steps.join(before, "mention", "full").select("mention", F.aggregate(
+            F.coalesce("steps", F.expr("cast(array() as array<struct<epoch: bigint, end: bigint, end_before: bigint, new: double>>)")),
+            start, _decay_step(lam, drop_below)).alias("now"))
+        last = ends[-1][1]
+        weight = F.col("now.weight") * F.exp(-lam * (F.lit(last) - F.col("now.end")).cast("double"))
+        (both.select("mention", weight.alias("weight"), F.lit(last).cast("long").alias("end_seq"))
+         .where(F.col("weight") >= drop_below).write.mode("overwrite").parquet(carried(batch_id)))
         if batch_id > 1:
             remove_scratch(spark, carried(batch_id - 2))
-        return both.where("new IS NOT NULL").select("mention", "weight")
+        return (both.select("mention", F.explode("now.out").alias("o")).where("o.new IS NOT NULL")
+                .select("mention", F.col("o.weight").alias("weight"), *[F.col("o.epoch").alias(e) for e in epoch]))
 
-    writer = mentions.select("seq", "mention").writeStream.foreachBatch(_per_batch(sink, update))
+    writer = mentions.select("seq", "mention", *epoch).writeStream.foreachBatch(_per_batch(sink, update))
     return _start(writer, checkpoint, trigger, spark)
 
 
+def _decay_step(lam: float, drop_below: float):
+    """A mention's weight from one of its epochs to the next: dropped if it was below
+    the threshold at the end of the epoch before (a weight only falls until then)."""
+    def step(state, x):
+        def faded(until):
+            return state["weight"] * F.exp(-lam * (until - state["end"]).cast("double"))
+        held = F.when(faded(F.coalesce(x["end_before"], state["end"])) >= drop_below, faded(x["end"])).otherwise(0.0)
+        weight = held + F.coalesce(x["new"], F.lit(0.0))
+        return F.struct(weight.alias("weight"), x["end"].alias("end"), F.concat(state["out"], F.array(F.struct(
+            x["epoch"].alias("epoch"), weight.alias("weight"), x["new"].alias("new")))).alias("out"))
+    return step
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -221,11 +268,16 @@ STATE_SCHEMA = "epoch LONG, mention STRING, weight DOUBLE"
 
 def start_topk(mentions: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
                c: float = D.DECAY_C, k: int = D.TOP_K) -> StreamingQuery:
-    """As written: every micro-batch of ``(seq, ts, mention)`` stands alone;
-    weights rounded half to even; the first ``k`` mentions of each batch (K3)."""
+    """As written: every micro-batch of ``(seq, ts, mention)`` - or every epoch of
+    it - stands alone; weights rounded half to even; the first ``k`` mentions of each
+    (K3)."""
+    epoch = _epoch(mentions)
+
     def top(df: DataFrame, batch_id: int) -> DataFrame:
-        w = D.batch_weights(df.withColumn("batch_id", F.lit(batch_id).cast("long")), c=c, mode="as_written")
-        return D.top_k_per_batch(w, k=k, weight="weight_int").select("rank", "mention", "weight_int")
+        number = F.col("epoch") if epoch else F.lit(batch_id).cast("long")
+        w = D.batch_weights(df.withColumn("batch_id", number), c=c, mode="as_written")
+        return D.top_k_per_batch(w, k=k, weight="weight_int").select(
+            "rank", "mention", "weight_int", *[F.col("batch_id").alias(e) for e in epoch])
 
     writer = mentions.writeStream.foreachBatch(_per_batch(sink, top))
     return _start(writer, checkpoint, trigger, mentions.sparkSession)
@@ -337,30 +389,51 @@ def start_mention_lines(lines: DataFrame, sink: str, checkpoint: str, trigger: d
     bad = F.col("mention").isNull() | F.col("ts_parsed").isNull()
     seen = parsed.withColumn("_bad", bad).observe(
         LINES, F.count(F.lit(1)).alias("n_lines"), F.coalesce(F.sum(F.col("_bad").cast("long")), F.lit(0)).alias("n_rejected"))
-    good = seen.where(~F.col("_bad")).select("mention", "time_text", "ts_parsed")
-    return _start(good.writeStream.foreachBatch(_per_batch(sink, lambda df, _: df)), checkpoint, trigger, lines.sparkSession)
+    return _start_lines(seen, ["mention", "time_text", "ts_parsed"], sink, checkpoint, trigger)
+
+
+def _start_lines(seen: DataFrame, columns: list[str], sink: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    """The ``columns`` of lines that are not ``_bad`` go to the sink; of a stream with
+    a column ``epoch``, the lines and the bad ones of each epoch to ``lines_of(sink)``."""
+    epoch = _epoch(seen)
+
+    def keep(df: DataFrame, batch_id: int) -> DataFrame:
+        if epoch:
+            (df.groupBy("epoch").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("_bad").cast("long")).alias("n_rejected"))
+             .write.mode("overwrite").parquet(f"{lines_of(sink)}/batch_id={batch_id}"))
+        return df.where(~F.col("_bad")).select(columns)
+
+    return _start(seen.select(*columns, "_bad", *epoch).writeStream.foreachBatch(_per_batch(sink, keep)), checkpoint, trigger,
+                  seen.sparkSession)
+
+
+def lines_of(sink: str) -> str:
+    """The folder of the line counts beside a sink."""
+    return f"{sink}-lines"
 
 
 def start_bit_lines(lines: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """B1 on a stream of text lines ``value``: whole numbers go to the sink as
     bits, anything else is rejected and counted as ``LINES``."""
-    seen = parse_bits(lines).observe(
-        LINES, F.count(F.lit(1)).alias("n_lines"), F.coalesce(F.sum((~F.col("valid")).cast("long")), F.lit(0)).alias("n_rejected"))
-    good = seen.where("valid").select("bit")
-    return _start(good.writeStream.foreachBatch(_per_batch(sink, lambda df, _: df)), checkpoint, trigger, lines.sparkSession)
+    seen = parse_bits(lines).withColumn("_bad", ~F.col("valid")).observe(
+        LINES, F.count(F.lit(1)).alias("n_lines"), F.coalesce(F.sum(F.col("_bad").cast("long")), F.lit(0)).alias("n_rejected"))
+    return _start_lines(seen, ["bit"], sink, checkpoint, trigger)
 
 
-def line_counts(spark: SparkSession, lines: DataFrame, order: str, start: Callable, schema: str) -> DataFrame:
+def line_counts(spark: SparkSession, lines: DataFrame, order: str, start: Callable, schema: str,
+                epoch_rows: int = FILES_PER_TRIGGER * ROWS_PER_FILE) -> DataFrame:
     """``(batch_id, n_lines, n_rejected)`` of a replay of ``lines(order, value)``
-    through ``start``."""
-    batches: dict[int, dict] = {}
+    through ``start``, a row per epoch of ``epoch_rows`` lines."""
+    sinks = []
 
     def begin(stream, sink, checkpoint, trigger):
-        batches.update(watched(spark, lambda _: start(stream, sink, checkpoint, trigger)))
+        sinks.append(sink)
+        watched(spark, lambda _: start(stream, sink, checkpoint, trigger))
 
-    replayed(spark, lines, order, begin, schema)
-    rows = [(i, b[LINES]["n_lines"], b[LINES]["n_rejected"]) for i, b in sorted(batches.items()) if LINES in b]
-    return spark.createDataFrame(rows, "batch_id LONG, n_lines LONG, n_rejected LONG")  # a row per micro-batch
+    replayed(spark, lines, order, begin, schema, epoch_rows=epoch_rows)
+    counts = read_sink(spark, lines_of(sinks[0]), "n_lines LONG, n_rejected LONG" + EPOCH)
+    # an epoch that a restart cut in two has a row in each micro-batch
+    return counts.groupBy(F.col("epoch").alias("batch_id")).agg(F.sum("n_lines").alias("n_lines"), F.sum("n_rejected").alias("n_rejected"))
 
 
 def top_per_window(updates: DataFrame, k: int = D.TOP_K) -> DataFrame:

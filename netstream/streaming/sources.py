@@ -17,6 +17,8 @@ from netstream.session import shuffle_partitions
 
 FILES_PER_TRIGGER = 4  # files of one micro-batch
 ROWS_PER_FILE = 1_000  # sequence numbers of one file
+REPLAY_BATCHES = 24  # micro-batches of a replay in epochs, if its files then stay below ...
+EPOCHS_PER_FILE = 128  # ... this many epochs; beyond it there are more micro-batches
 _FIRST_TIME = 1_600_000_000_000  # modification time of file 0 (ms)
 
 
@@ -56,6 +58,21 @@ def stage_replay(df: DataFrame, order: str, path: str, rows_per_file: int = ROWS
             fs.setTimes(file.getPath(), _FIRST_TIME + int(number), -1)
 
 
+def in_epochs(table: DataFrame, order: str, epoch_rows: int) -> tuple[DataFrame, int]:
+    """``table`` with ``epoch`` = ``order`` div ``epoch_rows``, and their number; rows
+    without a position come after all others."""
+    last = table.agg(F.max(order)).first()[0]
+    after = 0 if last is None else (last // ROWS_PER_FILE + 1) * ROWS_PER_FILE // epoch_rows
+    return table.withColumn("epoch", F.coalesce(F.floor(F.col(order) / epoch_rows).cast("long"), F.lit(after).cast("long"))), \
+        0 if last is None else last // epoch_rows + 1
+
+
+def epochs_per_file(epochs: int) -> int:
+    """Epochs of one file: one in a short replay, more in a longer one, up to
+    ``EPOCHS_PER_FILE``, which bounds the rows of a micro-batch."""
+    return min(EPOCHS_PER_FILE, max(1, -(-epochs // (REPLAY_BATCHES * FILES_PER_TRIGGER))))
+
+
 def replay_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     return stream_reader(spark, "parquet", schema=schema, path=path, maxFilesPerTrigger=files_per_trigger,
                          recursiveFileLookup="true")

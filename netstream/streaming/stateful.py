@@ -34,12 +34,12 @@ _PB_OUT = "key LONG, seq LONG, n_buckets LONG, bucket_sum LONG, estimate LONG"
 PUBLISHED_STATE = "n LONG, t LONG, total LONG, recent BINARY"
 
 
-def _in_order(pdfs: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
-    """``(seq, bit)`` of a key's rows in a micro-batch by ``seq``."""
-    parts = [(p["seq"].to_numpy(), p["bit"].to_numpy()) for p in pdfs]
-    seqs, bits = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
+def _in_order(pdfs: Iterator[pd.DataFrame], *others: str) -> tuple[np.ndarray, ...]:
+    """``(seq, bit, *others)`` of a key's rows in a micro-batch by ``seq``."""
+    parts = [[p[c].to_numpy() for c in ("seq", "bit", *others)] for p in pdfs]
+    seqs, bits, *rest = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
     order = np.argsort(seqs, kind="stable")
-    return seqs[order], (bits[order] == 1).astype(np.uint8)
+    return seqs[order], (bits[order] == 1).astype(np.uint8), *(c[order] for c in rest)
 
 
 def _keyed(key: tuple, **columns: np.ndarray) -> pd.DataFrame:
@@ -54,10 +54,11 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
     batches the state store carries the state of a key: the total of its buckets
     and its last ``n`` bits (published), or the buckets' numeral (as written).
     Output rows have the batch schema of ``netstream.operators.bits.dgim``;
-    output mode ``append``.
+    output mode ``append``.  As written, a column ``epoch`` stays with its bits.
     """
     if mode not in ("as_written", "published"):
         raise ValueError("mode must be 'as_written' or 'published'")
+    epoch = [c for c in ("epoch",) if c in bits.columns and mode == "as_written"]
 
     def published(key, pdfs, state):
         seqs, bits_ = _in_order(pdfs)
@@ -67,7 +68,7 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
         yield _keyed(key, seq=seqs, n_buckets=buckets_of(total), bucket_sum=total, estimate=total - oldest_size(total) // 2)
 
     def as_written(key, pdfs, state):
-        seqs, bits_ = _in_order(pdfs)
+        seqs, bits_, *epochs = _in_order(pdfs, *epoch)
         st = AsWritten(*(int(x) for x in state.get)) if state.exists else AsWritten(n)
         out = []
         for b in bits_.tolist():
@@ -75,11 +76,12 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
             out.append((st.ones, st.rest.bit_count() + st.newest, st.rest + st.newest, st.discarded, st.estimate()))
         state.update((st.n, st.t, st.ones, st.rest, st.newest, st.discarded))
         real, count, total, discarded, estimate = zip(*out)
-        yield _keyed(key, seq=seqs, real_count=real, n_buckets=count, bucket_sum=total, discarded=discarded, estimate=estimate)
+        yield _keyed(key, seq=seqs, real_count=real, n_buckets=count, bucket_sum=total, discarded=discarded, estimate=estimate,
+                     **dict(zip(epoch, epochs)))
 
-    fold, out_schema, state_schema = ((as_written, _AW_OUT, _AW_STATE) if mode == "as_written"
+    fold, out_schema, state_schema = ((as_written, _AW_OUT + "".join(f", {c} LONG" for c in epoch), _AW_STATE) if mode == "as_written"
                                       else (published, _PB_OUT, PUBLISHED_STATE))
-    return bits.select("key", "seq", "bit").groupBy("key").applyInPandasWithState(
+    return bits.select("key", "seq", "bit", *epoch).groupBy("key").applyInPandasWithState(
         fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 

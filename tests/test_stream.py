@@ -255,3 +255,34 @@ def test_line_source_replays_a_file_from_its_offset(spark, tmp_path):
     for r in out:
         sizes[r.batch_id] = sizes.get(r.batch_id, 0) + 1
     assert max(sizes.values()) <= 25
+
+
+def test_micro_batches_hold_many_epochs(spark):
+    """A replay in epochs: reports per epoch equal those of a micro-batch per epoch,
+    from fewer micro-batches, with weights dropped in between."""
+    rows = [(i, 1, i % 3 % 2, None if i % 11 == 7 else "once" if i in (0, 45) else f"m{i // 20}x{i % 3}") for i in range(60)]
+    table = spark.createDataFrame(rows, "seq LONG, key LONG, bit INT, mention STRING").withColumn(
+        "ts", F.timestamp_seconds(F.col("seq")))
+    bits, men = table.select("key", "seq", "bit"), table.select("seq", "ts", "mention")
+    jobs = [(men, lambda *a: SQ.start_decay(*a, c=0.1, drop_below=0.5), SQ.DECAY_SCHEMA, ["mention"]),
+            (men, lambda *a: SQ.start_topk(*a, c=0.1), SQ.TOPK_SCHEMA, ["rank", "mention", "weight_int"]),
+            (bits, SQ.start_bit_report, SQ.REPORT_SCHEMA, ["key", "real_count", "estimate"])]
+    for data, start, schema, cols in jobs:
+        alone = SQ.replayed(spark, data, "seq", start, schema, 10, 1).withColumn("epoch", F.col("batch_id"))
+        together = SQ.replayed(spark, data, "seq", start, schema + SQ.EPOCH, epoch_rows=10)
+        assert together.agg(F.max("batch_id")).first()[0] == 1 and alone.agg(F.max("batch_id")).first()[0] == 5
+        assert _rows(together, ["epoch", *cols]) == _rows(alone, ["epoch", *cols])
+        if "weight" in alone.columns:
+            want = {(r.epoch, r.mention): r.weight for r in alone.collect()}
+            assert all(abs(r.weight - want[r.epoch, r.mention]) < 1e-9 for r in together.collect())
+
+
+def test_micro_batches_do_not_grow_with_the_table(spark):
+    from netstream.streaming import sources as S
+    for epochs in (25, 1_500, 9_000):
+        assert -(-epochs // (S.epochs_per_file(epochs) * S.FILES_PER_TRIGGER)) <= S.REPLAY_BATCHES
+    assert S.epochs_per_file(10 ** 6) == S.EPOCHS_PER_FILE  # a micro-batch stays bounded
+    lines = spark.createDataFrame([(i, "1" if i % 2 else "x") for i in range(130)] + [(None, "0")], "seq LONG, value STRING")
+    counts = SQ.line_counts(spark, lines, "seq", SQ.start_bit_lines, "bit INT", epoch_rows=10)
+    want = [(e, 10, 5) for e in range(13)] + [(100, 1, 0)]  # a line without a position comes last
+    assert sorted(map(tuple, counts.collect())) == want
