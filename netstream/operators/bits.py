@@ -30,7 +30,7 @@ from netstream.session import cut_lineage
 
 BLOCK_ROWS = 100_000  # positions of one stream that go to one task
 FOLD_ROWS = 4_096  # positions of one stream that are folded as one block
-FOLD_TOGETHER = 500_000  # rows whose blocks are folded at once
+FOLD_TOGETHER = 65_536  # rows whose blocks are folded at once
 CHAINED_BLOCKS = 1_024  # blocks of a stream that one task chains
 P_ONE = 0.3  # fixed value: probability of a 1 in the reference's bit producer
 

@@ -231,3 +231,13 @@ def test_query_for_last_k_is_within_half(spark):
     assert out.where("e24 != estimate").count() == 0
     with pytest.raises(ValueError):
         B.published(cum, queries={"e25": 25})
+
+
+def test_a_fold_holds_a_bounded_part_of_a_task():
+    """Rows are folded in tables of some 65,536, however many a task has."""
+    import pyarrow as pa
+    n = 10_000
+    batches = (pa.RecordBatch.from_arrays([pa.array(np.zeros(n, bool)), pa.array((np.arange(n) + a) // 50),
+                                           pa.array(np.zeros(n, np.int64))], names=B._BLOCK) for a in range(0, 300_000, n))
+    rows = [t.num_rows for t, _ in B._whole_blocks(batches)]
+    assert max(rows) < 90_000 and sum(rows) == 300_000
