@@ -150,6 +150,23 @@ def test_stars_converge_and_hubs_are_split(spark):
     drop()
 
 
+def test_solver_deletes_the_blocks_it_went_through(spark):
+    import os
+
+    from netstream.session import checkpoint_base
+    base = os.path.join(checkpoint_base(spark), "netstream")
+
+    def blocks():
+        return {d for d in os.listdir(base) if d.startswith("block-")} if os.path.isdir(base) else set()
+    before = blocks()
+    e = G.canonical_edges(edges_df(spark, [(h, 100 * (h + 1) + i) for h in range(2) for i in range(9)]))
+    spec, vec, _ = S.eigenpairs(e, 2)
+    assert blocks() <= before and vec.count() == 20
+    with pytest.raises(S.NotConverged):
+        S.eigenpairs(G.canonical_edges(edges_df(spark, [(i, i + 1) for i in range(60)])), 3, max_rounds=1)
+    assert blocks() <= before
+
+
 def test_solver_raises_when_it_does_not_converge(spark):
     pairs = [(i, i + 1) for i in range(400)]
     with pytest.raises(S.NotConverged):
