@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from netstream.llm.common import (DOC, KEY, Chunk, Rows, forget, mix, run_hashes, signed, whole_runs,
                                   word_chunks)
-from netstream.llm.components import components
+from netstream.llm.components import components, heads
 from netstream.session import cut_lineage, shuffles_dropped
 
 SHINGLE = 5
@@ -307,6 +307,15 @@ def confirmed_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> Data
     return links
 
 
+def joined(comps: DataFrame | None, *links: DataFrame) -> DataFrame:
+    """``(id, component)`` by ``comps`` and further links; the first of each
+    component is left out."""
+    known = [] if comps is None else [comps.select(F.col("id").alias("a"), F.col("component").alias("b"))]
+    whole = heads(reduce(DataFrame.union, [*known, *links]))
+    forget(*links, *([] if comps is None else [comps]))
+    return whole
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of each row."""
     rows = Rows(docs, id_col, text_col)
@@ -339,25 +348,22 @@ def _groups(texts: DataFrame) -> DataFrame:
             .mapInArrow(_sets, f"{KEY} long, shingles binary")
             .groupBy(KEY).agg(F.max("shingles").alias("shingles")))  # equal rows have one key and one set
     sets = cut_lineage(sets, name="sets")
-    links, comps = [], None
+    comps = None
     for step in range(STAR_ROUNDS):
-        links.append(confirmed_links(star_pairs(_placed(buckets, comps), step), nodes, sets))
-        before, comps = comps, components(reduce(DataFrame.union, links))
-        if before is not None:
-            forget(before)
+        links = confirmed_links(star_pairs(_placed(buckets, comps), step), nodes, sets)
+        comps = joined(comps, links)
     rows = cut_lineage(mixed_buckets(_placed(buckets, comps)), name="mixed")
     small = rows.where(F.col("size") <= SMALL_BUCKET)
-    links.append(confirmed_links(crossing_pairs(small, nodes.select("id", "n")), nodes, sets))
-    forget(comps)
+    links = confirmed_links(crossing_pairs(small, nodes.select("id", "n")), nodes, sets)
     large = tiles(rows.where(F.col("size") > SMALL_BUCKET), nodes, sets)
-    links.append(cut_lineage(large.groupBy("group", "kind", "r", "p").applyInPandas(
-        lambda pdf: _tile_links(pdf), "a long, b long"), name="links"))
-    copies = member.select(F.col(KEY).alias("a"), F.col("rep").alias("b")).where("a <> b")
-    whole = components(reduce(DataFrame.union, [copies, *links]))
+    across = cut_lineage(large.groupBy("group", "kind", "r", "p").applyInPandas(
+        lambda pdf: _tile_links(pdf), "a long, b long"), name="links")
+    whole = joined(comps, links, across)
     forget(buckets, sets, nodes, rows)
-    return (member.join(whole, F.col(KEY) == F.col("id"), "left")
-            .select(KEY, "n_shingles", F.coalesce("component", KEY).alias("component_id"),
-                    (F.coalesce("component", KEY) == F.col(KEY)).alias("kept")))
+    # a class is in the component of its representative, its smallest id
+    found = F.coalesce("component", "rep")
+    return (member.join(whole, F.col("rep") == F.col("id"), "left")
+            .select(KEY, "n_shingles", found.alias("component_id"), (found == F.col(KEY)).alias("kept")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
