@@ -56,6 +56,7 @@ CENTROIDS, SAMPLE, DIMENSIONS = 64, 4_000, 64
 RAREST, RARE_BITS = 3, 21
 FIRST_NEIGHBOURS = 64
 DENSE = 16
+SORTED_IDS = 16_384
 TASK_BITS = 40
 STORED = f"pid long, {KEY} long, wide boolean, ids binary"
 PIECES = f"{KEY} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -68,12 +69,21 @@ def _documents(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 class _Distinct:
-    """Distinct ids of one document after the other, ascending."""
+    """Distinct ids of one document after the other, ascending.  A document is
+    sorted; only a long one is marked in a mask of all ids, which costs the same for
+    every document."""
 
     def __init__(self, ids: int):
-        self.seen = np.zeros(ids, bool)
+        self.ids, self.seen = ids, None
 
     def __call__(self, doc: np.ndarray) -> np.ndarray:
+        if len(doc) <= SORTED_IDS:
+            found = np.sort(doc.astype("<u4", copy=False))
+            new = np.ones(len(found), bool)
+            np.not_equal(found[1:], found[:-1], out=new[1:])
+            return found[new].astype(np.int64)
+        if self.seen is None:
+            self.seen = np.zeros(self.ids, bool)
         self.seen[doc] = True
         found = np.flatnonzero(self.seen)
         self.seen[found] = False
