@@ -84,6 +84,27 @@ def row_index(df: DataFrame, order: str | Sequence[str], group: str | Sequence[s
                .drop("_pid", "_local", "_off", "_first"))
 
 
+def following(df: DataFrame, order: str | Sequence[str], group: str, value: str,
+              partitions: int | None = None) -> DataFrame:
+    """``(value, next)``: ``value`` of each row and of the next row by ``order`` within
+    its group, no row for the last of a group.  Nulls in ``group`` are left out.
+
+    The next row stands in the same range partition, where a window over (range
+    partition, group) finds it, or it is the first row of the next one (a row per
+    range partition).
+    """
+    order = _cols(order)
+    staged = _ranged(df.where(F.col(group).isNotNull()), [group, *order], partitions)
+    w = Window.partitionBy("_pid", group).orderBy("_local")
+    # a row stands in a struct, so that a null value is told from no row
+    inside = staged.select(F.col(value).alias("value"), F.lead(F.struct(F.col(value).alias("v"))).over(w).alias("n"))
+    row = F.struct("_local", F.col(group).alias("g"), F.col(value).alias("v"))
+    ends = (staged.groupBy("_pid").agg(F.min(row).alias("first"), F.max(row).alias("last"))
+            .withColumn("n", F.lead("first").over(Window.orderBy("_pid"))))
+    across = ends.where("last.g = n.g").select(F.col("last.v").alias("value"), F.col("n.v").alias("next"))
+    return inside.where("n IS NOT NULL").select("value", F.col("n.v").alias("next")).union(across)
+
+
 def keyed_prefix_sum(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                      values: Sequence[str], suffix: str = "_cum",
                      partitions: int | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 
-from netstream.operators.indexing import keyed_prefix_sum, row_index
+from netstream.operators.indexing import following, keyed_prefix_sum, row_index
 
 
 def skewed(spark, n=3000, seed=1):
@@ -37,3 +37,23 @@ def test_null_groups_are_kept(spark):
     assert r == {(None, 1): 0, (None, 2): 1, (None, 3): 2, (1, 0): 0, (1, 2): 1}
     c = {(x.k, x.o): x.v_cum for x in keyed_prefix_sum(df, "k", "o", ["v"]).collect()}
     assert c == {(None, 1): 1, (None, 2): 2, (None, 3): 3, (1, 0): 2, (1, 2): 7}
+
+
+def test_following_row_over_partition_ends(spark):
+    """The next row of a group, also where a range partition ends inside it."""
+    df, pdf = skewed(spark, n=900)
+    pdf = pdf.sort_values(["k", "o"])
+    pdf["next"] = pdf.groupby("k")["v"].shift(-1)
+    expect = sorted((int(a), int(b)) for a, b in pdf.dropna()[["v", "next"]].to_numpy())
+    for partitions in (1, 7, 60):
+        got = following(df, order="o", group="k", value="v", partitions=partitions).collect()
+        assert sorted((r.value, r.next) for r in got) == expect
+
+
+def test_following_row_with_nulls(spark):
+    df = spark.createDataFrame([(1, 1, None), (1, 2, 5), (1, None, 6), (2, 1, 7), (None, 1, 8), (None, 2, 9)],
+                               "g LONG, o INT, v LONG")
+    for partitions in (1, 5):
+        got = following(df, order="o", group="g", value="v", partitions=partitions).collect()
+        assert sorted((r.value, r.next) for r in got if r.value) == [(6, None)]
+        assert [(r.value, r.next) for r in got if not r.value] == [(None, 5)]

@@ -235,3 +235,29 @@ def test_planted_partition_pic_intervals(spark):
     pairs, blocks = planted("unequal")
     e = G.canonical_edges(edges_df(spark, pairs))
     assert _same_partition({r.id: r.cluster for r in C.pic_interval_clusters(e, 2).collect()}, blocks)
+
+
+def test_power_iteration_step_neither_sorts_nor_shuffles_the_matrix(spark, monkeypatch):
+    """A step reads a row per column and salt (a hub has several) and meets the
+    vector in a hash table; the vector is the plain one."""
+    plans, pairs = [], [(0, 100 + i) for i in range(300)] + triangle(0) + triangle(7) + [(2, 7), (101, 102)]
+
+    def kept(df, name, f=S.cut_lineage):
+        if name == "vector":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().sparkPlan().toString())
+        return f(df, name=name)
+
+    monkeypatch.setattr(S, "cut_lineage", kept)
+    e = G.canonical_edges(edges_df(spark, pairs))
+    got = {r.id: r.v for r in S.power_iteration_vector(e, 6, hub_entries=50, early_stop=True).collect()}
+    assert all("SortMergeJoin" not in p and "near" in p for p in plans)
+    assert any("ShuffledHashJoin" in p for p in plans)
+    ids = sorted(got)
+    at = {x: k for k, x in enumerate(ids)}
+    a = np.zeros((len(ids), len(ids)))
+    for x, y in pairs:
+        a[at[x], at[y]] = a[at[y], at[x]] = 1
+    v = a.sum(1)
+    for _ in range(6):
+        v = a @ v / a.sum(1)
+    np.testing.assert_allclose([got[x] for x in ids], v / v.sum(), rtol=1e-12)
