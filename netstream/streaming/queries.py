@@ -25,7 +25,7 @@ from netstream.operators import decay as D
 from netstream.operators.bits import parse_bits, relative_error
 from netstream.session import remove_scratch, scratch_dir
 from netstream.streaming.sources import FILES_PER_TRIGGER, ROWS_PER_FILE, epochs_per_file, in_epochs, replay_stream, stage_replay
-from netstream.streaming.stateful import decay_stream, dgim_stream, window_counts_stream
+from netstream.streaming.stateful import decay_stream, dgim_stream, states_by_key, window_counts_stream
 
 TRIGGER = {"processingTime": "5 seconds"}  # fixed value: the reference's batch length
 
@@ -155,9 +155,11 @@ def start_window_bits(bits: DataFrame, sink: str, checkpoint: str, trigger: dict
 
 def read_state(spark: SparkSession, checkpoint: str, operator: int = 0, variable: str | None = None) -> DataFrame:
     """K6: the state of a query as a table ``(key, value, partition_id)``, read
-    from its checkpoint (``variable``: a named state of ``transformWithState``)."""
+    from its checkpoint (``variable``: a named state of ``transformWithState``).  States
+    that are held by slots of keys are told per key."""
     reader = spark.read.format("statestore").option("path", checkpoint).option("operatorId", operator)
-    return (reader.option("stateVarName", variable) if variable else reader).load()
+    state = (reader.option("stateVarName", variable) if variable else reader).load()
+    return states_by_key(state) if "slot" in state.select("key.*").columns else state
 
 
 # ---------------------------------------------------------------------------

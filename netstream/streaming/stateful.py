@@ -29,9 +29,10 @@ from netstream.operators.decay import DECAY_C
 
 _AW_OUT = ("key LONG, seq LONG, real_count LONG, n_buckets LONG, bucket_sum LONG, "
            "discarded LONG, estimate DOUBLE")
-_AW_STATE = "n LONG, t LONG, ones LONG, rest LONG, newest LONG, discarded LONG"
+_AW_STATE = ("t", "ones", "rest", "newest", "discarded")
 _PB_OUT = "key LONG, seq LONG, n_buckets LONG, bucket_sum LONG, estimate LONG"
-PUBLISHED_STATE = "n LONG, t LONG, total LONG, recent BINARY"
+_PB_STATE = ("t", "total", "recent")
+SLOTS = 512  # of keys by hash: a call of Python and a row of the store per slot, not per key (a checkpoint keeps it)
 
 
 def _in_order(pdfs: Iterator[pd.DataFrame], *others: str) -> tuple[np.ndarray, ...]:
@@ -53,6 +54,8 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
     """DGIM state after every bit, on a stream of ``(key, seq, bit)``.  Across
     batches the state store carries the state of a key: the total of its buckets
     and its last ``n`` bits (published), or the buckets' numeral (as written).
+    A row of the store holds the states of a slot's keys (``states_by_key`` tells
+    them apart): a call per key would cost milliseconds however few bits it has.
     Output rows have the batch schema of ``netstream.operators.bits.dgim``;
     output mode ``append``.  As written, a column ``epoch`` stays with its bits.
     """
@@ -60,29 +63,84 @@ def dgim_stream(bits: DataFrame, mode: str = "published", n: int = WINDOW_N) ->
         raise ValueError("mode must be 'as_written' or 'published'")
     epoch = [c for c in ("epoch",) if c in bits.columns and mode == "as_written"]
 
-    def published(key, pdfs, state):
-        seqs, bits_ = _in_order(pdfs)
-        fold = Totals(n, *state.get[1:]) if state.exists else Totals(n)
+    def published(held, seqs, bits_):
+        t, total, recent = held or (0, 0, b"")
+        fold = Totals(n, t, total, recent)
         total = fold.feed(bits_)
-        state.update((n, fold.t, fold.total, fold.recent.tobytes()))
-        yield _keyed(key, seq=seqs, n_buckets=buckets_of(total), bucket_sum=total, estimate=total - oldest_size(total) // 2)
+        return (fold.t, fold.total, fold.recent.tobytes()), total
 
-    def as_written(key, pdfs, state):
-        seqs, bits_, *epochs = _in_order(pdfs, *epoch)
-        st = AsWritten(*(int(x) for x in state.get)) if state.exists else AsWritten(n)
-        out = []
+    def published_out(totals):
+        total = np.concatenate(totals)
+        return {"n_buckets": buckets_of(total), "bucket_sum": total, "estimate": total - oldest_size(total) // 2}
+
+    def as_written(held, seqs, bits_):
+        st, out = AsWritten(n, *(held or ())), []
         for b in bits_.tolist():
             st.step(b)
             out.append((st.ones, st.rest.bit_count() + st.newest, st.rest + st.newest, st.discarded, st.estimate()))
-        state.update((st.n, st.t, st.ones, st.rest, st.newest, st.discarded))
-        real, count, total, discarded, estimate = zip(*out)
-        yield _keyed(key, seq=seqs, real_count=real, n_buckets=count, bucket_sum=total, discarded=discarded, estimate=estimate,
-                     **dict(zip(epoch, epochs)))
-
-    fold, out_schema, state_schema = ((as_written, _AW_OUT + "".join(f", {c} LONG" for c in epoch), _AW_STATE) if mode == "as_written"
-                                      else (published, _PB_OUT, PUBLISHED_STATE))
-    return bits.select("key", "seq", "bit", *epoch).groupBy("key").applyInPandasWithState(
-        fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        return st.state(), out
+
+    def as_written_out(rows):
+        names = ("real_count", "n_buckets", "bucket_sum", "discarded", "estimate")
+        return dict(zip(names, zip(*(r for of_key in rows for r in of_key))))
+
+    fold, out, out_schema, names = ((as_written, as_written_out, _AW_OUT + "".join(f", {c} LONG" for c in epoch), _AW_STATE)
+                                    if mode == "as_written" else (published, published_out, _PB_OUT, _PB_STATE))
+
+    def slot(_, pdfs, state):
+        parts = [[p[c].to_numpy() for c in ("key", "none", "seq", "bit", *epoch)] for p in pdfs]
+        keys, none, seqs, bits_, *epochs = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
+        order = np.lexsort((seqs, keys, none))
+        keys, none, seqs, bits_ = keys[order], none[order], seqs[order], (bits_[order] == 1).astype(np.uint8)
+        states = _unpacked(state.get, names) if state.exists else {}
+        begin = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (none[1:] != none[:-1])))
+        found = []
+        for a, b in zip(begin, np.append(begin[1:], len(keys))):
+            key = None if none[a] else int(keys[a])
+            states[key], rows = fold(states.get(key), seqs[a:b], bits_[a:b])
+            found.append(rows)
+        state.update(_packed(states, names, n))
+        yield pd.DataFrame({"key": pd.arrays.IntegerArray(keys.astype(np.int64), none.astype(bool)), "seq": seqs, **out(found),
+                            **dict(zip(epoch, (e[order] for e in epochs)))}, copy=False)
+
+    key = F.col("key").cast("long")
+    slots = bits.select(F.pmod(F.xxhash64(key), F.lit(SLOTS)).alias("slot"), F.coalesce(key, F.lit(0).cast("long")).alias("key"),
+                        key.isNull().alias("none"), "seq", "bit", *epoch)
+    return slots.groupBy("slot").applyInPandasWithState(
+        slot, out_schema, "n LONG, keys BINARY, none BINARY" + "".join(f", {c} BINARY" for c in names), "append", GroupStateTimeout.NoTimeout)
+
+
+def _packed(states: dict, names: tuple, n: int) -> tuple:
+    """The states of a slot's keys as arrays; the last bits of a key fill ``n`` bytes."""
+    columns = [b"".join(v.ljust(n, b"\0") for v in c) if name == "recent" else np.array(c, np.int64).tobytes()
+               for name, c in zip(names, zip(*states.values()))]
+    return (n, np.array([k or 0 for k in states], np.int64).tobytes(), np.array([k is None for k in states], bool).tobytes(), *columns)
+
+
+def _unpacked(value: tuple, names: tuple) -> dict:
+    """``{key: state}`` of a slot, as ``_packed`` put them."""
+    n, keys, none, *columns = value
+    t = np.frombuffer(columns[names.index("t")], np.int64).tolist()
+    columns = [[c[i * n:i * n + min(k, n)] for i, k in enumerate(t)] if name == "recent" else np.frombuffer(c, np.int64).tolist()
+               for name, c in zip(names, columns)]
+    keys = [None if none_ else k for k, none_ in zip(np.frombuffer(keys, np.int64).tolist(), np.frombuffer(none, bool).tolist())]
+    return dict(zip(keys, zip(*columns)))
+
+
+def states_by_key(states: DataFrame) -> DataFrame:
+    """The store's rows per slot as rows per key: ``(key, value, partition_id)``."""
+    names = tuple(states.select("value.groupState.*").columns[3:])
+
+    def rows(pdfs):
+        for pdf in pdfs:
+            for partition, *value in pdf.itertuples(index=False):
+                held = _unpacked(tuple(value), names)
+                yield pd.DataFrame({"key": pd.array(list(held), dtype="Int64"), "n": value[0],
+                                    **dict(zip(names, zip(*held.values()))), "partition_id": partition})
+
+    schema = "key LONG, n LONG, " + "".join(f"{c} {'BINARY' if c == 'recent' else 'LONG'}, " for c in names) + "partition_id INT"
+    flat = states.select("partition_id", "value.groupState.*").mapInPandas(rows, schema)
+    return flat.select(F.struct("key").alias("key"), F.struct(F.struct("n", *names).alias("groupState")).alias("value"), "partition_id")
 
 
 RING_STATE = "t LONG, ones LONG, held INT, ring BINARY"

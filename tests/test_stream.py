@@ -286,3 +286,21 @@ def test_micro_batches_do_not_grow_with_the_table(spark):
     counts = SQ.line_counts(spark, lines, "seq", SQ.start_bit_lines, "bit INT", epoch_rows=10)
     want = [(e, 10, 5) for e in range(13)] + [(100, 1, 0)]  # a line without a position comes last
     assert sorted(map(tuple, counts.collect())) == want
+
+
+def test_many_streams_take_few_rows_of_the_store(spark):
+    """Streams share calls and rows of the store by slot, and keep states of their own."""
+    from netstream.streaming import stateful as S
+    streams = 4 * S.SLOTS
+    bits = spark.range(2 * streams).select((F.col("id") % streams).alias("key"), F.col("id").alias("seq"),
+                                           (F.col("id") % 3 == 0).cast("int").alias("bit"))
+    for mode in ("published", "as_written"):
+        source, sink, checkpoint = (scratch_dir(spark, c) for c in ("slot-src", "slot-sink", "slot-ckpt"))
+        stage_replay(bits, "seq", source, 1024)
+        query = SQ.start_dgim(replay_stream(spark, source, bits.schema, 2), sink, checkpoint, {"availableNow": True}, mode=mode)
+        query.awaitTermination()
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]) <= S.SLOTS
+        cols = ["key", "seq", "n_buckets", "bucket_sum", "estimate"]
+        assert _rows(SQ.read_sink(spark, sink, SQ.DGIM_SCHEMA[mode]), cols) == _rows(B.dgim(bits, mode=mode), cols)
+        state = SQ.read_state(spark, checkpoint).select("key.key", "value.groupState.t")
+        assert state.agg(F.countDistinct("key"), F.min("t"), F.max("t")).first() == (streams, 2, 2)
