@@ -159,6 +159,8 @@ def read_state(spark: SparkSession, checkpoint: str, operator: int = 0, variable
     that are held by slots of keys are told per key."""
     reader = spark.read.format("statestore").option("path", checkpoint).option("operatorId", operator)
     state = (reader.option("stateVarName", variable) if variable else reader).load()
+    if "user_map_key" in state.columns:  # a map per slot
+        return state.select(F.col("user_map_key").alias("key"), F.col("user_map_value").alias("value"), "partition_id")
     return states_by_key(state) if "slot" in state.select("key.*").columns else state
 
 

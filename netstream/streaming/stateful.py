@@ -171,14 +171,15 @@ def window_counts_stream(bits: DataFrame, windows: dict[str, int]) -> DataFrame:
 
 
 class _Decay(StatefulProcessor):
-    """Weight of one mention at its last arrival."""
+    """Weights of the mentions of a slot at their last arrivals: a map from mention to
+    weight, of which a micro-batch reads and writes its own mentions only."""
 
     def __init__(self, lam: float, drop_below: float, epoch_rows: int):
         self.lam, self.drop_below, self.epoch_rows = lam, drop_below, epoch_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("weight", "weight DOUBLE, seq LONG")
+        self.state = handle.getMapState("weight", "mention STRING", "weight DOUBLE, seq LONG")
 
     def _expires(self, weight: float, last: int) -> int:
         """The first end of an epoch, from the last arrival's on, at which the
@@ -192,29 +193,41 @@ class _Decay(StatefulProcessor):
         return (epoch + 1) * self.epoch_rows - 1
 
     def handleInputRows(self, key, rows, timerValues):
-        seqs = np.sort(np.concatenate([pdf["seq"].to_numpy() for pdf in rows]))
-        if key[0] is None:  # arrivals without a mention only make the clock go on
-            yield pd.DataFrame({"mention": [None], "weight": [None], "seq": [int(seqs[-1])], "epoch": [int(seqs[-1]) // self.epoch_rows]})
-            return
-        weight, last = self.state.get() if self.state.exists() else (0.0, int(seqs[0]))
-        out = []
-        for own in np.split(seqs, np.flatnonzero(np.diff(seqs // self.epoch_rows)) + 1):
-            epoch, end = int(own[0]) // self.epoch_rows, int(own[-1])
-            if epoch > last // self.epoch_rows and \
-                    weight * math.exp(-self.lam * (epoch * self.epoch_rows - 1 - last)) < self.drop_below:
-                weight = 0.0
-            weight = weight * math.exp(-self.lam * (end - last)) + float(np.exp(-self.lam * (end - own)).sum())
-            last = end
-            out.append((key[0], weight, last, epoch))
-        self.state.update((weight, last))
-        if self.drop_below > 0:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(1000 * (self._expires(weight, last) + 1))  # at the clock of that seq
+        rows = pd.concat(list(rows), ignore_index=True)
+        out, ends = [], []
+        for mention, seqs in rows.groupby("mention", sort=False, dropna=False)["seq"]:
+            seqs = np.sort(seqs.to_numpy())
+            if pd.isna(mention):  # arrivals without a mention only make the clock go on
+                out.append((None, None, int(seqs[-1]), int(seqs[-1]) // self.epoch_rows))
+                continue
+            weight, last = self.state.getValue((mention,)) or (0.0, int(seqs[0]))
+            for own in np.split(seqs, np.flatnonzero(np.diff(seqs // self.epoch_rows)) + 1):
+                epoch, end = int(own[0]) // self.epoch_rows, int(own[-1])
+                if epoch > last // self.epoch_rows and \
+                        weight * math.exp(-self.lam * (epoch * self.epoch_rows - 1 - last)) < self.drop_below:
+                    weight = 0.0
+                weight = weight * math.exp(-self.lam * (end - last)) + float(np.exp(-self.lam * (end - own)).sum())
+                last = end
+                out.append((mention, weight, last, epoch))
+            self.state.updateValue((mention,), (weight, last))
+            if self.drop_below > 0:
+                ends.append(self._expires(weight, last))
+        if ends:
+            self.handle.registerTimer(1000 * (min(ends) + 1))  # at the clock of that seq
         yield pd.DataFrame(out, columns=["mention", "weight", "seq", "epoch"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
+        """A timer stands for the mentions of the slot: all that have expired by now leave,
+        the next one to expire has the next timer."""
+        now, ends = timerValues.getCurrentWatermarkInMs(), []
+        for (mention,), (weight, last) in list(self.state.iterator()):
+            end = self._expires(weight, last)
+            if 1000 * (end + 1) <= now:
+                self.state.removeKey((mention,))
+            else:
+                ends.append(end)
+        if ends:
+            self.handle.registerTimer(1000 * (min(ends) + 1))
         yield from ()
 
     def close(self) -> None:
@@ -233,8 +246,10 @@ def decay_stream(mentions: DataFrame, epoch_rows: int, c: float = DECAY_C, drop_
     its own mentions only, however many were ever seen.  A weight that is below
     ``drop_below`` at the end of an epoch counts as dropped from then on; an
     event-time timer (the clock is ``seq + 1``, one second each) takes its state out of
-    the store.  Needs the RocksDB state store; rows without a mention give a row with
-    a null weight, which tells how far the clock went."""
-    clocked = mentions.select("mention", "seq", F.timestamp_seconds(F.col("seq") + 1).alias("at")).withWatermark("at", "0 seconds")
-    return clocked.groupBy("mention").transformWithStateInPandas(
+    the store.  Mentions share calls and timers by slot.  Needs the RocksDB state store;
+    rows without a mention give a row with a null weight, which tells how far the clock
+    went."""
+    slot = F.pmod(F.xxhash64("mention"), F.lit(SLOTS)).alias("slot")
+    clocked = mentions.select(slot, "mention", "seq", F.timestamp_seconds(F.col("seq") + 1).alias("at")).withWatermark("at", "0 seconds")
+    return clocked.groupBy("slot").transformWithStateInPandas(
         _Decay(-math.log1p(-c), drop_below, epoch_rows), DECAY_OUT, "Append", "EventTime")

@@ -304,3 +304,23 @@ def test_many_streams_take_few_rows_of_the_store(spark):
         assert _rows(SQ.read_sink(spark, sink, SQ.DGIM_SCHEMA[mode]), cols) == _rows(B.dgim(bits, mode=mode), cols)
         state = SQ.read_state(spark, checkpoint).select("key.key", "value.groupState.t")
         assert state.agg(F.countDistinct("key"), F.min("t"), F.max("t")).first() == (streams, 2, 2)
+
+
+def test_many_mentions_share_calls_and_expire(spark):
+    """Far more mentions than slots, a heavy one among them: weights as in the table form,
+    and only what has not expired stays in the store."""
+    from netstream.streaming import stateful as S
+    rows = spark.range(4_000).select(F.col("id").alias("seq"), F.when(F.col("id") % 4 == 0, "often").otherwise(
+        F.concat(F.lit("m"), (F.col("id") % 1_500).cast("string"))).alias("mention"))
+    want = {(r.batch_id, r.mention): r.weight for r in SQ.replayed(
+        spark, rows, "seq", lambda *a: SQ.start_decay(*a, c=0.01, drop_below=0.5), SQ.DECAY_SCHEMA, 500, 2).collect()}
+    source, sink, checkpoint = (scratch_dir(spark, c) for c in ("many-src", "many-sink", "many-ckpt"))
+    stage_replay(rows, "seq", source, 500)
+    query = SQ.start_decay_state(replay_stream(spark, source, rows.schema, 2), sink, checkpoint, {"availableNow": True},
+                                 epoch_rows=1_000, c=0.01, drop_below=0.5)
+    query.awaitTermination()
+    got = {(r.epoch, r.mention): r.weight for r in SQ.read_sink(spark, sink, SQ.STATE_SCHEMA).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    held = {r.key.mention for r in SQ.read_state(spark, checkpoint, variable="weight").collect()}
+    assert "often" in held and len(held) < len({m for _, m in want}) / 2
+    assert S.SLOTS < len({m for _, m in want})
